@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import oracles as O
-from hourglass.operators import features, grid, prep
+from hourglass.operators import features, grid, prep, sequences, tokens
 from hourglass.plans import panel
 from hourglass.session import configure
 from hourglass.sources.tables import EVENTS_SPEC
@@ -21,11 +21,17 @@ from hourglass.sources.tables import EVENTS_SPEC
 SPEC = EVENTS_SPEC
 
 
+def _round(c, dt):
+    if isinstance(dt, (T.DoubleType, T.FloatType)):
+        return F.round(c.cast("double"), 6)
+    if isinstance(dt, T.ArrayType) and isinstance(dt.elementType, (T.DoubleType, T.FloatType, T.ArrayType)):
+        return F.transform(c, lambda x: _round(x, dt.elementType))
+    return c
+
+
 def r6(df: DataFrame) -> DataFrame:
-    """Round every double column to 6 places (the comparison precision shared with the oracle)."""
-    return df.select(*[F.round(F.col(f.name), 6).alias(f.name)
-                       if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
-                       for f in df.schema.fields])
+    """Round every double (also inside arrays) to 6 places — the precision shared with the oracle."""
+    return df.select(*[_round(F.col(f.name), f.dataType).alias(f.name) for f in df.schema.fields])
 
 
 def _q(fn):
@@ -73,6 +79,59 @@ def q_grid_summary(spark, sf):
     return grid.grid_summary(panel.events_grid(spark, sf), SPEC)
 
 
+# ------------------------------------------------------------------ tokens
+def q_token_params(spark, sf):
+    return panel.events_token_params(spark, sf)
+
+
+def q_tokens(spark, sf):
+    return panel.events_tokens(spark, sf)
+
+
+def q_token_counts(spark, sf):
+    return tokens.token_counts(panel.events_tokens(spark, sf, one_hot=False), SPEC)
+
+
+def q_token_summary(spark, sf):
+    return tokens.token_summary(panel.events_tokens(spark, sf, one_hot=False), SPEC)
+
+
+# ------------------------------------------------------------------ sequences
+def q_fixed_sequences(spark, sf):
+    return sequences.fixed_sequences(q_linear_panel(spark, sf), SPEC)
+
+
+def q_token_sequences(spark, sf):
+    return sequences.token_sequences(panel.events_tokens(spark, sf, one_hot=False), SPEC)
+
+
+def q_mask_delta(spark, sf):
+    return sequences.mask_delta(panel.events_clean(spark, sf), SPEC)
+
+
+def q_pool(spark, sf):
+    return sequences.pool(q_linear_panel(spark, sf), SPEC)
+
+
+def q_static_row(spark, sf):
+    return sequences.static_row(panel.events_ffill(spark, sf), SPEC)
+
+
+def q_variable_series(spark, sf):
+    return sequences.variable_series(panel.events_ffill(spark, sf), SPEC)
+
+
+def q_length_stats(spark, sf):
+    seqs = sequences.token_sequences(panel.events_tokens(spark, sf, one_hot=False), SPEC)
+    from hourglass.sources.tables import with_split
+    return sequences.length_stats(with_split(seqs, SPEC), "split")
+
+
+def q_pad_batches(spark, sf):
+    seqs = sequences.token_sequences(panel.events_tokens(spark, sf, one_hot=False), SPEC)
+    return sequences.pad_batches(seqs, SPEC, 16)
+
+
 _QUERIES = {
     "events_grid": q_events_grid,
     "events_clean": q_events_clean,
@@ -83,6 +142,18 @@ _QUERIES = {
     "last_state": q_last_state,
     "engineered_features": q_engineered_features,
     "grid_summary": q_grid_summary,
+    "token_params": q_token_params,
+    "tokens": q_tokens,
+    "token_counts": q_token_counts,
+    "token_summary": q_token_summary,
+    "fixed_sequences": q_fixed_sequences,
+    "token_sequences": q_token_sequences,
+    "mask_delta": q_mask_delta,
+    "pool": q_pool,
+    "static_row": q_static_row,
+    "variable_series": q_variable_series,
+    "length_stats": q_length_stats,
+    "pad_batches": q_pad_batches,
 }
 
 _ORACLES = {
@@ -95,6 +166,18 @@ _ORACLES = {
     "last_state": O.sql_last_state,
     "engineered_features": O.sql_engineered,
     "grid_summary": O.sql_grid_summary,
+    "token_params": O.sql_token_params,
+    "tokens": O.sql_tokens,
+    "token_counts": O.sql_token_counts,
+    "token_summary": O.sql_token_summary,
+    "fixed_sequences": O.sql_fixed_sequences,
+    "token_sequences": O.sql_token_sequences,
+    "mask_delta": O.sql_mask_delta,
+    "pool": O.sql_pool,
+    "static_row": O.sql_static_row,
+    "variable_series": O.sql_variable_series,
+    "length_stats": O.sql_length_stats,
+    "pad_batches": O.sql_pad_batches,
 }
 
 

@@ -50,3 +50,16 @@ def lineitem_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     defaults = prep.fit_fill_defaults(clean, LINEITEM_SPEC)
     ff = prep.forward_fill(clean, LINEITEM_SPEC, prep.params_dict(defaults))
     return features.engineered(ff, LINEITEM_SPEC)
+
+
+def events_token_params(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hourglass.operators import tokens
+    return tokens.fit_value_scaler(events_clean(spark, sf_dir), EVENTS_SPEC)
+
+
+def events_tokens(spark: SparkSession, sf_dir: str, one_hot: bool = True) -> DataFrame:
+    """Cleaned, un-imputed panel → measurement tokens with train-fitted value scaling."""
+    from hourglass.operators import tokens
+    clean = events_clean(spark, sf_dir)
+    params = prep.params_dict(tokens.fit_value_scaler(clean, EVENTS_SPEC))
+    return tokens.tokenise(clean, EVENTS_SPEC, params, one_hot=one_hot)

@@ -203,3 +203,130 @@ def sql_grid_summary() -> str:
         CAST(count(DISTINCT CASE WHEN label IS NOT NULL THEN user_id END) AS BIGINT) AS n_labelled,
         {r6(f"CAST(sum({nulls}) AS DOUBLE) / (count(*) * {len(FEATURES)})")} AS missing_rate
         FROM ev_grid""")
+
+
+# ------------------------------------------------------------------ tokens
+def lst6(x: str) -> str:
+    return f"list_transform({x}, lambda v: round(v, 6))"
+
+
+def lst6_2(x: str) -> str:
+    return f"list_transform({x}, lambda r: list_transform(r, lambda v: round(v, 6)))"
+
+
+def ctes_tokens() -> list[str]:
+    par = []
+    for c in FEATURES:
+        if c == "building":
+            continue
+        x = f"CASE WHEN {c} IS NOT NULL THEN ln(1 + greatest({c}, 0.0)) END" if c in LOG_COLS else c
+        par.append(f"coalesce(quantile_cont({x}, 0.5) FILTER (WHERE split = 'a'), 0.0) AS {c}__med")
+        par.append(f"quantile_cont({x}, 0.75) FILTER (WHERE split = 'a') - "
+                   f"quantile_cont({x}, 0.25) FILTER (WHERE split = 'a') AS {c}__iqr0")
+    parts = []
+    for i, c in enumerate(FEATURES):
+        if c == "building":
+            v = binary01(c)
+        else:
+            x = f"ln(1 + greatest({c}, 0.0))" if c in LOG_COLS else c
+            iqr = f"(CASE WHEN p.{c}__iqr0 IS NULL OR p.{c}__iqr0 = 0 THEN 1.0 ELSE p.{c}__iqr0 END)"
+            v = f"({x} - p.{c}__med) / {iqr}"
+        cond = f"{c} IS NOT NULL" + (" AND day = 0" if c in STATIC else "")
+        parts.append(f"SELECT user_id, CAST(day AS DOUBLE) / 30.0 AS t_scaled, {v} AS value_scaled, label, "
+                     f"{i} AS var_idx, split FROM ev_clean CROSS JOIN ev_tpar p WHERE {cond}")
+    return ctes_grid() + [f"ev_tpar AS (SELECT {', '.join(par)} FROM ev_clean)",
+                          "ev_tokens AS (" + "\nUNION ALL\n".join(parts) + ")"]
+
+
+def sql_token_params() -> str:
+    parts = ["SELECT 'building' AS \"column\", true AS is_binary, false AS use_log1p, 0.0 AS median, 1.0 AS iqr"]
+    for c in FEATURES:
+        if c == "building":
+            continue
+        iqr = f"CASE WHEN {c}__iqr0 IS NULL OR {c}__iqr0 = 0 THEN 1.0 ELSE {c}__iqr0 END"
+        parts.append(f"SELECT '{c}', false, {'true' if c in LOG_COLS else 'false'}, {r6(c + '__med')}, {r6(iqr)} FROM ev_tpar")
+    return with_(ctes_tokens(), "\nUNION ALL\n".join(parts))
+
+
+def sql_tokens() -> str:
+    ohe = ", ".join(f"CAST(var_idx = {i} AS INTEGER) AS var_{c}" for i, c in enumerate(FEATURES))
+    return with_(ctes_tokens(), f"SELECT user_id, {r6('t_scaled')} AS t_scaled, {r6('value_scaled')} AS value_scaled, "
+                                f"label, var_idx, split, {ohe} FROM ev_tokens")
+
+
+def sql_token_counts() -> str:
+    return with_(ctes_tokens(), "SELECT user_id, CAST(count(*) AS BIGINT) AS n_tokens FROM ev_tokens GROUP BY user_id")
+
+
+def sql_token_summary() -> str:
+    return with_(ctes_tokens(), f"""SELECT split, CAST(count(*) AS BIGINT) AS n_tokens,
+        CAST(count(DISTINCT user_id) AS BIGINT) AS n_entities,
+        {r6('count(*) / count(DISTINCT user_id)')} AS avg_tokens,
+        {r6('min(t_scaled)')} AS min_t, {r6('max(t_scaled)')} AS max_t FROM ev_tokens GROUP BY split""")
+
+
+# ------------------------------------------------------------------ sequences (Q1–Q12)
+def sql_fixed_sequences() -> str:
+    row = "[" + ", ".join(f"CAST({c} AS DOUBLE)" for c in FEATURES) + "]"
+    return with_(ctes_linear(), f"""SELECT user_id, {lst6_2(f'list({row} ORDER BY day)')} AS seq,
+        arg_min(label, day) AS label, CAST(count(*) AS INTEGER) AS length FROM ev_linear GROUP BY user_id""")
+
+
+def token_vec() -> str:
+    onehot = ", ".join(f"CAST(var_idx = {i} AS DOUBLE)" for i in range(len(FEATURES)))
+    return f"[t_scaled, value_scaled, {onehot}]"
+
+
+def sql_token_sequences() -> str:
+    return with_(ctes_tokens(), f"""SELECT user_id, {lst6_2(f'list({token_vec()} ORDER BY t_scaled, var_idx)')} AS seq,
+        first(label) AS label, CAST(count(*) AS INTEGER) AS length FROM ev_tokens GROUP BY user_id""")
+
+
+def sql_mask_delta() -> str:
+    w = "OVER (PARTITION BY user_id ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    masks = [f"CAST({c} IS NOT NULL AS INTEGER) AS mask_{c}" for c in FEATURES]
+    deltas = [f"CAST(coalesce(day - last_value(CASE WHEN {c} IS NOT NULL THEN day END IGNORE NULLS) {w}, day + 1) "
+              f"AS DOUBLE) AS delta_{c}" for c in FEATURES]
+    return with_(ctes_grid(), f"SELECT user_id, day, label, split, {', '.join(masks + deltas)} FROM ev_clean")
+
+
+def sql_pool() -> str:
+    cols = []
+    for c in FEATURES:
+        w = "exp(2.0 * CAST(day AS DOUBLE) / 30.0)"
+        cols += [f"{r6(f'arg_max({c}, day)')} AS {c}_last", f"{r6(f'avg({c})')} AS {c}_mean",
+                 f"{r6(f'max({c})')} AS {c}_max",
+                 f"{r6(f'sum({w} * {c}) / sum(CASE WHEN {c} IS NOT NULL THEN {w} END)')} AS {c}_recency"]
+    return with_(ctes_linear(), f"SELECT user_id, {', '.join(cols)} FROM ev_linear GROUP BY user_id")
+
+
+def sql_static_row() -> str:
+    cols = ", ".join(f"{r6(f'arg_min({c}, day)')} AS {c}" for c in STATIC)
+    return with_(ctes_ffill(), f"SELECT user_id, {cols} FROM ev_ffill GROUP BY user_id")
+
+
+def sql_variable_series() -> str:
+    parts = [f"SELECT user_id, '{c}' AS variable, {lst6(f'list(CAST({c} AS DOUBLE) ORDER BY day)')} AS series "
+             f"FROM ev_ffill GROUP BY user_id" for c in EVENT_TYPES]
+    return with_(ctes_ffill(), "\nUNION ALL\n".join(parts))
+
+
+def sql_length_stats() -> str:
+    return with_(ctes_tokens(), f"""SELECT split, {r6('avg(n)')} AS avg_length, CAST(max(n) AS INTEGER) AS max_length,
+        CAST(count(*) AS BIGINT) AS n_sequences
+        FROM (SELECT user_id, split, count(*) AS n FROM ev_tokens GROUP BY user_id, split) GROUP BY split""")
+
+
+def sql_pad_batches(batch: int = 16) -> str:
+    zero = "[" + ", ".join(["0.0"] * (len(FEATURES) + 2)) + "]"
+    return with_(ctes_tokens() + [
+        f"seqs AS (SELECT user_id, list({token_vec()} ORDER BY t_scaled, var_idx) AS seq, first(label) AS label, "
+        f"count(*) AS n FROM ev_tokens GROUP BY user_id)",
+        f"idx AS (SELECT *, row_number() OVER (ORDER BY user_id) - 1 AS pos FROM seqs)",
+        f"b AS (SELECT *, CAST(floor(pos / {batch}) AS BIGINT) AS batch_id FROM idx)",
+        "m AS (SELECT *, max(n) OVER (PARTITION BY batch_id) AS max_len FROM b)"],
+        f"""SELECT user_id, batch_id, CAST(pos AS BIGINT) AS pos, CAST(n AS INTEGER) AS length,
+        CAST(max_len AS INTEGER) AS max_len,
+        {lst6_2(f'list_concat(seq, list_transform(range(max_len - n), lambda i: {zero}))')} AS padded,
+        list_concat(list_transform(range(n), lambda i: false), list_transform(range(max_len - n), lambda i: true)) AS pad_mask,
+        label FROM m""")
