@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import oracles as O
-from hourglass.operators import features, grid, prep, sequences, tokens
-from hourglass.plans import panel
+from hourglass.functions import metrics
+from hourglass.operators import features, grid, prep, profile, sampling, sequences, tokens
+from hourglass.plans import evaluation, panel
+from hourglass.sources import tables
 from hourglass.session import configure
 from hourglass.sources.tables import EVENTS_SPEC
 
@@ -132,6 +134,103 @@ def q_pad_batches(spark, sf):
     return sequences.pad_batches(seqs, SPEC, 16)
 
 
+# ------------------------------------------------------------------ metrics
+def q_ranking_metrics(spark, sf):
+    d = tables.table(spark, sf, "documents").join(tables.table(spark, sf, "labels"), "doc_id")
+    return metrics.ranking_metrics(d.select("lang", F.col("n_chars").cast("double").alias("score"),
+                                            F.col("quality").alias("label")), "score", "label", ["lang"])
+
+
+def q_binary_metrics(spark, sf):
+    return metrics.binary_metrics(evaluation.hard_predictions(spark, sf), "pred", "label", ["lang"])
+
+
+def q_scale_metrics(spark, sf):
+    return metrics.scale_metrics(evaluation.scale_answers(spark, sf), "score", "label", 6)
+
+
+def q_leaderboard(spark, sf):
+    return metrics.leaderboard(evaluation.config_board(spark, sf))
+
+
+def q_select_best(spark, sf):
+    return metrics.select_best(evaluation.config_board(spark, sf))
+
+
+def q_compare(spark, sf):
+    def test(target):
+        return evaluation.config_board(spark, sf, target).select(
+            "config_name", F.col("test_auroc").alias("auroc"), F.col("test_auprc").alias("auprc"))
+    return metrics.compare_experiments(test("quality"), test("toxic"))
+
+
+def q_history(spark, sf):
+    return evaluation.history(spark, sf)
+
+
+def q_early_stopping(spark, sf):
+    return metrics.early_stopping(evaluation.history(spark, sf), patience=3)
+
+
+def q_split_counts(spark, sf):
+    g = panel.events_grid(spark, sf).select("user_id", "split", "label").distinct()
+    return metrics.split_counts(g)
+
+
+# ------------------------------------------------------------------ profile (train rows of the clean grid)
+def _train(spark, sf):
+    return panel.events_clean(spark, sf).where(F.col("split") == "a")
+
+
+def q_column_profile(spark, sf):
+    return profile.column_profile(_train(spark, sf).drop("split"))
+
+
+def q_value_counts(spark, sf):
+    return profile.value_counts(_train(spark, sf), "building")
+
+
+def q_histogram(spark, sf):
+    return profile.histogram(_train(spark, sf), "view", 40)
+
+
+def q_log_histogram(spark, sf):
+    return profile.histogram(_train(spark, sf), "purchase", 40, log10=True)
+
+
+def q_box_stats(spark, sf):
+    return profile.box_stats(_train(spark, sf), "click")
+
+
+def q_time_profile(spark, sf):
+    return profile.time_profile(_train(spark, sf), "error", "day")
+
+
+def q_random_trajectories(spark, sf):
+    return profile.random_trajectories(_train(spark, sf), "signup", "user_id", 10, seed=42)
+
+
+def q_shape(spark, sf):
+    return profile.shape(_train(spark, sf))
+
+
+# ------------------------------------------------------------------ sampling
+def q_labelled_features(spark, sf):
+    return sampling.labelled(panel.events_features(spark, sf), "label")
+
+
+def q_budget_subsets(spark, sf):
+    return sampling.budget_subsets(tables.table(spark, sf, "documents"), "doc_id", (100, 500, 1000), seed=42)
+
+
+def q_stratified(spark, sf):
+    return sampling.stratified(tables.table(spark, sf, "labels"), "quality", 3, (1, 0), seed=42, id_col="doc_id")
+
+
+def q_distinct_ids(spark, sf):
+    return sampling.distinct_ids(tables.table(spark, sf, "events"), "user_id")
+
+
 _QUERIES = {
     "events_grid": q_events_grid,
     "events_clean": q_events_clean,
@@ -154,6 +253,27 @@ _QUERIES = {
     "variable_series": q_variable_series,
     "length_stats": q_length_stats,
     "pad_batches": q_pad_batches,
+    "ranking_metrics": q_ranking_metrics,
+    "binary_metrics": q_binary_metrics,
+    "scale_metrics": q_scale_metrics,
+    "leaderboard": q_leaderboard,
+    "select_best": q_select_best,
+    "compare_experiments": q_compare,
+    "history": q_history,
+    "early_stopping": q_early_stopping,
+    "split_counts": q_split_counts,
+    "column_profile": q_column_profile,
+    "value_counts": q_value_counts,
+    "histogram": q_histogram,
+    "log_histogram": q_log_histogram,
+    "box_stats": q_box_stats,
+    "time_profile": q_time_profile,
+    "random_trajectories": q_random_trajectories,
+    "shape": q_shape,
+    "labelled_features": q_labelled_features,
+    "budget_subsets": q_budget_subsets,
+    "stratified": q_stratified,
+    "distinct_ids": q_distinct_ids,
 }
 
 _ORACLES = {
@@ -178,6 +298,27 @@ _ORACLES = {
     "variable_series": O.sql_variable_series,
     "length_stats": O.sql_length_stats,
     "pad_batches": O.sql_pad_batches,
+    "ranking_metrics": O.sql_ranking_metrics,
+    "binary_metrics": O.sql_binary_metrics,
+    "scale_metrics": O.sql_scale_metrics,
+    "leaderboard": O.sql_leaderboard,
+    "select_best": O.sql_select_best,
+    "compare_experiments": O.sql_compare,
+    "history": O.sql_history,
+    "early_stopping": O.sql_early_stopping,
+    "split_counts": O.sql_split_counts,
+    "column_profile": O.sql_column_profile,
+    "value_counts": O.sql_value_counts,
+    "histogram": O.sql_histogram,
+    "log_histogram": O.sql_log_histogram,
+    "box_stats": O.sql_box_stats,
+    "time_profile": O.sql_time_profile,
+    "random_trajectories": O.sql_random_trajectories,
+    "shape": O.sql_shape,
+    "labelled_features": O.sql_labelled_features,
+    "budget_subsets": O.sql_budget_subsets,
+    "stratified": O.sql_stratified,
+    "distinct_ids": O.sql_distinct_ids,
 }
 
 

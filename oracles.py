@@ -330,3 +330,247 @@ def sql_pad_batches(batch: int = 16) -> str:
         {lst6_2(f'list_concat(seq, list_transform(range(max_len - n), lambda i: {zero}))')} AS padded,
         list_concat(list_transform(range(n), lambda i: false), list_transform(range(max_len - n), lambda i: true)) AS pad_mask,
         label FROM m""")
+
+
+# ------------------------------------------------------------------ metrics
+CONFIGS = (
+    (0, "n_chars", "CAST(n_chars AS DOUBLE)"),
+    (1, "neg_n_chars", "-CAST(n_chars AS DOUBLE)"),
+    (2, "n_lines", "CAST(len(string_split(text, chr(10))) AS DOUBLE)"),
+    (3, "n_digits", "CAST(length(regexp_replace(text, '[^0-9]', '', 'g')) AS DOUBLE)"),
+)
+
+
+def doc_split(c: str = "doc_id") -> str:
+    return split_expr(c)
+
+
+def rank_metrics_sql(src: str, groups: list[str], prefix: str = "") -> str:
+    """AUROC from average ranks (Mann–Whitney U); AP as Σ pos(s)/P · precision(s) over distinct thresholds."""
+    g = ", ".join(groups)
+    gsel = (g + ", ") if groups else ""
+    part = f"PARTITION BY {g}" if groups else ""
+    on = " AND ".join(f"a.{c} IS NOT DISTINCT FROM b.{c}" for c in groups) or "TRUE"
+    return f"""(WITH s AS (SELECT {gsel}score, label FROM {src} WHERE score IS NOT NULL AND label IS NOT NULL),
+    rk AS (SELECT {gsel}label, rank() OVER ({part} ORDER BY score)
+                  + (count(*) OVER ({part + ', ' if groups else 'PARTITION BY '}score) - 1) / 2.0 AS r FROM s),
+    au AS (SELECT {gsel}CAST(sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_pos,
+                  CAST(sum(CASE WHEN label <> 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_neg,
+                  sum(CASE WHEN label = 1 THEN r ELSE 0 END) AS rsum FROM rk {'GROUP BY ' + g if groups else ''}),
+    c AS (SELECT {gsel}score, sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS pos, count(*) AS n FROM s
+          GROUP BY {gsel}score),
+    cu AS (SELECT *, sum(pos) OVER ({part} ORDER BY score DESC) AS tp, sum(n) OVER ({part} ORDER BY score DESC) AS k FROM c),
+    ap AS (SELECT {gsel}sum(CASE WHEN pos > 0 THEN pos * tp / k END) AS ap_num FROM cu {'GROUP BY ' + g if groups else ''})
+    SELECT {', '.join('a.' + c for c in groups) + ', ' if groups else ''}a.n_pos AS {prefix}n_pos, a.n_neg AS {prefix}n_neg,
+           CASE WHEN a.n_pos > 0 AND a.n_neg > 0 THEN (a.rsum - a.n_pos * (a.n_pos + 1) / 2.0) / (a.n_pos * a.n_neg) END
+             AS {prefix}auroc,
+           CASE WHEN a.n_pos > 0 THEN b.ap_num / a.n_pos END AS {prefix}auprc
+    FROM au a JOIN ap b ON {on})"""
+
+
+def scored_docs_sql(target: str = "quality") -> str:
+    parts = [f"SELECT d.doc_id, {doc_split('d.doc_id')} AS split, l.{target} AS label, {i} AS cfg_idx, "
+             f"'{n}' AS config_name, {e} AS score FROM documents d JOIN labels l ON d.doc_id = l.doc_id"
+             for i, n, e in CONFIGS]
+    return "(" + " UNION ALL ".join(parts) + ")"
+
+
+def board_sql(target: str = "quality") -> str:
+    m = rank_metrics_sql(f"(SELECT * FROM {scored_docs_sql(target)} WHERE split IN ('b', 'c'))",
+                         ["cfg_idx", "config_name", "split"])
+    return f"""(SELECT cfg_idx, config_name,
+        max(CASE WHEN split = 'b' THEN auroc END) AS val_auroc, max(CASE WHEN split = 'b' THEN auprc END) AS val_auprc,
+        max(CASE WHEN split = 'c' THEN auroc END) AS test_auroc, max(CASE WHEN split = 'c' THEN auprc END) AS test_auprc
+        FROM {m} GROUP BY cfg_idx, config_name)"""
+
+
+def sql_ranking_metrics() -> str:
+    src = "(SELECT d.lang, CAST(d.n_chars AS DOUBLE) AS score, l.quality AS label FROM documents d JOIN labels l USING (doc_id))"
+    return f"SELECT lang, n_pos, n_neg, {r6('auroc')} AS auroc, {r6('auprc')} AS auprc FROM {rank_metrics_sql(src, ['lang'])}"
+
+
+def conf_sql(src: str, groups: list[str]) -> str:
+    g = ", ".join(groups)
+    gsel = (g + ", ") if groups else ""
+    return f"""(SELECT {gsel}CAST(sum(CASE WHEN pred = 1 AND label = 1 THEN 1 ELSE 0 END) AS BIGINT) AS tp,
+        CAST(sum(CASE WHEN pred = 1 AND label = 0 THEN 1 ELSE 0 END) AS BIGINT) AS fp,
+        CAST(sum(CASE WHEN pred = 0 AND label = 0 THEN 1 ELSE 0 END) AS BIGINT) AS tn,
+        CAST(sum(CASE WHEN pred = 0 AND label = 1 THEN 1 ELSE 0 END) AS BIGINT) AS fn,
+        CAST(sum(CASE WHEN pred = 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_pred_pos,
+        CAST(sum(CASE WHEN pred = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_pred_neg, CAST(count(*) AS BIGINT) AS n
+        FROM {src} {'GROUP BY ' + g if groups else ''})"""
+
+
+def ratio_sql(a: str, b: str) -> str:
+    return f"coalesce(CAST({a} AS DOUBLE) / nullif({a} + {b}, 0), 0.0)"
+
+
+def sql_binary_metrics() -> str:
+    src = "(SELECT d.lang, CAST(d.n_chars > 1500 AS INTEGER) AS pred, l.quality AS label FROM documents d JOIN labels l USING (doc_id))"
+    rk = rank_metrics_sql(f"(SELECT lang, CAST(pred AS DOUBLE) AS score, label FROM {src})", ["lang"])
+    return f"""SELECT c.*, {r6(ratio_sql('tp', 'fp'))} AS precision, {r6(ratio_sql('tp', 'fn'))} AS recall,
+        {r6(ratio_sql('tn', 'fp'))} AS specificity, {r6('r.auroc')} AS auroc, {r6('r.auprc')} AS auprc
+        FROM {conf_sql(src, ['lang'])} c LEFT JOIN {rk} r ON c.lang = r.lang"""
+
+
+def sql_scale_metrics() -> str:
+    base = ("(SELECT least(10, 1 + CAST(floor(d.n_chars / 1000) AS INTEGER)) AS score, l.quality AS label "
+            "FROM documents d JOIN labels l USING (doc_id))")
+    hard = f"(SELECT CAST(score >= 6 AS INTEGER) AS pred, label FROM {base})"
+    rk = rank_metrics_sql(f"(SELECT CAST(pred AS DOUBLE) AS score, label FROM {hard})", [])
+    rr = rank_metrics_sql(f"(SELECT (score - 1.0) / 9.0 AS score, label FROM {base})", [], "risk_")
+    return f"""SELECT c.*, {r6(ratio_sql('tp', 'fp'))} AS precision, {r6(ratio_sql('tp', 'fn'))} AS recall,
+        {r6(ratio_sql('tn', 'fp'))} AS specificity, {r6('r.auroc')} AS auroc, {r6('r.auprc')} AS auprc,
+        {r6('q.risk_auroc')} AS risk_auroc, {r6('q.risk_auprc')} AS risk_auprc
+        FROM {conf_sql(hard, [])} c, {rk} r, {rr} q"""
+
+
+def sql_leaderboard() -> str:
+    cols = ", ".join(f"{r6(c)} AS {c}" for c in ("val_auroc", "val_auprc", "test_auroc", "test_auprc"))
+    return f"SELECT cfg_idx, config_name, {cols} FROM {board_sql()}"
+
+
+def sql_select_best() -> str:
+    cols = ", ".join(f"{r6(c)} AS {c}" for c in ("val_auroc", "val_auprc", "test_auroc", "test_auprc"))
+    return f"""SELECT cfg_idx, config_name, {cols} FROM {board_sql()}
+        ORDER BY val_auprc DESC NULLS LAST, val_auroc DESC NULLS LAST, cfg_idx LIMIT 1"""
+
+
+def sql_compare() -> str:
+    return f"""SELECT a.config_name, {r6('a.test_auroc')} AS a_auroc, {r6('a.test_auprc')} AS a_auprc,
+        {r6('b.test_auroc')} AS b_auroc, {r6('b.test_auprc')} AS b_auprc,
+        {r6('b.test_auroc - a.test_auroc')} AS delta_auroc, {r6('b.test_auprc - a.test_auprc')} AS delta_auprc
+        FROM {board_sql('quality')} a JOIN {board_sql('toxic')} b ON a.config_name = b.config_name"""
+
+
+def history_sql() -> str:
+    src = "(SELECT day, error AS score, label FROM ev_ffill WHERE split = 'b')"
+    return f"(SELECT day + 1 AS epoch, auroc, auprc FROM {rank_metrics_sql(src, ['day'])})"
+
+
+def sql_history() -> str:
+    return with_(ctes_ffill(), f"SELECT epoch, {r6('auroc')} AS auroc, {r6('auprc')} AS auprc FROM {history_sql()}")
+
+
+def sql_early_stopping(patience: int = 3) -> str:
+    return with_(ctes_ffill() + [
+        f"h AS {history_sql()}",
+        """i AS (SELECT *, (max((auprc, auroc)) OVER (ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+                 AS prev FROM h)""",
+        "j AS (SELECT *, prev IS NULL OR (auprc, auroc) > prev AS improved FROM i)",
+        "k AS (SELECT *, epoch - max(CASE WHEN improved THEN epoch END) OVER (ORDER BY epoch) AS since FROM j)",
+        f"st AS (SELECT coalesce(min(CASE WHEN since >= {patience} THEN epoch END), max(epoch)) AS stop_epoch FROM k)"],
+        f"""SELECT st.stop_epoch, max(k.epoch) AS best_epoch, {r6('arg_max(k.auprc, k.epoch)')} AS best_auprc,
+            {r6('arg_max(k.auroc, k.epoch)')} AS best_auroc
+            FROM k, st WHERE k.improved AND k.epoch <= st.stop_epoch GROUP BY st.stop_epoch""")
+
+
+def sql_split_counts() -> str:
+    return with_(ctes_grid(), """SELECT split, CAST(count(*) AS BIGINT) AS n_total, CAST(count(label) AS BIGINT) AS n_labelled
+        FROM (SELECT DISTINCT user_id, split, label FROM ev_grid) GROUP BY split""")
+
+
+# ------------------------------------------------------------------ profile (E1–E9) on train rows of the clean grid
+def sql_column_profile() -> str:
+    parts = []
+    types = {c: "double" for c in FEATURES}
+    types.update({"user_id": "bigint", "day": "bigint", "label": "int"})
+    cols = ["user_id", "day", *FEATURES, "label"]
+    for c in cols:
+        parts.append(f"""SELECT '{c}' AS "column", '{types[c]}' AS dtype, CAST(count({c}) AS BIGINT) AS non_null,
+            CAST(count(*) - count({c}) AS BIGINT) AS missing, {r6(f'(count(*) - count({c})) * 100.0 / count(*)')} AS missing_pct,
+            CAST(count(DISTINCT {c}) AS BIGINT) AS n_unique, {r6(f'min({c})')} AS min,
+            {r6(f'quantile_cont({c}, 0.25)')} AS q25, {r6(f'quantile_cont({c}, 0.5)')} AS median,
+            {r6(f'quantile_cont({c}, 0.75)')} AS q75, {r6(f'max({c})')} AS max, {r6(f'avg({c})')} AS mean,
+            {r6(f'stddev_samp({c})')} AS std FROM tr""")
+    return with_(ctes_grid() + ["tr AS (SELECT user_id, day, " + ", ".join(FEATURES) + ", label FROM ev_clean WHERE split = 'a')"],
+                 "\nUNION ALL\n".join(parts))
+
+
+def _train() -> list[str]:
+    return ctes_grid() + ["tr AS (SELECT * FROM ev_clean WHERE split = 'a')"]
+
+
+def sql_value_counts() -> str:
+    return with_(_train(), f"SELECT {r6('building')} AS value, CAST(count(*) AS BIGINT) AS count FROM tr GROUP BY building")
+
+
+def histogram_sql(expr: str, where: str, bins: int = 40) -> str:
+    return f"""v AS (SELECT {expr} AS x FROM tr WHERE {where}),
+    rg AS (SELECT CASE WHEN min(x) = max(x) THEN min(x) - 0.5 ELSE min(x) END AS lo,
+                  CASE WHEN min(x) = max(x) THEN max(x) + 0.5 ELSE max(x) END AS hi FROM v HAVING count(*) > 0),
+    cnt AS (SELECT CAST(least(floor((x - lo) / (hi - lo) * {bins}.0), {bins - 1}) AS INTEGER) AS bin, count(*) AS n
+            FROM v, rg GROUP BY 1)"""
+
+
+def sql_histogram(col: str = "view", log10: bool = False) -> str:
+    expr, where = (f"log10({col})", f"{col} > 0") if log10 else (col, f"{col} IS NOT NULL")
+    return with_(_train() + [histogram_sql(expr, where)],
+                 f"""SELECT CAST(b.bin AS INTEGER) AS bin, {r6('lo + b.bin * (hi - lo) / 40.0')} AS bin_start,
+                 {r6('lo + (b.bin + 1) * (hi - lo) / 40.0')} AS bin_end, CAST(coalesce(cnt.n, 0) AS BIGINT) AS count
+                 FROM rg CROSS JOIN range(40) b(bin) LEFT JOIN cnt ON cnt.bin = b.bin""")
+
+
+def sql_log_histogram() -> str:
+    return sql_histogram("purchase", True)
+
+
+def sql_box_stats(col: str = "click") -> str:
+    return with_(_train() + [f"q AS (SELECT quantile_cont({col}, 0.25) AS q1, quantile_cont({col}, 0.5) AS med, "
+                             f"quantile_cont({col}, 0.75) AS q3 FROM tr)"],
+                 f"""SELECT {r6('q1')} AS q1, {r6('med')} AS median, {r6('q3')} AS q3,
+                 {r6(f'min(CASE WHEN {col} >= q1 - 1.5 * (q3 - q1) THEN {col} END)')} AS whisker_low,
+                 {r6(f'max(CASE WHEN {col} <= q3 + 1.5 * (q3 - q1) THEN {col} END)')} AS whisker_high,
+                 CAST(sum(CASE WHEN {col} < q1 - 1.5 * (q3 - q1) OR {col} > q3 + 1.5 * (q3 - q1) THEN 1 ELSE 0 END) AS BIGINT)
+                   AS n_outliers FROM tr, q WHERE {col} IS NOT NULL GROUP BY q1, med, q3""")
+
+
+def sql_time_profile(col: str = "error") -> str:
+    return with_(_train(), f"""SELECT day, {r6(f'avg({col})')} AS mean, {r6(f'quantile_cont({col}, 0.5)')} AS median,
+        {r6(f'quantile_cont({col}, 0.25)')} AS q25, {r6(f'quantile_cont({col}, 0.75)')} AS q75,
+        CAST(count({col}) AS BIGINT) AS n_obs FROM tr GROUP BY day""")
+
+
+def ahash(seed: int, c: str) -> str:
+    return f"(({c} * 2654435761 + {seed * 97}) % 1000003 + 1000003) % 1000003"
+
+
+def sql_random_trajectories(col: str = "signup", n: int = 10, seed: int = 42) -> str:
+    cols = ", ".join(r6(c) + " AS " + c for c in FEATURES)
+    return with_(_train() + [f"ids AS (SELECT DISTINCT user_id FROM tr WHERE {col} IS NOT NULL)",
+                             f"pick AS (SELECT user_id FROM ids ORDER BY {ahash(seed, 'user_id')}, user_id LIMIT {n})"],
+                 f"SELECT user_id, day, {cols}, label, split FROM tr WHERE user_id IN (SELECT user_id FROM pick)")
+
+
+def sql_shape() -> str:
+    cols = ", ".join(["user_id", "day", *FEATURES, "label", "split"])
+    return with_(_train(), f"SELECT CAST(count(*) AS BIGINT) AS n_rows, {len(FEATURES) + 4} AS n_cols, "
+                           f"'{cols}' AS columns FROM tr")
+
+
+# ------------------------------------------------------------------ sampling
+def sql_labelled_features() -> str:
+    names = feature_names()
+    outer = ", ".join(f"{r6(clean_num(n))} AS {n}" for n in names)
+    return with_(ctes_ffill() + [f"feat AS ({feat_stats_sql('ev_ffill')})"],
+                 f"SELECT user_id, {outer}, label, {split_expr('user_id')} AS split FROM feat WHERE label IS NOT NULL")
+
+
+def sql_budget_subsets(budgets=(100, 500, 1000), seed: int = 42) -> str:
+    parts = ["SELECT 'full' AS budget, doc_id FROM (SELECT DISTINCT doc_id FROM documents)"]
+    for b in budgets:
+        parts.append(f"SELECT '{b}' AS budget, doc_id FROM (SELECT doc_id FROM (SELECT DISTINCT doc_id FROM documents) "
+                     f"ORDER BY {ahash(seed * 1000 + b, 'doc_id')}, doc_id LIMIT {b})")
+    return "\nUNION ALL\n".join(parts)
+
+
+def sql_stratified(n: int = 3, seed: int = 42) -> str:
+    parts = []
+    for k, c in enumerate((1, 0)):
+        parts.append(f"SELECT * FROM (SELECT doc_id, quality, toxic, {k} AS class_order FROM labels WHERE quality = {c} "
+                     f"ORDER BY {ahash(seed, 'doc_id')}, doc_id LIMIT {n})")
+    return "\nUNION ALL\n".join(parts)
+
+
+def sql_distinct_ids() -> str:
+    return "SELECT DISTINCT user_id FROM events"
