@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 import oracles as O
 from hourglass.functions import metrics
-from hourglass.operators import features, grid, prep, profile, sampling, sequences, tokens
+from hourglass.operators import features, grid, prep, profile, sampling, sequences, tokens, vectors
 from hourglass.plans import evaluation, panel
 from hourglass.sources import tables
 from hourglass.session import configure
@@ -231,6 +231,79 @@ def q_distinct_ids(spark, sf):
     return sampling.distinct_ids(tables.table(spark, sf, "events"), "user_id")
 
 
+# ------------------------------------------------------------------ vectors
+def _emb(spark, sf):
+    return tables.table(spark, sf, "embeddings")
+
+
+def q_l2_normalize(spark, sf):
+    return _emb(spark, sf).select("vec_id", vectors.l2_normalize("embedding").alias("embedding"), "label")
+
+
+def q_extract_embeddings(spark, sf):
+    return vectors.extract_embeddings(q_fixed_sequences(spark, sf), "user_id", "seq", "label")
+
+
+def q_channel_mean(spark, sf):
+    ch = panel.events_channels(spark, sf)
+    st = sequences.static_row(panel.events_ffill(spark, sf), SPEC)
+    return vectors.channel_mean(ch, "user_id", statics=st, static_cols=list(SPEC.static))
+
+
+def q_channel_weighted(spark, sf):
+    return vectors.channel_weighted(panel.events_channels(spark, sf), "user_id", O.CHANNEL_WEIGHTS)
+
+
+def q_silhouette(spark, sf):
+    return vectors.silhouette(_emb(spark, sf), "embedding", "label")
+
+
+def q_davies_bouldin(spark, sf):
+    return vectors.davies_bouldin(_emb(spark, sf), "embedding", "label")
+
+
+def _sign_cluster():
+    e = F.col("embedding")
+    return (e[0] > 0).cast("int") + F.lit(2) * (e[1] > 0).cast("int")
+
+
+def q_contingency(spark, sf):
+    return vectors.contingency_scores(_emb(spark, sf).select("label", _sign_cluster().alias("cluster")),
+                                      "label", "cluster")
+
+
+def q_random_projection(spark, sf):
+    return vectors.random_projection(_emb(spark, sf), 64, seed=42).select("vec_id", "label", "projection")
+
+
+def _views(spark, sf):
+    e = vectors.as_double_array("embedding")
+    v = _emb(spark, sf).select("vec_id", "label", vectors.l2_normalize(F.slice(e, 1, 32)).alias("z1"),
+                               vectors.l2_normalize(F.slice(e, 33, 32)).alias("z2"))
+    return vectors.assign_batches(v, "vec_id", 64)
+
+
+def q_contrastive_batches(spark, sf):
+    return vectors.batch_statistics(_views(spark, sf), "z1", "z2", tau=0.1)
+
+
+def q_contrastive_dataset(spark, sf):
+    return vectors.dataset_contrastive(vectors.batch_statistics(_views(spark, sf), "z1", "z2", tau=0.1))
+
+
+def q_kmeans_report(spark, sf):
+    """V5 + V13: K-Means (k = 2, 10 seeded restarts) scored against the binary label (label < 5):
+    ARI, NMI and cluster counts from the contingency table, plus the squared-Euclidean silhouette."""
+    km = vectors.kmeans_restarts(_emb(spark, sf), "embedding", k=2, n_init=10, seed=42)
+    km = km.withColumn("binary", (F.col("label") < 5).cast("int"))
+    sil = vectors.silhouette(km, "embedding", "cluster").first()["silhouette"]
+    return vectors.contingency_scores(km, "binary", "cluster").withColumn("silhouette", F.lit(sil))
+
+
+def q_pca(spark, sf):
+    return vectors.pca_2d(_emb(spark, sf), "embedding", 2).select("vec_id", "label", "projection")
+
+
 _QUERIES = {
     "events_grid": q_events_grid,
     "events_clean": q_events_clean,
@@ -274,6 +347,18 @@ _QUERIES = {
     "budget_subsets": q_budget_subsets,
     "stratified": q_stratified,
     "distinct_ids": q_distinct_ids,
+    "l2_normalize": q_l2_normalize,
+    "extract_embeddings": q_extract_embeddings,
+    "channel_mean": q_channel_mean,
+    "channel_weighted": q_channel_weighted,
+    "silhouette": q_silhouette,
+    "davies_bouldin": q_davies_bouldin,
+    "contingency": q_contingency,
+    "random_projection": q_random_projection,
+    "contrastive_batches": q_contrastive_batches,
+    "contrastive_dataset": q_contrastive_dataset,
+    "kmeans_report": q_kmeans_report,
+    "pca": q_pca,
 }
 
 _ORACLES = {
@@ -319,6 +404,16 @@ _ORACLES = {
     "budget_subsets": O.sql_budget_subsets,
     "stratified": O.sql_stratified,
     "distinct_ids": O.sql_distinct_ids,
+    "l2_normalize": O.sql_l2_normalize,
+    "extract_embeddings": O.sql_extract_embeddings,
+    "channel_mean": O.sql_channel_mean,
+    "channel_weighted": O.sql_channel_weighted,
+    "silhouette": O.sql_silhouette,
+    "davies_bouldin": O.sql_davies_bouldin,
+    "contingency": O.sql_contingency,
+    "random_projection": O.sql_random_projection,
+    "contrastive_batches": O.sql_contrastive_batches,
+    "contrastive_dataset": O.sql_contrastive_dataset,
 }
 
 

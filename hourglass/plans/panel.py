@@ -63,3 +63,10 @@ def events_tokens(spark: SparkSession, sf_dir: str, one_hot: bool = True) -> Dat
     clean = events_clean(spark, sf_dir)
     params = prep.params_dict(tokens.fit_value_scaler(clean, EVENTS_SPEC))
     return tokens.tokenise(clean, EVENTS_SPEC, params, one_hot=one_hot)
+
+
+def events_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per (user, event type) the forward-filled daily series — the per-channel embedding table."""
+    from hourglass.operators import sequences
+    return sequences.variable_series(events_ffill(spark, sf_dir), EVENTS_SPEC).withColumnRenamed("variable", "var") \
+        .withColumnRenamed("series", "embedding")

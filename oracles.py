@@ -574,3 +574,129 @@ def sql_stratified(n: int = 3, seed: int = 42) -> str:
 
 def sql_distinct_ids() -> str:
     return "SELECT DISTINCT user_id FROM events"
+
+
+# ------------------------------------------------------------------ vectors
+def dbl(e: str = "embedding") -> str:
+    return f"CAST({e} AS DOUBLE[])"
+
+
+def l2n(e: str) -> str:
+    return (f"list_transform({e}, lambda x: x / greatest(sqrt(list_sum(list_transform({e}, lambda y: y * y))), 1e-12))")
+
+
+def sql_l2_normalize() -> str:
+    return f"SELECT vec_id, {lst6(l2n(dbl()))} AS embedding, label FROM embeddings"
+
+
+def sql_extract_embeddings() -> str:
+    w = "exp(2.0 * CAST(day AS DOUBLE) / 30.0)"
+    rec = "[" + ", ".join(f"sum({w} * {c}) / sum({w})" for c in FEATURES) + "]"
+    return with_(ctes_linear(), f"SELECT user_id, arg_min(label, day) AS label, {lst6(rec)} AS embedding "
+                                f"FROM ev_linear GROUP BY user_id")
+
+
+CHANNEL_WEIGHTS = {"click": 0.5, "error": 1.0, "purchase": 2.0, "signup": -1.0, "view": 0.0}
+
+
+def sql_channel_mean() -> str:
+    m = "(" + " + ".join(EVENT_TYPES) + f") / {float(len(EVENT_TYPES))}"
+    return with_(ctes_ffill(), f"""SELECT user_id, {lst6(f'list_concat(list({m} ORDER BY day), '
+                                 f'[arg_min(acctbal, day), arg_min(building, day), arg_min(nation, day)])')} AS embedding
+        FROM ev_ffill GROUP BY user_id""")
+
+
+def sql_channel_weighted() -> str:
+    import math
+    mx = max(CHANNEL_WEIGHTS.values())
+    z = sum(math.exp(w - mx) for w in CHANNEL_WEIGHTS.values())
+    terms = " + ".join(f"{math.exp(w - mx) / z!r} * {c}" for c, w in CHANNEL_WEIGHTS.items())
+    return with_(ctes_ffill(), f"SELECT user_id, {lst6(f'list(({terms}) ORDER BY day)')} AS embedding "
+                               f"FROM ev_ffill GROUP BY user_id")
+
+
+def sql_silhouette() -> str:
+    d2 = "list_sum(list_transform(list_zip(a.e, b.e), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+    return f"""WITH v AS (SELECT vec_id, label, {dbl()} AS e FROM embeddings),
+        pd AS (SELECT a.vec_id, a.label AS la, b.label AS lb, {d2} AS d FROM v a JOIN v b ON a.vec_id <> b.vec_id),
+        per AS (SELECT vec_id, la, lb, avg(d) AS m FROM pd GROUP BY vec_id, la, lb),
+        ab AS (SELECT vec_id, max(CASE WHEN la = lb THEN m END) AS a, min(CASE WHEN la <> lb THEN m END) AS b
+               FROM per GROUP BY vec_id),
+        allv AS (SELECT v.vec_id, ab.a, ab.b FROM v LEFT JOIN ab ON v.vec_id = ab.vec_id)
+        SELECT {r6('avg(CASE WHEN a IS NULL OR b IS NULL THEN 0.0 WHEN greatest(a, b) > 0 THEN (b - a) / greatest(a, b) ELSE 0.0 END)')}
+          AS silhouette FROM allv"""
+
+
+def sql_davies_bouldin() -> str:
+    return f"""WITH v AS (SELECT vec_id, label, {dbl()} AS e FROM embeddings),
+        x AS (SELECT label, u.i, u.x FROM v, unnest(e) WITH ORDINALITY AS u(x, i)),
+        c AS (SELECT label, list(avg_x ORDER BY i) AS ce FROM (SELECT label, i, avg(x) AS avg_x FROM x GROUP BY label, i)
+              GROUP BY label),
+        s AS (SELECT v.label, avg(sqrt(list_sum(list_transform(list_zip(v.e, c.ce), lambda p: (p[1] - p[2]) * (p[1] - p[2])))))
+              AS sc FROM v JOIN c ON v.label = c.label GROUP BY v.label),
+        r AS (SELECT a.label, max((sa.sc + sb.sc) /
+                 sqrt(list_sum(list_transform(list_zip(a.ce, b.ce), lambda p: (p[1] - p[2]) * (p[1] - p[2]))))) AS m
+              FROM c a JOIN c b ON a.label <> b.label JOIN s sa ON sa.label = a.label JOIN s sb ON sb.label = b.label
+              GROUP BY a.label)
+        SELECT {r6('avg(m)')} AS davies_bouldin FROM r"""
+
+
+def sign_cluster_sql() -> str:
+    return "(CAST(embedding[1] > 0 AS INTEGER) + 2 * CAST(embedding[2] > 0 AS INTEGER))"
+
+
+def sql_contingency() -> str:
+    return f"""WITH t AS (SELECT label AS a, {sign_cluster_sql()} AS b FROM embeddings),
+        ct AS (SELECT a, b, CAST(count(*) AS DOUBLE) AS nij FROM t GROUP BY a, b),
+        ra AS (SELECT a, sum(nij) AS ai FROM ct GROUP BY a), rb AS (SELECT b, sum(nij) AS bj FROM ct GROUP BY b),
+        tot AS (SELECT sum(nij) AS n, sum(nij * (nij - 1) / 2) AS sij FROM ct),
+        sa AS (SELECT sum(ai * (ai - 1) / 2) AS sa, -sum(ai / (SELECT n FROM tot) * ln(ai / (SELECT n FROM tot))) AS ha,
+               count(*) AS ka FROM ra),
+        sb AS (SELECT sum(bj * (bj - 1) / 2) AS sb, -sum(bj / (SELECT n FROM tot) * ln(bj / (SELECT n FROM tot))) AS hb,
+               count(*) AS kb FROM rb),
+        mi AS (SELECT sum(nij / n * ln(n * nij / (ai * bj))) AS mi FROM ct JOIN ra USING (a) JOIN rb USING (b), tot),
+        z AS (SELECT *, sa * sb / (n * (n - 1) / 2) AS ex, (sa + sb) / 2 AS mx FROM tot, sa, sb, mi)
+        SELECT {r6('CASE WHEN mx = ex THEN 1.0 ELSE (sij - ex) / (mx - ex) END')} AS ari,
+               {r6('CASE WHEN ha = 0 AND hb = 0 THEN 1.0 WHEN ha = 0 OR hb = 0 THEN 0.0 ELSE mi / ((ha + hb) / 2) END')} AS nmi,
+               CAST(ka AS BIGINT) AS n_clusters_a, CAST(kb AS BIGINT) AS n_clusters_b FROM z"""
+
+
+def sql_random_projection(dim: int = 64, seed: int = 42) -> str:
+    import numpy as np
+    w = np.random.default_rng(seed).standard_normal((dim, 2))
+    cols = [f"list_dot_product({dbl()}, [{', '.join(repr(float(x)) for x in w[:, j])}]::DOUBLE[])" for j in range(2)]
+    return f"SELECT vec_id, label, {lst6('[' + ', '.join(cols) + ']')} AS projection FROM embeddings"
+
+
+def contrastive_ctes(batch: int = 64, tau: float = 0.1) -> list[str]:
+    dotp = "list_sum(list_transform(list_zip(a.z1, b.{v}), lambda p: p[1] * p[2]))"
+    return [
+        f"""zz AS (SELECT vec_id, label, {l2n(f'{dbl()}[1:32]')} AS z1, {l2n(f'{dbl()}[33:64]')} AS z2,
+               CAST(floor((row_number() OVER (ORDER BY vec_id) - 1) / {batch}) AS BIGINT) AS batch_id FROM embeddings)""",
+        f"""pr AS (SELECT a.batch_id, a.vec_id AS i, b.vec_id AS j, {dotp.format(v='z2')} / {tau} AS l12,
+               {dotp.format(v='z1')} AS c11,
+               list_sum(list_transform(list_zip(a.z1, b.z1), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d11
+             FROM zz a JOIN zz b ON a.batch_id = b.batch_id)""",
+        """rowce AS (SELECT batch_id, i, ln(sum(exp(l12))) - max(CASE WHEN i = j THEN l12 END) AS ce FROM pr GROUP BY batch_id, i)""",
+        """colce AS (SELECT batch_id, j, ln(sum(exp(l12))) - max(CASE WHEN i = j THEN l12 END) AS ce FROM pr GROUP BY batch_id, j)""",
+        """bs AS (SELECT p.batch_id, CAST(count(DISTINCT p.i) AS BIGINT) AS n,
+               ln(avg(exp(-2.0 * greatest(CASE WHEN i = j THEN 0.0 ELSE d11 END, 0.0)))) AS uniformity,
+               avg(CASE WHEN i <> j THEN c11 END) AS collapse FROM pr p GROUP BY p.batch_id)""",
+        """al AS (SELECT batch_id, avg(list_sum(list_transform(list_zip(z1, z2), lambda p: (p[1] - p[2]) * (p[1] - p[2]))))
+               AS alignment FROM zz GROUP BY batch_id)""",
+        """bt AS (SELECT bs.batch_id, bs.n, 0.5 * (r.ce + c.ce) AS infonce, al.alignment, bs.uniformity, bs.collapse
+             FROM bs JOIN (SELECT batch_id, avg(ce) AS ce FROM rowce GROUP BY batch_id) r USING (batch_id)
+                     JOIN (SELECT batch_id, avg(ce) AS ce FROM colce GROUP BY batch_id) c USING (batch_id)
+                     JOIN al USING (batch_id))""",
+    ]
+
+
+def sql_contrastive_batches() -> str:
+    return with_(contrastive_ctes(), f"""SELECT batch_id, n, {r6('infonce')} AS infonce, {r6('alignment')} AS alignment,
+        {r6('uniformity')} AS uniformity, {r6('collapse')} AS collapse FROM bt""")
+
+
+def sql_contrastive_dataset() -> str:
+    return with_(contrastive_ctes(), f"""SELECT {r6('avg(CASE WHEN n >= 2 THEN infonce END)')} AS infonce,
+        {r6('avg(alignment)')} AS alignment, {r6('avg(uniformity)')} AS uniformity,
+        {r6('avg(CASE WHEN n >= 2 THEN collapse END)')} AS collapse, CAST(count(*) AS BIGINT) AS n_batches FROM bt""")
