@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 import oracles as O
 from hourglass.functions import metrics
-from hourglass.operators import features, grid, prep, profile, sampling, sequences, tokens, vectors
+from hourglass.operators import features, grid, prep, profile, prompts, sampling, sequences, tokens, vectors
 from hourglass.plans import evaluation, panel
 from hourglass.sources import tables
 from hourglass.session import configure
@@ -304,6 +304,41 @@ def q_pca(spark, sf):
     return vectors.pca_2d(_emb(spark, sf), "embedding", 2).select("vec_id", "label", "projection")
 
 
+# ------------------------------------------------------------------ larger panel (lineitem)
+def q_lineitem_features(spark, sf):
+    return panel.lineitem_features(spark, sf)
+
+
+# ------------------------------------------------------------------ prompts and answers
+def q_patient_blocks(spark, sf):
+    return evaluation.events_blocks(spark, sf, "c")
+
+
+def q_zero_shot_prompts(spark, sf):
+    return prompts.zero_shot_prompt(evaluation.events_blocks(spark, sf, "c"), "binary")
+
+
+def q_few_shot_examples(spark, sf):
+    return evaluation.events_examples(spark, sf, "binary")
+
+
+def q_few_shot_prompts(spark, sf):
+    ex = evaluation.events_examples(spark, sf, "scale").first()["examples"]
+    return prompts.few_shot_prompt(evaluation.events_blocks(spark, sf, "c"), ex, "scale")
+
+
+def q_model_answers(spark, sf):
+    return evaluation.events_answers(spark, sf, "binary", "zero")
+
+
+def q_llm_eval_binary(spark, sf):
+    return prompts.evaluate_answers(evaluation.events_answers(spark, sf, "binary", "few"), "label", "binary")
+
+
+def q_llm_eval_scale(spark, sf):
+    return prompts.evaluate_answers(evaluation.events_answers(spark, sf, "scale", "zero"), "label", "scale")
+
+
 _QUERIES = {
     "events_grid": q_events_grid,
     "events_clean": q_events_clean,
@@ -359,6 +394,14 @@ _QUERIES = {
     "contrastive_dataset": q_contrastive_dataset,
     "kmeans_report": q_kmeans_report,
     "pca": q_pca,
+    "lineitem_features": q_lineitem_features,
+    "patient_blocks": q_patient_blocks,
+    "zero_shot_prompts": q_zero_shot_prompts,
+    "few_shot_examples": q_few_shot_examples,
+    "few_shot_prompts": q_few_shot_prompts,
+    "model_answers": q_model_answers,
+    "llm_eval_binary": q_llm_eval_binary,
+    "llm_eval_scale": q_llm_eval_scale,
 }
 
 _ORACLES = {
@@ -414,6 +457,14 @@ _ORACLES = {
     "random_projection": O.sql_random_projection,
     "contrastive_batches": O.sql_contrastive_batches,
     "contrastive_dataset": O.sql_contrastive_dataset,
+    "lineitem_features": O.sql_lineitem_features,
+    "patient_blocks": O.sql_patient_blocks,
+    "zero_shot_prompts": O.sql_zero_shot_prompts,
+    "few_shot_examples": O.sql_few_shot_examples,
+    "few_shot_prompts": O.sql_few_shot_prompts,
+    "model_answers": O.sql_model_answers,
+    "llm_eval_binary": O.sql_llm_eval_binary,
+    "llm_eval_scale": O.sql_llm_eval_scale,
 }
 
 

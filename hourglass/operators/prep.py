@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourglass.functions.exprs import binary01, finite_or_zero, in_range, safe_log1p
+from hourglass.session import reuse
 from hourglass.spec import PanelSpec
 
 
@@ -165,7 +166,7 @@ def process_splits(grid: DataFrame, spec: PanelSpec, method: str = "exact"):
     Returns ``(ffill, linear, defaults, scaler)``. The two fits are the only driver round trips,
     each one row per feature.
     """
-    clean = clean_ranges(grid, spec)
+    clean = reuse(clean_ranges(grid, spec))
     defaults = fit_fill_defaults(clean, spec)
     ffill = forward_fill(clean, spec, params_dict(defaults))
     scaler = fit_linear(ffill, spec, method)

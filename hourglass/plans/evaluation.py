@@ -73,3 +73,41 @@ def scale_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     labs = tables.table(spark, sf_dir, "labels")
     s = F.least(F.lit(10), F.lit(1) + F.floor(F.col("n_chars") / 1000).cast("int"))
     return docs.join(labs, "doc_id").select("doc_id", s.alias("score"), F.col("quality").alias("label"))
+
+
+# ------------------------------------------------------------------ prompts over the events panel
+def events_prompt_spec():
+    from hourglass.operators.prompts import PromptSpec
+
+    return PromptSpec(static_lines=(("acctbal", "number", "Account balance", 2, "", None),
+                                    ("building", "binary", "Segment", None, "", ("Building", "Other")),
+                                    ("nation", "number", "Nation", 0, "", None)),
+                      flag_lines=())
+
+
+def events_blocks(spark: SparkSession, sf_dir: str, split: str = "c") -> DataFrame:
+    from hourglass.operators.prompts import patient_blocks
+    from hourglass.plans import panel
+    from hourglass.sources.tables import EVENTS_SPEC
+
+    clean = panel.events_clean(spark, sf_dir).where(F.col("split") == split)
+    return patient_blocks(clean, EVENTS_SPEC, events_prompt_spec())
+
+
+def events_examples(spark: SparkSession, sf_dir: str, mode: str = "binary") -> DataFrame:
+    from hourglass.operators.prompts import few_shot_examples
+
+    b = events_blocks(spark, sf_dir, "a").where(F.col("label").isNotNull())
+    return few_shot_examples(b, "label", 3, 42, mode, "user_id")
+
+
+def events_answers(spark: SparkSession, sf_dir: str, mode: str = "binary", shots: str = "zero") -> DataFrame:
+    from hourglass.operators import prompts
+
+    b = events_blocks(spark, sf_dir, "c").where(F.col("label").isNotNull())
+    if shots == "zero":
+        p = prompts.zero_shot_prompt(b, mode)
+    else:
+        ex = events_examples(spark, sf_dir, mode).first()["examples"]
+        p = prompts.few_shot_prompt(b, ex, mode)
+    return prompts.call_model(p, prompts.rule_client_factory(mode), "user_id", "label", 3, mode)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from hourglass.operators import features, grid, prep
+from hourglass.session import reuse
 from hourglass.sources import tables
 from hourglass.sources.tables import EVENTS_SPEC, LINEITEM_SPEC
 
@@ -23,7 +24,7 @@ def events_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events_ffill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clean = events_clean(spark, sf_dir)
+    clean = reuse(events_clean(spark, sf_dir))
     defaults = prep.fit_fill_defaults(clean, EVENTS_SPEC)
     return prep.forward_fill(clean, EVENTS_SPEC, prep.params_dict(defaults))
 
@@ -46,7 +47,7 @@ def lineitem_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lineitem_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clean = prep.clean_ranges(lineitem_grid(spark, sf_dir), LINEITEM_SPEC)
+    clean = reuse(prep.clean_ranges(lineitem_grid(spark, sf_dir), LINEITEM_SPEC))
     defaults = prep.fit_fill_defaults(clean, LINEITEM_SPEC)
     ff = prep.forward_fill(clean, LINEITEM_SPEC, prep.params_dict(defaults))
     return features.engineered(ff, LINEITEM_SPEC)
@@ -60,7 +61,7 @@ def events_token_params(spark: SparkSession, sf_dir: str) -> DataFrame:
 def events_tokens(spark: SparkSession, sf_dir: str, one_hot: bool = True) -> DataFrame:
     """Cleaned, un-imputed panel → measurement tokens with train-fitted value scaling."""
     from hourglass.operators import tokens
-    clean = events_clean(spark, sf_dir)
+    clean = reuse(events_clean(spark, sf_dir))
     params = prep.params_dict(tokens.fit_value_scaler(clean, EVENTS_SPEC))
     return tokens.tokenise(clean, EVENTS_SPEC, params, one_hot=one_hot)
 

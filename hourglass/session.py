@@ -65,3 +65,11 @@ def small_side(df: DataFrame, max_bytes: int = 64 << 20) -> DataFrame:
     from pyspark.sql import functions as F
 
     return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df
+
+
+def reuse(df: DataFrame) -> DataFrame:
+    """Keep a plan that several fits read (memory, spilling to disk); lost blocks are recomputed from
+    lineage, so an executor loss costs time, not correctness."""
+    from pyspark import StorageLevel
+
+    return df.persist(StorageLevel.MEMORY_AND_DISK)

@@ -700,3 +700,189 @@ def sql_contrastive_dataset() -> str:
     return with_(contrastive_ctes(), f"""SELECT {r6('avg(CASE WHEN n >= 2 THEN infonce END)')} AS infonce,
         {r6('avg(alignment)')} AS alignment, {r6('avg(uniformity)')} AS uniformity,
         {r6('avg(CASE WHEN n >= 2 THEN collapse END)')} AS collapse, CAST(count(*) AS BIGINT) AS n_batches FROM bt""")
+
+
+# ------------------------------------------------------------------ lineitem panel (28-day bins, l_suppkey entities)
+LI = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+LI_RANGES = {"l_quantity": (1, 50), "l_discount": (0, 0.1)}
+
+
+def sql_lineitem_features() -> str:
+    stack = " UNION ALL ".join(
+        f"SELECT l_suppkey AS id, date_diff('microsecond', TIMESTAMP '1995-01-01 00:00:00', l_shipdate) AS elapsed, "
+        f"'{m}' AS parameter, {m} AS value, l_orderkey * 8 + l_linenumber AS ord FROM lineitem" for m in LI)
+    cells = ", ".join(f"arg_max(value, ord) FILTER (WHERE parameter = '{m}') AS {m}" for m in LI)
+    def rng(m):
+        lo, hi = LI_RANGES.get(m, (None, None))
+        return f"CASE WHEN {m} >= {lo} AND {m} <= {hi} THEN {m} END" if lo is not None else m
+    fills = ", ".join(f"coalesce(quantile_cont({m}, 0.5) FILTER (WHERE split = 'a'), 0.0) AS {m}" for m in LI)
+    w = "OVER (PARTITION BY id ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    ff = ", ".join(f"coalesce(last_value({m} IGNORE NULLS) {w}, (SELECT {m} FROM fill)) AS {m}" for m in LI)
+    stats = []
+    for m in LI:
+        first, last = f"arg_min({m}, period)", f"arg_max({m}, period)"
+        slope = f"regr_slope({m}, CAST(period AS DOUBLE))"
+        ex = {"first": first, "last": last, "mean": f"avg({m})", "min": f"min({m})", "max": f"max({m})",
+              "std": f"stddev_pop({m})", "delta": f"({last} - {first})",
+              "slope": f"coalesce(CASE WHEN isnan({slope}) THEN NULL ELSE {slope} END, 0.0)"}
+        stats += [f"{r6(clean_num(ex[s]))} AS {m}_{s}" for s in STATS]
+    return f"""WITH log AS ({stack}),
+    b AS (SELECT id, CAST(ceil(elapsed / {28 * 86400000000}.0) AS BIGINT) AS period, parameter, value, ord FROM log
+          WHERE elapsed >= 0 AND value IS NOT NULL),
+    cells AS (SELECT id, period, {cells} FROM b WHERE period <= 91 GROUP BY id, period),
+    g AS (SELECT e.id, CAST(d.period AS BIGINT) AS period, {', '.join('c.' + m for m in LI)}, {split_expr('e.id')} AS split
+          FROM (SELECT DISTINCT id FROM log) e CROSS JOIN generate_series(0, 91) AS d(period)
+          LEFT JOIN cells c ON c.id = e.id AND c.period = d.period),
+    cl AS (SELECT id, period, {', '.join(rng(m) + ' AS ' + m for m in LI)}, split FROM g),
+    fill AS (SELECT {fills} FROM cl),
+    ffl AS (SELECT id, period, {ff} FROM cl)
+    SELECT id AS l_suppkey, {', '.join(stats)} FROM ffl GROUP BY id"""
+
+
+# ------------------------------------------------------------------ prompts and answers
+def sql_lit(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def sql_fill(template: str, **exprs) -> str:
+    out, rest = [], template
+    while "{" in rest:
+        i = rest.index("{")
+        j = rest.index("}", i)
+        name = rest[i + 1:j]
+        if name not in exprs:
+            out.append(sql_lit(rest[:j + 1]))
+            rest = rest[j + 1:]
+            continue
+        out.append(sql_lit(rest[:i]))
+        out.append(f"({exprs[name]})")
+        rest = rest[j + 1:]
+    out.append(sql_lit(rest))
+    return " || ".join(out)
+
+
+def ctes_blocks(split: str, name: str) -> list[str]:
+    from hourglass.operators.prompts import NO_DYNAMIC, NO_STATIC
+
+    aggs = ", ".join(f"arg_min({c}, CASE WHEN {c} IS NOT NULL THEN day END) AS s_{c}" for c in STATIC)
+    aggs += ", " + ", ".join(f"min({c}) AS mn_{c}, max({c}) AS mx_{c}" for c in EVENT_TYPES)
+    s_lines = [
+        "CASE WHEN s_acctbal IS NOT NULL THEN '  - Account balance: ' || printf('%.2f', s_acctbal) END",
+        "CASE WHEN s_building IS NOT NULL THEN '  - Segment: ' || CASE WHEN s_building = 1 THEN 'Building' ELSE 'Other' END END",
+        "CASE WHEN s_nation IS NOT NULL THEN '  - Nation: ' || printf('%.0f', s_nation) END"]
+    d_lines = [f"CASE WHEN mn_{c} IS NOT NULL THEN '  - {c}: min=' || printf('%.2f', mn_{c}) || ', max=' || "
+               f"printf('%.2f', mx_{c}) END" for c in EVENT_TYPES]
+    return [
+        f"{name}_a AS (SELECT user_id, {aggs}, arg_min(label, day) AS label FROM ev_clean WHERE split = '{split}' GROUP BY user_id)",
+        f"""{name}_b AS (SELECT user_id, coalesce(concat_ws(chr(10), {', '.join(s_lines)}), '') AS sb,
+            coalesce(concat_ws(chr(10), {', '.join(d_lines)}), '') AS db, label FROM {name}_a)""",
+        f"""{name} AS (SELECT user_id, CASE WHEN sb = '' THEN {sql_lit(NO_STATIC)} ELSE sb END AS static_block,
+            CASE WHEN db = '' THEN {sql_lit(NO_DYNAMIC)} ELSE db END AS dynamic_block, label FROM {name}_b)"""]
+
+
+def sql_patient_blocks() -> str:
+    return with_(ctes_grid() + ctes_blocks("c", "blk"), "SELECT * FROM blk")
+
+
+def prompt_sql(mode: str, shots: str, examples: str | None = None) -> str:
+    from hourglass.operators import prompts as P
+
+    intro, instr = (P.BINARY_INTRO, P.BINARY_INSTRUCTIONS) if mode == "binary" else (P.SCALE_INTRO, P.SCALE_INSTRUCTIONS)
+    if shots == "zero":
+        return sql_fill(intro + P.ZERO_SHOT_BODY + instr, static_block="static_block", dynamic_block="dynamic_block")
+    return sql_fill(intro + P.FEW_SHOT_BODY + instr, static_block="static_block", dynamic_block="dynamic_block",
+                    examples=examples)
+
+
+def sql_zero_shot_prompts() -> str:
+    return with_(ctes_grid() + ctes_blocks("c", "blk"), f"SELECT *, {prompt_sql('binary', 'zero')} AS prompt FROM blk")
+
+
+def examples_cte(mode: str) -> list[str]:
+    from hourglass.operators import prompts as P
+
+    tgt = P.BINARY_TARGETS if mode == "binary" else P.SCALE_TARGETS
+    pred = (f"""'{{"prediction": "' || CASE WHEN label = 1 THEN '{tgt[1]}' ELSE '{tgt[0]}' END || '"}}'"""
+            if mode == "binary" else
+            f"""'{{"prediction": ' || CASE WHEN label = 1 THEN '{tgt[1]}' ELSE '{tgt[0]}' END || '}}'""")
+    text = sql_fill(P.EXAMPLE_BLOCK, static_block="static_block", dynamic_block="dynamic_block", prediction=pred)
+    picks = []
+    for k, c in enumerate((1, 0)):
+        picks.append(f"SELECT * FROM (SELECT *, {k} AS class_order, {ahash(42, 'user_id')} AS h FROM exb "
+                     f"WHERE label = {c} ORDER BY h, user_id LIMIT 3)")
+    return ctes_blocks("a", "exb") + [
+        f"pick AS ({' UNION ALL '.join(picks)})",
+        f"ex AS (SELECT string_agg({text}, chr(10) ORDER BY class_order, h, user_id) AS examples FROM pick)"]
+
+
+def sql_few_shot_examples() -> str:
+    return with_(ctes_grid() + examples_cte("binary"), "SELECT examples FROM ex")
+
+
+def sql_few_shot_prompts() -> str:
+    return with_(ctes_grid() + ctes_blocks("c", "blk") + examples_cte("scale"),
+                 f"SELECT blk.*, {prompt_sql('scale', 'few', 'ex.examples')} AS prompt FROM blk, ex")
+
+
+def client_sql(mode: str) -> str:
+    if mode == "binary":
+        return """CASE WHEN contains(prompt, 'Segment: Building') THEN 'Sure. {"prediction": " Dead "} hope this helps'
+                  WHEN contains(prompt, '  - error: ') THEN '{"prediction": "alive"}' ELSE 'no json here' END"""
+    return """CASE WHEN contains(prompt, 'Segment: Building') THEN '{"prediction": "9"}'
+              WHEN contains(prompt, '  - error: ') THEN '{"prediction": 3}' ELSE '{"prediction": 11}' END"""
+
+
+def parse_sql(mode: str) -> str:
+    j = "(CASE WHEN regexp_extract(trim(response), '(?s)\\{.*?\\}', 0) <> '' THEN regexp_extract(trim(response), '(?s)\\{.*?\\}', 0) ELSE trim(response) END)"
+    typ = f"(CASE WHEN json_valid({j}) THEN json_type({j}, '$.prediction') END)"
+    val = f"(CASE WHEN json_valid({j}) THEN json_extract_string({j}, '$.prediction') END)"
+    if mode == "binary":
+        v = f"lower(trim({val}))"
+        return f"CASE WHEN {typ} = 'VARCHAR' AND {v} IN ('alive', 'dead') THEN {v} END"
+    s = f"trim({val})"
+    iv = (f"CASE WHEN {typ} = 'VARCHAR' AND regexp_matches({s}, '^[0-9]+$') THEN TRY_CAST({s} AS INTEGER) "
+          f"WHEN {typ} IN ('UBIGINT', 'BIGINT', 'DOUBLE') AND regexp_matches({val}, '^-?[0-9]+(\\.0+)?$') "
+          f"THEN TRY_CAST(TRY_CAST({val} AS DOUBLE) AS INTEGER) END")
+    return f"CASE WHEN ({iv}) BETWEEN 1 AND 10 THEN ({iv}) END"
+
+
+def answers_ctes(mode: str, shots: str) -> list[str]:
+    ctes = ctes_grid() + ctes_blocks("c", "blk")
+    if shots == "few":
+        ctes += examples_cte(mode)
+        p = f"SELECT blk.*, {prompt_sql(mode, 'few', 'ex.examples')} AS prompt FROM blk, ex WHERE blk.label IS NOT NULL"
+    else:
+        p = f"SELECT blk.*, {prompt_sql(mode, 'zero')} AS prompt FROM blk WHERE blk.label IS NOT NULL"
+    return ctes + [f"pr AS ({p})", f"rs AS (SELECT user_id, label, {client_sql(mode)} AS response FROM pr)",
+                   f"ans AS (SELECT user_id, label, response, {parse_sql(mode)} AS prediction FROM rs)"]
+
+
+def sql_model_answers() -> str:
+    return with_(answers_ctes("binary", "zero"), "SELECT * FROM ans")
+
+
+def sql_llm_eval_binary() -> str:
+    src = ("(SELECT label, CASE WHEN prediction = 'dead' THEN 1 WHEN prediction = 'alive' THEN 0 ELSE 1 - label END "
+           "AS pred, prediction IS NULL AS failed FROM ans)")
+    rk = rank_metrics_sql(f"(SELECT CAST(pred AS DOUBLE) AS score, label FROM {src})", [])
+    return with_(answers_ctes("binary", "few"), f"""SELECT c.*, {r6(ratio_sql('tp', 'fp'))} AS precision,
+        {r6(ratio_sql('tp', 'fn'))} AS recall, {r6(ratio_sql('tn', 'fp'))} AS specificity,
+        {r6('r.auroc')} AS auroc, {r6('r.auprc')} AS auprc,
+        (SELECT CAST(sum(CASE WHEN failed THEN 1 ELSE 0 END) AS BIGINT) FROM {src}) AS failed,
+        (SELECT CAST(count(*) AS BIGINT) FROM {src}) AS n_answers
+        FROM {conf_sql(src, [])} c, {rk} r""")
+
+
+def sql_llm_eval_scale() -> str:
+    base = ("(SELECT label, coalesce(prediction, CASE WHEN label = 1 THEN 1 ELSE 10 END) AS score, "
+            "prediction IS NULL AS failed FROM ans)")
+    hard = f"(SELECT CAST(score >= 6 AS INTEGER) AS pred, label FROM {base})"
+    rk = rank_metrics_sql(f"(SELECT CAST(pred AS DOUBLE) AS score, label FROM {hard})", [])
+    rr = rank_metrics_sql(f"(SELECT (score - 1.0) / 9.0 AS score, label FROM {base})", [], "risk_")
+    return with_(answers_ctes("scale", "zero"), f"""SELECT c.*, {r6(ratio_sql('tp', 'fp'))} AS precision,
+        {r6(ratio_sql('tp', 'fn'))} AS recall, {r6(ratio_sql('tn', 'fp'))} AS specificity,
+        {r6('r.auroc')} AS auroc, {r6('r.auprc')} AS auprc, {r6('q.risk_auroc')} AS risk_auroc,
+        {r6('q.risk_auprc')} AS risk_auprc,
+        (SELECT CAST(sum(CASE WHEN failed THEN 1 ELSE 0 END) AS BIGINT) FROM {base}) AS failed,
+        (SELECT CAST(count(*) AS BIGINT) FROM {base}) AS n_answers
+        FROM {conf_sql(hard, [])} c, {rk} r, {rr} q""")
