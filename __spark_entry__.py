@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 
 import oracles as O
 from hourglass.functions import metrics
-from hourglass.operators import features, grid, prep, profile, prompts, sampling, sequences, tokens, vectors
+from hourglass.operators import (features, grid, prep, profile, prompts, quality, sampling, sequences, tokens,
+                                 vectors)
 from hourglass.plans import evaluation, panel
 from hourglass.sources import tables
 from hourglass.session import configure
@@ -339,6 +340,35 @@ def q_llm_eval_scale(spark, sf):
     return prompts.evaluate_answers(evaluation.events_answers(spark, sf, "scale", "zero"), "label", "scale")
 
 
+# ------------------------------------------------------------------ data quality
+def q_embedding_checks(spark, sf):
+    return quality.embedding_checks(_emb(spark, sf), "embedding", "label")
+
+
+def q_embedding_verdict(spark, sf):
+    return quality.verdict(quality.embedding_checks(_emb(spark, sf), "embedding", "label"))
+
+
+def q_class_counts(spark, sf):
+    return quality.class_counts(_emb(spark, sf), "label")
+
+
+def q_id_agreement(spark, sf):
+    return quality.id_agreement(tables.table(spark, sf, "documents"), tables.table(spark, sf, "labels"), "doc_id")
+
+
+def q_panel_expectations(spark, sf):
+    return quality.panel_expectations(panel.events_grid(spark, sf), SPEC)
+
+
+def q_grid_invariants(spark, sf):
+    return grid.grid_invariants(panel.events_grid(spark, sf), SPEC)
+
+
+def q_unique_ids(spark, sf):
+    return quality.unique_ids(panel.events_features(spark, sf), "user_id")
+
+
 _QUERIES = {
     "events_grid": q_events_grid,
     "events_clean": q_events_clean,
@@ -402,6 +432,13 @@ _QUERIES = {
     "model_answers": q_model_answers,
     "llm_eval_binary": q_llm_eval_binary,
     "llm_eval_scale": q_llm_eval_scale,
+    "embedding_checks": q_embedding_checks,
+    "embedding_verdict": q_embedding_verdict,
+    "class_counts": q_class_counts,
+    "id_agreement": q_id_agreement,
+    "panel_expectations": q_panel_expectations,
+    "grid_invariants": q_grid_invariants,
+    "unique_ids": q_unique_ids,
 }
 
 _ORACLES = {
@@ -465,6 +502,13 @@ _ORACLES = {
     "model_answers": O.sql_model_answers,
     "llm_eval_binary": O.sql_llm_eval_binary,
     "llm_eval_scale": O.sql_llm_eval_scale,
+    "embedding_checks": O.sql_embedding_checks,
+    "embedding_verdict": O.sql_embedding_verdict,
+    "class_counts": O.sql_class_counts,
+    "id_agreement": O.sql_id_agreement,
+    "panel_expectations": O.sql_panel_expectations,
+    "grid_invariants": O.sql_grid_invariants,
+    "unique_ids": O.sql_unique_ids,
 }
 
 

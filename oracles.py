@@ -886,3 +886,78 @@ def sql_llm_eval_scale() -> str:
         (SELECT CAST(sum(CASE WHEN failed THEN 1 ELSE 0 END) AS BIGINT) FROM {base}) AS failed,
         (SELECT CAST(count(*) AS BIGINT) FROM {base}) AS n_answers
         FROM {conf_sql(hard, [])} c, {rk} r, {rr} q""")
+
+
+# ------------------------------------------------------------------ data quality
+def emb_checks_cte() -> list[str]:
+    return [
+        """ea AS (SELECT count(*) AS n, min(len(embedding)) AS wmin, max(len(embedding)) AS wmax,
+              coalesce(sum(len(list_filter(embedding, lambda x: isnan(x) OR isinf(x)))), 0) AS n_bad,
+              count(label) AS n_lab, count(TRY_CAST(TRY_CAST(CAST(label AS VARCHAR) AS DOUBLE) AS INTEGER)) AS n_castable
+              FROM embeddings)""",
+        """cc AS (SELECT count(*) AS n_classes, string_agg(CAST(c AS VARCHAR), ',' ORDER BY CAST(c AS VARCHAR)) AS classes,
+              sum(CASE WHEN c NOT IN (0, 1) THEN 1 ELSE 0 END) AS n_non_binary
+              FROM (SELECT DISTINCT CAST(label AS INTEGER) AS c FROM embeddings WHERE label IS NOT NULL))""",
+        """ck AS (
+        SELECT 'non_empty' AS "check", CASE WHEN n > 0 THEN 'OK' ELSE 'FAIL' END AS status, 'n=' || n AS detail FROM ea
+        UNION ALL SELECT 'uniform_width', CASE WHEN n > 0 AND wmin = wmax AND wmin > 0 THEN 'OK' ELSE 'FAIL' END,
+                  'width=' || wmin || '..' || wmax FROM ea
+        UNION ALL SELECT 'numeric', 'OK', 'array<float>'
+        UNION ALL SELECT 'finite', CASE WHEN n_bad = 0 THEN 'OK' ELSE 'FAIL' END, 'non_finite=' || n_bad FROM ea
+        UNION ALL SELECT 'labels_castable', CASE WHEN n_castable = n_lab THEN 'OK' ELSE 'FAIL' END,
+                  'castable=' || n_castable || ' of ' || n_lab FROM ea
+        UNION ALL SELECT 'count_match', CASE WHEN n_lab = n THEN 'OK' ELSE 'FAIL' END,
+                  'embeddings=' || n || ' labels=' || n_lab FROM ea
+        UNION ALL SELECT 'two_classes', CASE WHEN n_classes >= 2 THEN 'OK' ELSE 'FAIL' END, 'classes=[' || classes || ']' FROM cc
+        UNION ALL SELECT 'binary_labels', CASE WHEN n_classes = 2 AND n_non_binary = 0 THEN 'OK' ELSE 'WARN' END,
+                  'classes=[' || classes || ']' FROM cc
+        UNION ALL SELECT 'classes_vs_k', CASE WHEN n_classes >= 2 THEN 'OK' ELSE 'WARN' END, 'classes=' || n_classes || ' k=2' FROM cc
+        UNION ALL SELECT 'kmeans_feasible', CASE WHEN n >= 2 THEN 'OK' ELSE 'FAIL' END, 'n=' || n || ' k=2' FROM ea
+        UNION ALL SELECT 'tsne_feasible', CASE WHEN n > 30 THEN 'OK' ELSE 'FAIL' END, 'n=' || n || ' perplexity=30' FROM ea)""",
+    ]
+
+
+def sql_embedding_checks() -> str:
+    return with_(emb_checks_cte(), 'SELECT * FROM ck')
+
+
+def sql_embedding_verdict() -> str:
+    return with_(emb_checks_cte(), """SELECT CASE WHEN sum(CASE WHEN status = 'FAIL' THEN 1 ELSE 0 END) > 0 THEN 'FAIL' ELSE 'OK' END
+        AS verdict, CAST(sum(CASE WHEN status = 'WARN' THEN 1 ELSE 0 END) AS BIGINT) AS n_warn,
+        CAST(sum(CASE WHEN status = 'FAIL' THEN 1 ELSE 0 END) AS BIGINT) AS n_fail FROM ck""")
+
+
+def sql_class_counts() -> str:
+    return 'SELECT label AS class, CAST(count(*) AS BIGINT) AS count FROM embeddings GROUP BY label'
+
+
+def sql_id_agreement() -> str:
+    return """SELECT 'left_only' AS side, CAST(count(*) AS BIGINT) AS n_missing FROM
+                (SELECT DISTINCT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels))
+              UNION ALL
+              SELECT 'right_only', CAST(count(*) AS BIGINT) FROM
+                (SELECT DISTINCT doc_id FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents))"""
+
+
+def sql_panel_expectations() -> str:
+    return with_(ctes_grid() + [
+        "pe AS (SELECT user_id, count(*) AS k, count(DISTINCT day) AS kd FROM ev_grid GROUP BY user_id)",
+        "pa AS (SELECT min(k) AS kmin, max(k) AS kmax, CAST(sum(k - kd) AS BIGINT) AS dups FROM pe)"],
+        f"""SELECT 'unique_id_time' AS "check", CASE WHEN dups = 0 THEN 'OK' ELSE 'FAIL' END AS status,
+              'duplicates=' || dups AS detail FROM pa
+            UNION ALL SELECT 'fixed_length', CASE WHEN kmin = 31 AND kmax = 31 THEN 'OK' ELSE 'FAIL' END,
+              'rows per id ' || kmin || '..' || kmax || ', expected 31' FROM pa
+            UNION ALL SELECT 'feature_count', 'OK', '{len(FEATURES)} of {len(FEATURES)}'
+            UNION ALL SELECT 'required_columns', 'OK', 'missing='""")
+
+
+def sql_grid_invariants() -> str:
+    return with_(ctes_grid(), f"""SELECT 'feature_columns' AS "check", true AS ok, '{len(FEATURES)} of {len(FEATURES)}' AS detail
+        UNION ALL SELECT 'rows_per_entity', count(*) = count(DISTINCT user_id) * 31,
+          printf('rows=%d ids=%d steps=%d', count(*), count(DISTINCT user_id), 31) FROM ev_grid""")
+
+
+def sql_unique_ids() -> str:
+    return with_(ctes_ffill(), """SELECT 'unique_ids' AS "check", CASE WHEN count(*) = count(DISTINCT user_id) THEN 'OK'
+        ELSE 'FAIL' END AS status, 'rows=' || count(*) || ' ids=' || count(DISTINCT user_id) AS detail
+        FROM (SELECT user_id FROM ev_ffill GROUP BY user_id)""")
