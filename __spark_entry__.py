@@ -16,7 +16,7 @@ import oracles as O
 from hourglass.functions import metrics
 from hourglass.operators import (features, grid, prep, profile, prompts, quality, sampling, sequences, tokens,
                                  vectors)
-from hourglass.plans import evaluation, panel
+from hourglass.plans import evaluation, panel, roundtrip
 from hourglass.sources import tables
 from hourglass.session import configure
 from hourglass.sources.tables import EVENTS_SPEC
@@ -369,6 +369,31 @@ def q_unique_ids(spark, sf):
     return quality.unique_ids(panel.events_features(spark, sf), "user_id")
 
 
+# ------------------------------------------------------------------ sources and sinks (round trips)
+def q_raw_log_grid(spark, sf):
+    return roundtrip.raw_log_grid(spark, sf)
+
+
+def q_raw_log_rejects(spark, sf):
+    return roundtrip.raw_log_rejects(spark, sf)
+
+
+def q_embedding_manifest(spark, sf):
+    return roundtrip.embedding_store_manifest(spark, sf)
+
+
+def q_positional_embeddings(spark, sf):
+    return roundtrip.positional_embeddings(spark, sf)
+
+
+def q_params_roundtrip(spark, sf):
+    return roundtrip.params_roundtrip(spark, sf)
+
+
+def q_panel_roundtrip(spark, sf):
+    return roundtrip.panel_roundtrip(spark, sf)
+
+
 _QUERIES = {
     "events_grid": q_events_grid,
     "events_clean": q_events_clean,
@@ -439,6 +464,12 @@ _QUERIES = {
     "panel_expectations": q_panel_expectations,
     "grid_invariants": q_grid_invariants,
     "unique_ids": q_unique_ids,
+    "raw_log_grid": q_raw_log_grid,
+    "raw_log_rejects": q_raw_log_rejects,
+    "embedding_manifest": q_embedding_manifest,
+    "positional_embeddings": q_positional_embeddings,
+    "params_roundtrip": q_params_roundtrip,
+    "panel_roundtrip": q_panel_roundtrip,
 }
 
 _ORACLES = {
@@ -509,6 +540,12 @@ _ORACLES = {
     "panel_expectations": O.sql_panel_expectations,
     "grid_invariants": O.sql_grid_invariants,
     "unique_ids": O.sql_unique_ids,
+    "raw_log_grid": O.sql_raw_log_grid,
+    "raw_log_rejects": O.sql_raw_log_rejects,
+    "embedding_manifest": O.sql_embedding_manifest,
+    "positional_embeddings": O.sql_positional_embeddings,
+    "params_roundtrip": O.sql_scaler_params,
+    "panel_roundtrip": O.sql_panel_roundtrip,
 }
 
 

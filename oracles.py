@@ -961,3 +961,46 @@ def sql_unique_ids() -> str:
     return with_(ctes_ffill(), """SELECT 'unique_ids' AS "check", CASE WHEN count(*) = count(DISTINCT user_id) THEN 'OK'
         ELSE 'FAIL' END AS status, 'rows=' || count(*) || ' ids=' || count(DISTINCT user_id) AS detail
         FROM (SELECT user_id FROM ev_ffill GROUP BY user_id)""")
+
+
+# ------------------------------------------------------------------ sources and sinks
+def sql_raw_log_grid() -> str:
+    """Grid from per-user logs: minute clock (truncated), daily ceil bins of 1440 minutes, statics read at
+    00:00 from the customer values, users of the HOUSEHOLD segment quarantined (no RecordID)."""
+    cells = ",\n      ".join(f"arg_max(value, ord) FILTER (WHERE parameter = '{p}') AS {p}" for p in EVENT_TYPES)
+    cols = ", ".join(r6(c) + " AS " + c for c in FEATURES)
+    return f"""WITH good AS (SELECT DISTINCT e.user_id AS id FROM events e JOIN customer c ON c.c_custkey = e.user_id
+                         WHERE c.c_mktsegment <> 'HOUSEHOLD'),
+    lg AS (SELECT user_id AS id, CAST(floor(date_diff('microsecond', TIMESTAMP '2024-01-01 00:00:00', ts) / 60000000) AS BIGINT) AS m,
+                  event_type AS parameter, CASE WHEN value < 1 THEN -1.0 ELSE value END AS value, event_id AS ord FROM events),
+    bn AS (SELECT id, CAST(ceil(m / 1440.0) AS BIGINT) AS day, parameter, value, ord FROM lg WHERE m >= 0 AND value <> -1.0),
+    cells AS (SELECT id, day, {cells} FROM bn WHERE day <= 30 GROUP BY id, day),
+    st AS (SELECT c_custkey AS id, CASE WHEN c_acctbal <> -1.0 THEN c_acctbal END AS acctbal,
+                  CASE WHEN c_mktsegment = 'BUILDING' THEN 1.0 ELSE 0.0 END AS building,
+                  CASE WHEN c_nationkey <> -1 THEN CAST(c_nationkey AS DOUBLE) END AS nation FROM customer),
+    {ctes_grid()[4]},
+    g AS (SELECT e.id AS user_id, CAST(d.day AS BIGINT) AS day, s.acctbal, s.building, s.nation,
+                 {", ".join("c." + p for p in EVENT_TYPES)}, l.label, {split_expr("e.id")} AS split
+          FROM good e CROSS JOIN generate_series(0, 30) AS d(day)
+          LEFT JOIN st s ON s.id = e.id LEFT JOIN ev_labels l ON l.id = e.id
+          LEFT JOIN cells c ON c.id = e.id AND c.day = d.day)
+    SELECT user_id, day, {cols}, label, split FROM g"""
+
+
+def sql_raw_log_rejects() -> str:
+    return """SELECT DISTINCT e.user_id AS entity, 'no RecordID row' AS reason FROM events e
+              JOIN customer c ON c.c_custkey = e.user_id WHERE c.c_mktsegment = 'HOUSEHOLD'"""
+
+
+def sql_embedding_manifest() -> str:
+    return f"""SELECT {split_expr('vec_id')} AS split, CAST(count(*) AS BIGINT) AS n, max(len(embedding)) AS dim,
+        CAST(count(label) AS BIGINT) AS n_labelled, true AS has_ids FROM embeddings GROUP BY 1"""
+
+
+def sql_positional_embeddings() -> str:
+    return f"SELECT embedding, label, vec_id FROM embeddings"
+
+
+def sql_panel_roundtrip() -> str:
+    cols = ", ".join(r6(c) + " AS " + c for c in FEATURES)
+    return with_(ctes_ffill(), f"SELECT user_id, day, {cols}, label, split FROM ev_ffill WHERE split = 'b'")
