@@ -16,7 +16,7 @@ import oracles as O
 from hourglass.functions import metrics
 from hourglass.operators import (features, grid, prep, profile, prompts, quality, sampling, sequences, tokens,
                                  vectors)
-from hourglass.plans import evaluation, panel, roundtrip
+from hourglass.plans import evaluation, models, panel, roundtrip
 from hourglass.sources import tables
 from hourglass.session import configure
 from hourglass.sources.tables import EVENTS_SPEC
@@ -394,6 +394,57 @@ def q_panel_roundtrip(spark, sf):
     return roundtrip.panel_roundtrip(spark, sf)
 
 
+# ------------------------------------------------------------------ models (Spark ML; rows-only checks)
+def q_lr_sweep(spark, sf):
+    return models.sweep(panel.events_last_state(spark, sf, True), list(SPEC.features), "lr", models.LR_GRID, "user_id")
+
+
+def q_rf_sweep(spark, sf):
+    return models.sweep(panel.events_last_state(spark, sf, False), list(SPEC.features), "rf", models.RF_GRID, "user_id")
+
+
+def q_gbt_sweep(spark, sf):
+    t = panel.events_last_state(spark, sf, False)
+    pw = features.scale_pos_weight(t.where("split = 'a'"), "label", "classic").first()["pos_weight"]
+    return models.sweep(t, list(SPEC.features), "gbt", models.gbt_grid(pw), "user_id")
+
+
+def q_lr_engineered(spark, sf):
+    """M1 on F2 + C11: engineered features standardised with train mean / population std."""
+    f = panel.events_features(spark, sf)
+    names = features.feature_names(SPEC)
+    params = prep.fit_standard_scaler(f.where("split = 'a'"), names)
+    return models.sweep(prep.apply_standard_scaler(f, params), names, "lr", models.LR_GRID, "user_id")
+
+
+def q_pos_weight(spark, sf):
+    return features.scale_pos_weight(panel.events_last_state(spark, sf, False).where("split = 'a'"), "label")
+
+
+def _emb_split(spark, sf):
+    e = _emb(spark, sf)
+    m = F.pmod(F.col("vec_id"), F.lit(4))
+    return e.select(F.col("vec_id").alias("id"), F.when(m <= 1, "a").when(m == 2, "b").otherwise("c").alias("split"),
+                    "embedding", (F.col("label") < 5).cast("int").alias("label"))
+
+
+def q_linear_probe(spark, sf):
+    return models.linear_probe(_emb_split(spark, sf), "a", "c")
+
+
+def q_probe_threshold(spark, sf):
+    return models.linear_probe(_emb_split(spark, sf), "a", "c", threshold=0.5)
+
+
+def q_label_scarcity(spark, sf):
+    return models.label_scarcity(_emb_split(spark, sf), (100, 500, 1000), "id")
+
+
+def q_predictions(spark, sf):
+    return models.predictions(panel.events_last_state(spark, sf, True), list(SPEC.features), "lr",
+                              models.LR_GRID[2], "user_id")
+
+
 _QUERIES = {
     "events_grid": q_events_grid,
     "events_clean": q_events_clean,
@@ -470,6 +521,15 @@ _QUERIES = {
     "positional_embeddings": q_positional_embeddings,
     "params_roundtrip": q_params_roundtrip,
     "panel_roundtrip": q_panel_roundtrip,
+    "lr_sweep": q_lr_sweep,
+    "rf_sweep": q_rf_sweep,
+    "gbt_sweep": q_gbt_sweep,
+    "lr_engineered": q_lr_engineered,
+    "pos_weight": q_pos_weight,
+    "linear_probe": q_linear_probe,
+    "probe_threshold": q_probe_threshold,
+    "label_scarcity": q_label_scarcity,
+    "predictions": q_predictions,
 }
 
 _ORACLES = {

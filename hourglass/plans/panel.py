@@ -71,3 +71,9 @@ def events_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
     from hourglass.operators import sequences
     return sequences.variable_series(events_ffill(spark, sf_dir), EVENTS_SPEC).withColumnRenamed("variable", "var") \
         .withColumnRenamed("series", "embedding")
+
+
+def events_last_state(spark: SparkSession, sf_dir: str, scaled: bool = True) -> DataFrame:
+    """F1 per user on the linear (scaled) or forward-filled panel, with split."""
+    p = events_processed(spark, sf_dir)[1] if scaled else events_ffill(spark, sf_dir)
+    return tables.with_split(features.last_state(p, EVENTS_SPEC), EVENTS_SPEC)
