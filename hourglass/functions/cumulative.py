@@ -1,9 +1,11 @@
-"""Distributed running sums within groups along an order key.
+"""Distributed running sums within groups along a numeric order key.
 
 ``Window.partitionBy(g).orderBy(k)`` puts a whole group in one task; for metric tables with one or a
-few groups that is one task for everything. Here rows are range-partitioned on (group, key); each
-(partition, group) slice gets a local running sum, and a table with one row per (partition, group) —
-at most partitions + groups rows — supplies the offset of everything before it.
+few groups that is one task for everything. Here every row gets a deterministic *bucket* — the number
+of approximate quantile boundaries of the order key that are ≤ its key (boundaries computed once and
+inlined as literals, so any recomputation, e.g. after an executor loss, assigns the same bucket). Each
+(bucket, group) slice gets a local running sum, and a table with one row per (bucket, group) supplies
+the offset of everything before it.
 """
 
 from __future__ import annotations
@@ -14,22 +16,33 @@ from pyspark.sql import functions as F
 from hourglass.session import small_side
 
 
+def bucket_of(df: DataFrame, order_col: str, n_buckets: int) -> F.Column:
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    row = df.agg(F.percentile_approx(F.col(order_col).cast("double"), probs, 10000).alias("b")).first()
+    bounds = sorted(set(float(x) for x in (row["b"] or [])))
+    if not bounds:
+        return F.lit(0)
+    arr = F.array(*[F.lit(b) for b in bounds])
+    return F.size(F.filter(arr, lambda b: b <= F.col(order_col).cast("double")))
+
+
 def running_sums(df: DataFrame, groups: list[str], order_col: str, cols: list[str],
-                 prefix: str = "cum_", partitions: int | None = None) -> DataFrame:
+                 prefix: str = "cum_", buckets: int | None = None) -> DataFrame:
     """Adds ``{prefix}{c}`` = Σ c over rows of the same group with order ≤ this row (inclusive).
 
-    The order key must be unique within a group (aggregate ties first).
+    The order key must be numeric and unique within a group (aggregate ties first).
     """
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *groups, order_col).withColumn("_pid", F.spark_partition_id())
-    w_local = (Window.partitionBy("_pid", *groups).orderBy(order_col)
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    b = df.withColumn("_bk", bucket_of(df, order_col, n))
+    w_local = (Window.partitionBy("_bk", *groups).orderBy(order_col)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = ranged.select("*", *[F.sum(c).over(w_local).alias(f"_loc_{c}") for c in cols])
-    tot = ranged.groupBy("_pid", *groups).agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
-    w_off = Window.partitionBy(*groups).orderBy("_pid") if groups else Window.orderBy("_pid")
-    offs = tot.select("_pid", *groups, *[(F.sum(f"_t_{c}").over(w_off) - F.col(f"_t_{c}")).alias(f"_off_{c}")
-                                         for c in cols])
-    out = local.join(small_side(offs), ["_pid", *groups])
+    local = b.select("*", *[F.sum(c).over(w_local).alias(f"_loc_{c}") for c in cols])
+    tot = b.groupBy("_bk", *groups).agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
+    w_off = Window.partitionBy(*groups).orderBy("_bk") if groups else Window.orderBy("_bk")
+    # one row per (bucket, group): bounded by buckets × groups
+    offs = tot.select("_bk", *groups, *[(F.sum(f"_t_{c}").over(w_off) - F.col(f"_t_{c}")).alias(f"_off_{c}")
+                                        for c in cols])
+    out = local.join(small_side(offs), ["_bk", *groups])
     return out.select(*[c for c in df.columns],
                       *[(F.col(f"_off_{c}") + F.col(f"_loc_{c}")).alias(f"{prefix}{c}") for c in cols])

@@ -1,27 +1,33 @@
 """Consecutive 0-based row positions in a total order, without a single-partition window.
 
-``Window.orderBy(...)`` with no partition moves every row into one task. Here the rows are
-range-partitioned and sorted on the order key (a distributed sort), each partition's size is counted
-(one row per partition), the prefix offsets are computed on that tiny table, and every row gets
-``offset[partition] + position inside its partition``.
+``Window.orderBy(...)`` with no partition moves every row into one task. The position of a row is the
+number of rows with a smaller key: a distributed running count (:func:`running_sums`) over a unique
+numeric key.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hourglass.functions.cumulative import running_sums
 
-def global_index(df: DataFrame, order_cols: list[str], out_col: str = "pos", partitions: int | None = None) -> DataFrame:
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
-              .withColumn("_pid", F.spark_partition_id()))
-    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    # tiny: one row per partition, so an unpartitioned window here is bounded
-    offsets = counts.select("_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_off"))
-    local = F.row_number().over(Window.partitionBy("_pid").orderBy(*order_cols)) - 1
-    return (ranged.withColumn("_local", local)
-            .join(F.broadcast(offsets), "_pid")
-            .withColumn(out_col, (F.col("_off") + F.col("_local")).cast("bigint"))
-            .drop("_pid", "_local", "_off"))
+
+def global_index(df: DataFrame, order_cols: list[str], out_col: str = "pos") -> DataFrame:
+    """Position by a unique numeric key (``order_cols`` of length 1), 0-based and consecutive."""
+    if len(order_cols) != 1:
+        raise ValueError("global_index orders by one unique numeric key; build a composite key first")
+    key = order_cols[0]
+    one = df.withColumn("_one", F.lit(1).cast("long"))
+    return running_sums(one, [], key, ["_one"], prefix="_cum").withColumn(
+        out_col, (F.col("_cum_one") - 1).cast("bigint")).drop("_one", "_cum_one")
+
+
+def file_order_key(df: DataFrame, file_col: str = "_f", row_col: str = "_r", out_col: str = "_key") -> DataFrame:
+    """Unique numeric key for (file name, row index within file): file rank · 2^40 + row index.
+
+    The file ranks come from the distinct file names (bounded by the number of files).
+    """
+    files = sorted(r[0] for r in df.select(file_col).distinct().collect())
+    rank = F.create_map(*[x for i, f in enumerate(files) for x in (F.lit(f), F.lit(i))])
+    return df.withColumn(out_col, rank[F.col(file_col)].cast("bigint") * F.lit(1 << 40) + F.col(row_col).cast("bigint"))

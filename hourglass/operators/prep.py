@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourglass.functions.exprs import binary01, finite_or_zero, in_range, safe_log1p
+from hourglass.functions.quantiles import quantile_row
 from hourglass.session import reuse
 from hourglass.spec import PanelSpec
 
@@ -54,18 +55,24 @@ def fit_fill_defaults(panel: DataFrame, spec: PanelSpec) -> DataFrame:
     """Defaults for leading gaps, fitted on train rows after cleaning → ``(column, fill_value)``.
 
     Static binary → mode (lowest value on ties; 0.0 when empty); dynamic binary → 0.0;
-    everything else → exact median (0.0 when empty). Statics count once per time step, like the panel.
+    everything else → exact median (0.0 when empty; distributed, see :mod:`quantiles`). Statics count
+    once per time step, like the panel.
     """
-    aggs = []
+    train = train_rows(panel, spec)
+    med_cols = [c for c in spec.features if c not in spec.binary]
+    med = quantile_row(train, med_cols, [0.5]) if med_cols else {}
+    modes = [c for c in spec.features if c in spec.binary and c in spec.static]
+    mode_row = train.agg(*[F.mode(F.col(c), True).cast("double").alias(c) for c in modes]).first() if modes else {}
+    rows = []
     for c in spec.features:
-        if c in spec.binary and c in spec.static:
-            e = F.mode(F.col(c), True)
+        if c in modes:
+            v = mode_row[c]
         elif c in spec.binary:
-            e = F.lit(0.0)
+            v = 0.0
         else:
-            e = F.median(F.col(c))
-        aggs.append(F.coalesce(e.cast("double"), F.lit(0.0)).alias(f"{c}__fill_value"))
-    return _long(train_rows(panel, spec).agg(*aggs), spec.features, ["fill_value"])
+            v = med[c][0]
+        rows.append((c, 0.0 if v is None else float(v)))
+    return panel.sparkSession.createDataFrame(rows, "column string, fill_value double")
 
 
 def forward_fill(panel: DataFrame, spec: PanelSpec, defaults: DataFrame | dict | None = None) -> DataFrame:
@@ -107,27 +114,25 @@ def log1p_columns(panel: DataFrame, cols) -> DataFrame:
 def fit_robust_scaler(panel: DataFrame, cols, method: str = "exact", accuracy: int = 100000) -> DataFrame:
     """Per column median and IQR (linear-interpolated quantiles); IQR NULL or 0 → 1.0.
 
-    ``method='exact'`` uses ``percentile`` (value→count buffers merged map-side; exact, equals pandas);
-    ``method='approx'`` uses ``percentile_approx`` with bounded memory for very high-cardinality columns.
+    ``method='exact'``: distributed exact quantiles (equal to pandas; no single-task value buffer);
+    ``method='approx'``: ``percentile_approx`` sketches with bounded memory.
     """
     cols = [c for c in cols if c in panel.columns]
-    aggs = []
-    for c in cols:
-        if method == "exact":
-            q = F.percentile(F.col(c), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-        else:
-            q = F.percentile_approx(F.col(c), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), accuracy)
-        aggs.append(q.alias(c))
-    row = panel.agg(*aggs) if aggs else None
-    if row is None:
-        return panel.sparkSession.createDataFrame([], "column string, median double, iqr double")
-    structs = []
+    spark = panel.sparkSession
+    if not cols:
+        return spark.createDataFrame([], "column string, median double, iqr double")
+    if method == "exact":
+        q = quantile_row(panel, cols, [0.25, 0.5, 0.75])
+    else:
+        r = panel.agg(*[F.percentile_approx(F.col(c), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), accuracy)
+                        .alias(c) for c in cols]).first()
+        q = {c: (list(r[c]) if r[c] is not None else [None, None, None]) for c in cols}
+    rows = []
     for c in cols:
-        qs = F.col(f"`{c}`")
-        iqr = (qs[2] - qs[0]).cast("double")
-        structs.append(F.struct(F.lit(c).alias("column"), qs[1].cast("double").alias("median"),
-                                F.when(iqr.isNull() | (iqr == 0), F.lit(1.0)).otherwise(iqr).alias("iqr")))
-    return row.select(F.explode(F.array(*structs)).alias("p")).select("p.*")
+        q1, med, q3 = q[c]
+        iqr = None if q1 is None or q3 is None else float(q3) - float(q1)
+        rows.append((c, None if med is None else float(med), 1.0 if iqr is None or iqr == 0 else iqr))
+    return spark.createDataFrame(rows, "column string, median double, iqr double")
 
 
 def apply_robust_scaler(panel: DataFrame, params: DataFrame | dict) -> DataFrame:

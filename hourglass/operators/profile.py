@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hourglass.functions.quantiles import exact_quantiles, quantile_row
+
 NUMERIC = (T.DoubleType, T.FloatType, T.IntegerType, T.LongType, T.ShortType, T.DecimalType, T.ByteType)
 
 
@@ -27,9 +29,12 @@ def column_profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
         if isinstance(f.dataType, NUMERIC):
             x = c.cast("double")
             aggs += [F.min(x).alias(f"{f.name}__min"), F.max(x).alias(f"{f.name}__max"),
-                     F.avg(x).alias(f"{f.name}__mean"), F.stddev_samp(x).alias(f"{f.name}__std"),
-                     F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"{f.name}__q")]
+                     F.avg(x).alias(f"{f.name}__mean"), F.stddev_samp(x).alias(f"{f.name}__std")]
     wide = df.agg(*aggs)
+    num_cols = [f.name for f in fields if isinstance(f.dataType, NUMERIC)]
+    qs = quantile_row(df, num_cols, [0.25, 0.5, 0.75]) if num_cols else {}
+    for c in num_cols:
+        wide = wide.withColumn(f"{c}__q", F.array(*[F.lit(v).cast("double") for v in qs[c]]))
     structs = []
     for f in fields:
         num = isinstance(f.dataType, NUMERIC)
@@ -97,8 +102,8 @@ def box_stats(df: DataFrame, col: str, whis: float = 1.5) -> DataFrame:
     Two passes: the quartiles (one row, inlined), then conditional min/max/count.
     """
     x = F.col(col).cast("double")
-    q = df.agg(F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q")).first()["q"]
-    if q is None:
+    q = quantile_row(df, [col], [0.25, 0.5, 0.75])[col]
+    if q[0] is None:
         return df.sparkSession.createDataFrame([], "q1 double, median double, q3 double, whisker_low double, "
                                                    "whisker_high double, n_outliers long")
     q1, med, q3 = q
@@ -113,10 +118,10 @@ def box_stats(df: DataFrame, col: str, whis: float = 1.5) -> DataFrame:
 def time_profile(df: DataFrame, col: str, time_col: str) -> DataFrame:
     """Per time step mean, median, q25, q75 and non-missing count."""
     x = F.col(col).cast("double")
-    return df.groupBy(time_col).agg(
-        F.avg(x).alias("mean"), F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q"),
-        F.count(x).alias("n_obs")).select(time_col, "mean", F.col("_q")[1].alias("median"),
-                                           F.col("_q")[0].alias("q25"), F.col("_q")[2].alias("q75"), "n_obs")
+    basic = df.groupBy(time_col).agg(F.avg(x).alias("mean"), F.count(x).alias("n_obs"))
+    q = exact_quantiles(df, [col], [0.25, 0.5, 0.75], [time_col]).select(
+        time_col, F.col("q_1").alias("median"), F.col("q_0").alias("q25"), F.col("q_2").alias("q75"))
+    return basic.join(q, time_col, "left").select(time_col, "mean", "median", "q25", "q75", "n_obs")
 
 
 def random_trajectories(df: DataFrame, col: str, id_col: str, n: int, seed: int = 42) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hourglass.functions.indexing import global_index
+from hourglass.functions.indexing import file_order_key, global_index
 from hourglass.spec import PanelSpec, feature_catalog
 
 PARAMS_SCHEMA = "column string, median double, iqr double"
@@ -99,8 +99,9 @@ def read_embeddings(spark: SparkSession, path: str, id_col: str = "id", id_order
     df = spark.read.parquet(path)
     if id_col in df.columns:
         return df
-    pos = global_index(df.select("*", F.col("_metadata.file_name").alias("_f"),
-                                 F.col("_metadata.row_index").alias("_r")), ["_f", "_r"], "_pos").drop("_f", "_r")
+    keyed = file_order_key(df.select("*", F.col("_metadata.file_name").alias("_f"),
+                                     F.col("_metadata.row_index").alias("_r")))
+    pos = global_index(keyed, ["_key"], "_pos").drop("_f", "_r", "_key")
     if id_order is None:
         return pos.withColumnRenamed("_pos", id_col)
     n_store, n_ids = pos.count(), id_order.count()
