@@ -102,7 +102,7 @@ def build_grid(log: DataFrame, spec: PanelSpec, width: int, static_map: dict | N
     aggs = [F.max(c).alias(c) for c in ent_cols] + last_write_cells(rows, spec)
     grid = rows.groupBy("id", spec.time_col).agg(*aggs)
     cols = [F.col("id").alias(spec.id_col), F.col(spec.time_col)]
-    cols += [F.col(c).cast("double").alias(c) for c in spec.static]
+    cols += [(F.col(c) if c in grid.columns else F.lit(None)).cast("double").alias(c) for c in spec.static]
     cols += [F.col(c).cast("double").alias(c) for c in spec.dynamic]
     if labels is not None:
         cols.append(F.col(spec.target_col))
