@@ -445,6 +445,76 @@ def q_predictions(spark, sf):
                               models.LR_GRID[2], "user_id")
 
 
+# ------------------------------------------------------------------ remaining single operators
+def q_standard_scaled(spark, sf):
+    """C11: engineered features standardised with train mean / population std (zero std → 1)."""
+    f = panel.events_features(spark, sf)
+    names = features.feature_names(SPEC)
+    return prep.apply_standard_scaler(f, prep.fit_standard_scaler(f.where("split = 'a'"), names))
+
+
+def q_static_normalize(spark, sf):
+    """Statics of the forward-filled panel normalised with the train scaler (x − median) / (iqr + 1e-8)."""
+    _, _, _, scaler = panel.events_processed(spark, sf)
+    st = sequences.static_row(panel.events_ffill(spark, sf), SPEC)
+    return prep.normalize_static(st, scaler, list(SPEC.static))
+
+
+def q_missingness(spark, sf):
+    return profile.missingness(profile.column_profile(_train(spark, sf).drop("split")))
+
+
+def q_subset_ids(spark, sf):
+    """Documents restricted to the 100-id budget draw (all ids exist, so no error)."""
+    docs = tables.table(spark, sf, "documents")
+    ids = sampling.budget_subsets(docs, "doc_id", (100,), seed=42).where("budget = '100'").select("doc_id")
+    return sampling.subset_by_ids(docs.select("doc_id", "lang", "source", "n_chars"), ids, "doc_id")
+
+
+def q_masked_mean(spark, sf):
+    seqs = sequences.token_sequences(panel.events_tokens(spark, sf, one_hot=False), SPEC)
+    return sequences.masked_mean(sequences.pad_batches(seqs, SPEC, 16)).select("user_id", "pooled")
+
+
+def q_tokens_non_empty(spark, sf):
+    return tokens.non_empty(panel.events_tokens(spark, sf, one_hot=False))
+
+
+def q_positions(spark, sf):
+    """Q8: sinusoidal positions added to the fixed sequences (table length = n_steps)."""
+    return sequences.add_positions(q_fixed_sequences(spark, sf), SPEC.n_steps).select("user_id", "seq")
+
+
+def q_augment(spark, sf):
+    """Q9: two independent augmented views (crop 16 of 31 days, noise 0.05, channel drop 0.1)."""
+    seqs = q_fixed_sequences(spark, sf)
+    v0 = sequences.augment(seqs, SPEC, seed=42, view=0, crop_len=16)
+    return sequences.augment(v0, SPEC, seed=42, view=1, crop_len=16).select("user_id", "view0", "view1")
+
+
+def q_summary_json(spark, sf):
+    """The per-config leaderboard as JSON documents (non-finite → null)."""
+    from hourglass.sources import sinks
+    return sinks.summary_json(evaluation.config_board(spark, sf))
+
+
+def q_score_with(spark, sf):
+    """Batch scoring of the last-state features with a user's own (numpy) model."""
+    import numpy as np
+
+    def factory():
+        w = np.linspace(-1.0, 1.0, len(SPEC.features))
+
+        def model(rows):
+            x = np.asarray([np.asarray(r, dtype=float) for r in rows])
+            return (1.0 / (1.0 + np.exp(-(np.nan_to_num(x) @ w) / 100.0))).tolist()
+        return model
+
+    t = panel.events_last_state(spark, sf, True)
+    t = t.select("user_id", "label", F.array(*[F.col(c).cast("double") for c in SPEC.features]).alias("x"))
+    return models.score_with(t, factory, "x", "user_id", "label")
+
+
 _QUERIES = {
     "events_grid": q_events_grid,
     "events_clean": q_events_clean,
@@ -530,6 +600,16 @@ _QUERIES = {
     "probe_threshold": q_probe_threshold,
     "label_scarcity": q_label_scarcity,
     "predictions": q_predictions,
+    "standard_scaled": q_standard_scaled,
+    "static_normalize": q_static_normalize,
+    "missingness": q_missingness,
+    "subset_ids": q_subset_ids,
+    "masked_mean": q_masked_mean,
+    "tokens_non_empty": q_tokens_non_empty,
+    "positions": q_positions,
+    "augment": q_augment,
+    "summary_json": q_summary_json,
+    "score_with": q_score_with,
 }
 
 _ORACLES = {
@@ -606,6 +686,13 @@ _ORACLES = {
     "positional_embeddings": O.sql_positional_embeddings,
     "params_roundtrip": O.sql_scaler_params,
     "panel_roundtrip": O.sql_panel_roundtrip,
+    "pos_weight": O.sql_pos_weight,
+    "standard_scaled": O.sql_standard_scaled,
+    "static_normalize": O.sql_static_normalize,
+    "missingness": O.sql_missingness,
+    "subset_ids": O.sql_subset_ids,
+    "masked_mean": O.sql_masked_mean,
+    "tokens_non_empty": O.sql_tokens_non_empty,
 }
 
 

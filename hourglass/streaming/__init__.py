@@ -1,0 +1,8 @@
+"""Streaming.
+
+The reference pipeline reads finite files only: it has no stream source, watermark, time window,
+session or late-data handling (causality appears only as the ceiling time bin). There is therefore no
+streaming operator to rebuild. The panel operators that are stateless per row (``grid.bin_log``,
+``prep.clean_ranges``, the answer parsers) are plain column expressions and work unchanged on a
+streaming DataFrame; the window-based ones (forward fill, mask/delta) are batch-only by definition.
+"""

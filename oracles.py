@@ -1004,3 +1004,56 @@ def sql_positional_embeddings() -> str:
 def sql_panel_roundtrip() -> str:
     cols = ", ".join(r6(c) + " AS " + c for c in FEATURES)
     return with_(ctes_ffill(), f"SELECT user_id, day, {cols}, label, split FROM ev_ffill WHERE split = 'b'")
+
+
+# ------------------------------------------------------------------ remaining single operators
+def sql_pos_weight() -> str:
+    return with_(ctes_grid(), """SELECT CAST(sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_pos,
+        CAST(sum(CASE WHEN label = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_neg,
+        CASE WHEN sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) > 0
+             THEN round(sum(CASE WHEN label = 0 THEN 1 ELSE 0 END) / sum(CASE WHEN label = 1 THEN 1 ELSE 0 END), 6)
+             ELSE 1.0 END AS pos_weight
+        FROM (SELECT DISTINCT user_id, label FROM ev_grid WHERE split = 'a')""")
+
+
+def sql_standard_scaled() -> str:
+    names = feature_names()
+    feat = f"feat AS (SELECT user_id, {', '.join(clean_num(n) + ' AS ' + n for n in names)}, label, " \
+           f"{split_expr('user_id')} AS split FROM ({feat_stats_sql('ev_ffill')}))"
+    par = ", ".join(f"avg({n}) FILTER (WHERE split = 'a') AS {n}__m, stddev_pop({n}) FILTER (WHERE split = 'a') AS {n}__s"
+                    for n in names)
+    cols = ", ".join(f"{r6(f'(f.{n} - p.{n}__m) / (CASE WHEN p.{n}__s IS NULL OR p.{n}__s = 0 THEN 1.0 ELSE p.{n}__s END)')} AS {n}"
+                     for n in names)
+    return with_(ctes_ffill() + [feat, f"par AS (SELECT {par} FROM feat)"],
+                 f"SELECT f.user_id, {cols}, f.label, f.split FROM feat f CROSS JOIN par p")
+
+
+def sql_static_normalize() -> str:
+    cols = []
+    for c in STATIC:
+        if c == "building":
+            cols.append(f"{r6('arg_min(building, day)')} AS building")
+        else:
+            iqr = f"(CASE WHEN p.{c}__iqr0 IS NULL OR p.{c}__iqr0 = 0 THEN 1.0 ELSE p.{c}__iqr0 END)"
+            cols.append(f"{r6(f'(arg_min(g.{c}, g.day) - any_value(p.{c}__med)) / (any_value({iqr}) + 1e-8)')} AS {c}")
+    return with_(ctes_linear(), f"SELECT g.user_id, {', '.join(cols)} FROM ev_ffill g CROSS JOIN ev_par p GROUP BY g.user_id")
+
+
+def sql_missingness() -> str:
+    return f"SELECT \"column\", missing_pct FROM ({sql_column_profile()})"
+
+
+def sql_subset_ids() -> str:
+    return f"""SELECT doc_id, lang, source, n_chars FROM documents WHERE doc_id IN
+        (SELECT doc_id FROM (SELECT DISTINCT doc_id FROM documents) ORDER BY {ahash(42 * 1000 + 100, 'doc_id')}, doc_id LIMIT 100)"""
+
+
+def sql_masked_mean() -> str:
+    dims = ["t_scaled", "value_scaled"] + [f"CAST(var_idx = {i} AS DOUBLE)" for i in range(len(FEATURES))]
+    return with_(ctes_tokens(), f"SELECT user_id, {lst6('[' + ', '.join(f'avg({d})' for d in dims) + ']')} AS pooled "
+                                f"FROM ev_tokens GROUP BY user_id")
+
+
+def sql_tokens_non_empty() -> str:
+    return with_(ctes_tokens(), """SELECT 'tokens_non_empty' AS "check", count(*) > 0 AS ok,
+        printf('%d tokens', count(*)) AS detail FROM ev_tokens""")
