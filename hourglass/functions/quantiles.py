@@ -28,10 +28,13 @@ def value_counts_long(df: DataFrame, cols: list[str], groups: list[str] | tuple
         .agg(F.count(F.lit(1)).alias("n"))
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], groups: list[str] | tuple = ()) -> DataFrame:
-    """``(*groups, column, q_0, q_1, …)`` — one column per requested probability (NULL when no values)."""
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], groups: list[str] | tuple = (),
+                    counts: DataFrame | None = None) -> DataFrame:
+    """``(*groups, column, q_0, q_1, …)`` — one column per requested probability (NULL when no values).
+
+    ``counts``: precomputed :func:`value_counts_long` of ``df`` (e.g. persisted by the caller)."""
     groups = list(groups)
-    vc = value_counts_long(df, cols, groups)
+    vc = counts if counts is not None else value_counts_long(df, cols, groups)
     keys = groups + ["column"]
     cum = running_sums(vc, keys, "value", ["n"])
     tot = cum.groupBy(*keys).agg(F.sum("n").alias("_tot"))
@@ -54,7 +57,13 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], groups:
 def quantile_row(df: DataFrame, cols: list[str], probs: list[float]) -> dict:
     """Global exact quantiles as ``{column: [q…]}`` (bounded: one row per column). Columns without
     values map to NULLs."""
+    from pyspark import StorageLevel
+
     res = {c: [None] * len(probs) for c in cols}
-    for r in exact_quantiles(df, cols, probs).collect():
-        res[r["column"]] = [r[f"q_{i}"] for i in range(len(probs))]
+    vc = value_counts_long(df, cols).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for r in exact_quantiles(df, cols, probs, counts=vc).collect():
+            res[r["column"]] = [r[f"q_{i}"] for i in range(len(probs))]
+    finally:
+        vc.unpersist()
     return res

@@ -83,17 +83,21 @@ def attach(entities: DataFrame, table: DataFrame | None, how: str = "left") -> D
 
 
 def build_grid(log: DataFrame, spec: PanelSpec, width: int, static_map: dict | None = None,
-               statics: DataFrame | None = None, labels: DataFrame | None = None) -> DataFrame:
+               statics: DataFrame | None = None, labels: DataFrame | None = None,
+               entities: DataFrame | None = None) -> DataFrame:
     """EAV log → panel ``(id_col, time_col, *static, *dynamic[, target_col])``.
 
     * ``static_map``: statics read from the log at elapsed 0 (G10).
     * ``statics``: ``(id, *static)`` dimension table joined at id granularity (G11).
     * ``labels``: ``(id, label)``; unmatched ids get NULL (G13). Without labels there is no target column.
+    * ``entities``: a precomputed per-entity table ``(id, [statics…], [target])`` covering every id of the
+      log (e.g. ids, statics and labels from one aggregation); replaces the three above.
     """
-    entities = static_from_log(log, static_map or {}, spec.sentinel)
-    entities = attach(entities, statics)
-    if labels is not None:
-        entities = attach(entities, labels.select("id", F.col(labels.columns[1]).alias(spec.target_col)))
+    if entities is None:
+        entities = static_from_log(log, static_map or {}, spec.sentinel)
+        entities = attach(entities, statics)
+        if labels is not None:
+            entities = attach(entities, labels.select("id", F.col(labels.columns[1]).alias(spec.target_col)))
     ent_cols = [c for c in entities.columns if c != "id"]
     sp = spine(entities, spec)
 
@@ -104,7 +108,7 @@ def build_grid(log: DataFrame, spec: PanelSpec, width: int, static_map: dict | N
     cols = [F.col("id").alias(spec.id_col), F.col(spec.time_col)]
     cols += [(F.col(c) if c in grid.columns else F.lit(None)).cast("double").alias(c) for c in spec.static]
     cols += [F.col(c).cast("double").alias(c) for c in spec.dynamic]
-    if labels is not None:
+    if spec.target_col in ent_cols:
         cols.append(F.col(spec.target_col))
     return grid.select(*cols)
 

@@ -13,9 +13,7 @@ from hourglass.sources.tables import EVENTS_SPEC, LINEITEM_SPEC
 def events_grid(spark: SparkSession, sf_dir: str, labelled: bool = True) -> DataFrame:
     """Raw events → daily causal panel with statics, labels and split."""
     log = tables.events_log(spark, sf_dir)
-    g = grid.build_grid(log, EVENTS_SPEC, tables.DAY_US,
-                        statics=tables.customer_statics(spark, sf_dir),
-                        labels=tables.events_outcomes(spark, sf_dir) if labelled else None)
+    g = grid.build_grid(log, EVENTS_SPEC, tables.DAY_US, entities=tables.events_entities(spark, sf_dir, labelled))
     return tables.with_split(g, EVENTS_SPEC)
 
 

@@ -97,3 +97,25 @@ def lineitem_log(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   for m in LINEITEM_MEASURES])).alias("kv")
     return li.select(F.col("l_suppkey").alias("id"), elapsed_us("l_shipdate", LINEITEM_ORIGIN).alias("elapsed"),
                      ord_.alias("ord"), stacked).select("id", "elapsed", "kv.parameter", "kv.value", "ord")
+
+
+def events_entities(spark: SparkSession, sf_dir: str, labelled: bool = True) -> DataFrame:
+    """Every user of ``events`` with statics and (optionally) the derived label, from ONE per-user
+    aggregation of the log plus one id-granularity join with ``customer`` — the same values as
+    ``customer_statics`` + ``events_outcomes``, without scanning the log twice."""
+    from hourglass.session import small_side
+
+    ev = table(spark, sf_dir, "events")
+    per = ev.groupBy(F.col("user_id").alias("id")).agg(
+        F.coalesce(F.sum(F.when(F.col("event_type") == "error", F.col("value"))), F.lit(0.0)).alias("_err"))
+    c = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("acctbal"),
+        (F.col("c_mktsegment") == "BUILDING").cast("double").alias("building"),
+        F.col("c_nationkey").cast("double").alias("nation"), F.col("c_mktsegment").alias("_seg"))
+    j = per.join(small_side(c), "id", "left")
+    cols = ["id", "acctbal", "building", "nation"]
+    if labelled:
+        lab = F.when(F.col("_seg").isNotNull() & (F.col("_seg") != UNLABELLED_SEGMENT),
+                     (F.col("_err") > F.lit(LABEL_ERROR_TOTAL)).cast("int"))
+        return j.select(*cols, lab.alias(EVENTS_SPEC.target_col))
+    return j.select(*cols)

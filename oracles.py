@@ -1050,8 +1050,9 @@ def sql_subset_ids() -> str:
 
 def sql_masked_mean() -> str:
     dims = ["t_scaled", "value_scaled"] + [f"CAST(var_idx = {i} AS DOUBLE)" for i in range(len(FEATURES))]
-    return with_(ctes_tokens(), f"SELECT user_id, {lst6('[' + ', '.join(f'avg({d})' for d in dims) + ']')} AS pooled "
-                                f"FROM ev_tokens GROUP BY user_id")
+    # summed in sequence order (deterministic, like the per-row array fold) rather than a parallel avg
+    sums = ", ".join(f"list_sum(list({d} ORDER BY t_scaled, var_idx)) / count(*)" for d in dims)
+    return with_(ctes_tokens(), f"SELECT user_id, {lst6('[' + sums + ']')} AS pooled FROM ev_tokens GROUP BY user_id")
 
 
 def sql_tokens_non_empty() -> str:
