@@ -293,12 +293,9 @@ def q_contrastive_dataset(spark, sf):
 
 
 def q_kmeans_report(spark, sf):
-    """V5 + V13: K-Means (k = 2, 10 seeded restarts) scored against the binary label (label < 5):
-    ARI, NMI and cluster counts from the contingency table, plus the squared-Euclidean silhouette."""
-    km = vectors.kmeans_restarts(_emb(spark, sf), "embedding", k=2, n_init=10, seed=42)
-    km = km.withColumn("binary", (F.col("label") < 5).cast("int"))
-    sil = vectors.silhouette(km, "embedding", "cluster").first()["silhouette"]
-    return vectors.contingency_scores(km, "binary", "cluster").withColumn("silhouette", F.lit(sil))
+    """V5 + V13: clustering report against the binary label (label < 5), K-Means k = 2 with 10 restarts."""
+    e = _emb(spark, sf).withColumn("binary", (F.col("label") < 5).cast("int"))
+    return vectors.clustering_report(e, "embedding", "binary", k=2, n_init=10, seed=42)
 
 
 def q_pca(spark, sf):
@@ -515,6 +512,17 @@ def q_score_with(spark, sf):
     return models.score_with(t, factory, "x", "user_id", "label")
 
 
+def q_side_by_side(spark, sf):
+    """Embedding, label and sign-pattern cluster written side by side by id, read back."""
+    from hourglass.sources import sinks
+    e = _emb(spark, sf)
+    path = roundtrip.scratch(spark, "side-by-side", sf)
+    sinks.write_side_by_side([e.select(F.col("vec_id").alias("id"), "embedding"),
+                              e.select(F.col("vec_id").alias("id"), "label"),
+                              e.select(F.col("vec_id").alias("id"), _sign_cluster().alias("cluster"))], path)
+    return spark.read.parquet(path)
+
+
 _QUERIES = {
     "events_grid": q_events_grid,
     "events_clean": q_events_clean,
@@ -610,6 +618,7 @@ _QUERIES = {
     "augment": q_augment,
     "summary_json": q_summary_json,
     "score_with": q_score_with,
+    "side_by_side": q_side_by_side,
 }
 
 _ORACLES = {
@@ -693,6 +702,7 @@ _ORACLES = {
     "subset_ids": O.sql_subset_ids,
     "masked_mean": O.sql_masked_mean,
     "tokens_non_empty": O.sql_tokens_non_empty,
+    "side_by_side": O.sql_side_by_side,
 }
 
 

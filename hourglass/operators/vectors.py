@@ -119,21 +119,22 @@ def channel_weighted(channels: DataFrame, id_col: str, weights: dict, emb_col: s
 
 # ------------------------------------------------------------------ V5 / V15: Spark ML
 def kmeans_restarts(df: DataFrame, emb_col: str = "embedding", k: int = 2, n_init: int = 10, seed: int = 42,
-                    max_iter: int = 300) -> DataFrame:
-    """V5: K-Means with ``n_init`` seeded restarts; the run with the lowest training cost is kept.
-    Adds ``cluster`` (int)."""
+                    max_iter: int = 300, parallelism: int = 8) -> DataFrame:
+    """V5: K-Means with ``n_init`` seeded restarts fitted concurrently; the run with the lowest training
+    cost is kept (ties → the earliest seed). Adds ``cluster`` (int)."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
-    v = df.withColumn("_vec", array_to_vector(as_double_array(emb_col))).cache()
-    best, best_cost = None, None
-    for i in range(n_init):
-        model = KMeans(k=k, seed=seed + i, featuresCol="_vec", predictionCol="cluster", maxIter=max_iter).fit(v)
-        cost = model.summary.trainingCost
-        if best_cost is None or cost < best_cost:
-            best, best_cost = model, cost
-    out = best.transform(v).drop("_vec").withColumn("cluster", F.col("cluster").cast("int"))
-    return out
+    from hourglass.plans.models import fit_many, sized
+    from hourglass.session import reuse
+
+    v = df.withColumn("_vec", array_to_vector(as_double_array(emb_col)))
+    v = reuse(sized(v, v.count()))
+    ests = [KMeans(k=k, seed=seed + i, featuresCol="_vec", predictionCol="cluster", maxIter=max_iter, tol=1e-4)
+            for i in range(n_init)]
+    models = fit_many(ests, [v] * n_init, parallelism)
+    best = min(range(n_init), key=lambda i: (models[i].summary.trainingCost, i))
+    return models[best].transform(v).drop("_vec").withColumn("cluster", F.col("cluster").cast("int"))
 
 
 def pca_2d(df: DataFrame, emb_col: str = "embedding", k: int = 2) -> DataFrame:
@@ -258,6 +259,21 @@ def contingency_scores(df: DataFrame, a: str, b: str) -> DataFrame:
     return agg.select(ari.alias("ari"), nmi.alias("nmi"), "n_clusters_a", "n_clusters_b")
 
 
+def clustering_report(df: DataFrame, emb_col: str, label_col: str, k: int = 2, n_init: int = 10,
+                      seed: int = 42) -> DataFrame:
+    """One row — silhouette (V6) and Davies–Bouldin (V7) of the true labels, then K-Means (V5) scored
+    against the labels with ARI / NMI / cluster counts (V8–V10) and its own silhouette."""
+    sil_true = silhouette(df, emb_col, label_col).first()["silhouette"]
+    db_true = davies_bouldin(df, emb_col, label_col).first()["davies_bouldin"]
+    km = kmeans_restarts(df, emb_col, k=k, n_init=n_init, seed=seed)
+    sil_km = silhouette(km, emb_col, "cluster").first()["silhouette"]
+    return contingency_scores(km, label_col, "cluster").select(
+        F.lit(sil_true).alias("silhouette_labels"), F.lit(db_true).alias("davies_bouldin_labels"),
+        F.col("ari").alias("kmeans_ari"), F.col("nmi").alias("kmeans_nmi"),
+        F.col("n_clusters_a").alias("n_label_classes"), F.col("n_clusters_b").alias("n_kmeans_clusters"),
+        F.lit(sil_km).alias("silhouette_kmeans"))
+
+
 # ------------------------------------------------------------------ V16–V20: contrastive statistics
 def assign_batches(df: DataFrame, order_col: str, batch_size: int) -> DataFrame:
     """Consecutive batches of ``batch_size`` rows in ``order_col`` order (last partial batch kept)."""

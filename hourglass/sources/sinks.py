@@ -117,3 +117,12 @@ def manifest(emb: DataFrame, split_col: str = "split", emb_col: str = "embedding
     return emb.groupBy(split_col).agg(F.count(F.lit(1)).alias("n"), F.max(F.size(emb_col)).alias("dim"),
                                       F.count(label_col).alias("n_labelled")) \
         .withColumn("has_ids", F.lit(id_col in emb.columns))
+
+
+def write_side_by_side(parts: list[DataFrame], path: str, id_col: str = "id") -> None:
+    """Embeddings, labels, statics and cluster assignments stored together — one Parquet row per id
+    holding all columns, aligned by key (equi-joins on the id), never by array position."""
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.join(p, id_col, "left")
+    out.write.mode("overwrite").parquet(path)

@@ -1058,3 +1058,7 @@ def sql_masked_mean() -> str:
 def sql_tokens_non_empty() -> str:
     return with_(ctes_tokens(), """SELECT 'tokens_non_empty' AS "check", count(*) > 0 AS ok,
         printf('%d tokens', count(*)) AS detail FROM ev_tokens""")
+
+
+def sql_side_by_side() -> str:
+    return f"SELECT vec_id AS id, embedding, label, {sign_cluster_sql()} AS cluster FROM embeddings"
