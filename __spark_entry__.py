@@ -6,13 +6,17 @@ columns are rounded to 6 places at the end of each query, and the DuckDB SQL doe
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-import oracles as O
+import oracles as O  # noqa: E402
 from hourglass.functions import metrics
 from hourglass.operators import (features, grid, prep, profile, prompts, quality, sampling, sequences, tokens,
                                  vectors)

@@ -27,8 +27,35 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str
 
 
 def configure(spark: SparkSession) -> None:
-    """Settings every operator assumes (UTC wall clock for timestamp_ntz arithmetic)."""
+    """Settings every operator assumes (UTC wall clock for timestamp_ntz arithmetic), and the package
+    shipped to the Python workers that run the pandas hooks."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ship_package(spark)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``hourglass`` importable in Python workers (``addPyFile`` of a zip built once per
+    SparkContext), so it works however the driver loaded it — like ``spark-submit --py-files``."""
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="hourglass-pyfiles-"), "hourglass.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
