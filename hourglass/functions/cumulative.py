@@ -1,9 +1,9 @@
 """Distributed running sums within groups along a numeric order key.
 
 ``Window.partitionBy(g).orderBy(k)`` puts a whole group in one task; for metric tables with one or a
-few groups that is one task for everything. Here every row gets a deterministic *bucket* — the number
-of approximate quantile boundaries of the order key that are ≤ its key (boundaries computed once and
-inlined as literals, so any recomputation, e.g. after an executor loss, assigns the same bucket). Each
+few groups that is one task for everything. Here every row gets a deterministic *bucket* — the slot of
+its key among approximate quantile boundaries of the order key (boundaries computed once and
+inlined as Bucketizer splits, so any recomputation, e.g. after an executor loss, assigns the same bucket). Each
 (bucket, group) slice gets a local running sum, and a table with one row per (bucket, group) supplies
 the offset of everything before it.
 """
@@ -16,14 +16,26 @@ from pyspark.sql import functions as F
 from hourglass.session import small_side
 
 
-def bucket_of(df: DataFrame, order_col: str, n_buckets: int) -> F.Column:
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    row = df.agg(F.percentile_approx(F.col(order_col).cast("double"), probs, 10000).alias("b")).first()
-    bounds = sorted(set(float(x) for x in (row["b"] or [])))
+MAX_BUCKETS = 4096
+
+
+def with_bucket(df: DataFrame, order_col: str, n_buckets: int, out_col: str = "_bk") -> DataFrame:
+    """Adds the bucket of each row: approximate quantile boundaries of the order key (one sketch pass,
+    ≤ MAX_BUCKETS − 1 values inlined as splits), located by binary search (``Bucketizer``)."""
+    from pyspark.ml.feature import Bucketizer
+
+    n = max(1, min(int(n_buckets), MAX_BUCKETS))
+    probs = [i / n for i in range(1, n)]
+    row = df.agg(F.percentile_approx(F.col(order_col).cast("double"), probs, 10000).alias("b")).first() if probs else None
+    bounds = sorted(set(float(x) for x in ((row["b"] if row else None) or [])))
     if not bounds:
-        return F.lit(0)
-    arr = F.array(*[F.lit(b) for b in bounds])
-    return F.size(F.filter(arr, lambda b: b <= F.col(order_col).cast("double")))
+        return df.withColumn(out_col, F.lit(0.0))
+    key = f"{out_col}_key"
+    splits = [float("-inf")] + bounds + [float("inf")]
+    # a key equal to a boundary belongs to the bucket that starts there (splits are left-closed)
+    out = Bucketizer(splits=splits, inputCol=key, outputCol=out_col, handleInvalid="keep").transform(
+        df.withColumn(key, F.col(order_col).cast("double")))
+    return out.drop(key)
 
 
 def running_sums(df: DataFrame, groups: list[str], order_col: str, cols: list[str],
@@ -34,7 +46,7 @@ def running_sums(df: DataFrame, groups: list[str], order_col: str, cols: list[st
     """
     spark = df.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    b = df.withColumn("_bk", bucket_of(df, order_col, n))
+    b = with_bucket(df, order_col, n)
     w_local = (Window.partitionBy("_bk", *groups).orderBy(order_col)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = b.select("*", *[F.sum(c).over(w_local).alias(f"_loc_{c}") for c in cols])
