@@ -55,9 +55,16 @@ def events_as_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stat.unionByName(ev_rows)
 
 
+_WRITTEN: set = set()
+
+
 def write_event_logs(spark: SparkSession, sf_dir: str) -> str:
+    """Write the per-user logs once per application and scale factor (the inputs are read-only)."""
     path = scratch(spark, "event-logs", sf_dir)
-    logs.write_logs(events_as_logs(spark, sf_dir), path, "entity")
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _WRITTEN:
+        logs.write_logs(events_as_logs(spark, sf_dir), path, "entity")
+        _WRITTEN.add(key)
     return path
 
 

@@ -14,9 +14,10 @@ from hourglass.functions.quantiles import exact_quantiles, quantile_row
 @given(st.lists(st.integers(min_value=-5, max_value=5), min_size=1, max_size=60))
 def test_exact_quantiles_match_numpy(spark, xs):
     df = spark.createDataFrame([(float(x),) for x in xs], "x double")
-    got = quantile_row(df, ["x"], [0.0, 0.25, 0.5, 0.75, 1.0])["x"]
     want = np.percentile(np.asarray(xs, dtype=float), [0, 25, 50, 75, 100])
-    assert np.allclose(got, want)
+    for limit in (0, 10 ** 6):  # distributed path and size-checked buffer path
+        got = quantile_row(df, ["x"], [0.0, 0.25, 0.5, 0.75, 1.0], buffer_limit=limit)["x"]
+        assert np.allclose(got, want)
 
 
 def test_grouped_quantiles(spark):
