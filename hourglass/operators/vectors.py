@@ -188,19 +188,24 @@ def silhouette(df: DataFrame, emb_col: str, label_col: str, max_clusters: int =
     stats = F.array(*[F.struct(F.lit(r["c"]).alias("c"), F.lit(int(r["n"])).alias("n"),
                                F.lit(float(r["sq"])).alias("sq"),
                                F.array(*[F.lit(float(v)) for v in r["sum"]]).alias("sum")) for r in rows])
-    x = as_double_array(emb_col)
-    xx = dot(x, x)
+    # materialise the per-row vectors once: interpreted lambdas would otherwise be re-evaluated per use
+    base = df.select(F.col(label_col).alias("_c"), as_double_array(emb_col).alias("_x"))
+    base = base.select("_c", "_x", dot(F.col("_x"), F.col("_x")).alias("_xx"))
     # total squared distance to every member of each cluster
     tot = F.transform(stats, lambda s: F.struct(
         s["c"].alias("c"), s["n"].alias("n"),
-        (s["n"].cast("double") * xx - F.lit(2.0) * dot(x, s["sum"]) + s["sq"]).alias("t")))
-    own = F.filter(tot, lambda s: s["c"] == F.col(label_col))[0]
-    a = F.when(own["n"] > 1, own["t"] / (own["n"] - 1).cast("double"))
-    others = F.filter(tot, lambda s: s["c"] != F.col(label_col))
+        (s["n"].cast("double") * F.col("_xx") - F.lit(2.0) * dot(F.col("_x"), s["sum"]) + s["sq"]).alias("t")))
+    base = base.select("_c", tot.alias("_tot"))
+    own = F.filter(F.col("_tot"), lambda s: s["c"] == F.col("_c"))[0]
+    base = base.select("_tot", "_c", own["n"].alias("_on"), own["t"].alias("_ot"))
+    a = F.when(F.col("_on") > 1, F.col("_ot") / (F.col("_on") - 1).cast("double"))
+    others = F.filter(F.col("_tot"), lambda s: s["c"] != F.col("_c"))
     b = F.array_min(F.transform(others, lambda s: s["t"] / s["n"].cast("double")))
+    base = base.select(a.alias("_a"), b.alias("_b"))
+    a, b = F.col("_a"), F.col("_b")
     sil = F.when(a.isNull() | b.isNull(), F.lit(0.0)).otherwise(
         F.when(F.greatest(a, b) > 0, (b - a) / F.greatest(a, b)).otherwise(F.lit(0.0)))
-    return df.select(sil.alias("s")).agg(F.avg("s").alias("silhouette"))
+    return base.select(sil.alias("s")).agg(F.avg("s").alias("silhouette"))
 
 
 def davies_bouldin(df: DataFrame, emb_col: str, label_col: str, max_clusters: int = 10000) -> DataFrame:
