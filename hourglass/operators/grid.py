@@ -15,7 +15,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from hourglass.functions.exprs import ceil_bin
 from hourglass.session import small_side

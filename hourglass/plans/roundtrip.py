@@ -11,7 +11,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourglass.operators import grid, prep
+from hourglass.operators import grid
 from hourglass.session import checkpoint_dir
 from hourglass.sources import logs, sinks, tables
 from hourglass.sources.tables import EVENTS_SPEC
@@ -87,8 +87,6 @@ def raw_log_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def embedding_store_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S10 → S13: write the embedding store by split, read it back, summarise per split."""
-    from hourglass.plans.evaluation import doc_split  # noqa: F401 - same split rule family
-
     emb = tables.table(spark, sf_dir, "embeddings")
     m = F.pmod(F.col("vec_id"), F.lit(4))
     store = emb.select(F.when(m <= 1, "a").when(m == 2, "b").otherwise("c").alias("split"),
