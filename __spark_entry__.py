@@ -707,6 +707,8 @@ _ORACLES = {
     "masked_mean": O.sql_masked_mean,
     "tokens_non_empty": O.sql_tokens_non_empty,
     "side_by_side": O.sql_side_by_side,
+    "positions": O.sql_positions,
+    "score_with": O.sql_score_with,
 }
 
 

@@ -1062,3 +1062,25 @@ def sql_tokens_non_empty() -> str:
 
 def sql_side_by_side() -> str:
     return f"SELECT vec_id AS id, embedding, label, {sign_cluster_sql()} AS cluster FROM embeddings"
+
+
+def sql_positions() -> str:
+    """Q8: each fixed-sequence row plus sin/cos position features (base 10000; sin on even dims)."""
+    d = float(len(FEATURES))
+    row = "[" + ", ".join(f"CAST({c} AS DOUBLE)" for c in FEATURES) + "]"
+    pe = (f"CASE WHEN (k - 1) % 2 = 0 THEN sin((p - 1) / pow(10000.0, ((k - 1) - (k - 1) % 2) / {d})) "
+          f"ELSE cos((p - 1) / pow(10000.0, ((k - 1) - (k - 1) % 2) / {d})) END")
+    added = f"list_transform(seq, lambda r, p: list_transform(r, lambda x, k: x + {pe}))"
+    return with_(ctes_linear() + [f"sq AS (SELECT user_id, list({row} ORDER BY day) AS seq FROM ev_linear GROUP BY user_id)"],
+                 f"SELECT user_id, {lst6_2(added)} AS seq FROM sq")
+
+
+def sql_score_with() -> str:
+    """The user model is a logistic function of the last-state features with linspace(-1, 1) weights."""
+    import numpy as np
+
+    w = np.linspace(-1.0, 1.0, len(FEATURES))
+    last = {c: f"arg_max({c}, CASE WHEN {c} IS NOT NULL THEN day END)" for c in FEATURES}
+    dotp = " + ".join(f"coalesce({last[c]}, 0.0) * {float(wi)!r}" for c, wi in zip(FEATURES, w))
+    return with_(ctes_linear(), f"""SELECT user_id, arg_min(label, day) AS label,
+        {r6(f'1.0 / (1.0 + exp(-({dotp}) / 100.0))')} AS y_prob FROM ev_linear GROUP BY user_id""")
