@@ -296,4 +296,5 @@ def evaluate_answers(answers: DataFrame, label_col: str = "label", mode: str = "
         d = metrics.fail_as_wrong(d, "score", label_col, "scale")
         m = metrics.scale_metrics(d, "score", label_col, threshold)
     c = d.agg(F.sum(F.col("failed").cast("long")).alias("failed"), F.count(F.lit(1)).alias("n_answers")).first()
-    return m.withColumn("failed", F.lit(int(c["failed"] or 0))).withColumn("n_answers", F.lit(int(c["n_answers"])))
+    return m.withColumn("failed", F.lit(int(c["failed"] or 0)).cast("long")) \
+        .withColumn("n_answers", F.lit(int(c["n_answers"])).cast("long"))

@@ -60,7 +60,7 @@ def ctes_grid() -> list[str]:
     FROM ev_binned WHERE day <= 30 GROUP BY id, day)""",
         """ev_static AS (
     SELECT c_custkey AS id, c_acctbal AS acctbal,
-           CASE WHEN c_mktsegment = 'BUILDING' THEN 1.0 ELSE 0.0 END AS building,
+           CAST(CASE WHEN c_mktsegment = 'BUILDING' THEN 1.0 ELSE 0.0 END AS DOUBLE) AS building,
            CAST(c_nationkey AS DOUBLE) AS nation
     FROM customer)""",
         """ev_labels AS (
@@ -976,7 +976,7 @@ def sql_raw_log_grid() -> str:
     bn AS (SELECT id, CAST(ceil(m / 1440.0) AS BIGINT) AS day, parameter, value, ord FROM lg WHERE m >= 0 AND value <> -1.0),
     cells AS (SELECT id, day, {cells} FROM bn WHERE day <= 30 GROUP BY id, day),
     st AS (SELECT c_custkey AS id, CASE WHEN c_acctbal <> -1.0 THEN c_acctbal END AS acctbal,
-                  CASE WHEN c_mktsegment = 'BUILDING' THEN 1.0 ELSE 0.0 END AS building,
+                  CAST(CASE WHEN c_mktsegment = 'BUILDING' THEN 1.0 ELSE 0.0 END AS DOUBLE) AS building,
                   CASE WHEN c_nationkey <> -1 THEN CAST(c_nationkey AS DOUBLE) END AS nation FROM customer),
     {ctes_grid()[4]},
     g AS (SELECT e.id AS user_id, CAST(d.day AS BIGINT) AS day, s.acctbal, s.building, s.nation,
@@ -993,12 +993,12 @@ def sql_raw_log_rejects() -> str:
 
 
 def sql_embedding_manifest() -> str:
-    return f"""SELECT {split_expr('vec_id')} AS split, CAST(count(*) AS BIGINT) AS n, max(len(embedding)) AS dim,
+    return f"""SELECT {split_expr('vec_id')} AS split, CAST(count(*) AS BIGINT) AS n, CAST(max(len(embedding)) AS INTEGER) AS dim,
         CAST(count(label) AS BIGINT) AS n_labelled, true AS has_ids FROM embeddings GROUP BY 1"""
 
 
 def sql_positional_embeddings() -> str:
-    return f"SELECT embedding, label, vec_id FROM embeddings"
+    return f"SELECT {lst6(dbl())} AS embedding, label, vec_id FROM embeddings"
 
 
 def sql_panel_roundtrip() -> str:
@@ -1061,7 +1061,7 @@ def sql_tokens_non_empty() -> str:
 
 
 def sql_side_by_side() -> str:
-    return f"SELECT vec_id AS id, embedding, label, {sign_cluster_sql()} AS cluster FROM embeddings"
+    return f"SELECT vec_id AS id, {lst6(dbl())} AS embedding, label, {sign_cluster_sql()} AS cluster FROM embeddings"
 
 
 def sql_positions() -> str:
