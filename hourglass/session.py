@@ -42,11 +42,15 @@ def ship_package(spark: SparkSession) -> None:
     import os
     import zipfile
 
-    sc = spark.sparkContext
-    key = sc.applicationId
+    try:
+        sc = spark.sparkContext
+        key = sc.applicationId
+    except Exception:  # noqa: BLE001 - no JVM context (e.g. a remote client): nothing to ship
+        return
     if key in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
+    # a code artifact on the driver that Spark itself distributes to executors (like --py-files)
     out = os.path.join(tempfile.mkdtemp(prefix="hourglass-pyfiles-"), "hourglass.zip")
     with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
         for root, _, files in os.walk(pkg):
