@@ -527,6 +527,25 @@ def q_side_by_side(spark, sf):
     return spark.read.parquet(path)
 
 
+def q_concat_features(spark, sf):
+    """Q4: scaled panel ‖ observation mask ‖ time since last observation, one array per (user, day),
+    computed under one window from the cleaned panel (train-fitted defaults and scaler)."""
+    from hourglass.session import reuse
+    clean = reuse(panel.events_clean(spark, sf))
+    defaults = prep.params_dict(prep.fit_fill_defaults(clean, SPEC))
+    scaler = prep.params_dict(prep.fit_linear(prep.forward_fill(clean, SPEC, defaults), SPEC))
+    return sequences.concat_one_pass(clean, SPEC, defaults, scaler)
+
+
+def q_results_roundtrip(spark, sf):
+    """The leaderboard written as CSV with header and read back with its schema."""
+    from hourglass.sources import sinks
+    board = evaluation.config_board(spark, sf)
+    path = roundtrip.scratch(spark, "leaderboard-csv", sf)
+    sinks.write_results(board, path)
+    return spark.read.option("header", "true").schema(board.schema).csv(path)
+
+
 _QUERIES = {
     "events_grid": q_events_grid,
     "events_clean": q_events_clean,
@@ -623,6 +642,8 @@ _QUERIES = {
     "summary_json": q_summary_json,
     "score_with": q_score_with,
     "side_by_side": q_side_by_side,
+    "concat_features": q_concat_features,
+    "results_roundtrip": q_results_roundtrip,
 }
 
 _ORACLES = {
@@ -709,6 +730,8 @@ _ORACLES = {
     "side_by_side": O.sql_side_by_side,
     "positions": O.sql_positions,
     "score_with": O.sql_score_with,
+    "concat_features": O.sql_concat_features,
+    "results_roundtrip": O.sql_leaderboard,
 }
 
 

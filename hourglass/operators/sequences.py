@@ -205,3 +205,31 @@ def length_stats(seqs: DataFrame, group_col: str | None = None) -> DataFrame:
     keys = [group_col] if group_col else []
     return seqs.groupBy(*keys).agg(F.avg("length").alias("avg_length"), F.max("length").alias("max_length"),
                                    F.count(F.lit(1)).alias("n_sequences"))
+
+
+def concat_one_pass(clean: DataFrame, spec: PanelSpec, defaults: dict, scaler: dict) -> DataFrame:
+    """Q4 without a join: forward fill + linear transform (C4–C9 with fitted ``defaults`` / ``scaler``)
+    and mask / delta (Q3) computed from the same raw rows under ONE window, then concatenated.
+    One Exchange by entity instead of two window pipelines joined on (id, time)."""
+    from hourglass.functions.exprs import binary01, safe_log1p
+
+    w = (Window.partitionBy(spec.id_col).orderBy(spec.time_col)
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    feats = [c for c in spec.features if c in clean.columns]
+    base = []
+    for c in feats:
+        x = F.last(c, ignorenulls=True).over(w)
+        if c in defaults:
+            x = F.coalesce(x, F.lit(float(defaults[c]["fill_value"])))
+        if c in spec.binary:
+            x = binary01(binary01(x))
+        elif c in spec.log:
+            x = safe_log1p(x)
+        if c in scaler:
+            med = scaler[c]["median"]
+            x = (x - F.lit(0.0 if med is None else float(med))) / F.lit(float(scaler[c]["iqr"]))
+        base.append(x.cast("double"))
+    md = mask_delta_exprs(spec, feats)
+    masks = [e.cast("double") for e in md[:len(feats)]]
+    deltas = md[len(feats):]
+    return clean.select(spec.id_col, spec.time_col, F.concat(F.array(*base), F.array(*masks), F.array(*deltas)).alias("x"))

@@ -1084,3 +1084,14 @@ def sql_score_with() -> str:
     dotp = " + ".join(f"coalesce({last[c]}, 0.0) * {float(wi)!r}" for c, wi in zip(FEATURES, w))
     return with_(ctes_linear(), f"""SELECT user_id, arg_min(label, day) AS label,
         {r6(f'1.0 / (1.0 + exp(-({dotp}) / 100.0))')} AS y_prob FROM ev_linear GROUP BY user_id""")
+
+
+def sql_concat_features() -> str:
+    """Q4: linear values, then masks, then deltas (raw clean panel) for each (user, day)."""
+    w = "OVER (PARTITION BY user_id ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    masks = [f"CAST({c} IS NOT NULL AS DOUBLE)" for c in FEATURES]
+    deltas = [f"CAST(coalesce(day - last_value(CASE WHEN {c} IS NOT NULL THEN day END IGNORE NULLS) {w}, day + 1) AS DOUBLE)"
+              for c in FEATURES]
+    return with_(ctes_linear() + [f"md AS (SELECT user_id, day, [{', '.join(masks)}] AS m, [{', '.join(deltas)}] AS d FROM ev_clean)"],
+                 f"""SELECT l.user_id, l.day, {lst6(f"list_concat([{', '.join('CAST(l.' + c + ' AS DOUBLE)' for c in FEATURES)}], md.m, md.d)")} AS x
+                 FROM ev_linear l JOIN md ON l.user_id = md.user_id AND l.day = md.day""")
