@@ -294,7 +294,7 @@ def batch_statistics(df: DataFrame, z1: str, z2: str, tau: float = 0.1) -> DataF
     uniformity log mean exp(−2‖z1_i − z1_j‖²) over all ordered pairs (i = j included), collapse = mean
     cosine over i ≠ j. Input rows carry ``batch_id``; each group is one batch (≤ batch size rows).
     """
-    def per_batch(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def per_batch(key, pdf):
         a = np.stack([np.asarray(v, dtype=float) for v in pdf[z1]])
         b = np.stack([np.asarray(v, dtype=float) for v in pdf[z2]])
         n = len(a)
