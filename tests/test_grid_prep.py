@@ -101,3 +101,12 @@ def test_fill_is_idempotent_and_causal(spark, icu_spec):
     a = prep.forward_fill(df, icu_spec, {"HR": {"fill_value": -5.0}}).where("Time <= 4").collect()
     b = prep.forward_fill(later, icu_spec, {"HR": {"fill_value": -5.0}}).where("Time <= 4").collect()
     assert sorted(a) == sorted(b)
+
+
+def test_grid_partition_invariance(spark, icu_spec):
+    rows = [(i % 7, f"{(i * 13) % 50:02d}:{(i * 7) % 60:02d}", ("HR", "Temp", "Weight")[i % 3], str(30 + i % 17), i)
+            for i in range(400)]
+    log = eav(spark, rows)
+    a = grid.build_grid(log.repartition(1), icu_spec, 60).collect()
+    b = grid.build_grid(log.repartition(13), icu_spec, 60).collect()
+    assert sorted(a) == sorted(b) and len(a) == 7 * 49
