@@ -79,3 +79,20 @@ def test_partition_invariance(spark, icu_spec):
     a = features.last_state(df.repartition(1), icu_spec).collect()
     b = features.last_state(df.repartition(13), icu_spec).collect()
     assert sorted(a) == sorted(b)
+
+
+def test_concat_one_pass_equals_join(spark, icu_spec):
+    from hourglass.operators import prep
+
+    rows = [(i, t) + tuple(((float((i * 3 + t * 5 + k) % 11) + 31.0) if (i + t + k) % 4 else None)
+                           for k, _ in enumerate(icu_spec.features)) for i in range(5) for t in range(6)]
+    schema = "PatientID long, Time long, " + ", ".join(f"{c} double" for c in icu_spec.features)
+    clean = spark.createDataFrame(rows, schema)
+    defaults = {c: {"fill_value": 1.5} for c in icu_spec.features}
+    ff = prep.forward_fill(clean, icu_spec, defaults)
+    scaler = prep.params_dict(prep.fit_robust_scaler(prep.linear_transform(ff, icu_spec), icu_spec.scaled))
+    joined = sequences.concat_features(prep.make_linear(ff, icu_spec, scaler), sequences.mask_delta(clean, icu_spec),
+                                       icu_spec).collect()
+    one = sequences.concat_one_pass(clean, icu_spec, defaults, scaler).collect()
+    norm = lambda rs: sorted((r[0], r[1], [round(v, 9) for v in r[2]]) for r in rs)
+    assert norm(joined) == norm(one)
