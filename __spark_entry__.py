@@ -740,9 +740,31 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["engineered_features"](spark, "/root/testdata/sf0.001")
 
 
+def _training_data() -> tuple[dict, dict]:
+    """Queries and SQL of the training-data subpackage and of the corpus pipeline, where they are installed."""
+    try:
+        import corpus_pipeline
+        from hourglass.llm import queries as llm
+    except ModuleNotFoundError as e:
+        if not (e.name or "").startswith(("hourglass.llm", "corpus_pipeline")):
+            raise
+        return {}, {}
+    sql = dict(llm.ORACLES)
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {**llm.QUERIES, "pipeline": corpus_pipeline.run}, sql
+
+
+def _configured(fn):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        configure(spark)
+        return fn(spark, sf_dir)
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: _q(v) for k, v in _QUERIES.items()}
+    return {**{k: _q(v) for k, v in _QUERIES.items()}, **{k: _configured(v) for k, v in _training_data()[0].items()}}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v() for k, v in _ORACLES.items()}
+    return {**{k: v() for k, v in _ORACLES.items()}, **_training_data()[1]}
