@@ -6,13 +6,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourglass.llm import decontaminate, line_rules, token_counts
+from hourglass.llm import bpe, decontaminate, line_rules, substring, token_counts
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op3_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    return bpe.encode(_table(spark, sf, "documents"), with_ids=False)
+
+
 def op4_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     counts = token_counts.token_counts(_table(spark, sf, "documents"))
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
@@ -26,11 +30,16 @@ def op5_decontamination(spark: SparkSession, sf: str) -> DataFrame:
                         (hit > 0).alias("contaminated"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return substring.substring_dedup(_table(spark, sf, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op8_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     rules = line_rules.line_rules(_table(spark, sf, "documents"))
     return rules.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                         "base_failed", "n_removed_words", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op4_token_counts, op5_decontamination, op8_quality_rules)}
+QUERIES = {f.__name__: f for f in (
+    op3_byte_bpe, op4_token_counts, op5_decontamination, op6_substring_dedup, op8_quality_rules)}
 ORACLES: dict[str, str] = {}
