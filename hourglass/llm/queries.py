@@ -6,13 +6,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourglass.llm import bpe, decontaminate, line_rules, substring, token_counts
+from hourglass.llm import bpe, decontaminate, line_rules, lsh_forest, substring, token_counts
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op2_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    return lsh_forest.near_duplicates(_table(spark, sf, "documents"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.encode(_table(spark, sf, "documents"), with_ids=False)
 
@@ -41,5 +45,5 @@ def op8_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_byte_bpe, op4_token_counts, op5_decontamination, op6_substring_dedup, op8_quality_rules)}
+    op2_near_duplicates, op3_byte_bpe, op4_token_counts, op5_decontamination, op6_substring_dedup, op8_quality_rules)}
 ORACLES: dict[str, str] = {}
