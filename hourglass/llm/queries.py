@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourglass.llm import bpe, decontaminate, line_rules, lsh_forest, substring, token_counts
+from hourglass.llm import bpe, decontaminate, html_extract, line_rules, lsh_forest, substring, token_counts, warc
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -44,6 +44,16 @@ def op8_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
                         "base_failed", "n_removed_words", "kept")
 
 
+def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
+    return warc.archive_round_trip(_table(spark, sf, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op10_html_text(spark: SparkSession, sf: str) -> DataFrame:
+    return html_extract.extract_main_text(_table(spark, sf, "pages"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op2_near_duplicates, op3_byte_bpe, op4_token_counts, op5_decontamination, op6_substring_dedup, op8_quality_rules)}
+    op2_near_duplicates, op3_byte_bpe, op4_token_counts, op5_decontamination, op6_substring_dedup, op8_quality_rules,
+    op9_warc, op10_html_text)}
 ORACLES: dict[str, str] = {}
