@@ -3,7 +3,7 @@
 The normalised test items form one automaton over words. Training texts stream through it: at every word
 the longest suffix of what was read that occurs in an item is known. Where that length reaches ``width``,
 the last ``width`` words are a window of some item and are hit; an item of fewer words is hit where all of
-it ends. Hit spans can be removed, and a document whose share of hit words exceeds a limit can be dropped.
+it ends. Hit spans are removed, and so is the whole text where they cover more than a limit.
 
 The items are dealt to automata of at most ``block_words`` words, so an automaton has a proven size bound
 whatever the size of the benchmark; each is broadcast in turn, and the hits of the blocks are united per
@@ -16,10 +16,10 @@ repeat an item id count as one item; repeated documents get equal rows; other co
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -244,27 +244,26 @@ def n_hit(spans: str = "spans"):
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text", width: int = WIDTH,
                   max_percent: int = 80) -> DataFrame:
-    """``docs`` without the hit spans; documents with more than ``max_percent`` of their words hit go.
+    """``docs`` without the hit spans; rows and columns stay.
 
-    A span is cut out of the original text, from its first word's start to its last word's end; texts
-    without hits stay as they are. The hits (few and small) meet the texts again by the row key.
+    A span is cut out of the original text, from its first word's start to its last word's end. Where hits
+    cover more than ``max_percent`` of a document's words, the rest is not worth keeping and the text becomes
+    empty. Texts without hits stay as they are. The hits (few and small) meet the texts again by the row key.
     """
     found = contamination(docs, benchmark, id_col, text_col, item_col, item_text_col, width)
     hits = found.filter(F.size("spans") > 0).groupBy(F.col("row_key").alias("__hit_key")).agg(
         F.first("spans").alias("__spans"), F.first("n_words").alias("__n_words"))
     keyed = docs.withColumn("__row_key", row_key(id_col, text_col))
     joined = keyed.join(hits, F.col("__row_key") == F.col("__hit_key"), "left")
-    share = F.coalesce(100 * n_hit("__spans") > max_percent * F.col("__n_words"), F.lit(False))
 
     @F.pandas_udf("string")
-    def without(texts, spans):
-        import pandas as pd
-
+    def without(texts: pd.Series, spans: pd.Series) -> pd.Series:
         return pd.Series([cut(t, s) for t, s in zip(texts, spans, strict=True)], dtype=object)
 
-    return joined.filter(~share).withColumn(text_col, F.when(
-        F.col("__spans").isNull(), F.col(text_col)).otherwise(without(F.col(text_col), F.col("__spans")))).drop(
-        "__row_key", "__hit_key", "__spans", "__n_words")
+    text = (F.when(F.col("__spans").isNull(), F.col(text_col))
+            .when(100 * n_hit("__spans") > max_percent * F.col("__n_words"), F.lit(""))
+            .otherwise(without(F.col(text_col), F.col("__spans"))))
+    return joined.withColumn(text_col, text).drop("__row_key", "__hit_key", "__spans", "__n_words")
 
 
 def cut(text: str | None, spans) -> str | None:
@@ -281,6 +280,3 @@ def cut(text: str | None, spans) -> str | None:
     out.append(raw[at:])
     return b"".join(out).decode("utf-8", "ignore")
 
-
-def sha256_of(items: list[str]) -> str:
-    return hashlib.sha256(",".join(items).encode()).hexdigest()

@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -144,9 +145,7 @@ def remove_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     joined = keyed.join(lost, F.col("__row_key") == F.col("lost_key"), "left").drop("lost_key", "__row_key")
 
     @F.pandas_udf("string")
-    def without(texts, lost_lines):
-        import pandas as pd
-
+    def without(texts: pd.Series, lost_lines: pd.Series) -> pd.Series:
         def one(text, gone):
             if text is None or gone is None:
                 return text

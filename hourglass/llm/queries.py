@@ -6,13 +6,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourglass.llm import bpe, decontaminate, html_extract, line_rules, lsh_forest, substring, token_counts, warc
+from hourglass.llm import bpe, decontaminate, html_extract, line_rules, lsh_forest, substring, token_counts, toxicity, warc, weak_quality
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_weak_quality(spark: SparkSession, sf: str) -> DataFrame:
+    scored = weak_quality.weak_quality(_table(spark, sf, "documents"))
+    return scored.withColumn("kept", F.col("score") >= weak_quality.KEEP)
+
+
 def op2_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return lsh_forest.near_duplicates(_table(spark, sf, "documents"))
 
@@ -38,6 +43,11 @@ def op6_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return substring.substring_dedup(_table(spark, sf, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op7_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    scored = toxicity.toxicity(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+    return scored.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
+
+
 def op8_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     rules = line_rules.line_rules(_table(spark, sf, "documents"))
     return rules.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -54,6 +64,6 @@ def op10_html_text(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_near_duplicates, op3_byte_bpe, op4_token_counts, op5_decontamination, op6_substring_dedup, op8_quality_rules,
+    op1_weak_quality, op2_near_duplicates, op3_byte_bpe, op4_token_counts, op5_decontamination, op6_substring_dedup, op7_toxicity, op8_quality_rules,
     op9_warc, op10_html_text)}
 ORACLES: dict[str, str] = {}

@@ -26,6 +26,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -162,7 +163,7 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     at_ends = windows.join(again, (F.col("w1") == F.col("g1")) & (F.col("w2") == F.col("g2"))).select(
         "key", F.col("at").alias("a"), (F.col("at") + 1).alias("b"))
     return long_factors.unionByName(at_ends).groupBy(F.col("key").alias("span_key")).agg(
-        F.collect_set(F.struct("a", "b")).alias("spans"))
+        F.collect_set(F.struct("a", "b")).alias("found_spans"))
 
 
 def covered(n_words: int, spans, width: int) -> np.ndarray:
@@ -182,7 +183,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     kind = docs.schema[id_col].dataType.simpleString()
     keyed = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), row_key(id_col, text_col).alias("row_key"))
     joined = keyed.join(spans, F.col("row_key") == F.col("span_key"), "left").select(
-        "doc_id", "row_key", "text", F.transform("spans", lambda s: F.array(s.a, s.b)).alias("spans"))
+        "doc_id", "row_key", "text", F.transform("found_spans", lambda s: F.array(s.a, s.b)).alias("spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -205,6 +206,26 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         run, f"doc_id {kind}, row_key long, n_words long, n_removed long, kept_sha256 string, clean string")
 
 
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
+                   anchor: int = ANCHOR) -> DataFrame:
+    """``docs`` with the repeated passages taken out of the texts; rows and columns stay."""
+    spans = repeated(docs, id_col, text_col, width, anchor)
+    keyed = docs.withColumn("__row_key", row_key(id_col, text_col))
+    joined = keyed.join(spans, F.col("__row_key") == spans["span_key"], "left").withColumn(
+        "__spans", F.transform(spans["found_spans"], lambda s: F.array(s.a, s.b))).drop(spans["found_spans"], spans["span_key"]).drop("__row_key")
+
+    @F.pandas_udf("string")
+    def edited(texts: pd.Series, found: pd.Series) -> pd.Series:
+        def one(text: str, spans) -> str:
+            raw = text.encode()
+            return without(raw, covered(len(raw.split()), spans, width))
+
+        return pd.Series([t if s is None else one(t, s) for t, s in zip(texts, found, strict=True)], dtype=object)
+
+    text = F.when(F.col("__spans").isNull(), F.col(text_col)).otherwise(edited(F.col(text_col), F.col("__spans")))
+    return joined.withColumn(text_col, text).drop("__spans")
+
+
 def without(text: bytes, mask: np.ndarray) -> str:
     """``text`` without the masked words; kept words stay in their lines."""
     lines, at = [], 0
