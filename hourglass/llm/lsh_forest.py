@@ -118,7 +118,8 @@ def _prefix(a: bytes, b: bytes) -> int:
 
 
 def candidates(classes: DataFrame) -> DataFrame:
-    """Edges (a, b) between neighbours of the sorted orders; ``classes``: node, trees, bits."""
+    """Edges (a, b) that join neighbours of the sorted orders; ``classes``: node, trees, bits. Neighbours that
+    a tree has joined already give no further edge, so a class gives a few edges per tree in any group."""
     size = 4 * DEPTH
     forest = classes.select("node", "bits", F.explode(F.transform(
         F.sequence(F.lit(0), F.lit(TREES - 1)),
@@ -129,7 +130,7 @@ def candidates(classes: DataFrame) -> DataFrame:
     kind = classes.schema["node"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        region: list[list] = []  # [values shared with the latest key, key, node, sketch], the deepest last
+        region: list[list] = []  # [values shared with the latest key, key, node, sketch, leader], the deepest last
         at = None
         for batch in batches:
             a, b = [], []
@@ -144,11 +145,18 @@ def candidates(classes: DataFrame) -> DataFrame:
                     for x in region:
                         x[0] = min(x[0], shared)
                     region = [x for x in region if x[0] >= MIN_DEPTH]
-                for x in region:
-                    if (x[3] ^ mine).bit_count() <= FAR_BITS:
+                near = [x for x in region if (x[3] ^ mine).bit_count() <= FAR_BITS]
+                # one edge for each group of neighbours that are not joined yet
+                leader = near[0][4] if near else node
+                for x in near:
+                    if x is near[0] or x[4] != leader:
                         a.append(node)
                         b.append(x[2])
-                region.append([DEPTH, key, node, mine])
+                        joined = x[4]
+                        for y in region:
+                            if y[4] == joined:
+                                y[4] = leader
+                region.append([DEPTH, key, node, mine, leader])
                 if len(region) > NEAREST:
                     # the shallowest goes; among equals a later one, so that the first leads all of its region
                     least = min(x[0] for x in region[:-1])
