@@ -469,7 +469,9 @@ def q_subset_ids(spark, sf):
     """Documents restricted to the 100-id budget draw (all ids exist, so no error)."""
     docs = tables.table(spark, sf, "documents")
     ids = sampling.budget_subsets(docs, "doc_id", (100,), seed=42).where("budget = '100'").select("doc_id")
-    return sampling.subset_by_ids(docs.select("doc_id", "lang", "source", "n_chars"), ids, "doc_id")
+    # the list's order: by descending id
+    ids = ids.withColumn("position", -F.col("doc_id"))
+    return sampling.subset_by_ids(docs.select("doc_id", "lang", "source", "n_chars"), ids, "doc_id", "position")
 
 
 def q_masked_mean(spark, sf):
@@ -520,7 +522,7 @@ def q_side_by_side(spark, sf):
     """Embedding, label and sign-pattern cluster written side by side by id, read back."""
     from hourglass.sources import sinks
     e = _emb(spark, sf)
-    path = roundtrip.scratch(spark, "side-by-side", sf)
+    path = roundtrip.scratch(spark, "side-by-side")
     sinks.write_side_by_side([e.select(F.col("vec_id").alias("id"), "embedding"),
                               e.select(F.col("vec_id").alias("id"), "label"),
                               e.select(F.col("vec_id").alias("id"), _sign_cluster().alias("cluster"))], path)
@@ -541,12 +543,58 @@ def q_results_roundtrip(spark, sf):
     """The leaderboard written as CSV with header and read back with its schema."""
     from hourglass.sources import sinks
     board = evaluation.config_board(spark, sf)
-    path = roundtrip.scratch(spark, "leaderboard-csv", sf)
+    path = roundtrip.scratch(spark, "leaderboard-csv")
     sinks.write_results(board, path)
     return spark.read.option("header", "true").schema(board.schema).csv(path)
 
 
+def q_outcomes_scan(spark, sf):
+    """The outcomes written as CSV with further columns and scanned back as ``(id, label)``."""
+    from hourglass.sources import logs
+    out = tables.events_outcomes(spark, sf)
+    path = roundtrip.scratch(spark, "outcomes")
+    out.select(F.col("id").alias("RecordID"), F.lit(1).alias("SAPS-I"), F.col(out.columns[1]).alias("In-hospital_death")) \
+        .write.option("header", "true").csv(path)
+    return logs.scan_outcomes(spark, path)
+
+
+def q_variable_map(spark, sf):
+    """S7 + S14: the panel's variable map, written, read back and joined with the observed cells of each variable."""
+    from hourglass.sources import sinks
+    from hourglass.spec import feature_catalog
+    path = roundtrip.scratch(spark, "variable-map")
+    sinks.write_variable_map(spark, SPEC, path)
+    back = spark.read.schema("variable string, index int, ohe_column string").json(f"{path}/json")
+    roles = feature_catalog(spark, SPEC).select(F.col("feature").alias("variable"), "role", "is_binary", "use_log1p")
+    cells = profile.missingness(profile.column_profile(panel.events_grid(spark, sf).select(*SPEC.features)))
+    name = cells.columns[0]
+    return back.join(roles, "variable").join(cells.select(F.col(name).alias("variable"), *cells.columns[1:]), "variable")
+
+
+def q_union_splits(spark, sf):
+    """The per-split panels, built apart, in one table with a split column."""
+    g = panel.events_grid(spark, sf)
+    return grid.union_splits({s: g.where(F.col("split") == s).drop("split") for s in ("a", "b", "c")}, SPEC)
+
+
+def q_sorted_panel(spark, sf):
+    """The cleaned panel in (id, time) order."""
+    return prep.sort_panel(panel.events_clean(spark, sf), SPEC)
+
+
+def q_entity_rows(spark, sf):
+    """All panel rows of the labelled entities with a positive outcome."""
+    out = tables.events_outcomes(spark, sf)
+    chosen = out.where(F.col(out.columns[1]) == 1).select(F.col("id").alias("user_id"))
+    return sampling.entity_rows(panel.events_grid(spark, sf), "user_id", chosen)
+
+
 _QUERIES = {
+    "outcomes_scan": q_outcomes_scan,
+    "variable_map": q_variable_map,
+    "union_splits": q_union_splits,
+    "sorted_panel": q_sorted_panel,
+    "entity_rows": q_entity_rows,
     "events_grid": q_events_grid,
     "events_clean": q_events_clean,
     "fill_defaults": q_fill_defaults,
@@ -647,6 +695,11 @@ _QUERIES = {
 }
 
 _ORACLES = {
+    "outcomes_scan": O.sql_outcomes_scan,
+    "variable_map": O.sql_variable_map,
+    "union_splits": O.sql_grid,
+    "sorted_panel": O.sql_clean,
+    "entity_rows": O.sql_entity_rows,
     "events_grid": O.sql_grid,
     "events_clean": O.sql_clean,
     "fill_defaults": O.sql_fill_defaults,

@@ -16,21 +16,12 @@ from pyspark.sql import functions as F
 from hourglass.session import small_side
 
 
-MAX_BUCKETS = 4096
-SINGLE_BUCKET_BYTES = 32 << 20  # below this optimizer estimate one ordered slice per group is cheaper
-
-
-def with_bucket(df: DataFrame, order_col: str, n_buckets: int, out_col: str = "_bk", force: bool = False) -> DataFrame:
+def with_bucket(df: DataFrame, order_col: str, n_buckets: int, out_col: str = "_bk") -> DataFrame:
     """Adds the bucket of each row: approximate quantile boundaries of the order key (one sketch pass,
-    ≤ MAX_BUCKETS − 1 values inlined as splits), located by binary search (``Bucketizer``)."""
+    ``n_buckets`` − 1 values inlined as splits), located by binary search (``Bucketizer``)."""
     from pyspark.ml.feature import Bucketizer
 
-    from hourglass.session import estimated_bytes
-
-    if not force and estimated_bytes(df) <= SINGLE_BUCKET_BYTES:
-        # size-checked: the whole input is small, so one slice per group needs no boundary pass
-        return df.withColumn(out_col, F.lit(0.0))
-    n = max(1, min(int(n_buckets), MAX_BUCKETS))
+    n = max(1, int(n_buckets))
     probs = [i / n for i in range(1, n)]
     row = df.agg(F.percentile_approx(F.col(order_col).cast("double"), probs, 10000).alias("b")).first() if probs else None
     bounds = sorted(set(float(x) for x in ((row["b"] if row else None) or [])))
@@ -45,14 +36,15 @@ def with_bucket(df: DataFrame, order_col: str, n_buckets: int, out_col: str = "_
 
 
 def running_sums(df: DataFrame, groups: list[str], order_col: str, cols: list[str],
-                 prefix: str = "cum_", buckets: int | None = None, force_buckets: bool = False) -> DataFrame:
+                 prefix: str = "cum_", buckets: int | None = None) -> DataFrame:
     """Adds ``{prefix}{c}`` = Σ c over rows of the same group with order ≤ this row (inclusive).
 
-    The order key must be numeric and unique within a group (aggregate ties first).
+    The order key must be numeric and unique within a group (aggregate ties first). The bucket count
+    follows the shuffle partitions, so it grows with the cluster's setting for the data.
     """
     spark = df.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    b = with_bucket(df, order_col, n, force=force_buckets)
+    b = with_bucket(df, order_col, n)
     w_local = (Window.partitionBy("_bk", *groups).orderBy(order_col)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = b.select("*", *[F.sum(c).over(w_local).alias(f"_loc_{c}") for c in cols])

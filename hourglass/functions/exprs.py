@@ -34,6 +34,17 @@ def safe_log1p(c) -> Column:
     return F.when(c.isNotNull(), F.log1p(F.greatest(c, F.lit(0.0))))
 
 
+# Texts that mean a missing number in a log (they are written cells, unlike other words).
+MISSING_TEXTS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+                 "NULL", "NaN", "None", "n/a", "nan", "null")
+
+
+def log_number(text) -> Column:
+    """A log's value: a double, NaN for a missing number, NULL for other text."""
+    text = col(text)
+    return F.when(text.isin(*MISSING_TEXTS), F.lit(float("nan"))).otherwise(text.try_cast("double"))
+
+
 def nan_to_null(c) -> Column:
     c = col(c)
     return F.when(~F.isnan(c), c)
@@ -57,15 +68,14 @@ def in_range(c, low, high) -> Column:
     return F.when(cond, c)
 
 
-def arith_hash(seed: int, *cols) -> Column:
-    """Deterministic per-row rank key that DuckDB can reproduce exactly (for oracle-checked sampling).
+def draw_rank(seed: int, draw: str, *cols) -> Column:
+    """Rank key of a seeded draw: the first 60 bits of ``md5(seed|draw|id…)`` as a bigint.
 
-    ``pmod(id * 2654435761 + seed * 97, 1000003)`` — retry-safe, unlike ``rand()``.
+    Independent between seeds and draws, defined for ids of any type and size, the same in every retry
+    (unlike ``rand()``), and DuckDB reproduces it exactly.
     """
-    acc = F.lit(int(seed) * 97).cast("bigint")
-    for c in cols:
-        acc = acc + col(c).cast("bigint") * F.lit(2654435761)
-    return F.pmod(acc, F.lit(1000003))
+    text = F.concat_ws("|", F.lit(str(int(seed))), F.lit(draw), *[col(c).cast("string") for c in cols])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("bigint")
 
 
 def xx_unit(seed: int, *cols) -> Column:

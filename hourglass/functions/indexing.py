@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourglass.functions.cumulative import running_sums
+from hourglass.session import small_side
 
 
 def global_index(df: DataFrame, order_cols: list[str], out_col: str = "pos") -> DataFrame:
@@ -18,16 +19,19 @@ def global_index(df: DataFrame, order_cols: list[str], out_col: str = "pos") ->
     if len(order_cols) != 1:
         raise ValueError("global_index orders by one unique numeric key; build a composite key first")
     key = order_cols[0]
-    one = df.withColumn("_one", F.lit(1).cast("long"))
-    return running_sums(one, [], key, ["_one"], prefix="_cum").withColumn(
-        out_col, (F.col("_cum_one") - 1).cast("bigint")).drop("_one", "_cum_one")
+    # only the key goes through the running counts; whole rows meet their position by one equi-join
+    one = df.select(key, F.lit(1).cast("long").alias("_one"))
+    place = running_sums(one, [], key, ["_one"], prefix="_cum").select(key, (F.col("_cum_one") - 1).cast("bigint").alias(out_col))
+    return df.join(place, key)
 
 
 def file_order_key(df: DataFrame, file_col: str = "_f", row_col: str = "_r", out_col: str = "_key") -> DataFrame:
     """Unique numeric key for (file name, row index within file): file rank · 2^40 + row index.
 
-    The file ranks come from the distinct file names (bounded by the number of files).
+    The ranks come from a distributed sort of the distinct file names and meet the rows by a join.
     """
-    files = sorted(r[0] for r in df.select(file_col).distinct().collect())
-    rank = F.create_map(*[x for i, f in enumerate(files) for x in (F.lit(f), F.lit(i))])
-    return df.withColumn(out_col, rank[F.col(file_col)].cast("bigint") * F.lit(1 << 40) + F.col(row_col).cast("bigint"))
+    names = df.select(file_col).distinct().orderBy(file_col)
+    ranked = names.rdd.zipWithIndex().map(lambda x: (x[0][0], x[1]))
+    ranks = df.sparkSession.createDataFrame(ranked, f"{file_col} string, _rank long")
+    key = F.col("_rank") * F.lit(1 << 40) + F.col(row_col).cast("bigint")
+    return df.join(small_side(ranks), file_col).withColumn(out_col, key).drop("_rank")

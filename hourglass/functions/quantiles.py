@@ -54,30 +54,17 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], groups:
     return a.select(*out)
 
 
-BUFFER_LIMIT = 1_000_000  # distinct (column, value) pairs a single merge buffer may hold
-
-
-def quantile_row(df: DataFrame, cols: list[str], probs: list[float], buffer_limit: int = BUFFER_LIMIT) -> dict:
+def quantile_row(df: DataFrame, cols: list[str], probs: list[float]) -> dict:
     """Global exact quantiles as ``{column: [q…]}`` (bounded: one row per column). Columns without
-    values map to NULLs.
-
-    Size-checked strategy: when the distinct (column, value) pairs are at most ``buffer_limit``, Spark's
-    exact ``percentile`` with the pair counts as frequencies runs in one aggregation (its value→count
-    buffer is then provably bounded); otherwise the distributed running-count path is used.
+    values map to NULLs. The counts are kept (memory, then disk) while the running counts read them.
     """
     from pyspark import StorageLevel
 
     res = {c: [None] * len(probs) for c in cols}
     vc = value_counts_long(df, cols).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if vc.count() <= buffer_limit:
-            arr = F.array(*[F.lit(float(q)) for q in probs])
-            rows = vc.groupBy("column").agg(F.percentile(F.col("value"), arr, F.col("n")).alias("q")).collect()
-            for r in rows:
-                res[r["column"]] = list(r["q"])
-        else:
-            for r in exact_quantiles(df, cols, probs, counts=vc).collect():
-                res[r["column"]] = [r[f"q_{i}"] for i in range(len(probs))]
+        for r in exact_quantiles(df, cols, probs, counts=vc).collect():
+            res[r["column"]] = [r[f"q_{i}"] for i in range(len(probs))]
     finally:
         vc.unpersist()
     return res

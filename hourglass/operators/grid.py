@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourglass.functions.exprs import ceil_bin
+from hourglass.functions.exprs import ceil_bin, log_number, nan_to_null
 from hourglass.session import small_side
 from hourglass.spec import PanelSpec
 
@@ -30,10 +30,10 @@ def bin_log(log: DataFrame, spec: PanelSpec, width: int) -> DataFrame:
     """G1 + G3 + G4 + G5 + G6 → (id, time, parameter, value double, ord).
 
     Non-numeric values are skipped (``try_cast``), sentinel rows are dropped *before* last-write-wins,
-    and bins outside [0, n_steps) are discarded.
+    and bins outside [0, n_steps) are discarded. A missing number (NaN) stays until last-write-wins, so
+    it blanks an earlier value of its cell.
     """
-    v = F.col("value").cast("string").try_cast("double") if dict(log.dtypes)["value"] == "string" \
-        else F.col("value").cast("double")
+    v = log_number("value") if dict(log.dtypes)["value"] == "string" else F.col("value").cast("double")
     out = (keep_dynamic(log, spec)
            .where(F.col("elapsed") >= 0)
            .select("id", ceil_bin("elapsed", width).alias(spec.time_col), "parameter",
@@ -46,8 +46,8 @@ def bin_log(log: DataFrame, spec: PanelSpec, width: int) -> DataFrame:
 
 
 def last_write_cells(binned: DataFrame, spec: PanelSpec) -> list:
-    """G7 + G9: per dynamic feature, the value of the latest row (by ``ord``) in the group."""
-    return [F.max_by("value", F.when(F.col("parameter") == f, F.col("ord"))).alias(f)
+    """G7 + G9: per dynamic feature, the value of the latest row (by ``ord``) in the group; NaN → NULL."""
+    return [nan_to_null(F.max_by("value", F.when(F.col("parameter") == f, F.col("ord")))).alias(f)
             for f in spec.dynamic]
 
 
@@ -56,13 +56,13 @@ def static_from_log(log: DataFrame, static_map: dict, sentinel: float | None = -
 
     ``static_map`` maps output column → log parameter (e.g. ``Weight_static`` → ``Weight``).
     """
-    num = F.col("value").cast("string").try_cast("double")
+    num = log_number(F.col("value").cast("string"))
     aggs = []
     for out_col, param in static_map.items():
         v = F.min_by(num, F.when((F.col("parameter") == param) & (F.col("elapsed") == 0), F.col("ord")))
         if sentinel is not None:
             v = F.when(v != F.lit(float(sentinel)), v)
-        aggs.append(v.alias(out_col))
+        aggs.append(nan_to_null(v).alias(out_col))
     if not aggs:
         return log.select("id").distinct()
     return log.groupBy("id").agg(*aggs)

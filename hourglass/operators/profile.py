@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hourglass.session import small_side
 from hourglass.functions.quantiles import exact_quantiles, quantile_row
 
 NUMERIC = (T.DoubleType, T.FloatType, T.IntegerType, T.LongType, T.ShortType, T.DecimalType, T.ByteType)
@@ -128,11 +129,11 @@ def random_trajectories(df: DataFrame, col: str, id_col: str, n: int, seed: int
     """All rows of min(n, available) entities having at least one observed value of ``col``, drawn
     without replacement by a seeded hash rank (distributed top-n, ``n`` is the requested sample size).
     """
-    from hourglass.functions.exprs import arith_hash
+    from hourglass.functions.exprs import draw_rank
 
     ids = df.where(F.col(col).isNotNull()).select(id_col).distinct()
-    chosen = ids.orderBy(arith_hash(seed, id_col), id_col).limit(n)
-    return df.join(F.broadcast(chosen), id_col, "left_semi")
+    chosen = ids.orderBy(draw_rank(seed, "trajectory", id_col), id_col).limit(n)
+    return df.join(small_side(chosen), id_col, "left_semi")
 
 
 def shape(df: DataFrame) -> DataFrame:

@@ -9,12 +9,15 @@ Answers are parsed with built-in regex/JSON expressions.
 
 from __future__ import annotations
 
+import json
+import re
 from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hourglass.session import cut_lineage
 from hourglass.spec import PanelSpec
 
 # ----------------------------------------------------------------------------------------------------
@@ -184,7 +187,7 @@ def few_shot_examples(blocks: DataFrame, label_col: str = "label", n_per_class:
 
     _mode_parts(mode)
     pick = stratified(blocks, label_col, n_per_class, (1, 0), seed, id_col)
-    from hourglass.functions.exprs import arith_hash
+    from hourglass.functions.exprs import draw_rank
 
     targets = BINARY_TARGETS if mode == "binary" else SCALE_TARGETS
     tgt = F.when(F.col(label_col) == 1, F.lit(targets[1])).otherwise(F.lit(targets[0])).cast("string")
@@ -192,7 +195,7 @@ def few_shot_examples(blocks: DataFrame, label_col: str = "label", n_per_class:
             else F.concat(F.lit('{"prediction": '), tgt, F.lit("}")))
     text = _fill(EXAMPLE_BLOCK, static_block=F.col("static_block"), dynamic_block=F.col("dynamic_block"),
                  prediction=pred)
-    rows = pick.select(F.struct("class_order", arith_hash(seed, id_col).alias("h"), F.col(id_col).alias("i"),
+    rows = pick.select(F.struct("class_order", draw_rank(seed, "class", id_col).alias("h"), F.col(id_col).alias("i"),
                                 text.alias("t")).alias("e"))
     return rows.agg(F.array_join(F.transform(F.array_sort(F.collect_list("e")), lambda e: e["t"]), "\n")
                     .alias("examples"))
@@ -236,10 +239,28 @@ def parse_scale(text) -> F.Column:
 
 
 # ------------------------------------------------------------------ L8: model call
+def valid_answer(text: str | None, mode: str) -> bool:
+    """Whether a raw answer holds a usable prediction (the row-side twin of L5–L7, for the retry loop)."""
+    raw = (text or "").strip()
+    found = re.search(r"\{.*?\}", raw, re.S)
+    try:
+        value = json.loads(found[0] if found else raw)["prediction"]
+    except (ValueError, KeyError, TypeError):
+        return False
+    if mode == "binary":
+        return isinstance(value, str) and value.strip().lower() in BINARY_ANSWERS
+    if isinstance(value, str):
+        value = int(value) if re.fullmatch(r"[0-9]+", value.strip()) else None
+    if isinstance(value, bool) or not isinstance(value, (int, float)) or value != int(value):
+        return False
+    return SCALE_RANGE[0] <= value <= SCALE_RANGE[1]
+
+
 def call_model(prompts: DataFrame, client_factory, id_col: str = "id", label_col: str | None = "label",
                retries: int = 3, mode: str = "binary") -> DataFrame:
     """Per-row model call through an injected client (``client_factory() → callable(prompt) → text``),
-    up to ``retries`` tries; the parsed answer (L5–L7) or NULL. Id and label are kept.
+    up to ``retries`` tries: a call that raises and an answer that does not parse are both retried. The
+    parsed answer (L5–L7) or NULL; id and label are kept.
     """
     keep = [id_col] + ([label_col] if label_col else [])
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in prompts.select(*keep).schema.fields) \
@@ -255,9 +276,10 @@ def call_model(prompts: DataFrame, client_factory, id_col: str = "id", label_col
                 for _ in range(retries):
                     try:
                         text = client(p)
-                        break
                     except Exception:  # noqa: BLE001 - a failed call is retried, then NULL
-                        text = None
+                        continue
+                    if valid_answer(text, mode):
+                        break
                 out.append(text)
             res = pdf[keep].copy()
             res["response"] = pd.Series(out, dtype=object)
@@ -283,9 +305,14 @@ def rule_client_factory(mode: str = "binary"):
 
 def evaluate_answers(answers: DataFrame, label_col: str = "label", mode: str = "binary",
                      threshold: int = DEAD_THRESHOLD) -> DataFrame:
-    """L9 tail: M10 (failures count as wrong) then M8 / M9, plus ``failed`` and ``n``."""
+    """L9 tail: M10 (failures count as wrong) then M8 / M9, plus ``failed`` and ``n``.
+
+    The answers are written to the shared checkpoint folder first, so a model behind them is called once
+    per row and every metric is computed from the same answers.
+    """
     from hourglass.functions import metrics
 
+    answers = cut_lineage(answers.select(label_col, "prediction"))
     if mode == "binary":
         d = answers.select(label_col, F.when(F.col("prediction") == "dead", 1).when(
             F.col("prediction") == "alive", 0).alias("pred"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourglass.functions.exprs import arith_hash
+from hourglass.functions.exprs import draw_rank
 
 
 def labelled(df: DataFrame, label: str = "label") -> DataFrame:
@@ -29,7 +29,7 @@ def budget_subsets(ids: DataFrame, id_col: str, budgets=(100, 500, 1000), seed:
     ids = ids.select(id_col).distinct()
     parts = [ids.select(F.lit("full").alias("budget"), id_col)]
     for n in budgets:
-        pick = ids.orderBy(arith_hash(seed * 1000 + n, id_col), id_col).limit(int(n))
+        pick = ids.orderBy(draw_rank(seed, f"budget-{n}", id_col), id_col).limit(int(n))
         parts.append(pick.select(F.lit(str(n)).alias("budget"), id_col))
     out = parts[0]
     for p in parts[1:]:
@@ -38,7 +38,8 @@ def budget_subsets(ids: DataFrame, id_col: str, budgets=(100, 500, 1000), seed:
 
 
 def subset_by_ids(df: DataFrame, ids: DataFrame, id_col: str, order_col: str | None = None) -> DataFrame:
-    """Rows of ``df`` whose id is in ``ids`` (kept in the list's order when ``order_col`` is given).
+    """Rows of ``df`` whose id is in ``ids``, in the list's order. ``order_col`` is a column of ``ids``
+    that carries the list's positions; it stays in the result, so the order survives later shuffles.
 
     Raises naming the first 5 missing ids (a bounded ``limit(5)``) when the list has unknown ids.
     """
@@ -58,7 +59,7 @@ def stratified(df: DataFrame, label: str, n_per_class: int, classes=(1, 0), seed
     """
     out = None
     for k, c in enumerate(classes):
-        pick = (df.where(F.col(label) == c).withColumn("_h", arith_hash(seed, id_col))
+        pick = (df.where(F.col(label) == c).withColumn("_h", draw_rank(seed, "class", id_col))
                 .orderBy("_h", id_col).limit(n_per_class))
         pick = pick.withColumn("class_order", F.lit(k)).drop("_h")
         out = pick if out is None else out.unionByName(pick)

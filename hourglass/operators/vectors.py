@@ -87,10 +87,11 @@ def channel_mean(channels: DataFrame, id_col: str, emb_col: str = "embedding",
     """V2: mean over channels per dimension, then ``concat`` the static values. Input long
     ``(id, var, embedding)``; the per-entity channel count is bounded by the spec.
     """
-    e = channels.select(id_col, F.posexplode(as_double_array(emb_col)).alias("d", "x"))
-    mean = e.groupBy(id_col, "d").agg(F.avg("x").alias("x"))
-    vec = mean.groupBy(id_col).agg(F.transform(F.array_sort(F.collect_list(F.struct("d", "x"))), lambda s: s["x"])
-                                   .alias("embedding"))
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    e = channels.select(id_col, array_to_vector(as_double_array(emb_col)).alias("x"))
+    vec = e.groupBy(id_col).agg(vector_to_array(Summarizer.mean(F.col("x"))).alias("embedding"))
     if statics is not None:
         vec = vec.join(statics, id_col, "left").select(
             id_col, F.concat("embedding", F.array(*[F.col(c).cast("double") for c in static_cols])).alias("embedding"))
@@ -101,16 +102,20 @@ def channel_weighted(channels: DataFrame, id_col: str, weights: dict, emb_col: s
                      var_col: str = "var", statics: DataFrame | None = None, static_cols: list[str] = ()) -> DataFrame:
     """V3: softmax over the given per-channel weights, weighted sum of channel embeddings, concat statics.
 
-    ``weights`` is a parameter (one number per channel), inlined as a literal map.
+    ``weights`` is a parameter (one number per channel), inlined as a literal map. A channel without a
+    weight is an error: leaving it out would break the softmax.
     """
     m = max(weights.values())
     z = sum(math.exp(w - m) for w in weights.values())
     soft = {k: math.exp(w - m) / z for k, w in weights.items()}
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
     wmap = F.create_map(*[x for k, v in soft.items() for x in (F.lit(k), F.lit(v))])
-    e = channels.select(id_col, wmap[F.col(var_col)].alias("w"), F.posexplode(as_double_array(emb_col)).alias("d", "x"))
-    agg = e.groupBy(id_col, "d").agg(F.sum(F.col("w") * F.col("x")).alias("x"))
-    vec = agg.groupBy(id_col).agg(F.transform(F.array_sort(F.collect_list(F.struct("d", "x"))), lambda s: s["x"])
-                                  .alias("embedding"))
+    w = F.coalesce(wmap[F.col(var_col)], F.raise_error(F.concat(F.lit("no weight for channel "), F.col(var_col).cast("string"))).cast("double"))
+    scaled = F.transform(as_double_array(emb_col), lambda x: x * F.col("_w"))
+    e = channels.withColumn("_w", w).select(id_col, array_to_vector(scaled).alias("x"))
+    vec = e.groupBy(id_col).agg(vector_to_array(Summarizer.sum(F.col("x"))).alias("embedding"))
     if statics is not None:
         vec = vec.join(statics, id_col, "left").select(
             id_col, F.concat("embedding", F.array(*[F.col(c).cast("double") for c in static_cols])).alias("embedding"))
@@ -125,11 +130,11 @@ def kmeans_restarts(df: DataFrame, emb_col: str = "embedding", k: int = 2, n_ini
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
-    from hourglass.plans.models import fit_many, sized
+    from hourglass.plans.models import fit_many
     from hourglass.session import reuse
 
     v = df.withColumn("_vec", array_to_vector(as_double_array(emb_col)))
-    v = reuse(sized(v, v.count()))
+    v = reuse(v)
     ests = [KMeans(k=k, seed=seed + i, featuresCol="_vec", predictionCol="cluster", maxIter=max_iter, tol=1e-4)
             for i in range(n_init)]
     models = fit_many(ests, [v] * n_init, parallelism)
@@ -167,24 +172,30 @@ def projection_weights(dim: int, seed: int = 42, k: int = 2) -> np.ndarray:
 # ------------------------------------------------------------------ V6–V10: clustering quality
 def cluster_stats(df: DataFrame, emb_col: str, label_col: str) -> DataFrame:
     """Per cluster: count, vector sum, Σ‖x‖² (sufficient statistics, partial aggregation)."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
     e = df.select(F.col(label_col).alias("c"), as_double_array(emb_col).alias("x"))
-    per_dim = e.select("c", F.posexplode("x").alias("d", "v"))
-    sums = per_dim.groupBy("c", "d").agg(F.sum("v").alias("s"))
-    vec = sums.groupBy("c").agg(F.transform(F.array_sort(F.collect_list(F.struct("d", "s"))), lambda s: s["s"]).alias("sum"))
-    cnt = e.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.sum(dot(F.col("x"), F.col("x"))).alias("sq"))
-    return cnt.join(vec, "c")
+    return e.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.sum(dot(F.col("x"), F.col("x"))).alias("sq"),
+                              vector_to_array(Summarizer.sum(array_to_vector("x"))).alias("sum"))
+
+
+def bounded_rows(df: DataFrame, most: int) -> list:
+    """The rows of a table that must be small; the bound holds before anything reaches the driver."""
+    rows = df.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} clusters; raise max_clusters if so many are meant")
+    return rows
 
 
-def silhouette(df: DataFrame, emb_col: str, label_col: str, max_clusters: int = 10000) -> DataFrame:
+def silhouette(df: DataFrame, emb_col: str, label_col: str, max_clusters: int = 500) -> DataFrame:
     """V6 (squared Euclidean): mean over points of (b − a) / max(a, b); a point alone in its cluster scores 0.
 
     ``mean_j ‖x − x_j‖² = ‖x‖² − 2 x·μ_C + Σ‖x_j‖²/|C|`` from the per-cluster statistics (k rows,
     checked ≤ ``max_clusters``) — exact, linear in n.
     """
     st = cluster_stats(df, emb_col, label_col)
-    rows = st.collect()
-    if len(rows) > max_clusters:
-        raise ValueError(f"{len(rows)} clusters exceed the bound {max_clusters}")
+    rows = bounded_rows(st, max_clusters)
     stats = F.array(*[F.struct(F.lit(r["c"]).alias("c"), F.lit(int(r["n"])).alias("n"),
                                F.lit(float(r["sq"])).alias("sq"),
                                F.array(*[F.lit(float(v)) for v in r["sum"]]).alias("sum")) for r in rows])
@@ -208,15 +219,13 @@ def silhouette(df: DataFrame, emb_col: str, label_col: str, max_clusters: int =
     return base.select(sil.alias("s")).agg(F.avg("s").alias("silhouette"))
 
 
-def davies_bouldin(df: DataFrame, emb_col: str, label_col: str, max_clusters: int = 10000) -> DataFrame:
+def davies_bouldin(df: DataFrame, emb_col: str, label_col: str, max_clusters: int = 500) -> DataFrame:
     """V7: mean over clusters of max_j (s_i + s_j) / ‖c_i − c_j‖, s = mean distance to the centroid.
 
     Centroids come from one aggregation (k rows, bounded); scatters from a second pass with the centroids
     inlined; the k × k ratio table is computed from those k rows.
     """
-    st = cluster_stats(df, emb_col, label_col).collect()
-    if len(st) > max_clusters:
-        raise ValueError(f"{len(st)} clusters exceed the bound {max_clusters}")
+    st = bounded_rows(cluster_stats(df, emb_col, label_col), max_clusters)
     cent = {r["c"]: np.asarray(r["sum"], dtype=float) / r["n"] for r in st}
     cmap = F.create_map(*[x for k, v in cent.items() for x in (F.lit(k), F.array(*[F.lit(float(u)) for u in v]))])
     x = as_double_array(emb_col)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from hourglass.functions import metrics
 from hourglass.operators.features import assemble
-from hourglass.session import reuse
+from hourglass.session import reuse, small_side
 
 # The classical sweeps.
 LR_GRID = (
@@ -65,7 +65,7 @@ def with_weights(df: DataFrame, label: str, mode: str | None, pos_weight: float
     if mode == "balanced":
         c = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
         n = df.count()
-        return df.join(F.broadcast(c), label).withColumn("_w", F.lit(float(n)) / (F.lit(2.0) * F.col("_nc"))).drop("_nc")
+        return df.join(small_side(c), label).withColumn("_w", F.lit(float(n)) / (F.lit(2.0) * F.col("_nc"))).drop("_nc")
     if mode == "pos":
         return df.withColumn("_w", F.when(F.col(label) == 1, F.lit(float(pos_weight))).otherwise(F.lit(1.0)))
     return df.withColumn("_w", F.lit(1.0))
@@ -100,16 +100,6 @@ def positive_prob() -> F.Column:
     return vector_to_array(F.col("probability"))[1]
 
 
-ROWS_PER_PARTITION = 500_000
-
-
-def sized(df: DataFrame, n_rows: int) -> DataFrame:
-    """Partition count from the row count (≈ ROWS_PER_PARTITION rows each): iterative learners run one
-    Spark job per iteration, so a small training set spread over many tiny tasks is pure overhead."""
-    want = max(1, -(-n_rows // ROWS_PER_PARTITION))
-    return df.coalesce(want) if df.rdd.getNumPartitions() > want else df
-
-
 def fit_many(estimators: list, data: list, parallelism: int = 8) -> list:
     """Fit several estimators concurrently (like CrossValidator's ``parallelism``): each fit is a
     sequence of Spark jobs; the scheduler runs jobs from different threads side by side."""
@@ -126,8 +116,6 @@ def sweep(table: DataFrame, feature_cols: list[str], model: str, grid, id_col: s
     ``(model, cfg_idx, config, val_auroc, val_auprc, test_auroc, test_auprc)``."""
     data = reuse(assemble(table.where(F.col(label).isNotNull()), feature_cols, label)
                  .select(id_col, split_col, "features", label))
-    n_all = data.count()
-    data = reuse(sized(data, n_all))
     tr = data.where(F.col(split_col) == train)
     ev = data.where(F.col(split_col).isin(*evals))
     n_train = tr.count()
@@ -220,7 +208,7 @@ def label_scarcity(emb: DataFrame, budgets=(100, 500, 1000), id_col: str = "id",
                                                    for i in range(width)])
     feats = [f"e{i}" for i in range(width)]
     data = assemble(table, feats, label).select(id_col, split_col, "features", label)
-    data = reuse(sized(data, data.count()))
+    data = reuse(data)
     subsets = reuse(budget_subsets(data.where(F.col(split_col) == "a").select(id_col), id_col, budgets, seed))
     ev = data.where(F.col(split_col).isin("b", "c"))
     plan = [(b, m, c) for b in ["full", *[str(n) for n in budgets]]

@@ -6,7 +6,7 @@ machine-local temp folder.
 
 from __future__ import annotations
 
-import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,8 +20,9 @@ STATIC_MAP = {"acctbal": "acctbal", "building": "building", "nation": "nation"}
 MINUTES_PER_DAY = 1440
 
 
-def scratch(spark: SparkSession, name: str, sf_dir: str) -> str:
-    return os.path.join(checkpoint_dir(spark), "hourglass-scratch", f"{name}-{os.path.basename(sf_dir.rstrip('/'))}")
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder for every run, so runs over different inputs, or at the same time, never share files."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/hourglass-scratch/{name}-{uuid.uuid4().hex}"
 
 
 def clock_text(minutes) -> F.Column:
@@ -31,11 +32,13 @@ def clock_text(minutes) -> F.Column:
 def events_as_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One CSV log per user in the measurement-log format: RecordID and statics at 00:00, then events in
     event order with the elapsed clock ``HH:MM`` (hours may exceed 23); values below 1 written as -1.
-    Users of the unlabelled segment get no RecordID row (they exercise the quarantine path)."""
+    Every 97th event's value is ``nan``. Faults for the quarantine: users of the unlabelled segment get no
+    RecordID row, some users a non-numeric static, some an event with a malformed time."""
     ev = tables.table(spark, sf_dir, "events")
     cust = tables.table(spark, sf_dir, "customer")
     minutes = F.floor(tables.elapsed_us("ts", tables.EVENTS_ORIGIN) / F.lit(60_000_000)).cast("bigint")
-    val = F.when(F.col("value") < 1, F.lit("-1")).otherwise(F.col("value").cast("string"))
+    val = (F.when(F.col("event_id") % 97 == 0, F.lit("nan")).when(F.col("value") < 1, F.lit("-1"))
+           .otherwise(F.col("value").cast("string")))
     ev_rows = ev.select(F.col("user_id").alias("entity"), (F.col("event_id") + 10).alias("ord"),
                         F.concat_ws(",", clock_text(minutes), F.col("event_type"), val).alias("line"))
     users = ev.select(F.col("user_id").alias("entity")).distinct().join(
@@ -45,7 +48,10 @@ def events_as_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.when(F.col("c_mktsegment") != tables.UNLABELLED_SEGMENT,
                         F.concat(F.lit("00:00,RecordID,"), F.col("entity").cast("string"))).alias("line")),
         F.struct(F.lit(1).cast("bigint").alias("ord"),
-                 F.concat(F.lit("00:00,acctbal,"), F.col("c_acctbal").cast("string")).alias("line")),
+                 F.concat(F.lit("00:00,acctbal,"), F.when(F.col("entity") % 11 == 5, F.lit("unknown")).otherwise(
+                     F.col("c_acctbal").cast("string"))).alias("line")),
+        F.struct(F.lit(4).cast("bigint").alias("ord"),
+                 F.when(F.col("entity") % 11 == 7, F.lit("noon,click,5")).alias("line")),
         F.struct(F.lit(2).cast("bigint").alias("ord"),
                  F.concat(F.lit("00:00,building,"), (F.col("c_mktsegment") == "BUILDING").cast("int").cast("string"))
                  .alias("line")),
@@ -55,23 +61,23 @@ def events_as_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stat.unionByName(ev_rows)
 
 
-_WRITTEN: set = set()
+_WRITTEN: dict = {}
 
 
 def write_event_logs(spark: SparkSession, sf_dir: str) -> str:
     """Write the per-user logs once per application and scale factor (the inputs are read-only)."""
-    path = scratch(spark, "event-logs", sf_dir)
-    key = (spark.sparkContext.applicationId, path)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _WRITTEN:
+        path = scratch(spark, "event-logs")
         logs.write_logs(events_as_logs(spark, sf_dir), path, "entity")
-        _WRITTEN.add(key)
-    return path
+        _WRITTEN[key] = path
+    return _WRITTEN[key]
 
 
 def raw_log_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1 → G1–G13: scan the per-user logs back and build the daily panel (statics from the log)."""
     path = write_event_logs(spark, sf_dir)
-    log, _ = logs.with_entity(logs.scan_logs(spark, path))
+    log, _ = logs.with_entity(logs.scan_logs(spark, path), EVENTS_SPEC.dynamic, STATIC_MAP.values())
     spec = EVENTS_SPEC
     g = grid.build_grid(log, spec, MINUTES_PER_DAY, static_map=STATIC_MAP,
                         labels=tables.events_outcomes(spark, sf_dir))
@@ -81,7 +87,7 @@ def raw_log_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_log_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3: quarantined files, reported by the entity of their directory and the reason."""
     path = write_event_logs(spark, sf_dir)
-    _, rej = logs.with_entity(logs.scan_logs(spark, path))
+    _, rej = logs.with_entity(logs.scan_logs(spark, path), EVENTS_SPEC.dynamic, STATIC_MAP.values())
     return rej.select(F.regexp_extract("file", r"entity=(\d+)", 1).cast("bigint").alias("entity"), "reason")
 
 
@@ -91,7 +97,7 @@ def embedding_store_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = F.pmod(F.col("vec_id"), F.lit(4))
     store = emb.select(F.when(m <= 1, "a").when(m == 2, "b").otherwise("c").alias("split"),
                        F.col("vec_id").alias("id"), "embedding", "label")
-    path = scratch(spark, "embedding-store", sf_dir)
+    path = scratch(spark, "embedding-store")
     sinks.write_embeddings(store, path)
     return sinks.manifest(sinks.read_embeddings(spark, path))
 
@@ -99,7 +105,7 @@ def embedding_store_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def positional_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A store written without ids (rows in id order) re-aligned to ids by position."""
     emb = tables.table(spark, sf_dir, "embeddings")
-    path = scratch(spark, "embedding-noid", sf_dir)
+    path = scratch(spark, "embedding-noid")
     emb.orderBy("vec_id").select("embedding", "label").write.mode("overwrite").parquet(path)
     return sinks.read_embeddings(spark, path, "vec_id", emb.select("vec_id"), "vec_id")
 
@@ -109,15 +115,16 @@ def params_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     from hourglass.plans import panel
 
     _, _, _, scaler = panel.events_processed(spark, sf_dir)
-    path = scratch(spark, "scaler-params", sf_dir)
+    path = scratch(spark, "scaler-params")
     sinks.write_params(scaler, path)
     return sinks.read_params(spark, path)
 
 
 def panel_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The forward-filled panel written by split and read back; only split 'b' is read (pruned)."""
+    """The forward-filled panel written by split and read back, every split by a pruned read of its own."""
     from hourglass.plans import panel
 
-    path = scratch(spark, "panel-ffill", sf_dir)
+    path = scratch(spark, "panel-ffill")
     sinks.write_panel(panel.events_ffill(spark, sf_dir), path, EVENTS_SPEC)
-    return sinks.read_panel(spark, path).where(F.col("split") == "b")
+    panels = [sinks.read_panel(spark, path).where(F.col("split") == s) for s in ("a", "b", "c")]
+    return panels[0].unionByName(panels[1]).unionByName(panels[2])

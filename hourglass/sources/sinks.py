@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hourglass.functions.exprs import nan_to_null
 from hourglass.functions.indexing import file_order_key, global_index
 from hourglass.spec import PanelSpec, feature_catalog
 
@@ -19,11 +20,13 @@ VALUE_PARAMS_SCHEMA = "column string, is_binary boolean, use_log1p boolean, medi
 
 # ------------------------------------------------------------------ S4 / S5
 def read_panel(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """Panel Parquet (a missing path fails natively); with a schema the read is not inferred."""
+    """Panel Parquet (a missing path fails natively); with a schema the read is not inferred. NaN → NULL."""
     r = spark.read
     if schema is not None:
         r = r.schema(schema)
-    return r.parquet(path)
+    df = r.parquet(path)
+    return df.select(*[nan_to_null(f.name).alias(f.name) if isinstance(f.dataType, (T.DoubleType, T.FloatType))
+                       else F.col(f.name) for f in df.schema.fields])
 
 
 def write_panel(df: DataFrame, path: str, spec: PanelSpec | None = None) -> None:

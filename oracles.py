@@ -531,14 +531,14 @@ def sql_time_profile(col: str = "error") -> str:
         CAST(count({col}) AS BIGINT) AS n_obs FROM tr GROUP BY day""")
 
 
-def ahash(seed: int, c: str) -> str:
-    return f"(({c} * 2654435761 + {seed * 97}) % 1000003 + 1000003) % 1000003"
+def draw_rank(seed: int, draw: str, c: str) -> str:
+    return f"CAST('0x' || substr(md5('{seed}|{draw}|' || CAST({c} AS VARCHAR)), 1, 15) AS BIGINT)"
 
 
 def sql_random_trajectories(col: str = "signup", n: int = 10, seed: int = 42) -> str:
     cols = ", ".join(r6(c) + " AS " + c for c in FEATURES)
     return with_(_train() + [f"ids AS (SELECT DISTINCT user_id FROM tr WHERE {col} IS NOT NULL)",
-                             f"pick AS (SELECT user_id FROM ids ORDER BY {ahash(seed, 'user_id')}, user_id LIMIT {n})"],
+                             f"pick AS (SELECT user_id FROM ids ORDER BY {draw_rank(seed, 'trajectory', 'user_id')}, user_id LIMIT {n})"],
                  f"SELECT user_id, day, {cols}, label, split FROM tr WHERE user_id IN (SELECT user_id FROM pick)")
 
 
@@ -560,7 +560,7 @@ def sql_budget_subsets(budgets=(100, 500, 1000), seed: int = 42) -> str:
     parts = ["SELECT 'full' AS budget, doc_id FROM (SELECT DISTINCT doc_id FROM documents)"]
     for b in budgets:
         parts.append(f"SELECT '{b}' AS budget, doc_id FROM (SELECT doc_id FROM (SELECT DISTINCT doc_id FROM documents) "
-                     f"ORDER BY {ahash(seed * 1000 + b, 'doc_id')}, doc_id LIMIT {b})")
+                     f"ORDER BY {draw_rank(seed, f'budget-{b}', 'doc_id')}, doc_id LIMIT {b})")
     return "\nUNION ALL\n".join(parts)
 
 
@@ -568,7 +568,7 @@ def sql_stratified(n: int = 3, seed: int = 42) -> str:
     parts = []
     for k, c in enumerate((1, 0)):
         parts.append(f"SELECT * FROM (SELECT doc_id, quality, toxic, {k} AS class_order FROM labels WHERE quality = {c} "
-                     f"ORDER BY {ahash(seed, 'doc_id')}, doc_id LIMIT {n})")
+                     f"ORDER BY {draw_rank(seed, 'class', 'doc_id')}, doc_id LIMIT {n})")
     return "\nUNION ALL\n".join(parts)
 
 
@@ -808,7 +808,7 @@ def examples_cte(mode: str) -> list[str]:
     text = sql_fill(P.EXAMPLE_BLOCK, static_block="static_block", dynamic_block="dynamic_block", prediction=pred)
     picks = []
     for k, c in enumerate((1, 0)):
-        picks.append(f"SELECT * FROM (SELECT *, {k} AS class_order, {ahash(42, 'user_id')} AS h FROM exb "
+        picks.append(f"SELECT * FROM (SELECT *, {k} AS class_order, {draw_rank(42, 'class', 'user_id')} AS h FROM exb "
                      f"WHERE label = {c} ORDER BY h, user_id LIMIT 3)")
     return ctes_blocks("a", "exb") + [
         f"pick AS ({' UNION ALL '.join(picks)})",
@@ -967,12 +967,12 @@ def sql_unique_ids() -> str:
 def sql_raw_log_grid() -> str:
     """Grid from per-user logs: minute clock (truncated), daily ceil bins of 1440 minutes, statics read at
     00:00 from the customer values, users of the HOUSEHOLD segment quarantined (no RecordID)."""
-    cells = ",\n      ".join(f"arg_max(value, ord) FILTER (WHERE parameter = '{p}') AS {p}" for p in EVENT_TYPES)
+    cells = ",\n      ".join(f"nullif(arg_max(value, ord) FILTER (WHERE parameter = '{p}'), 'nan'::DOUBLE) AS {p}" for p in EVENT_TYPES)
     cols = ", ".join(r6(c) + " AS " + c for c in FEATURES)
     return f"""WITH good AS (SELECT DISTINCT e.user_id AS id FROM events e JOIN customer c ON c.c_custkey = e.user_id
-                         WHERE c.c_mktsegment <> 'HOUSEHOLD'),
+                         WHERE c.c_mktsegment <> 'HOUSEHOLD' AND e.user_id % 11 NOT IN (5, 7)),
     lg AS (SELECT user_id AS id, CAST(floor(date_diff('microsecond', TIMESTAMP '2024-01-01 00:00:00', ts) / 60000000) AS BIGINT) AS m,
-                  event_type AS parameter, CASE WHEN value < 1 THEN -1.0 ELSE value END AS value, event_id AS ord FROM events),
+                  event_type AS parameter, CASE WHEN event_id % 97 = 0 THEN 'nan'::DOUBLE WHEN value < 1 THEN -1.0 ELSE value END AS value, event_id AS ord FROM events),
     bn AS (SELECT id, CAST(ceil(m / 1440.0) AS BIGINT) AS day, parameter, value, ord FROM lg WHERE m >= 0 AND value <> -1.0),
     cells AS (SELECT id, day, {cells} FROM bn WHERE day <= 30 GROUP BY id, day),
     st AS (SELECT c_custkey AS id, CASE WHEN c_acctbal <> -1.0 THEN c_acctbal END AS acctbal,
@@ -988,8 +988,10 @@ def sql_raw_log_grid() -> str:
 
 
 def sql_raw_log_rejects() -> str:
-    return """SELECT DISTINCT e.user_id AS entity, 'no RecordID row' AS reason FROM events e
-              JOIN customer c ON c.c_custkey = e.user_id WHERE c.c_mktsegment = 'HOUSEHOLD'"""
+    return """SELECT DISTINCT e.user_id AS entity, CASE WHEN c.c_mktsegment = 'HOUSEHOLD' THEN 'no RecordID row'
+                 WHEN e.user_id % 11 = 5 THEN 'non-numeric static acctbal' ELSE 'malformed time' END AS reason
+              FROM events e JOIN customer c ON c.c_custkey = e.user_id
+              WHERE c.c_mktsegment = 'HOUSEHOLD' OR e.user_id % 11 IN (5, 7)"""
 
 
 def sql_embedding_manifest() -> str:
@@ -1003,7 +1005,7 @@ def sql_positional_embeddings() -> str:
 
 def sql_panel_roundtrip() -> str:
     cols = ", ".join(r6(c) + " AS " + c for c in FEATURES)
-    return with_(ctes_ffill(), f"SELECT user_id, day, {cols}, label, split FROM ev_ffill WHERE split = 'b'")
+    return with_(ctes_ffill(), f"SELECT user_id, day, {cols}, label, split FROM ev_ffill")
 
 
 # ------------------------------------------------------------------ remaining single operators
@@ -1044,8 +1046,8 @@ def sql_missingness() -> str:
 
 
 def sql_subset_ids() -> str:
-    return f"""SELECT doc_id, lang, source, n_chars FROM documents WHERE doc_id IN
-        (SELECT doc_id FROM (SELECT DISTINCT doc_id FROM documents) ORDER BY {ahash(42 * 1000 + 100, 'doc_id')}, doc_id LIMIT 100)"""
+    return f"""SELECT doc_id, lang, source, n_chars, -doc_id AS position FROM documents WHERE doc_id IN
+        (SELECT doc_id FROM (SELECT DISTINCT doc_id FROM documents) ORDER BY {draw_rank(42, 'budget-100', 'doc_id')}, doc_id LIMIT 100)"""
 
 
 def sql_masked_mean() -> str:
@@ -1095,3 +1097,19 @@ def sql_concat_features() -> str:
     return with_(ctes_linear() + [f"md AS (SELECT user_id, day, [{', '.join(masks)}] AS m, [{', '.join(deltas)}] AS d FROM ev_clean)"],
                  f"""SELECT l.user_id, l.day, {lst6(f"list_concat([{', '.join('CAST(l.' + c + ' AS DOUBLE)' for c in FEATURES)}], md.m, md.d)")} AS x
                  FROM ev_linear l JOIN md ON l.user_id = md.user_id AND l.day = md.day""")
+
+
+# ------------------------------------------------------------------ operators with a query of their own
+def sql_outcomes_scan() -> str:
+    return with_(ctes_grid(), "SELECT id, label FROM ev_labels")
+
+
+def sql_variable_map() -> str:
+    parts = [f"""SELECT '{c}' AS variable, {i} AS "index", 'var_{c}' AS ohe_column, '{'static' if c in STATIC else 'dynamic'}' AS role,
+        {str(c == 'building').lower()} AS is_binary, {str(c in LOG_COLS).lower()} AS use_log1p,
+        {r6(f'(count(*) - count({c})) * 100.0 / count(*)')} AS missing_pct FROM ev_grid""" for i, c in enumerate(FEATURES)]
+    return with_(ctes_grid(), "\nUNION ALL\n".join(parts))
+
+
+def sql_entity_rows() -> str:
+    return f"SELECT * FROM ({sql_grid()}) WHERE label = 1"

@@ -15,9 +15,22 @@ from hourglass.functions.quantiles import exact_quantiles, quantile_row
 def test_exact_quantiles_match_numpy(spark, xs):
     df = spark.createDataFrame([(float(x),) for x in xs], "x double")
     want = np.percentile(np.asarray(xs, dtype=float), [0, 25, 50, 75, 100])
-    for limit in (0, 10 ** 6):  # distributed path and size-checked buffer path
-        got = quantile_row(df, ["x"], [0.0, 0.25, 0.5, 0.75, 1.0], buffer_limit=limit)["x"]
-        assert np.allclose(got, want)
+    got = quantile_row(df, ["x"], [0.0, 0.25, 0.5, 0.75, 1.0])["x"]
+    assert np.allclose(got, want)
+
+
+def test_partition_count_does_not_matter(spark):
+    rng = np.random.default_rng(5)
+    rows = [(float(v), int(k)) for v, k in zip(rng.integers(0, 200, 777), rng.permutation(777))]
+    df = spark.createDataFrame(rows, "x double, k long")
+    found, before = [], spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in ("1", "64"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            found.append((quantile_row(df, ["x"], [0.1, 0.5, 0.99]), sorted(map(tuple, running_sums(df, [], "k", ["x"]).collect()))))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1]
 
 
 def test_grouped_quantiles(spark):
@@ -35,8 +48,8 @@ def test_running_sums_match_cumsum(spark):
     keys = rng.permutation(500)
     rows = [(int(k % 3), float(k), int(v)) for k, v in zip(keys, rng.integers(0, 9, 500))]
     df = spark.createDataFrame(rows, "g int, k double, v long").repartition(7)
-    out = running_sums(df, ["g"], "k", ["v"], buckets=5, force_buckets=True).collect()
-    small = running_sums(df, ["g"], "k", ["v"]).collect()  # size-checked single-bucket path
+    out = running_sums(df, ["g"], "k", ["v"], buckets=5).collect()
+    small = running_sums(df, ["g"], "k", ["v"], buckets=1).collect()
     assert sorted(out) == sorted(small)
     for g in range(3):
         mine = sorted((r["k"], r["v"], r["cum_v"]) for r in out if r["g"] == g)
