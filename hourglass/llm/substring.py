@@ -146,16 +146,16 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     """(key, spans): window starts [first, first + windows) that occur elsewhere too, per row key."""
     picked = docs.select(row_key(id_col, text_col).alias("row_key"), F.col(text_col).alias("text"))
     phrases = written(_phrase_rows(picked, width, anchor), "phrases")
-    distinct = phrases.groupBy("anchor", "c1", "c2").agg(F.count("*").alias("copies"))
+    distinct = phrases.groupBy("anchor", "c1", "c2").agg(F.count("*").alias("copies"), F.min(F.struct("key", "first")).alias("holder"))
     blocks = distinct.groupBy(F.col("anchor").alias("block_anchor")).agg(F.count("*").alias("kinds"))
     # what the reference says of a phrase: found more than once, or found beside others of its anchor
     reference = distinct.join(blocks.filter("kinds > 1"), F.col("anchor") == F.col("block_anchor"), "left").filter(
         "copies > 1 OR kinds > 1").select(F.col("anchor").alias("r"), F.col("c1").alias("r1"), F.col("c2").alias("r2"),
-                                          "copies", (F.coalesce("kinds", F.lit(1)) > 1).alias("beside"))
+                                          "copies", F.when(F.col("kinds") > 1, F.col("holder")).alias("holder"))
     found = written(phrases.join(reference, (F.col("anchor") == F.col("r")) & (F.col("c1") == F.col("r1"))
-                                 & (F.col("c2") == F.col("r2"))).select("key", "first", "windows", "copies", "beside"), "factors")
+                                 & (F.col("c2") == F.col("r2"))).select("key", "first", "windows", "copies", (F.struct("key", "first") == F.col("holder")).alias("beside")), "factors")
     long_factors = found.filter("copies > 1").select("key", F.col("first").alias("a"), (F.col("first") + F.col("windows")).alias("b"))
-    # boundary check, window by window; a phrase found more than once gives its windows for the others
+    # boundary check, window by window; of a phrase found more than once one copy gives the windows, for others
     check = found.filter("beside").groupBy(F.col("key").alias("check_key")).agg(F.collect_set("first").alias("check"))
     texts = picked.join(check, F.col("row_key") == F.col("check_key")).select("row_key", "text", "check")
     windows = written(_window_rows(texts, width, anchor), "windows")
