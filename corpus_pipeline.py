@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from hourglass.llm import bpe, decontaminate, line_rules, lsh_forest, substring
 from hourglass.llm.storage import written
+from hourglass.session import configure
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,6 +52,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), name)
