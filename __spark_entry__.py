@@ -438,7 +438,23 @@ def q_probe_threshold(spark, sf):
 
 
 def q_label_scarcity(spark, sf):
-    return models.label_scarcity(_emb_split(spark, sf), (100, 500, 1000), "id")
+    """The recency embeddings and the engineered features of the same users; the boosted member is
+    chosen among the first config without and with the class ratio (all eight: ``grid=models.GBT_GRID``)."""
+    f = panel.events_features(spark, sf)
+    emb = vectors.extract_embeddings(q_fixed_sequences(spark, sf), "user_id", "seq", "label")
+    emb = emb.join(f.select("user_id", "split"), "user_id")
+    return models.label_scarcity(emb, f, features.feature_names(SPEC), (100, 500, 1000), "user_id",
+                                 grid=(models.GBT_GRID[0], models.GBT_GRID[4]))
+
+
+def q_rf_engineered(spark, sf):
+    """M2 on F2: the forest sweep on the engineered features."""
+    return models.sweep(panel.events_features(spark, sf), features.feature_names(SPEC), "rf", models.RF_ENGINEERED_GRID, "user_id")
+
+
+def q_experiment_grid(spark, sf):
+    """All experiments with the number of labelled users per split."""
+    return models.experiment_grid(panel.events_grid(spark, sf), len(SPEC.features), "user_id")
 
 
 def q_predictions(spark, sf):
@@ -590,6 +606,8 @@ def q_entity_rows(spark, sf):
 
 
 _QUERIES = {
+    "experiment_grid": q_experiment_grid,
+    "rf_engineered": q_rf_engineered,
     "outcomes_scan": q_outcomes_scan,
     "variable_map": q_variable_map,
     "union_splits": q_union_splits,
@@ -695,6 +713,7 @@ _QUERIES = {
 }
 
 _ORACLES = {
+    "experiment_grid": O.sql_experiment_grid,
     "outcomes_scan": O.sql_outcomes_scan,
     "variable_map": O.sql_variable_map,
     "union_splits": O.sql_grid,

@@ -36,11 +36,51 @@ RF_GRID = (
     {"n_estimators": 300, "max_depth": 10, "min_samples_leaf": 1, "class_weight": "balanced"},
     {"n_estimators": 300, "max_depth": None, "min_samples_leaf": 5, "class_weight": "balanced"},
 )
-GBT_BASE = (
-    {"n_estimators": 100, "learning_rate": 0.05, "max_depth": 3, "min_child_weight": 1},
-    {"n_estimators": 200, "learning_rate": 0.05, "max_depth": 4, "min_child_weight": 1},
-    {"n_estimators": 300, "learning_rate": 0.03, "max_depth": 4, "min_child_weight": 1},
-    {"n_estimators": 200, "learning_rate": 0.05, "max_depth": 6, "min_child_weight": 3},
+# None stands for the negatives-to-positives ratio of the training rows.
+GBT_GRID = (
+    {"n_estimators": 100, "learning_rate": 0.05, "max_depth": 3, "min_child_weight": 1, "scale_pos_weight": 1.0},
+    {"n_estimators": 200, "learning_rate": 0.05, "max_depth": 4, "min_child_weight": 1, "scale_pos_weight": 1.0},
+    {"n_estimators": 300, "learning_rate": 0.03, "max_depth": 4, "min_child_weight": 1, "scale_pos_weight": 1.0},
+    {"n_estimators": 200, "learning_rate": 0.05, "max_depth": 6, "min_child_weight": 3, "scale_pos_weight": 1.0},
+    {"n_estimators": 100, "learning_rate": 0.05, "max_depth": 3, "min_child_weight": 1, "scale_pos_weight": None},
+    {"n_estimators": 200, "learning_rate": 0.05, "max_depth": 4, "min_child_weight": 1, "scale_pos_weight": None},
+    {"n_estimators": 300, "learning_rate": 0.03, "max_depth": 4, "min_child_weight": 1, "scale_pos_weight": None},
+    {"n_estimators": 200, "learning_rate": 0.05, "max_depth": 6, "min_child_weight": 3, "scale_pos_weight": None},
+)
+RF_ENGINEERED_GRID = (
+    {"n_estimators": 300, "max_depth": 10, "min_samples_leaf": 1, "class_weight": None},
+    {"n_estimators": 300, "max_depth": 10, "min_samples_leaf": 5, "class_weight": None},
+    {"n_estimators": 300, "max_depth": None, "min_samples_leaf": 5, "class_weight": None},
+    {"n_estimators": 500, "max_depth": 10, "min_samples_leaf": 1, "class_weight": None},
+    {"n_estimators": 300, "max_depth": 10, "min_samples_leaf": 1, "class_weight": "balanced"},
+    {"n_estimators": 300, "max_depth": None, "min_samples_leaf": 5, "class_weight": "balanced"},
+)
+# Experiments whose models are trained elsewhere; their tables feed the leaderboards.
+SEQUENCE_GRID = (
+    {"name": "uni_last", "bidirectional": False, "pooling": "last"},
+    {"name": "uni_mean", "bidirectional": False, "pooling": "mean"},
+    {"name": "uni_recency_2", "bidirectional": False, "pooling": "recency", "strength": 2},
+    {"name": "uni_recency_3", "bidirectional": False, "pooling": "recency", "strength": 3},
+    {"name": "uni_recency_4", "bidirectional": False, "pooling": "recency", "strength": 4},
+    {"name": "bi_last", "bidirectional": True, "pooling": "last"},
+    {"name": "bi_mean", "bidirectional": True, "pooling": "mean"},
+    {"name": "bi_max", "bidirectional": True, "pooling": "max"},
+    {"name": "bi_recency_0", "bidirectional": True, "pooling": "recency", "strength": 0},
+    {"name": "bi_recency_1", "bidirectional": True, "pooling": "recency", "strength": 1},
+    {"name": "bi_recency_2", "bidirectional": True, "pooling": "recency", "strength": 2},
+    {"name": "bi_recency_3", "bidirectional": True, "pooling": "recency", "strength": 3},
+    {"name": "bi_recency_4", "bidirectional": True, "pooling": "recency", "strength": 4},
+    {"name": "bi_recency_5", "bidirectional": True, "pooling": "recency", "strength": 5},
+    {"name": "bi_recency_6", "bidirectional": True, "pooling": "recency", "strength": 6},
+    {"name": "bi_mean_mask_delta", "bidirectional": True, "pooling": "mean", "mask_delta": True},
+)
+TRANSFORMER_GRID = (
+    {"name": "transformer_d64_h4_l1_ff128_do02", "d_model": 64, "nhead": 4, "num_layers": 1, "dim_feedforward": 128, "dropout": 0.2},
+    {"name": "transformer_d64_h4_l2_ff128_do02", "d_model": 64, "nhead": 4, "num_layers": 2, "dim_feedforward": 128, "dropout": 0.2},
+    {"name": "transformer_d128_h4_l2_ff256_do02", "d_model": 128, "nhead": 4, "num_layers": 2, "dim_feedforward": 256, "dropout": 0.2},
+    {"name": "transformer_d128_h8_l2_ff256_do02", "d_model": 128, "nhead": 8, "num_layers": 2, "dim_feedforward": 256, "dropout": 0.2},
+    {"name": "transformer_d64_h4_l2_ff128_do01", "d_model": 64, "nhead": 4, "num_layers": 2, "dim_feedforward": 128, "dropout": 0.1},
+    {"name": "transformer_d64_h4_l2_ff128_do03", "d_model": 64, "nhead": 4, "num_layers": 2, "dim_feedforward": 128, "dropout": 0.3},
 )
 GBT_SUBSAMPLE = 0.8
 GBT_COLSAMPLE = 0.8
@@ -48,10 +88,9 @@ UNLIMITED_DEPTH = 30  # Spark's deepest tree stands in for "no depth limit"
 SEED = 42
 
 
-def gbt_grid(pos_weight: float) -> tuple:
-    """Boosting configs: every base config with scale_pos_weight 1 and with n_neg / n_pos."""
-    return tuple({**c, "scale_pos_weight": 1.0} for c in GBT_BASE) + \
-        tuple({**c, "scale_pos_weight": float(pos_weight)} for c in GBT_BASE)
+def gbt_grid(pos_weight: float, grid=GBT_GRID) -> tuple:
+    """The boosting configs with the ratio n_neg / n_pos filled in."""
+    return tuple({**c, "scale_pos_weight": float(pos_weight) if c["scale_pos_weight"] is None else c["scale_pos_weight"]} for c in grid)
 
 
 def config_table(spark, model: str, grid) -> DataFrame:
@@ -60,6 +99,23 @@ def config_table(spark, model: str, grid) -> DataFrame:
                                  "model string, cfg_idx int, config string")
 
 
+def experiment_grid(panel: DataFrame, n_features: int, id_col: str, label: str = "label", split_col: str = "split") -> DataFrame:
+    """Every experiment of the study with its input: ``(model, cfg_idx, config, n_features, n_train, n_val,
+    n_test)``. Sequences with mask and time-since-observation are three times as wide."""
+    spark = panel.sparkSession
+    grids = (("lstm", SEQUENCE_GRID), ("transformer", TRANSFORMER_GRID), ("lr", LR_GRID), ("rf", RF_GRID), ("gbt", GBT_GRID),
+             ("rf_engineered", RF_ENGINEERED_GRID))
+    rows = None
+    for model, g in grids:
+        t = config_table(spark, model, g)
+        rows = t if rows is None else rows.unionByName(t)
+    ids = panel.where(F.col(label).isNotNull()).select(id_col, split_col).distinct().groupBy(split_col).agg(F.count(F.lit(1)).alias("n"))
+    n = {r[0]: r[1] for r in ids.where(F.col(split_col).isin("a", "b", "c")).collect()}
+    wide = F.coalesce(F.get_json_object("config", "$.mask_delta"), F.lit("false")) == "true"
+    return rows.select("*", F.when(wide, 3 * n_features).otherwise(n_features).alias("n_features"),
+                       *[F.lit(int(n.get(s, 0))).cast("long").alias(c) for s, c in (("a", "n_train"), ("b", "n_val"), ("c", "n_test"))])
+
+
 def with_weights(df: DataFrame, label: str, mode: str | None, pos_weight: float = 1.0) -> DataFrame:
     """Sample weights: ``balanced`` = n / (2 · n_class); ``pos`` = pos_weight on positives; else 1."""
     if mode == "balanced":
@@ -194,43 +250,56 @@ def linear_probe(emb: DataFrame, train_split: str = "a", eval_split: str = "c",
     return m
 
 
-def label_scarcity(emb: DataFrame, budgets=(100, 500, 1000), id_col: str = "id", seed: int = 42,
-                   emb_col: str = "embedding", label: str = "label", split_col: str = "split",
-                   parallelism: int = 8) -> DataFrame:
-    """For each label budget (P2 draw of train ids, plus ``full``) a linear probe and a boosted-tree
-    model on the embeddings; rows ``(n_labelled, model, val_auroc, val_auprc, test_auroc, test_auprc)``.
-    All budget × model fits run concurrently; one grouped metrics pass scores them."""
+def label_scarcity(emb: DataFrame, engineered: DataFrame, feature_cols: list[str], budgets=(100, 500, 1000), id_col: str = "id",
+                   seed: int = 42, emb_col: str = "embedding", label: str = "label", split_col: str = "split",
+                   parallelism: int = 8, grid=GBT_GRID) -> DataFrame:
+    """For each label budget (P2 draw of train ids, plus ``full``) a linear probe on the embeddings and
+    the boosted sweep on the engineered features of the same ids, of which the config with the best validation
+    (AUPRC, then AUROC, then the first) counts: ``(n_labelled, model, cfg_idx, val_auroc, val_auprc, test_auroc,
+    test_auprc)``. A budget that takes all ids is the ``full`` draw and shares its fits. All fits run
+    concurrently; one grouped metrics pass scores them."""
+    from hourglass.operators.features import scale_pos_weight
     from hourglass.operators.sampling import budget_subsets
 
     lab = emb.where(F.col(label).isNotNull())
     width = _width(lab, emb_col)
-    table = lab.select(id_col, split_col, label, *[F.col(emb_col)[i].cast("double").alias(f"e{i}")
-                                                   for i in range(width)])
-    feats = [f"e{i}" for i in range(width)]
-    data = assemble(table, feats, label).select(id_col, split_col, "features", label)
-    data = reuse(data)
-    subsets = reuse(budget_subsets(data.where(F.col(split_col) == "a").select(id_col), id_col, budgets, seed))
-    ev = data.where(F.col(split_col).isin("b", "c"))
-    plan = [(b, m, c) for b in ["full", *[str(n) for n in budgets]]
-            for m, c in (("lr", {"C": 1.0, "class_weight": None}), ("gbt", {**GBT_BASE[0], "scale_pos_weight": 1.0}))]
-    ests, inputs = [], []
-    for b, m, c in plan:
-        tr = data.where(F.col(split_col) == "a").join(subsets.where(F.col("budget") == b).select(id_col), id_col,
-                                                      "left_semi")
-        ests.append(make_estimator(m, c, tr.count()))
-        inputs.append(with_weights(tr, label, None))
+    probe = lab.select(id_col, split_col, label, *[F.col(emb_col)[i].cast("double").alias(f"e{i}") for i in range(width)])
+    data = {"lr": reuse(assemble(probe, [f"e{i}" for i in range(width)], label).select(id_col, split_col, "features", label)),
+            "gbt": reuse(assemble(engineered.where(F.col(label).isNotNull()), feature_cols, label)
+                         .select(id_col, split_col, "features", label))}
+    ids = data["lr"].where(F.col(split_col) == "a").select(id_col)
+    n_ids = ids.distinct().count()
+    subsets = reuse(budget_subsets(ids, id_col, tuple(b for b in budgets if b < n_ids), seed))
+    keys, ests, inputs = [], [], []
+    for b in ["full", *[str(n) for n in budgets if n < n_ids]]:
+        chosen = subsets.where(F.col("budget") == b).select(id_col)
+        for m, table in data.items():
+            tr = table.where(F.col(split_col) == "a").join(chosen, id_col, "left_semi")
+            n_train = tr.count()
+            ratio = scale_pos_weight(tr, label, "classic").first()["pos_weight"] if m == "gbt" else 1.0
+            for i, c in enumerate(({"C": 1.0, "class_weight": None},) if m == "lr" else gbt_grid(ratio, grid)):
+                mode, pw = weight_mode(m, c)
+                keys.append((b, m, i))
+                ests.append(make_estimator(m, c, n_train))
+                inputs.append(with_weights(tr, label, mode, pw))
     fitted = fit_many(ests, inputs, parallelism)
     scored = None
-    for (b, m, _), f in zip(plan, fitted):
-        s = f.transform(ev).select(F.lit(b).alias("n_labelled"), F.lit(m).alias("model"), split_col, label,
-                                   positive_prob().alias("y_prob"))
+    for (b, m, i), f in zip(keys, fitted):
+        ev = data[m].where(F.col(split_col).isin("b", "c"))
+        s = f.transform(ev).select(F.lit(b).alias("n_labelled"), F.lit(m).alias("model"), F.lit(i).alias("cfg_idx"), split_col,
+                                   label, positive_prob().alias("y_prob"))
         scored = s if scored is None else scored.unionByName(s)
-    res = metrics.ranking_metrics(scored, "y_prob", label, ["n_labelled", "model", split_col])
-    return res.groupBy("n_labelled", "model").agg(
-        F.max(F.when(F.col(split_col) == "b", F.col("auroc"))).alias("val_auroc"),
-        F.max(F.when(F.col(split_col) == "b", F.col("auprc"))).alias("val_auprc"),
-        F.max(F.when(F.col(split_col) == "c", F.col("auroc"))).alias("test_auroc"),
-        F.max(F.when(F.col(split_col) == "c", F.col("auprc"))).alias("test_auprc"))
+    res = metrics.ranking_metrics(scored, "y_prob", label, ["n_labelled", "model", "cfg_idx", split_col])
+    board = res.groupBy("n_labelled", "model", "cfg_idx").agg(*[
+        F.max(F.when(F.col(split_col) == s, F.col(c))).alias(f"{name}_{c}") for s, name in (("b", "val"), ("c", "test"))
+        for c in ("auroc", "auprc")])
+    # at most one row per config and group
+    best = board.groupBy("n_labelled", "model").agg(F.max_by(
+        F.struct(*[c for c in board.columns if c not in ("n_labelled", "model")]),
+        F.struct("val_auprc", "val_auroc", -F.col("cfg_idx"))).alias("r")).select("n_labelled", "model", "r.*")
+    same = [str(n) for n in budgets if n >= n_ids]
+    names = F.when(F.col("n_labelled") == "full", F.array(*[F.lit(x) for x in ["full", *same]])).otherwise(F.array("n_labelled"))
+    return best.withColumn("n_labelled", F.explode(names))
 
 
 def _width(df: DataFrame, emb_col: str) -> int:

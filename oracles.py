@@ -1113,3 +1113,21 @@ def sql_variable_map() -> str:
 
 def sql_entity_rows() -> str:
     return f"SELECT * FROM ({sql_grid()}) WHERE label = 1"
+
+
+def sql_experiment_grid() -> str:
+    """The fixed experiments (a parameter of the library) with the labelled users per split."""
+    import json
+
+    from hourglass.plans import models as M
+
+    rows = []
+    for model, grid in (("lstm", M.SEQUENCE_GRID), ("transformer", M.TRANSFORMER_GRID), ("lr", M.LR_GRID), ("rf", M.RF_GRID),
+                        ("gbt", M.GBT_GRID), ("rf_engineered", M.RF_ENGINEERED_GRID)):
+        for i, c in enumerate(grid):
+            width = len(FEATURES) * (3 if c.get("mask_delta") else 1)
+            rows.append(f"('{model}', {i}, '{json.dumps(c, sort_keys=True)}', {width})")
+    counts = ", ".join(f"(SELECT CAST(count(DISTINCT user_id) AS BIGINT) FROM ev_grid WHERE label IS NOT NULL AND split = '{s}') AS {c}"
+                       for s, c in (("a", "n_train"), ("b", "n_val"), ("c", "n_test")))
+    return with_(ctes_grid(), f"""SELECT model, cfg_idx, config, n_features, {counts}
+        FROM (VALUES {", ".join(rows)}) AS t(model, cfg_idx, config, n_features)""")
