@@ -250,10 +250,10 @@ def _tables(rows: DataFrame) -> dict[str, np.ndarray]:
     left = longer.groupBy(F.expr("substring(longer, 2)").alias("string")).agg(F.count("*").alias("left")).withColumn(
         "size", F.length("string"))
     sums = _slot_sums(left, True).unionByName(_slot_sums(top.withColumn("size", F.lit(ORDER)), False))
-    found = sums.groupBy("kind", "slot").agg(F.sum("n").alias("n"))
+    found = written(sums.groupBy("kind", "slot").agg(F.sum("n").alias("n")), "slots")
     out: dict[str, np.ndarray] = {}
     # at most SLOTS rows of each of 21 tables
-    for r in found.groupBy("kind").agg(F.lit(1)).select("kind").collect():
+    for r in found.select("kind").distinct().collect():
         t = found.filter(F.col("kind") == r.kind).select("slot", "n").toArrow()
         out[r.kind] = np.zeros(SLOTS, np.float32)
         out[r.kind][t["slot"].to_numpy()] = t["n"].to_numpy()
