@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hourglass.functions.exprs import binary01, finite_or_zero, in_range, safe_log1p
+from hourglass.functions.exprs import binary01, in_range, safe_log1p
 from hourglass.functions.quantiles import quantile_row
 from hourglass.session import reuse
 from hourglass.spec import PanelSpec
@@ -202,9 +202,3 @@ def normalize_static(df: DataFrame, params: DataFrame | dict, cols) -> DataFrame
     cols = set(cols)
     return df.select(*[((F.col(c) - F.lit(float(p[c]["median"]))) / F.lit(float(p[c]["iqr"]) + 1e-8)).alias(c)
                        if c in cols and c in p else F.col(c) for c in df.columns])
-
-
-def nonfinite_to_zero(df: DataFrame, cols) -> DataFrame:
-    """NULL / NaN / ±inf → 0."""
-    cols = set(cols)
-    return df.select(*[finite_or_zero(c).alias(c) if c in cols else F.col(c) for c in df.columns])

@@ -131,15 +131,6 @@ def masked_mean(padded: DataFrame, seq_col: str = "padded", mask_col: str = "pad
     return padded.withColumn("pooled", F.transform(sums, lambda s: s / F.greatest(valid, F.lit(1))))
 
 
-def positional_table(spark, max_len: int, dim: int) -> DataFrame:
-    """Q8: sinusoidal encoding ``(pos, pe array<double>)``: sin on even dims, cos on odd, base 10000."""
-    pos = F.col("id").cast("double")
-    pe = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda d: F.when(
-        d % 2 == 0, F.sin(pos / F.pow(F.lit(10000.0), (d - d % 2).cast("double") / F.lit(float(dim)))))
-        .otherwise(F.cos(pos / F.pow(F.lit(10000.0), (d - d % 2).cast("double") / F.lit(float(dim))))))
-    return spark.range(max_len).select(F.col("id").cast("int").alias("pos"), pe.alias("pe"))
-
-
 def add_positions(seqs: DataFrame, max_len: int, seq_col: str = "seq") -> DataFrame:
     """Q8 applied: add the encoding row-wise; a sequence longer than the table raises."""
     dim = F.size(F.col(seq_col)[0])

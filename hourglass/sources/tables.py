@@ -62,13 +62,6 @@ def events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.col("event_id").alias("ord"))
 
 
-def customer_statics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer")
-    return c.select(F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("acctbal"),
-                    (F.col("c_mktsegment") == "BUILDING").cast("double").alias("building"),
-                    F.col("c_nationkey").cast("double").alias("nation"))
-
-
 def events_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, label): 1 when the user's total error value exceeds the constant; no row for unlabelled users."""
     ev = table(spark, sf_dir, "events")
@@ -101,8 +94,8 @@ def lineitem_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def events_entities(spark: SparkSession, sf_dir: str, labelled: bool = True) -> DataFrame:
     """Every user of ``events`` with statics and (optionally) the derived label, from ONE per-user
-    aggregation of the log plus one id-granularity join with ``customer`` — the same values as
-    ``customer_statics`` + ``events_outcomes``, without scanning the log twice."""
+    aggregation of the log plus one id-granularity join with ``customer`` — the log is
+    not scanned twice."""
     from hourglass.session import small_side
 
     ev = table(spark, sf_dir, "events")
