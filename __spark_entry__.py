@@ -514,7 +514,7 @@ def q_augment(spark, sf):
 def q_summary_json(spark, sf):
     """The per-config leaderboard as JSON documents (non-finite → null)."""
     from hourglass.sources import sinks
-    return sinks.summary_json(evaluation.config_board(spark, sf))
+    return sinks.summary_json(r6(evaluation.config_board(spark, sf)))
 
 
 def q_score_with(spark, sf):
@@ -713,6 +713,8 @@ _QUERIES = {
 }
 
 _ORACLES = {
+    "augment": O.sql_augment,
+    "summary_json": O.sql_summary_json,
     "experiment_grid": O.sql_experiment_grid,
     "outcomes_scan": O.sql_outcomes_scan,
     "variable_map": O.sql_variable_map,

@@ -78,7 +78,9 @@ def draw_rank(seed: int, draw: str, *cols) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("bigint")
 
 
-def xx_unit(seed: int, *cols) -> Column:
-    """Uniform double in [0, 1) from xxhash64 of (seed, cols): seeded, deterministic under task retries."""
-    h = F.xxhash64(F.lit(int(seed)), *[col(c) for c in cols])
-    return (F.pmod(h, F.lit(1 << 53)).cast("double")) / F.lit(float(1 << 53))
+def md5_unit(seed: int, tag: str, *cols) -> Column:
+    """Uniform double in (0, 1] from 52 bits of ``md5(seed|tag|cols…)``: seeded, the same in every retry, and
+    reproducible in DuckDB."""
+    text = F.concat_ws("|", F.lit(str(int(seed))), F.lit(tag), *[col(c).cast("string") for c in cols])
+    bits = F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("bigint")
+    return (bits + F.lit(1)).cast("double") / F.lit(float((1 << 52) + 1))

@@ -12,7 +12,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hourglass.functions.exprs import xx_unit
+from hourglass.functions.exprs import draw_rank, md5_unit
 from hourglass.functions.indexing import global_index
 from hourglass.spec import PanelSpec
 
@@ -151,19 +151,16 @@ def augment(seqs: DataFrame, spec: PanelSpec, seed: int = 42, view: int = 0, cro
     """
     n = F.size(seq_col)
     span = n - F.lit(crop_len) + 1
-    start = F.when(n >= crop_len, F.pmod(F.xxhash64(F.lit(seed), F.lit(view), F.col(spec.id_col), F.lit("crop")), span)) \
+    start = F.when(n >= crop_len, F.pmod(draw_rank(seed, f"crop-{view}", spec.id_col), span)) \
         .otherwise(F.raise_error(F.format_string("sequence of length %d is shorter than crop %d", n, F.lit(crop_len))))
     cropped = F.slice(seq_col, (start + 1).cast("int"), crop_len)
     idc = F.col(spec.id_col)
 
-    def unif(tag, i, d):
-        h = F.xxhash64(F.lit(seed), F.lit(view), idc, F.lit(tag), i, d)
-        return (F.pmod(h, F.lit(1 << 53)).cast("double") + F.lit(1.0)) / F.lit(float((1 << 53) + 1))
-
     def noisy(row, i):
         return F.transform(row, lambda x, d: F.when(
-            xx_unit(seed, F.lit(view), idc, F.lit("drop"), d) < F.lit(drop_p), F.lit(0.0)).otherwise(
-            x + F.lit(noise_std) * F.sqrt(F.lit(-2.0) * F.log(unif("u1", i, d))) * F.cos(F.lit(2 * math.pi) * unif("u2", i, d))))
+            md5_unit(seed, f"drop-{view}", idc, d) < F.lit(drop_p), F.lit(0.0)).otherwise(
+            x + F.lit(noise_std) * F.sqrt(F.lit(-2.0) * F.log(md5_unit(seed, f"u1-{view}", idc, i, d)))
+            * F.cos(F.lit(2 * math.pi) * md5_unit(seed, f"u2-{view}", idc, i, d))))
 
     return seqs.withColumn(f"view{view}", F.transform(cropped, noisy))
 

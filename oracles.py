@@ -1131,3 +1131,25 @@ def sql_experiment_grid() -> str:
                        for s, c in (("a", "n_train"), ("b", "n_val"), ("c", "n_test")))
     return with_(ctes_grid(), f"""SELECT model, cfg_idx, config, n_features, {counts}
         FROM (VALUES {", ".join(rows)}) AS t(model, cfg_idx, config, n_features)""")
+
+
+def sql_augment(seed: int = 42, crop: int = 16, noise: float = 0.05, drop: float = 0.1, steps: int = 31) -> str:
+    def unit(tag: str, *parts: str) -> str:
+        text = f"'{seed}|{tag}|' || " + " || '|' || ".join(f"CAST({p} AS VARCHAR)" for p in parts)
+        return f"((CAST('0x' || substr(md5({text}), 1, 13) AS BIGINT) + 1) / 4503599627370497.0)"
+
+    views = []
+    for v in (0, 1):
+        row = ", ".join(f"""CASE WHEN {unit(f'drop-{v}', 'user_id', str(d))} < {drop} THEN 0.0 ELSE CAST({c} AS DOUBLE) + {noise}
+            * sqrt(-2.0 * ln({unit(f'u1-{v}', 'user_id', 'i', str(d))})) * cos(2 * pi() * {unit(f'u2-{v}', 'user_id', 'i', str(d))}) END"""
+                        for d, c in enumerate(FEATURES))
+        views.append(f"""v{v} AS (SELECT user_id, {lst6_2(f'list([{row}] ORDER BY i)')} AS view{v} FROM (
+            SELECT *, day - {draw_rank(seed, f'crop-{v}', 'user_id')} % {steps - crop + 1} AS i FROM ev_linear)
+            WHERE i >= 0 AND i < {crop} GROUP BY user_id)""")
+    return with_(ctes_linear() + views, "SELECT v0.user_id, view0, view1 FROM v0 JOIN v1 ON v0.user_id = v1.user_id")
+
+
+def sql_summary_json() -> str:
+    names = ("cfg_idx", "config_name", "val_auroc", "val_auprc", "test_auroc", "test_auprc")
+    fields = ", ".join(f"'{n}': {n}" for n in names)
+    return "SELECT CAST(to_json({" + fields + "}) AS VARCHAR) AS json FROM (" + sql_leaderboard() + ")"
