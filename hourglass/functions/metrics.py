@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourglass.functions.cumulative import running_sums
+from hourglass.session import cut_lineage
 
 
 def _grouped(df: DataFrame, groups) -> tuple[DataFrame, list[str], bool]:
@@ -38,7 +39,8 @@ def ranking_metrics(df: DataFrame, score: str, label: str, groups: list[str] | t
     base = df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
     counts = base.groupBy(*groups, (-F.col(score).cast("double")).alias("_neg_s")).agg(
         F.sum((F.col(label) == 1).cast("long")).alias("pos"), F.sum((F.col(label) != 1).cast("long")).alias("neg"))
-    cum = running_sums(counts, groups, "_neg_s", ["pos", "neg"])
+    # one row per (group, score): the running sums read it three times, its input once
+    cum = running_sums(cut_lineage(counts), groups, "_neg_s", ["pos", "neg"])
     tp, fp = F.col("cum_pos"), F.col("cum_neg")
     agg = cum.groupBy(*groups).agg(
         F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"),
