@@ -11,20 +11,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourglass.llm import bpe, decontaminate, line_rules, lsh_forest, substring
-from hourglass.llm.storage import written
+from hourglass.llm.storage import decided, written
 from hourglass.session import configure
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules, or that frequent lines deplete, go."""
-    rejected = line_rules.line_rules(docs).filter("NOT kept").select(F.col("row_key").alias("__rejected"))
+    rejected = decided(spark, "rejected", lambda: line_rules.line_rules(docs).filter("NOT kept").select(
+        F.col("row_key").alias("__rejected")))
     keyed = docs.withColumn("__row_key", F.xxhash64("doc_id", "source", "text"))
     return keyed.join(rejected, F.col("__row_key") == F.col("__rejected"), "left_anti").drop("__row_key")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays, the one with the smallest id."""
-    gone = lsh_forest.near_duplicates(docs).filter("NOT kept").select(F.col("doc_id").alias("__gone"))
+    gone = decided(spark, "gone", lambda: lsh_forest.near_duplicates(docs).filter("NOT kept").select(
+        F.col("doc_id").alias("__gone")))
     return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
 
 

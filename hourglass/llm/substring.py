@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourglass.llm.storage import written
+from hourglass.llm.storage import decided, forget, written
 from hourglass.llm.text import WordHashes, mix, row_key, slices
 
 WIDTH = 35
@@ -85,21 +85,21 @@ class Phrases:
         self.first = np.flatnonzero(np.append(True, places[1:] != places[:-1]))
         self.anchor = runs[places[self.first]].view(np.int64)
         self.windows = np.diff(np.append(self.first, n))
-        # a phrase's content: sums over its words, scaled back to its first word
-        self.content = []
+        # a phrase's content: a sum over its words, scaled back to its first word; with the anchor, whose hash is
+        # independent, two phrases are compared by 128 bits
+        base = _BASES[1]
         ends = self.first + self.windows + width - 1
-        for h, base in zip(self.hashes, _BASES, strict=True):
-            inverse = np.uint64(pow(int(base), -1, 1 << 64))
-            sums = np.append(np.uint64(0), np.cumsum(mix(h) * _powers(base, len(h)), dtype=np.uint64))
-            content = (sums[ends] - sums[self.first]) * _powers(inverse, int(self.first[-1]) + 1)[self.first]
-            self.content.append(mix(content + self.windows.astype(np.uint64) * base).view(np.int64))
+        sums = np.append(np.uint64(0), np.cumsum(mix(self.hashes[1]) * _powers(base, len(words)), dtype=np.uint64))
+        inverse = np.uint64(pow(int(base), -1, 1 << 64))
+        content = (sums[ends] - sums[self.first]) * _powers(inverse, int(self.first[-1]) + 1)[self.first]
+        self.content = mix(content + self.windows.astype(np.uint64) * base).view(np.int64)
 
     def window_hashes(self, width: int) -> tuple[np.ndarray, np.ndarray]:
         return tuple(mix(run_hashes(mix(h), width, base)).view(np.int64) for h, base in zip(self.hashes, _BASES, strict=True))
 
 
 def _phrase_rows(docs: DataFrame, width: int, anchor: int) -> DataFrame:
-    names = ["key", "anchor", "c1", "c2", "first", "windows"]
+    names = ["key", "anchor", "content", "first", "windows"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -108,14 +108,14 @@ def _phrase_rows(docs: DataFrame, width: int, anchor: int) -> DataFrame:
                 for key, text in zip(part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist(), strict=True):
                     p = Phrases(text.split() if text else [], width, anchor)
                     if p.count:
-                        for c, v in zip(out, (np.full(len(p.first), key, np.int64), p.anchor, *p.content,
+                        for c, v in zip(out, (np.full(len(p.first), key, np.int64), p.anchor, p.content,
                                               p.first.astype(np.int32), p.windows.astype(np.int32)), strict=True):
                             c.append(v)
                 if out[0]:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=names)
 
     return docs.select("row_key", "text").mapInArrow(
-        run, "key long, anchor long, c1 long, c2 long, first int, windows int")
+        run, "key long, anchor long, content long, first int, windows int")
 
 
 def _window_rows(docs: DataFrame, width: int, anchor: int) -> DataFrame:
@@ -145,15 +145,19 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
              anchor: int = ANCHOR) -> DataFrame:
     """(key, spans): window starts [first, first + windows) that occur elsewhere too, per row key."""
     picked = docs.select(row_key(id_col, text_col).alias("row_key"), F.col(text_col).alias("text"))
+    # phrases whose anchor is found once can share no window; the others are few
     phrases = written(_phrase_rows(picked, width, anchor), "phrases")
-    distinct = phrases.groupBy("anchor", "c1", "c2").agg(F.count("*").alias("copies"), F.min(F.struct("key", "first")).alias("holder"))
+    often = phrases.groupBy(F.col("anchor").alias("r")).agg(F.count("*").alias("n")).filter("n > 1").select("r")
+    shared = written(phrases.join(often, F.col("anchor") == F.col("r"), "left_semi"), "shared")
+    forget(phrases)
+    distinct = shared.groupBy("anchor", "content").agg(F.count("*").alias("copies"), F.min(F.struct("key", "first")).alias("holder"))
     blocks = distinct.groupBy(F.col("anchor").alias("block_anchor")).agg(F.count("*").alias("kinds"))
     # what the reference says of a phrase: found more than once, or found beside others of its anchor
     reference = distinct.join(blocks.filter("kinds > 1"), F.col("anchor") == F.col("block_anchor"), "left").filter(
-        "copies > 1 OR kinds > 1").select(F.col("anchor").alias("r"), F.col("c1").alias("r1"), F.col("c2").alias("r2"),
+        "copies > 1 OR kinds > 1").select(F.col("anchor").alias("r"), F.col("content").alias("r1"),
                                           "copies", F.when(F.col("kinds") > 1, F.col("holder")).alias("holder"))
-    found = written(phrases.join(reference, (F.col("anchor") == F.col("r")) & (F.col("c1") == F.col("r1"))
-                                 & (F.col("c2") == F.col("r2"))).select("key", "first", "windows", "copies", (F.struct("key", "first") == F.col("holder")).alias("beside")), "factors")
+    found = written(shared.join(reference, (F.col("anchor") == F.col("r")) & (F.col("content") == F.col("r1"))).select(
+        "key", "first", "windows", "copies", (F.struct("key", "first") == F.col("holder")).alias("beside")), "factors")
     long_factors = found.filter("copies > 1").select("key", F.col("first").alias("a"), (F.col("first") + F.col("windows")).alias("b"))
     # boundary check, window by window; of a phrase found more than once one copy gives the windows, for others
     check = found.filter("beside").groupBy(F.col("key").alias("check_key")).agg(F.collect_set("first").alias("check"))
@@ -179,7 +183,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     anchor: int = ANCHOR) -> DataFrame:
     """Per row: ``doc_id``, ``n_words``, ``n_removed``, ``kept_sha256`` (of the kept words joined by one space)
     and ``clean``: the kept words in lines as they were, null where nothing is removed (the text stands)."""
-    spans = repeated(docs, id_col, text_col, width, anchor)
+    spans = decided(docs.sparkSession, "spans", lambda: repeated(docs, id_col, text_col, width, anchor))
     kind = docs.schema[id_col].dataType.simpleString()
     keyed = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), row_key(id_col, text_col).alias("row_key"))
     joined = keyed.join(spans, F.col("row_key") == F.col("span_key"), "left").select(
@@ -209,7 +213,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
                    anchor: int = ANCHOR) -> DataFrame:
     """``docs`` with the repeated passages taken out of the texts; rows and columns stay."""
-    spans = repeated(docs, id_col, text_col, width, anchor)
+    spans = decided(docs.sparkSession, "spans", lambda: repeated(docs, id_col, text_col, width, anchor))
     keyed = docs.withColumn("__row_key", row_key(id_col, text_col))
     joined = keyed.join(spans, F.col("__row_key") == spans["span_key"], "left").withColumn(
         "__spans", F.transform(spans["found_spans"], lambda s: F.array(s.a, s.b))).drop(spans["found_spans"], spans["span_key"]).drop("__row_key")

@@ -105,7 +105,7 @@ def test_phrases_cover_every_window_once(words, width, anchor):
     assert p.first[0] == 0 and p.first[-1] + p.windows[-1] == n and (np.diff(p.first) == p.windows[:-1]).all()
     content = {}
     for k, (a, m) in enumerate(zip(p.first, p.windows, strict=True)):
-        key = (int(p.content[0][k]), int(p.content[1][k]))
+        key = (int(p.anchor[k]), int(p.content[k]))
         assert content.setdefault(tuple(words[a:a + m + width - 1]), key) == key
     assert len(set(content.values())) == len(content)
     w1, _ = p.window_hashes(width)
