@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from hourglass.llm.storage import written
 from hourglass.llm.text import mix, slices
+from hourglass.session import small_side
 
 #: Characters of the classes' strings; the shared model has strings of one less.
 ORDER = 5
@@ -267,7 +268,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     known = labels.filter(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("label_id")).agg(
         (F.max(label_col) > 0).alias("is_toxic")).filter(remainder("label_id") != held_out)
-    rows = picked.filter(remainder("doc_id") != held_out).join(known, F.col("doc_id") == F.col("label_id"))
+    rows = picked.filter(remainder("doc_id") != held_out).join(
+        small_side(known), F.col("doc_id") == F.col("label_id"))
     half = (remainder("doc_id") != (held_out + 1) % 3).cast("int")
     rows = written(rows.select((half + F.when(F.col("is_toxic"), 0).otherwise(2)).alias("part"), "text",
                                F.xxhash64("doc_id").alias("order")), "labelled")
@@ -285,7 +287,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
                 yield pa.RecordBatch.from_arrays([pa.array([int(p < 2) for p in parts], pa.int32()), pa.array(list(x), pa.list_(pa.float64()))],
                                                  names=["y", "x"])
 
-    sample = rows.orderBy("order", "part").limit(fit_rows)
+    # the smallest hashes; a bound on them lets a few more than fit_rows through to the sort
+    share = min(1.0, 1.1 * fit_rows / max(rows.count(), 1))
+    most = 2 ** 63 - 1 if share == 1 else int(-(2 ** 63) + share * 2 ** 64)
+    sample = rows.filter(F.col("order") <= most).orderBy("order", "part").limit(fit_rows)
     fitted = sample.select("part", "text").mapInArrow(fit_features, "y int, x array<double>").toArrow()
     y = fitted["y"].to_numpy()
     weights = None
