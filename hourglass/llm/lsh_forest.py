@@ -43,7 +43,7 @@ FAR_BITS = 32
 #: Neighbours that a region keeps: the deepest prefixes when there are more.
 NEAREST = 24
 #: Classes and shingles of a block.
-BLOCK, BLOCK_SHINGLES = 192, 500_000
+BLOCK, BLOCK_SHINGLES = 192, 200_000
 
 _HASHES = WordHashes(3)
 _SEEDS = mix(np.arange(1, 2 * TREES * DEPTH + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
