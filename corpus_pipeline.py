@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from hourglass.llm import bpe, decontaminate, line_rules, lsh_forest, substring
 from hourglass.llm.storage import decided, written
+from hourglass.llm.text import row_key
 from hourglass.session import configure
 
 
@@ -24,10 +25,24 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, the one with the smallest id."""
-    gone = decided(spark, "gone", lambda: lsh_forest.near_duplicates(docs).filter("NOT kept").select(
-        F.col("doc_id").alias("__gone")))
-    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    """One row of each group stays, the one with the smallest id (and row key); rows of equal id and text are one.
+    Rows without words belong to no group."""
+    decisions = decided(spark, "gone", lambda: _row_decisions(docs))
+    keyed = docs.withColumn("__row_key", row_key("doc_id", "text"))
+    once = keyed.join(decisions, F.col("__row_key") == F.col("__key"), "left_anti")
+    again = decisions.filter("NOT __gone")
+    if not again.isEmpty():
+        # the rows that are listed more than once and stay, by partial aggregation
+        once = once.unionByName(keyed.join(again, F.col("__row_key") == F.col("__key"), "left_semi").dropDuplicates(["__row_key"]))
+    return once.drop("__row_key")
+
+
+def _row_decisions(docs: DataFrame) -> DataFrame:
+    """``__key`` of the rows that go (``__gone``) and of those that stay once of several."""
+    rows = lsh_forest.near_duplicates(docs, idless=True).filter("n_shingles > 0")
+    gone = rows.filter("NOT chosen").select("row_key").distinct().withColumn("__gone", F.lit(True))
+    again = lsh_forest.repeated_keys(rows.filter("chosen")).withColumn("__gone", F.lit(False))
+    return gone.unionByName(again).withColumnRenamed("row_key", "__key")
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

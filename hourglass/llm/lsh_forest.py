@@ -1,6 +1,7 @@
 """Near-duplicates by an LSH forest over MinHash signatures, confirmed on full shingle sets.
 
-1. Texts of equal shingle sets are one class, represented by its smallest id.
+1. Texts of equal shingle sets are one class, represented by its smallest (id, row key); the row key stands for
+   the class in all that follows, so ids may repeat or be missing.
 2. Every class has a signature of ``TREES`` x ``DEPTH`` minima. In each tree the classes are sorted by their
    part of the signature; a class's candidates are the neighbours that share its longest prefixes, at least
    ``MIN_DEPTH`` values. The depth adapts to the region: where only a few classes share a short prefix, all of
@@ -17,8 +18,9 @@ recall is in the README. The cost of step 3 grows with the square of a cluster's
 spread over the cluster's blocks; exact copies never enter it.
 
 Defined results: null, empty and blank texts have no shingles and link to nothing; a text of fewer words than
-a shingle is one shingle; rows without an id are given null as component; rows that repeat an id keep the class
-of their own text; an empty table gives an empty table; other columns are ignored.
+a shingle is one shingle; rows without an id are given null as component, and take part in the links only with
+``idless``; rows that repeat an id keep the class of their own text; an empty table gives an empty table; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 
 from hourglass.llm.graph import components
 from hourglass.llm.storage import written
-from hourglass.llm.text import WordHashes, mix, slices
+from hourglass.llm.text import WordHashes, mix, row_key, slices
 
 SHINGLE = 3
 #: A link: 100 * intersection >= PERCENT * union.
@@ -87,7 +89,7 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
         for batch in batches:
             for part in slices(batch):
                 n, h1, h2, trees, bits = [], [], [], [], []
-                for text in part.column(1).cast(pa.binary()).to_pylist():
+                for text in part.column(2).cast(pa.binary()).to_pylist():
                     s = shingles(text, width) if text else none
                     n.append(len(s))
                     if not len(s):
@@ -101,12 +103,13 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
                     trees.append(m.astype(">u4").tobytes())
                     bits.append(sketch(m))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()),
+                    [part.column(0), part.column(1), pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()),
                      pa.array(trees, pa.binary()), pa.array(bits, pa.binary())],
-                    names=["doc_id", "n_shingles", "h1", "h2", "trees", "bits"])
+                    names=["doc_id", "row_key", "n_shingles", "h1", "h2", "trees", "bits"])
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, f"doc_id {kind}, n_shingles long, h1 long, h2 long, trees binary, bits binary")
+    return docs.select(F.col(id_col).alias("doc_id"), row_key(id_col, text_col).alias("row_key"),
+                       F.col(text_col).alias("text")).mapInArrow(
+        run, f"doc_id {kind}, row_key long, n_shingles long, h1 long, h2 long, trees binary, bits binary")
 
 
 def _prefix(a: bytes, b: bytes) -> int:
@@ -237,30 +240,48 @@ def confirmed(texts: DataFrame, width: int, percent: int) -> DataFrame:
     return texts.select("cluster", "i", "j", "node", "text").mapInArrow(run, f"a {kind}, b {kind}")
 
 
+def repeated_keys(rows: DataFrame) -> DataFrame:
+    """Row keys that more than one of ``rows`` has."""
+    return rows.groupBy("row_key").agg(F.count("*").alias("n_rows")).filter("n_rows > 1").select("row_key")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE,
-                    percent: int = PERCENT) -> DataFrame:
-    """Per row: ``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` (see the module's text)."""
+                    percent: int = PERCENT, idless: bool = False) -> DataFrame:
+    """Per row: ``doc_id``, ``row_key``, ``n_shingles``, ``component_id``, ``kept`` (by id) and ``chosen``: whether
+    the row key is the component's smallest (id, row key), rows without an id last (see the module's text)."""
     sets = written(_sets(docs, id_col, text_col, width), "sets")
-    classes = written(sets.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("h1", "h2").agg(
-        F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("trees").alias("trees"),
-        F.first("bits").alias("bits")), "classes")
+    taken = sets.filter("n_shingles > 0" if idless else "n_shingles > 0 AND doc_id IS NOT NULL")
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key")
+    classes = written(taken.groupBy("h1", "h2").agg(
+        F.min(first).alias("first"), F.first("n_shingles").alias("n"), F.first("trees").alias("trees"),
+        F.first("bits").alias("bits")).withColumn("node", F.col("first.row_key")), "classes")
     clusters = components(candidates(classes)).select("node", F.col("component").alias("cluster"))
     sized = classes.select("node", "n").join(clusters, "node")
     blocks = sized.groupBy("cluster").agg(F.greatest(
         F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     members = clusters.join(blocks, "cluster").withColumn(
         "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    texts = docs.select(F.col(id_col).alias("node"), F.col(text_col).alias("text")).join(members, "node")
+    keyed = docs.select(row_key(id_col, text_col).alias("node"), F.col(text_col).alias("text"))
+    again = written(repeated_keys(taken).withColumnRenamed("row_key", "node"), "repeated")
+    if again.isEmpty():
+        texts = keyed.join(members, "node")
+    else:
+        # one text of a row that is listed many times, by partial aggregation
+        texts = keyed.join(members.join(again, "node", "left_anti"), "node").unionByName(
+            keyed.join(members.join(again, "node"), "node").dropDuplicates(["node"]))
     other = F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(F.filter(
         F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: k != F.col("block")))
     dealt = texts.withColumn("other", F.explode(other)).select(
         "cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "text")
     dealt = dealt.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
     links = components(confirmed(dealt, width, percent))
-    named = classes.select("h1", "h2", "node").join(links, "node", "left").select(
-        F.col("h1").alias("c1"), F.col("h2").alias("c2"), F.coalesce("component", "node").alias("component"))
-    out = sets.select("doc_id", "n_shingles", "h1", "h2").join(
+    tops = links.join(classes.select("node", "first"), "node").groupBy("component").agg(F.min("first").alias("top"))
+    named = classes.select("h1", "h2", "node", "first").join(
+        links.join(tops, "component").select("node", "top"), "node", "left").select(
+        F.col("h1").alias("c1"), F.col("h2").alias("c2"), F.coalesce("top", "first").alias("top"))
+    out = sets.select("doc_id", "row_key", "n_shingles", "h1", "h2").join(
         named, (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2")), "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"),
-                      F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("top.doc_id", "doc_id"))
+    return out.select("doc_id", "row_key", "n_shingles", component.alias("component_id"),
+                      F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
+                      F.coalesce(F.col("row_key") == F.col("top.row_key"), F.lit(True)).alias("chosen"))

@@ -19,7 +19,7 @@ def op1_weak_quality(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op2_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
-    return lsh_forest.near_duplicates(_table(spark, sf, "documents"))
+    return lsh_forest.near_duplicates(_table(spark, sf, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op3_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
