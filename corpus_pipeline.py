@@ -17,8 +17,9 @@ from hourglass.session import configure
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail the base rules, or that frequent lines deplete, go."""
-    rejected = decided(spark, "rejected", lambda: line_rules.line_rules(docs).filter("NOT kept").select(
+    """Documents that fail the base rules, or that frequent lines deplete, go. A group of near copies, of which the
+    next stage keeps one, counts once for a line."""
+    rejected = decided(spark, "rejected", lambda: line_rules.line_rules(docs, near_copies=True).filter("NOT kept").select(
         F.col("row_key").alias("__rejected")))
     keyed = docs.withColumn("__row_key", F.xxhash64("doc_id", "source", "text"))
     return keyed.join(rejected, F.col("__row_key") == F.col("__rejected"), "left_anti").drop("__row_key")

@@ -3,7 +3,8 @@
 Lines are normalised and hashed, and the distinct documents that hold a line are counted per host. Lines
 held by more than ``max_documents`` of a host are page furniture: they can be removed, and a document that
 loses more than ``max_removed`` percent of its words with them is depleted and rejected. Documents of equal
-text count once for a line, so that a page that is mirrored does not become furniture by its own copies.
+text count once for a line, so that a page that is mirrored does not become furniture by its own copies. With
+``near_copies`` a group of near-duplicates (``lsh_forest``) counts once too, wherever that can change a verdict.
 
 Defined results: a null or empty text has no words and fails the base rules; a null host is a host of its
 own; rows equal in id, host and text are counted once and share their verdict; an empty table gives an
@@ -17,9 +18,10 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hourglass.llm import lsh_forest
 from hourglass.llm.storage import written
 from hourglass.llm.text import WordHashes, map_batches, signed
 
@@ -104,19 +106,15 @@ def frequent_lines(profiles: DataFrame, max_documents: int = MAX_DOCUMENTS) -> D
             .filter(F.col("n_documents") > max_documents))
 
 
-def line_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-               max_documents: int = MAX_DOCUMENTS, max_removed: int = MAX_REMOVED) -> DataFrame:
-    """Base counts, words in frequent lines and the verdict per document (see the module's text).
+def _same_line() -> Column:
+    return F.col("host").eqNullSafe(F.col("hot_host")) & (F.col("line") == F.col("hot_line"))
 
-    The line counts are partial sums before every shuffle, so a line that a third of all documents hold is
-    one row per task; the lookup of frequent lines is a plain join that AQE can split.
-    """
-    profiles = written(profile(docs, id_col, text_col, host_col), "lines")
-    hot = frequent_lines(profiles, max_documents).select(
-        F.col("host").alias("hot_host"), F.col("line").alias("hot_line"))
+
+def _verdicts(profiles: DataFrame, hot: DataFrame, max_removed: int) -> DataFrame:
+    """Words in the ``hot`` lines (hot_host, hot_line) and the verdict per document."""
     held = profiles.select("row_key", "host", F.explode("lines").alias("l")).select(
         "row_key", "host", F.col("l.line").alias("line"), F.col("l.words").alias("words"))
-    lost = (held.join(hot, F.col("host").eqNullSafe(F.col("hot_host")) & (F.col("line") == F.col("hot_line")))
+    lost = (held.join(hot, _same_line())
             .groupBy("row_key", "line").agg(F.max("words").alias("words"))
             .groupBy(F.col("row_key").alias("lost_key")).agg(F.sum("words").cast("long").alias("n_removed_words")))
     base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
@@ -128,6 +126,42 @@ def line_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       "row_key")
 
 
+def _recounted(docs: DataFrame, text_col: str, profiles: DataFrame, hot: DataFrame, max_documents: int,
+               max_removed: int) -> DataFrame:
+    """``hot`` with the lines of depleted documents counted once per group of near copies. Groups are found among
+    all texts that hold such a line; other lines decide no verdict and keep their count."""
+    poor = written(_verdicts(profiles, hot, max_removed).filter("NOT base_failed AND NOT kept").select("row_key"), "poor")
+    if poor.isEmpty():
+        return hot
+    contested = written(profiles.join(poor, "row_key", "left_semi").select("host", F.explode("lines.line").alias("line"))
+                        .join(hot, _same_line()).select("hot_host", "hot_line").distinct(), "contested")
+    held = written(profiles.select("host", "text_key", F.explode("lines.line").alias("line")).join(
+        contested, _same_line()).select("host", "line", "text_key").distinct(), "holders")
+    texts = docs.select(F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text")).join(
+        held.select("text_key").distinct(), "text_key", "left_semi")
+    groups = lsh_forest.near_duplicates(texts, "text_key").select(
+        F.col("doc_id").alias("text_key"), F.col("component_id").alias("group")).distinct()
+    still = (held.join(groups, "text_key").groupBy("host", "line", "group").agg(F.lit(1).alias("one"))
+             .groupBy("host", "line").agg(F.count("*").alias("n_documents")).filter(F.col("n_documents") > max_documents))
+    other = hot.join(contested.select(F.col("hot_host").alias("host"), F.col("hot_line").alias("line")), _same_line(), "left_anti")
+    return written(other.unionByName(still.select(F.col("host").alias("hot_host"), F.col("line").alias("hot_line"))), "recounted")
+
+
+def line_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
+               max_documents: int = MAX_DOCUMENTS, max_removed: int = MAX_REMOVED, near_copies: bool = False) -> DataFrame:
+    """Base counts, words in frequent lines and the verdict per document (see the module's text).
+
+    The line counts are partial sums before every shuffle, so a line that a third of all documents hold is
+    one row per task; the lookup of frequent lines is a plain join that AQE can split.
+    """
+    profiles = written(profile(docs, id_col, text_col, host_col), "lines")
+    hot = frequent_lines(profiles, max_documents).select(
+        F.col("host").alias("hot_host"), F.col("line").alias("hot_line"))
+    if near_copies:
+        hot = _recounted(docs, text_col, profiles, written(hot, "frequent"), max_documents, max_removed)
+    return _verdicts(profiles, hot, max_removed)
+
+
 def remove_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
                  max_documents: int = MAX_DOCUMENTS) -> DataFrame:
     """``docs`` with the frequent lines of each host taken out of the texts; rows and columns stay.

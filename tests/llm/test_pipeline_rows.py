@@ -31,3 +31,17 @@ def test_repeated_shared_and_missing_ids(spark, stages):
     assert len(got) == 5 and got[0][1] in (d, d + " more")
     clean = {r.text for r in stages["substring_dedup"](spark, single, "").collect()}
     assert {a, b, c, e} < clean and "" not in clean
+
+
+def test_near_copies_do_not_deplete_each_other(spark, stages):
+    lines = [words(f"l{k}x", 15) for k in range(6)]
+    rows = [(0, "\n".join(lines))]
+    for i in range(1, 50):
+        edited = list(lines)
+        edited[i % 6] = edited[i % 6].replace(f"l{i % 6}x{i % 15} ", f"edit{i} ", 1)
+        rows.append((i, "\n".join(edited)))
+    furniture = words("menu", 50)
+    rows += [(100 + i, furniture + "\n" + words(f"own{i}y", 20)) for i in range(25)]
+    kept = stages["quality_rules"](spark, table(spark, rows), "")
+    assert {r.doc_id for r in kept.collect()} == set(range(50))
+    assert [r.text for r in stages["near_duplicates"](spark, kept, "").collect()] == ["\n".join(lines)]
