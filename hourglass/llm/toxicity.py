@@ -8,9 +8,10 @@ strongest words, plain and normalised by length, and of all its words on average
 evidence to a score.
 
 Word counts (documents of a class with the word) and the strings derived from them cover all labelled rows
-outside the held-out third, are aggregated by Spark, and end in hashed tables of ``SLOTS`` entries, whose size
-does not depend on the corpus. For the logistic fit each half of the labelled rows is scored by models of the
-other half, on at most ``FIT_ROWS`` rows (a documented bound of the fit only).
+outside the held-out third, are aggregated by Spark, and end in tables of one row per string, found by the string's
+64-bit hash, so no string shares another's counts. They grow with the different strings of the labelled rows and
+are broadcast. For the logistic fit each half of the labelled rows is scored by models of the other half, on at
+most ``FIT_ROWS`` rows, drawn per class and weighted to the classes' sizes (a documented bound of the fit only).
 
 Defined results: null, empty and blank texts get the score of no evidence; labels that are null, or of unknown
 ids, are ignored; an id with several labels counts as toxic if one says so; without labelled rows of both
@@ -37,7 +38,6 @@ from hourglass.session import small_side
 #: Characters of the classes' strings; the shared model has strings of one less.
 ORDER = 5
 DISCOUNT = 0.75
-SLOTS = 1 << 20
 FIT_ROWS = 20_000
 THRESHOLD = 0.7
 #: Words whose evidence a worker keeps; two generations.
@@ -58,8 +58,8 @@ def words_of(text: str | None) -> list[str]:
     return _WORD.findall(text.lower()) if text else []
 
 
-def _slot(h: np.ndarray, order: int) -> np.ndarray:
-    return (mix(h + np.uint64(order * 0xC2B2AE3D27D4EB4F & 0xFFFFFFFFFFFFFFFF)) % np.uint64(SLOTS)).astype(np.int64)
+def _key(h: np.ndarray, order: int) -> np.ndarray:
+    return mix(h + np.uint64(order * 0xC2B2AE3D27D4EB4F & 0xFFFFFFFFFFFFFFFF))
 
 
 def _codes(text: str) -> np.ndarray:
@@ -67,14 +67,14 @@ def _codes(text: str) -> np.ndarray:
 
 
 def _strings(strings: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Slots of strings of ``size`` characters, and of what comes before their last character."""
+    """Keys of strings of ``size`` characters, and of what comes before their last character."""
     codes = _codes("".join(strings)).reshape(len(strings), size) + np.uint64(1)
     h = np.zeros(len(strings), np.uint64)
     before = h
     for j in range(size):
         before = h
         h = h * _BASE + codes[:, j]
-    return _slot(h, size), _slot(before, size - 1)
+    return _key(h, size), _key(before, size - 1)
 
 
 def _top_strings(rows: DataFrame) -> DataFrame:
@@ -106,8 +106,8 @@ def _top_strings(rows: DataFrame) -> DataFrame:
     return rows.select("part", "text").mapInArrow(run, schema).groupBy("string").agg(*[F.sum(p).alias(p) for p in PARTS])
 
 
-def _slot_sums(strings: DataFrame, shared: bool) -> DataFrame:
-    """(kind, slot, n) of the tables' entries, pre-summed in every task. ``strings``: string, size and either
+def _key_sums(strings: DataFrame, shared: bool) -> DataFrame:
+    """(kind, key, n) of the tables' entries, pre-summed in every task. ``strings``: string, size and either
     ``left`` (different characters before it) or the parts' counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,25 +127,42 @@ def _slot_sums(strings: DataFrame, shared: bool) -> DataFrame:
                 n |= {"toxic": n["toxic_a"] + n["toxic_b"], "ordinary": n["ordinary_a"] + n["ordinary_b"]}
                 for p, v in n.items():
                     found += [(f"{p} n", own, v), (f"{p} sum", before, v), (f"{p} kinds", before, (v > 0).astype(np.int64))]
-            for kind, slot, n in found:
-                sums = np.bincount(slot, n, SLOTS)
-                held = np.flatnonzero(sums)
-                yield pa.RecordBatch.from_arrays([pa.array([kind] * len(held), pa.string()), pa.array(held),
-                                                  pa.array(sums[held].astype(np.int64))], names=["kind", "slot", "n"])
+            for kind, key, n in found:
+                keys, at = np.unique(key, return_inverse=True)
+                sums = np.bincount(at, n, len(keys)).astype(np.int64)
+                held = sums > 0
+                yield pa.RecordBatch.from_arrays([pa.array([kind] * int(held.sum()), pa.string()), pa.array(keys[held].view(np.int64)),
+                                                  pa.array(sums[held])], names=["kind", "key", "n"])
 
     columns = ["string", "size", *(["left"] if shared else PARTS)]
-    return strings.select(*columns).mapInArrow(run, "kind string, slot long, n long")
+    return strings.select(*columns).mapInArrow(run, "kind string, key long, n long")
 
 
 class Models:
-    """The hashed tables: a shared model and one per class, of all labelled rows and of each half."""
+    """The counts of strings: a shared model and one per class, of all labelled rows and of each half.
+    ``tables``: for the shared strings and the classes' ones their sorted keys, and counts by kind."""
 
-    def __init__(self, tables: dict[str, np.ndarray]):
+    def __init__(self, tables: dict[str, tuple[np.ndarray, dict[str, np.ndarray]]]):
         self.tables = tables
-        self.none = np.zeros(SLOTS, np.float32)
-
-    def _table(self, name: str) -> np.ndarray:
-        return self.tables.get(name, self.none)
+        self.starts = {}  # by the keys' first bits, the first row of such a key
+        for group, (keys, _) in tables.items():
+            bits = len(keys).bit_length() + 2
+            first = np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
+            self.starts[group] = np.uint64(64 - bits), first, np.append(keys, np.uint64(2 ** 64 - 1))
+
+    def _rows(self, group: str, keys: np.ndarray) -> np.ndarray:
+        """Rows of the strings; the last row, of zeros, for those without counts."""
+        shift, first, known = self.starts[group]
+        at = first[keys >> shift]
+        later = np.flatnonzero(known[at] < keys)
+        while len(later):
+            at[later] += 1
+            later = later[known[at[later]] < keys[later]]
+        return np.where(known[at] == keys, at, len(known) - 1)
+
+    def _counts(self, group: str, kind: str, rows: np.ndarray) -> np.ndarray:
+        column = self.tables[group][1].get(kind)
+        return np.zeros(len(rows), np.float32) if column is None else column[rows]
 
     def evidence(self, words: list[str], half: str = "") -> np.ndarray:
         """log P(word | toxic) - log P(word | ordinary); ``half``: "_a" or "_b" for models of that half."""
@@ -164,16 +181,17 @@ class Models:
             now[1:] = h[m - 1][:-1] * _BASE + codes
             h.append(now)
         for m in range(1, ORDER):
-            own, before = _slot(h[m][at + 1], m), _slot(h[m - 1][at], m - 1)
-            total = self._table("sum")[before]
-            more = (np.maximum(self._table("left")[own] - DISCOUNT, 0) + DISCOUNT * self._table("kinds")[before] * p) / np.maximum(total, 1)
+            own, before = self._rows("shared", _key(h[m][at + 1], m)), self._rows("shared", _key(h[m - 1][at], m - 1))
+            total = self._counts("shared", "sum", before)
+            more = (np.maximum(self._counts("shared", "left", own) - DISCOUNT, 0)
+                    + DISCOUNT * self._counts("shared", "kinds", before) * p) / np.maximum(total, 1)
             p = np.where(total > 0, np.minimum(more, 1), p)
-        own, before = _slot(h[ORDER][at + 1], ORDER), _slot(h[ORDER - 1][at], ORDER - 1)
+        own, before = self._rows("class", _key(h[ORDER][at + 1], ORDER)), self._rows("class", _key(h[ORDER - 1][at], ORDER - 1))
         logs = []
         for side in ("toxic", "ordinary"):
-            total = self._table(f"{side}{half} sum")[before]
-            more = (np.maximum(self._table(f"{side}{half} n")[own] - DISCOUNT, 0)
-                    + DISCOUNT * self._table(f"{side}{half} kinds")[before] * p) / np.maximum(total, 1)
+            total = self._counts("class", f"{side}{half} sum", before)
+            more = (np.maximum(self._counts("class", f"{side}{half} n", own) - DISCOUNT, 0)
+                    + DISCOUNT * self._counts("class", f"{side}{half} kinds", before) * p) / np.maximum(total, 1)
             logs.append(np.log(np.where(total > 0, np.minimum(more, 1), p)))
         starts = np.cumsum(sizes - (ORDER - 1)) - (sizes - (ORDER - 1))
         return np.add.reduceat(logs[0] - logs[1], starts) if len(words) else np.empty(0)
@@ -216,15 +234,18 @@ class Evidence:
         return [plain[0], plain[1], plain[2], plain[4], even[0], even[1], mean, math.log1p(many), math.log(len(words))]
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
-    """Weights (the last is the intercept) of a logistic fit by Newton steps on standardised features."""
-    mean, scale = x.mean(0), x.std(0) + 1e-9
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, counts: np.ndarray | None = None) -> np.ndarray:
+    """Weights (the last is the intercept) of a logistic fit by Newton steps on standardised features; ``counts``:
+    how many rows each row stands for."""
+    counts = np.ones(len(x)) if counts is None else counts
+    mean = np.average(x, 0, counts)
+    scale = np.sqrt(np.average((x - mean) ** 2, 0, counts)) + 1e-9
     z = np.column_stack([(x - mean) / scale, np.ones(len(x))])
     w = np.zeros(z.shape[1])
-    penalty = ridge * len(x) * np.append(np.ones(x.shape[1]), 1e-6)
+    penalty = ridge * counts.sum() * np.append(np.ones(x.shape[1]), 1e-6)
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + np.diag(penalty + 1e-9), z.T @ (p - y) + penalty * w)
+        step = np.linalg.solve((z * (counts * p * (1 - p))[:, None]).T @ z + np.diag(penalty + 1e-9), z.T @ (counts * (p - y)) + penalty * w)
         w -= step
         if np.abs(step).max() < 1e-8:
             break
@@ -243,24 +264,34 @@ def _evidence(models, half: str = "") -> Evidence:
     return _EVIDENCE[id(models), half][0]
 
 
-def _tables(rows: DataFrame) -> dict[str, np.ndarray]:
+def _tables(rows: DataFrame) -> dict[str, tuple[np.ndarray, dict[str, np.ndarray]]]:
     """All tables of the labelled ``rows`` (part, text)."""
     top = written(_top_strings(rows), "strings")
     ends = F.transform(F.sequence(F.lit(2), F.lit(ORDER)), lambda m: F.substring("string", ORDER + 1 - m, m))
     longer = top.select(F.explode(ends).alias("longer")).distinct()
     left = longer.groupBy(F.expr("substring(longer, 2)").alias("string")).agg(F.count("*").alias("left")).withColumn(
         "size", F.length("string"))
-    sums = _slot_sums(left, True).unionByName(_slot_sums(top.withColumn("size", F.lit(ORDER)), False))
-    found = written(sums.groupBy("kind", "slot").agg(F.sum("n").alias("n")), "slots")
-    out: dict[str, np.ndarray] = {}
-    # at most SLOTS rows of each of 21 tables
-    for r in found.select("kind").distinct().collect():
-        t = found.filter(F.col("kind") == r.kind).select("slot", "n").toArrow()
-        out[r.kind] = np.zeros(SLOTS, np.float32)
-        out[r.kind][t["slot"].to_numpy()] = t["n"].to_numpy()
+    out: dict[str, tuple[np.ndarray, dict[str, np.ndarray]]] = {}
+    for group, sums in (("shared", _key_sums(left, True)), ("class", _key_sums(top.withColumn("size", F.lit(ORDER)), False))):
+        found = written(sums.groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
+        # a row per different string and kind
+        kinds = {r.kind: found.filter(F.col("kind") == r.kind).select("key", "n").toArrow()
+                 for r in found.select("kind").distinct().collect()}
+        held = {k: t["key"].to_numpy().view(np.uint64) for k, t in kinds.items()}
+        keys = np.unique(np.concatenate([*held.values(), np.empty(0, np.uint64)]))
+        columns = {k: np.zeros(len(keys) + 1, np.float32) for k in kinds}
+        for k, t in kinds.items():
+            columns[k][np.searchsorted(keys, held[k])] = t["n"].to_numpy()
+        out[group] = keys, columns
     return out
 
 
+def fit_shares(toxic: int, ordinary: int, most: int) -> tuple[int, int]:
+    """Rows of each class among ``most``: half of them, or all that there are."""
+    t = min(toxic, max(most // 2, most - ordinary))
+    return t, min(ordinary, most - t)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
              held_out: int = 1, fit_rows: int = FIT_ROWS) -> DataFrame:
     """Per row: ``doc_id``, ``held_out`` and ``score``."""
@@ -287,15 +318,21 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
                 yield pa.RecordBatch.from_arrays([pa.array([int(p < 2) for p in parts], pa.int32()), pa.array(list(x), pa.list_(pa.float64()))],
                                                  names=["y", "x"])
 
-    # the smallest hashes; a bound on them lets a few more than fit_rows through to the sort
-    share = min(1.0, 1.1 * fit_rows / max(rows.count(), 1))
-    most = 2 ** 63 - 1 if share == 1 else int(-(2 ** 63) + share * 2 ** 64)
-    sample = rows.filter(F.col("order") <= most).orderBy("order", "part").limit(fit_rows)
+    # the smallest hashes of each class; a bound on them lets a few more than wanted through to the sort
+    sizes = {r.is_toxic: r["count"] for r in rows.groupBy((F.col("part") < 2).alias("is_toxic")).count().collect()}
+    shares = dict(zip((True, False), fit_shares(sizes.get(True, 0), sizes.get(False, 0), fit_rows), strict=True))
+    picks = []
+    for side, take in shares.items():
+        share = min(1.0, 1.1 * take / max(sizes.get(side, 0), 1))
+        most = 2 ** 63 - 1 if take == sizes.get(side, 0) or share == 1 else int(-(2 ** 63) + share * 2 ** 64)
+        picks.append(rows.filter(((F.col("part") < 2) == side) & (F.col("order") <= most)).orderBy("order", "part").limit(take))
+    sample = picks[0].unionByName(picks[1])
     fitted = sample.select("part", "text").mapInArrow(fit_features, "y int, x array<double>").toArrow()
     y = fitted["y"].to_numpy()
     weights = None
     if 0 < y.sum() < len(y):
-        weights = fit_logistic(np.array(fitted["x"].to_pylist()), y)
+        counts = np.where(y == 1, sizes[True] / y.sum(), sizes[False] / (len(y) - y.sum()))
+        weights = fit_logistic(np.array(fitted["x"].to_pylist()), y, counts=counts)
     kind = docs.schema[id_col].dataType.simpleString()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
