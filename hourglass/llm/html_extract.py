@@ -1,9 +1,10 @@
 """Main text of web pages by tree scoring.
 
 The page becomes a light tree. Elements that are never article text (scripts, menus, forms, footers, adverts,
-notices, sidebars, reader comments, ...) are marked with all they hold. Every paragraph passes points for its
-length and commas to its ancestors, less with each level, and an ancestor's score is discounted by the share
-of its text that is inside links. The best container is kept, widened to the article element around it, or
+notices, sidebars, reader comments, ...) are marked with all they hold. A mark by class or id name alone does not
+count for an article, nor for an element that holds most of the page's paragraph points; it halves their scores.
+Every paragraph passes points for its length and commas to its ancestors, less with each level, and an ancestor's
+score is discounted by the share of its text that is inside links. The best container is kept, widened to the article element around it, or
 else together with the siblings that score well too. Blocks of the kept text are joined in page order.
 
 Defined results: null and empty pages have an empty text; tags left open are closed where the next block
@@ -44,6 +45,13 @@ NEVER_WORDS = {"ad", "ads", "adbox", "adslot", "advert", "adverts", "advertiseme
                "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices", "notification", "pager", "pagination",
                "paywall", "popup", "promo", "promotion", "related", "replies", "reply", "respond", "share", "sharing", "sidebar", "sidebars",
                "signup", "social", "sponsor", "sponsored", "subscribe", "toolbar", "topbar", "widget", "widgets"}
+#: Words that go with them in one name: sidebar-left, comment-list; has-sidebar and social-science are other names.
+BESIDE = {"area", "bar", "block", "body", "bottom", "box", "button", "buttons", "col", "column", "container", "desktop", "fixed",
+          "footer", "form", "global", "group", "header", "icons", "inner", "item", "items", "js", "left", "link", "links", "list",
+          "main", "media", "mobile", "outer", "page", "posts", "primary", "right", "secondary", "section", "site", "slot", "sticky",
+          "stories", "thread", "top", "unit", "wrap", "wrapper", "wp"}
+#: What points inside an element that is named as furniture count for.
+NAMED = 0.5
 #: Elements that hold the whole page or article, whatever their class is.
 HOLDERS = {"html", "body", "main"}
 PARAGRAPHS = {"p", "pre", "blockquote", "td", "div", "section", "article", "li", "dd"}
@@ -56,6 +64,7 @@ class Tree:
     def __init__(self, page: str):
         self.tag, self.parent, self.end = ["body"], [-1], [0]
         self.dropped, self.linked = [False], [False]
+        self.named = [False]  # by class or id name alone
         self.items: list[tuple[int, int, str]] = []  # element, block, text
         stack, block, breaks, at = [0], 0, 0, 0
         for m in iter(lambda: _TAG.search(page, at), None):
@@ -120,9 +129,11 @@ class Tree:
         gone = self.dropped[up] or name in NEVER
         if name == "header" and not gone:
             gone = not any(self.tag[s] == "article" for s in stack)
+        named = False
         if raw and not raw.isspace() and not gone and name not in HOLDERS:
-            gone = hidden(name, raw)
+            gone, named = hidden(raw)
         self.tag.append(name)
+        self.named.append(named)
         self.parent.append(up)
         self.end.append(0)
         self.dropped.append(gone)
@@ -130,24 +141,55 @@ class Tree:
         stack.append(len(self.tag) - 1)
 
 
-def hidden(name: str, raw: str) -> bool:
-    """Whether the attributes say that an element is not article text."""
+def hidden(raw: str) -> tuple[bool, bool]:
+    """Whether the attributes say that an element is not article text, and whether its names do."""
     values = {m[1].lower(): (m[2] or m[3] or m[4] or "").lower() for m in _ATTRIBUTE.finditer(raw)}
     if values.get("role") in NEVER_ROLES or values.get("aria-hidden") == "true":
-        return True
+        return True, False
     if "none" in values.get("style", "") and re.search(r"display\s*:\s*none", values["style"]):
-        return True
+        return True, False
     if re.search(r"(?:^|\s)hidden(?:\s|$|=)", _ATTRIBUTE.sub(" ", raw).lower()):
-        return True
-    words = _LETTERS.findall(values.get("class", "") + " " + values.get("id", ""))
-    return any(w in NEVER_WORDS for w in words)
+        return True, False
+    for token in (values.get("class", "") + " " + values.get("id", "")).split():
+        words = set(_LETTERS.findall(token))
+        if words & NEVER_WORDS and words <= NEVER_WORDS | BESIDE:
+            return False, True
+    return False, False
 
 
-def main_text(page: str | None) -> str:
-    """The article's blocks, joined by newlines."""
-    if not page:
-        return ""
-    tree = Tree(page)
+def _points(direct: int, commas: int, links: int, chars: int) -> float:
+    return (1 + commas + min(direct / 100, 3)) * (1 - min(1, links / max(chars, 1)))
+
+
+def drop_named(tree: Tree, points: list[float]) -> list[float]:
+    """Drop the elements that are named as furniture, with what they hold, but outer articles and those that hold
+    most of the page's points. Returns what the points of every element count for."""
+    n = len(tree.tag)
+    weight = [1.0] * n
+    if not any(tree.named):
+        return weight
+    total = [0.0] * (n + 1)
+    for i in range(n):
+        total[i + 1] = total[i] + points[i]
+    page = total[n]
+    inside = [False] * n  # inside an article
+    for i in range(1, n):
+        p = tree.parent[i]
+        weight[i] = weight[p]
+        inside[i] = inside[p] or tree.tag[p] == "article"
+        if tree.dropped[p]:
+            tree.dropped[i] = True
+        elif tree.named[i] and not tree.dropped[i]:
+            own = total[tree.end[i]] - total[i]
+            if tree.tag[i] == "article" and not inside[i] or own and NAMED * own > page - own:
+                weight[i] = NAMED * weight[p]
+            else:
+                tree.dropped[i] = True
+    return weight
+
+
+def _sums(tree: Tree) -> tuple[list[int], list[int], list[int], list[int]]:
+    """Characters, those inside links, commas and characters that are an element's own, without what is dropped."""
     n = len(tree.tag)
     chars, links, commas, direct = [0] * n, [0] * n, [0] * n, [0] * n
     for element, _, text in tree.items:
@@ -168,6 +210,27 @@ def main_text(page: str | None) -> str:
             # what inline elements hold belongs to the block around them
             direct[p] += direct[i]
             commas[p] += commas[i]
+    return chars, links, commas, direct
+
+
+def _given(tree: Tree, chars: list[int], links: list[int], commas: list[int], direct: list[int]) -> list[float]:
+    """The points that every element gives as a paragraph."""
+    return [0.0 if tree.dropped[i] or tree.tag[i] not in PARAGRAPHS or direct[i] < LEAST_PARAGRAPH else
+            _points(direct[i], commas[i], links[i], chars[i]) for i in range(len(tree.tag))]
+
+
+def main_text(page: str | None) -> str:
+    """The article's blocks, joined by newlines."""
+    if not page:
+        return ""
+    tree = Tree(page)
+    n = len(tree.tag)
+    weight = [1.0] * n
+    chars, links, commas, direct = _sums(tree)
+    if any(tree.named):
+        weight = drop_named(tree, _given(tree, chars, links, commas, direct))
+        chars, links, commas, direct = _sums(tree)
+    given = _given(tree, chars, links, commas, direct)
     # lists and the like that are mostly links are menus
     for i in range(1, n):
         if tree.dropped[tree.parent[i]]:
@@ -176,9 +239,9 @@ def main_text(page: str | None) -> str:
             tree.dropped[i] = True
     score = [0.0] * n
     for i in range(n):
-        if tree.dropped[i] or tree.tag[i] not in PARAGRAPHS or direct[i] < LEAST_PARAGRAPH:
+        if tree.dropped[i] or not given[i]:
             continue
-        points = (1 + commas[i] + min(direct[i] / 100, 3)) * (1 - min(1, links[i] / max(chars[i], 1)))
+        points = given[i] * weight[i]
         level, at = 0, tree.parent[i] if tree.tag[i] in ("p", "pre", "blockquote", "td", "li", "dd") else i
         while at >= 0 and level < 5:
             score[at] += points / (1 if level == 0 else 2 if level == 1 else 3 * level)
