@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourglass.llm import bpe, decontaminate, html_extract, line_rules, lsh_forest, sql, substring, token_counts, toxicity, warc, weak_quality
+from hourglass.llm import (bpe, decontaminate, html_extract, line_rules, lsh_forest, merkle, spelling, sql, substring, token_counts,
+                           toxicity, url_rules, warc, weak_quality)
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -63,10 +64,33 @@ def op10_html_text(spark: SparkSession, sf: str) -> DataFrame:
     return html_extract.extract_main_text(_table(spark, sf, "pages"))
 
 
+#: The host rules of the URL filter (verdict, host, path).
+HOST_RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
+
+
+def op11_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    hosts = [f"{'@@' if v == 'allow' else ''}||{h}{p}" for v, h, p in HOST_RULES]
+    rules = url_rules.rule_table(spark, [*hosts, *url_rules.PATTERNS])
+    return url_rules.url_verdicts(_table(spark, sf, "pages"), rules)
+
+
+def op12_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    manifest = merkle.build(merkle.leaf_table(_table(spark, sf, "documents")))
+    proved = merkle.with_proof_hash(merkle.proofs(manifest))
+    digests = [F.lower(F.hex(c)).alias(c) for c in ("leaf", "subroot", "root", "folded_root")]
+    return proved.select("doc_id", *digests[:3], "proof_sha256", digests[3], "verified")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_weak_quality, op2_near_duplicates, op3_byte_bpe, op4_token_counts, op5_decontamination, op6_substring_dedup, op7_toxicity, op8_quality_rules,
-    op9_warc, op10_html_text)}
+    op9_warc, op10_html_text, op11_url_filter, op12_spelling_variants, op13_merkle_manifest)}
 #: The others cannot be said in SQL (tokenizers, learned models, tree scoring); the tests hold them against brute force,
 #: the libraries, known parameters and held-out labels.
 ORACLES = {"op2_near_duplicates": sql.near_duplicates(), "op5_decontamination": sql.decontamination(),
-           "op6_substring_dedup": sql.substring_dedup(), "op8_quality_rules": sql.quality_rules(), "op9_warc": sql.warc()}
+           "op6_substring_dedup": sql.substring_dedup(), "op8_quality_rules": sql.quality_rules(), "op9_warc": sql.warc(),
+           "op11_url_filter": sql.url_filter(HOST_RULES), "op12_spelling_variants": sql.spelling_variants(),
+           "op13_merkle_manifest": sql.merkle_manifest()}
