@@ -439,12 +439,18 @@ def q_probe_threshold(spark, sf):
 
 def q_label_scarcity(spark, sf):
     """The recency embeddings and the engineered features of the same users; the boosted member is
-    chosen among the first config without and with the class ratio (all eight: ``grid=models.GBT_GRID``)."""
+    chosen among all eight configs in every budget."""
     f = panel.events_features(spark, sf)
     emb = vectors.extract_embeddings(q_fixed_sequences(spark, sf), "user_id", "seq", "label")
     emb = emb.join(f.select("user_id", "split"), "user_id")
-    return models.label_scarcity(emb, f, features.feature_names(SPEC), (100, 500, 1000), "user_id",
-                                 grid=(models.GBT_GRID[0], models.GBT_GRID[4]))
+    return models.label_scarcity(emb, f, features.feature_names(SPEC), (100, 500, 1000), "user_id")
+
+
+def q_gbt_engineered(spark, sf):
+    """M3 on F2: the boosted sweep on the engineered features."""
+    f = panel.events_features(spark, sf)
+    pw = features.scale_pos_weight(f.where("split = 'a'"), "label", "classic").first()["pos_weight"]
+    return models.sweep(f, features.feature_names(SPEC), "gbt", models.gbt_grid(pw), "user_id")
 
 
 def q_rf_engineered(spark, sf):
@@ -691,6 +697,7 @@ _QUERIES = {
     "lr_sweep": q_lr_sweep,
     "rf_sweep": q_rf_sweep,
     "gbt_sweep": q_gbt_sweep,
+    "gbt_engineered": q_gbt_engineered,
     "lr_engineered": q_lr_engineered,
     "pos_weight": q_pos_weight,
     "linear_probe": q_linear_probe,

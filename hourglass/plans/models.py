@@ -2,7 +2,8 @@
 
 A sweep is a config table (M20) with ``cfg_idx``; each config is one Spark ML fit on the train split
 (features assembled once and persisted), scored on validation ∪ test in one ``transform`` and evaluated
-with the exact metrics of :mod:`hourglass.functions.metrics`, grouped by split (M17). Learners differ
+with the exact metrics of :mod:`hourglass.functions.metrics`, grouped by split (M17). Boosted configs are
+fitted together over shared scans (:mod:`hourglass.plans.boosting`). Learners differ
 from liblinear / sklearn forests / xgboost, so scores are comparable in quality, not bit-equal.
 """
 
@@ -10,13 +11,14 @@ from __future__ import annotations
 
 import json
 
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourglass.functions import metrics
 from hourglass.operators.features import assemble
+from hourglass.plans import boosting
 from hourglass.session import reuse, small_side
 
 # The classical sweeps.
@@ -137,18 +139,17 @@ def make_estimator(model: str, cfg: dict, n_train: int):
                                       numTrees=cfg["n_estimators"], maxDepth=cfg["max_depth"] or UNLIMITED_DEPTH,
                                       minInstancesPerNode=cfg["min_samples_leaf"], featureSubsetStrategy="sqrt",
                                       seed=SEED)
-    if model == "gbt":
-        return GBTClassifier(featuresCol="features", labelCol="label", weightCol="_w", maxIter=cfg["n_estimators"],
-                             stepSize=cfg["learning_rate"], maxDepth=cfg["max_depth"],
-                             minWeightFractionPerNode=0.0, minInstancesPerNode=int(cfg["min_child_weight"]),
-                             subsamplingRate=GBT_SUBSAMPLE, featureSubsetStrategy=str(GBT_COLSAMPLE), seed=SEED)
     raise ValueError(f"unknown model {model}")
 
 
 def weight_mode(model: str, cfg: dict) -> tuple[str | None, float]:
-    if model in ("lr", "rf"):
-        return cfg.get("class_weight"), 1.0
-    return ("pos", cfg["scale_pos_weight"]) if cfg.get("scale_pos_weight", 1.0) != 1.0 else (None, 1.0)
+    return cfg.get("class_weight"), 1.0
+
+
+def booster(cfg: dict, subset: int = 0) -> boosting.Config:
+    """A boosting config of the grid, with the ratio of the classes filled in, over one subset of the training rows."""
+    return boosting.Config(cfg["n_estimators"], cfg["learning_rate"], cfg["max_depth"], cfg["min_child_weight"],
+                           cfg["scale_pos_weight"], subset, GBT_SUBSAMPLE, GBT_COLSAMPLE, SEED)
 
 
 def positive_prob() -> F.Column:
@@ -170,8 +171,23 @@ def sweep(table: DataFrame, feature_cols: list[str], model: str, grid, id_col: s
     """M1–M3 + M17: fit every config on the train split (concurrently), score validation and test, and
     evaluate all configs in one grouped metrics pass: one leaderboard row per config
     ``(model, cfg_idx, config, val_auroc, val_auprc, test_auroc, test_auprc)``."""
-    data = reuse(assemble(table.where(F.col(label).isNotNull()), feature_cols, label)
-                 .select(id_col, split_col, "features", label))
+    score = _boosted if model == "gbt" else _fitted
+    scored = score(table.where(F.col(label).isNotNull()), feature_cols, model, grid, id_col, split_col, train, evals, label, parallelism)
+    m = metrics.ranking_metrics(scored, "y_prob", label, ["cfg_idx", split_col])
+    board = m.groupBy("cfg_idx").agg(
+        F.max(F.when(F.col(split_col) == evals[0], F.col("auroc"))).alias("val_auroc"),
+        F.max(F.when(F.col(split_col) == evals[0], F.col("auprc"))).alias("val_auprc"),
+        F.max(F.when(F.col(split_col) == evals[1], F.col("auroc"))).alias("test_auroc"),
+        F.max(F.when(F.col(split_col) == evals[1], F.col("auprc"))).alias("test_auprc"))
+    cfgs = table.sparkSession.createDataFrame(
+        [(model, i, json.dumps(c, sort_keys=True)) for i, c in enumerate(grid)], "model string, cfg_idx int, config string")
+    return cfgs.join(board, "cfg_idx", "left").select("model", "cfg_idx", "config", "val_auroc", "val_auprc",
+                                                      "test_auroc", "test_auprc")
+
+
+def _fitted(table, feature_cols, model, grid, id_col, split_col, train, evals, label, parallelism) -> DataFrame:
+    """``cfg_idx``, split, label and ``y_prob`` of the evaluation rows: one Spark ML fit per config."""
+    data = reuse(assemble(table, feature_cols, label).select(id_col, split_col, "features", label))
     tr = data.where(F.col(split_col) == train)
     ev = data.where(F.col(split_col).isin(*evals))
     n_train = tr.count()
@@ -180,26 +196,29 @@ def sweep(table: DataFrame, feature_cols: list[str], model: str, grid, id_col: s
         mode, pw = weight_mode(model, cfg)
         ests.append(make_estimator(model, cfg, n_train))
         inputs.append(with_weights(tr, label, mode, pw))
-    fitted = fit_many(ests, inputs, parallelism)
     scored = None
-    for i, f in enumerate(fitted):
+    for i, f in enumerate(fit_many(ests, inputs, parallelism)):
         s = f.transform(ev).select(F.lit(i).alias("cfg_idx"), split_col, label, positive_prob().alias("y_prob"))
         scored = s if scored is None else scored.unionByName(s)
-    m = metrics.ranking_metrics(scored, "y_prob", label, ["cfg_idx", split_col])
-    board = m.groupBy("cfg_idx").agg(
-        F.max(F.when(F.col(split_col) == evals[0], F.col("auroc"))).alias("val_auroc"),
-        F.max(F.when(F.col(split_col) == evals[0], F.col("auprc"))).alias("val_auprc"),
-        F.max(F.when(F.col(split_col) == evals[1], F.col("auroc"))).alias("test_auroc"),
-        F.max(F.when(F.col(split_col) == evals[1], F.col("auprc"))).alias("test_auprc"))
-    cfgs = table.sparkSession.createDataFrame(
-        [(model, i, json.dumps(c, sort_keys=True)) for i, c in enumerate(grid)], "model string, cfg_idx int, config string")
-    return cfgs.join(board, "cfg_idx", "left").select("model", "cfg_idx", "config", "val_auroc", "val_auprc",
-                                                      "test_auroc", "test_auprc")
+    return scored
+
+
+def _boosted(table, feature_cols, model, grid, id_col, split_col, train, evals, label, parallelism) -> DataFrame:
+    """The same of boosted configs, which share their scans."""
+    data = reuse(table.select(id_col, split_col, F.col(label).cast("double").alias(label), *feature_cols))
+    fitted = boosting.fit(data.where(F.col(split_col) == train), feature_cols, [booster(c) for c in grid], label, id_col)
+    ev = data.where(F.col(split_col).isin(*evals))
+    return fitted.score(ev, [split_col, label]).withColumnRenamed("config", "cfg_idx")
 
 
 def predictions(table: DataFrame, feature_cols: list[str], model: str, cfg: dict, id_col: str,
                 split_col: str = "split", train: str = "a", label: str = "label") -> DataFrame:
     """Fit one config and score every row: ``(id, split, y_true, y_prob)``."""
+    if model == "gbt":
+        labelled = table.where(F.col(label).isNotNull())
+        fitted = boosting.fit(labelled.where(F.col(split_col) == train), feature_cols, [booster(cfg)], label, id_col)
+        return fitted.score(labelled, [id_col, split_col, label]).select(
+            id_col, split_col, F.col(label).cast("int").alias("y_true"), "y_prob")
     data = assemble(table.where(F.col(label).isNotNull()), feature_cols, label)
     tr = data.where(F.col(split_col) == train)
     mode, pw = weight_mode(model, cfg)
@@ -256,39 +275,52 @@ def label_scarcity(emb: DataFrame, engineered: DataFrame, feature_cols: list[str
     """For each label budget (P2 draw of train ids, plus ``full``) a linear probe on the embeddings and
     the boosted sweep on the engineered features of the same ids, of which the config with the best validation
     (AUPRC, then AUROC, then the first) counts: ``(n_labelled, model, cfg_idx, val_auroc, val_auprc, test_auroc,
-    test_auprc)``. A budget that takes all ids is the ``full`` draw and shares its fits. All fits run
-    concurrently; one grouped metrics pass scores them."""
+    test_auprc)``. A budget that takes all ids is the ``full`` draw and shares its fits. The boosted configs of all
+    budgets grow in the same passes over the data; one grouped metrics pass scores everything."""
     from hourglass.operators.features import scale_pos_weight
     from hourglass.operators.sampling import budget_subsets
 
     lab = emb.where(F.col(label).isNotNull())
     width = _width(lab, emb_col)
     probe = lab.select(id_col, split_col, label, *[F.col(emb_col)[i].cast("double").alias(f"e{i}") for i in range(width)])
-    data = {"lr": reuse(assemble(probe, [f"e{i}" for i in range(width)], label).select(id_col, split_col, "features", label)),
-            "gbt": reuse(assemble(engineered.where(F.col(label).isNotNull()), feature_cols, label)
-                         .select(id_col, split_col, "features", label))}
-    ids = data["lr"].where(F.col(split_col) == "a").select(id_col)
+    vectors = reuse(assemble(probe, [f"e{i}" for i in range(width)], label).select(id_col, split_col, "features", label))
+    table = reuse(engineered.where(F.col(label).isNotNull()).select(
+        id_col, split_col, F.col(label).cast("double").alias(label), *feature_cols))
+    ids = vectors.where(F.col(split_col) == "a").select(id_col)
     n_ids = ids.distinct().count()
-    subsets = reuse(budget_subsets(ids, id_col, tuple(b for b in budgets if b < n_ids), seed))
-    keys, ests, inputs = [], [], []
-    for b in ["full", *[str(n) for n in budgets if n < n_ids]]:
-        chosen = subsets.where(F.col("budget") == b).select(id_col)
-        for m, table in data.items():
-            tr = table.where(F.col(split_col) == "a").join(chosen, id_col, "left_semi")
-            n_train = tr.count()
-            ratio = scale_pos_weight(tr, label, "classic").first()["pos_weight"] if m == "gbt" else 1.0
-            for i, c in enumerate(({"C": 1.0, "class_weight": None},) if m == "lr" else gbt_grid(ratio, grid)):
-                mode, pw = weight_mode(m, c)
-                keys.append((b, m, i))
-                ests.append(make_estimator(m, c, n_train))
-                inputs.append(with_weights(tr, label, mode, pw))
-    fitted = fit_many(ests, inputs, parallelism)
+    drawn = [b for b in budgets if b < n_ids]
+    names = ["full", *[str(n) for n in drawn]]
+    subsets = reuse(budget_subsets(ids, id_col, tuple(drawn), seed))
+
+    # linear probes: one fit per budget
+    ests, inputs = [], []
+    for b in names:
+        tr = vectors.where(F.col(split_col) == "a").join(subsets.where(F.col("budget") == b).select(id_col), id_col, "left_semi")
+        ests.append(make_estimator("lr", {"C": 1.0}, tr.count()))
+        inputs.append(with_weights(tr, label, None))
     scored = None
-    for (b, m, i), f in zip(keys, fitted):
-        ev = data[m].where(F.col(split_col).isin("b", "c"))
-        s = f.transform(ev).select(F.lit(b).alias("n_labelled"), F.lit(m).alias("model"), F.lit(i).alias("cfg_idx"), split_col,
-                                   label, positive_prob().alias("y_prob"))
+    for b, f in zip(names, fit_many(ests, inputs, parallelism), strict=True):
+        s = f.transform(vectors.where(F.col(split_col).isin("b", "c"))).select(
+            F.lit(b).alias("n_labelled"), F.lit("lr").alias("model"), F.lit(0).alias("cfg_idx"), split_col, label,
+            positive_prob().alias("y_prob"))
         scored = s if scored is None else scored.unionByName(s)
+
+    # boosting: every config of every budget in the same passes; a row carries one bit per budget that drew it
+    bit = F.when(F.col("budget").isNull(), 0)
+    for k, b in enumerate(names):
+        bit = bit.when(F.col("budget") == b, 1 << k)
+    members = subsets.groupBy(id_col).agg(F.sum(bit).cast("long").alias("_member"))
+    train = reuse(table.where(F.col(split_col) == "a").join(members, id_col))
+    configs, keys = [], []
+    for k, b in enumerate(names):
+        ratio = scale_pos_weight(train.where(F.col("_member").bitwiseAND(1 << k) > 0), label, "classic").first()["pos_weight"]
+        for i, c in enumerate(gbt_grid(ratio, grid)):
+            configs.append(booster(c, k))
+            keys.append((b, i))
+    fitted = boosting.fit(train, feature_cols, configs, label, id_col, "_member")
+    which = table.sparkSession.createDataFrame([(j, b, i) for j, (b, i) in enumerate(keys)], "config int, n_labelled string, cfg_idx int")
+    boosted = fitted.score(table.where(F.col(split_col).isin("b", "c")), [split_col, label]).join(small_side(which), "config")
+    scored = scored.unionByName(boosted.select("n_labelled", F.lit("gbt").alias("model"), "cfg_idx", split_col, label, "y_prob"))
     res = metrics.ranking_metrics(scored, "y_prob", label, ["n_labelled", "model", "cfg_idx", split_col])
     board = res.groupBy("n_labelled", "model", "cfg_idx").agg(*[
         F.max(F.when(F.col(split_col) == s, F.col(c))).alias(f"{name}_{c}") for s, name in (("b", "val"), ("c", "test"))
