@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from hourglass.operators import grid
 from hourglass.session import checkpoint_dir
-from hourglass.sources import logs, sinks, tables
+from hourglass.sources import log_lines, logs, sinks, tables
 from hourglass.sources.tables import EVENTS_SPEC
 
 STATIC_MAP = {"acctbal": "acctbal", "building": "building", "nation": "nation"}
@@ -77,7 +77,7 @@ def write_event_logs(spark: SparkSession, sf_dir: str) -> str:
 def raw_log_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1 → G1–G13: scan the per-user logs back and build the daily panel (statics from the log)."""
     path = write_event_logs(spark, sf_dir)
-    log, _ = logs.with_entity(logs.scan_logs(spark, path), EVENTS_SPEC.dynamic, STATIC_MAP.values())
+    log, _ = log_lines.split_by_faults(log_lines.scan_lines(spark, path), EVENTS_SPEC.dynamic, STATIC_MAP.values())
     spec = EVENTS_SPEC
     g = grid.build_grid(log, spec, MINUTES_PER_DAY, static_map=STATIC_MAP,
                         labels=tables.events_outcomes(spark, sf_dir))
@@ -87,7 +87,7 @@ def raw_log_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_log_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3: quarantined files, reported by the entity of their directory and the reason."""
     path = write_event_logs(spark, sf_dir)
-    _, rej = logs.with_entity(logs.scan_logs(spark, path), EVENTS_SPEC.dynamic, STATIC_MAP.values())
+    _, rej = log_lines.split_by_faults(log_lines.scan_lines(spark, path), EVENTS_SPEC.dynamic, STATIC_MAP.values())
     return rej.select(F.regexp_extract("file", r"entity=(\d+)", 1).cast("bigint").alias("entity"), "reason")
 
 
