@@ -240,20 +240,41 @@ def parse_scale(text) -> F.Column:
 
 # ------------------------------------------------------------------ L8: model call
 def valid_answer(text: str | None, mode: str) -> bool:
-    """Whether a raw answer holds a usable prediction (the row-side twin of L5–L7, for the retry loop)."""
+    """Whether a raw answer holds a usable prediction (the row-side twin of L5–L7, for the retry loop). Any text has
+    a verdict: numbers beyond the range, NaN, infinities and deep nesting are no predictions."""
     raw = (text or "").strip()
     found = re.search(r"\{.*?\}", raw, re.S)
     try:
         value = json.loads(found[0] if found else raw)["prediction"]
-    except (ValueError, KeyError, TypeError):
+    except (ValueError, KeyError, TypeError, RecursionError):
         return False
     if mode == "binary":
         return isinstance(value, str) and value.strip().lower() in BINARY_ANSWERS
+    lo, hi = SCALE_RANGE
     if isinstance(value, str):
-        value = int(value) if re.fullmatch(r"[0-9]+", value.strip()) else None
-    if isinstance(value, bool) or not isinstance(value, (int, float)) or value != int(value):
+        digits = value.strip()
+        if not re.fullmatch(r"[0-9]+", digits):
+            return False
+        digits = digits.lstrip("0") or "0"
+        return len(digits) <= len(str(hi)) and lo <= int(digits) <= hi
+    if isinstance(value, bool) or not isinstance(value, (int, float)):
         return False
-    return SCALE_RANGE[0] <= value <= SCALE_RANGE[1]
+    return lo <= value <= hi and value == int(value)
+
+
+def ask(client, prompt: str, mode: str, retries: int) -> str | None:
+    """The client's answer after up to ``retries`` tries: a call that raises, an answer that is no text and one that
+    does not parse are tried again. The last text, or None if no call returned one."""
+    text = None
+    for _ in range(retries):
+        try:
+            got = client(prompt)
+            text = got if isinstance(got, str) else text
+            if isinstance(got, str) and valid_answer(got, mode):
+                break
+        except Exception:  # noqa: BLE001 - a failed call is retried, then NULL
+            continue
+    return text
 
 
 def call_model(prompts: DataFrame, client_factory, id_col: str = "id", label_col: str | None = "label",
@@ -270,17 +291,7 @@ def call_model(prompts: DataFrame, client_factory, id_col: str = "id", label_col
     def run(batches):
         client = client_factory()
         for pdf in batches:
-            out = []
-            for p in pdf["prompt"]:
-                text = None
-                for _ in range(retries):
-                    try:
-                        text = client(p)
-                    except Exception:  # noqa: BLE001 - a failed call is retried, then NULL
-                        continue
-                    if valid_answer(text, mode):
-                        break
-                out.append(text)
+            out = [ask(client, p, mode, retries) for p in pdf["prompt"]]
             res = pdf[keep].copy()
             res["response"] = pd.Series(out, dtype=object)
             yield res

@@ -65,11 +65,14 @@ def ship_package(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the session names none (local tests) a private folder is created and registered.
+    Only when a session on a local master names none (tests) a private folder is created and registered; elsewhere
+    executors would not share it, so that is an error.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="hourglass-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", d)

@@ -70,19 +70,84 @@ def finite_or_null(c):
     return F.when(~(F.isnan(c) | c.isin(float("inf"), float("-inf"))), c)
 
 
+def _finite(c, dt: T.DataType):
+    """``c`` with every non-finite double in it, however deep, as null."""
+    if isinstance(dt, (T.DoubleType, T.FloatType)):
+        return finite_or_null(c.cast("double"))
+    if isinstance(dt, T.ArrayType):
+        return F.transform(c, lambda x: _finite(x, dt.elementType))
+    if isinstance(dt, T.StructType):
+        return F.when(c.isNotNull(), F.struct(*[_finite(c[f.name], f.dataType).alias(f.name) for f in dt.fields]))
+    if isinstance(dt, T.MapType):
+        return F.transform_values(c, lambda _, v: _finite(v, dt.valueType))
+    return c
+
+
 def summary_json(df: DataFrame) -> DataFrame:
-    """One JSON document per row; non-finite doubles (also inside arrays) become null."""
-    cols = []
-    for f in df.schema.fields:
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            cols.append(finite_or_null(F.col(f.name).cast("double")).alias(f.name))
-        elif isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, (T.DoubleType, T.FloatType)):
-            cols.append(F.transform(f.name, lambda x: finite_or_null(x.cast("double"))).alias(f.name))
-        else:
-            cols.append(F.col(f.name))
+    """One JSON document per row; non-finite doubles (also in arrays, structs and maps) become null."""
+    cols = [_finite(F.col(f.name), f.dataType).alias(f.name) for f in df.schema.fields]
     return df.select(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("json"))
 
 
+MAX_SUMMARY_ROWS = 100_000
+
+
+def summary_document(values: dict, tables: dict[str, DataFrame], max_rows: int = MAX_SUMMARY_ROWS) -> str:
+    """One nested JSON document: ``values`` (any nesting of dicts, lists, texts and numbers) and, under its name,
+    each table's rows as objects. Non-finite numbers become null. A table of more than ``max_rows`` rows is an
+    error before any of them reaches the driver: a summary is small, data has its own sinks."""
+    import json
+    import math
+
+    def plain(v):
+        if isinstance(v, dict):
+            return {str(k): plain(x) for k, x in v.items()}
+        if isinstance(v, (list, tuple)):
+            return [plain(x) for x in v]
+        if hasattr(v, "tolist"):
+            return plain(v.tolist())
+        return None if isinstance(v, float) and not math.isfinite(v) else v
+
+    doc = plain(values)
+    for name, table in tables.items():
+        if name in doc:
+            raise ValueError(f"{name} is both a value and a table")
+        rows = summary_json(table).limit(max_rows + 1).collect()
+        if len(rows) > max_rows:
+            raise ValueError(f"{name} has more than {max_rows} rows; write it as a table")
+        doc[name] = [json.loads(r["json"]) for r in rows]
+    return json.dumps(doc, allow_nan=False, ensure_ascii=False, indent=2)
+
+
+def publish_text(spark: SparkSession, text: str, path: str) -> None:
+    """Write ``text`` as the file ``path`` in the store that the path names, at once: a temporary file beside it is
+    completed first and renamed over it, so a reader sees the old document or the new one, never a part."""
+    import uuid
+
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(conf)
+    target = fs.makeQualified(target)
+    staged = jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{target.getName()}.{uuid.uuid4().hex}")
+    out = fs.create(staged, True)
+    try:
+        out.write(bytearray(text.encode()))
+        out.close()
+        rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+        how = spark.sparkContext._gateway.new_array(rename, 1)
+        how[0] = rename.OVERWRITE
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), conf).rename(staged, target, how)
+    except Exception:
+        fs.delete(staged, False)
+        raise
+
+
+def write_summary_document(spark: SparkSession, path: str, values: dict, tables: dict[str, DataFrame]) -> None:
+    """:func:`summary_document`, published at once under ``path``."""
+    publish_text(spark, summary_document(values, tables), path)
+
+
 def write_summary(df: DataFrame, path: str) -> None:
     summary_json(df).coalesce(1).write.mode("overwrite").text(path)
 
