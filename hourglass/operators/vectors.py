@@ -122,26 +122,141 @@ def channel_weighted(channels: DataFrame, id_col: str, weights: dict, emb_col: s
     return vec
 
 
-# ------------------------------------------------------------------ V5 / V15: Spark ML
-def kmeans_restarts(df: DataFrame, emb_col: str = "embedding", k: int = 2, n_init: int = 10, seed: int = 42,
-                    max_iter: int = 300, parallelism: int = 8) -> DataFrame:
-    """V5: K-Means with ``n_init`` seeded restarts fitted concurrently; the run with the lowest training
-    cost is kept (ties → the earliest seed). Adds ``cluster`` (int)."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
+# ------------------------------------------------------------------ V5: K-Means, all restarts in one scan
+def _vectors_of(batch) -> np.ndarray:
+    """The first column of an Arrow batch (equally wide arrays) as a matrix."""
+    import pyarrow as pa
+
+    lists = batch.column(0).cast(pa.list_(pa.float64()))
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+
+
+def _distances(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    """Squared distances, rows × centers, never below zero."""
+    d = (x * x).sum(1)[:, None] + (centers * centers).sum(1) - 2 * x @ centers.T
+    return np.maximum(d, 0.0)
+
+
+def _per_restart(rows: DataFrame, centers: list[np.ndarray], sums: bool) -> list:
+    """One scan for all restarts. With ``sums`` one row per (restart, cluster): rows, cost and vector sum. Without, one
+    row per restart: the row drawn with a chance in proportion to its squared distance to the nearest center (its
+    place is the least of all E / d², with E exponential from the row's hash)."""
+    import pyarrow as pa
+
+    schema = T.StructType([T.StructField("restart", T.IntegerType()), T.StructField("cluster", T.IntegerType()),
+                           T.StructField("n", T.LongType()), T.StructField("cost", T.DoubleType()),
+                           T.StructField("vector", T.ArrayType(T.DoubleType()))])
+
+    def run(batches):
+        total: dict[tuple[int, int], list] = {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = _vectors_of(batch)
+            key = batch.column(1).to_numpy(zero_copy_only=False).astype(np.uint64)
+            for r, c in enumerate(centers):
+                d = _distances(x, c) if len(c) else np.ones((len(x), 1))
+                near = d.argmin(1)
+                best = d[np.arange(len(x)), near]
+                if sums:
+                    n, cost = np.bincount(near, minlength=len(c)), np.bincount(near, best, len(c))
+                    one = np.zeros((len(x), len(c)))
+                    one[np.arange(len(x)), near] = 1
+                    vec = one.T @ x
+                    for j in np.flatnonzero(n):
+                        t = total.setdefault((r, int(j)), [0, 0.0, np.zeros(x.shape[1])])
+                        t[0] += int(n[j])
+                        t[1] += float(cost[j])
+                        t[2] += vec[j]
+                else:
+                    place = _exponential(key, r * 1009 + len(c)) / np.where(best > 0, best, np.nan)
+                    if np.isnan(place).all():
+                        continue
+                    i = int(np.nanargmin(place))
+                    if (r, 0) not in total or place[i] < total[r, 0][1]:
+                        total[r, 0] = [1, float(place[i]), x[i]]
+        keys = list(total)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([k[0] for k in keys], pa.int32()), pa.array([k[1] for k in keys], pa.int32()),
+             pa.array([total[k][0] for k in keys], pa.int64()), pa.array([total[k][1] for k in keys], pa.float64()),
+             pa.array([total[k][2] for k in keys], pa.list_(pa.float64()))], names=schema.names)
+
+    partial = rows.mapInArrow(run, schema)
+    if not sums:
+        return partial.groupBy("restart").agg(F.min(F.struct("cost", "vector")).alias("b")).select("restart", "b.vector").collect()
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
 
-    from hourglass.plans.models import fit_many
+    added = vector_to_array(Summarizer.sum(array_to_vector("vector")))
+    return partial.groupBy("restart", "cluster").agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"), added.alias("vector")).collect()
+
+
+def _exponential(key: np.ndarray, draw: int) -> np.ndarray:
+    """Exponential numbers that depend on the row key and the draw alone."""
+    h = key ^ (np.uint64(0x9E3779B97F4A7C15) * np.uint64(draw + 1))
+    for shift, factor in ((33, 0xFF51AFD7ED558CCD), (33, 0xC4CEB9FE1A85EC53)):
+        h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
+    u = ((h >> np.uint64(11)).astype(float) + 0.5) / float(1 << 53)
+    return -np.log(u)
+
+
+def kmeans_fits(df: DataFrame, emb_col: str = "embedding", k: int = 2, n_init: int = 10, seed: int = 42, max_iter: int = 300,
+                tol: float = 1e-4) -> list[tuple[float, np.ndarray]]:
+    """``(cost, centers)`` of every restart. Start and every iteration are one scan for all restarts: the centers of
+    all that still move travel with the tasks, and one aggregate of restarts × k rows updates them.
+
+    A restart starts from k rows drawn one after another with a chance in proportion to the squared distance to the
+    nearest center so far (k-means++ over all rows), by hashes of (row, seed, restart, draw), so a run of several
+    restarts and a run of one give the same fit. It stops when no center moves farther than ``tol``; an empty cluster
+    keeps its center; fewer different rows than ``k`` give fewer centers."""
     from hourglass.session import reuse
 
-    v = df.withColumn("_vec", array_to_vector(as_double_array(emb_col)))
-    v = reuse(v)
-    ests = [KMeans(k=k, seed=seed + i, featuresCol="_vec", predictionCol="cluster", maxIter=max_iter, tol=1e-4)
-            for i in range(n_init)]
-    models = fit_many(ests, [v] * n_init, parallelism)
-    best = min(range(n_init), key=lambda i: (models[i].summary.trainingCost, i))
-    return models[best].transform(v).drop("_vec").withColumn("cluster", F.col("cluster").cast("int"))
+    keys = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    rows = reuse(df.select(as_double_array(emb_col).alias("x"), F.xxhash64(F.lit(seed), *keys).alias("key")).where("x is not null"))
+    try:
+        centers: list[np.ndarray] = [np.zeros((0, 0)) for _ in range(n_init)]
+        for _ in range(k):
+            for r in _per_restart(rows, centers, sums=False):
+                old, new = centers[r["restart"]], np.array([r["vector"]])
+                centers[r["restart"]] = np.concatenate((old, new)) if len(old) else new
+        if not len(centers[0]):
+            return []
+        moving, fits = list(range(n_init)), [(float("inf"), c) for c in centers]
+        for i in range(max_iter + 1):
+            found = _per_restart(rows, [centers[r] for r in moving], sums=True)
+            cost, after = {}, {r: centers[r].copy() for r in moving}
+            for f in found:
+                r = moving[f["restart"]]
+                cost[r] = cost.get(r, 0.0) + f["cost"]
+                after[r][f["cluster"]] = np.asarray(f["vector"]) / f["n"]
+            still = []
+            for r in moving:
+                fits[r] = (cost[r], centers[r])
+                if i < max_iter and np.sqrt(((after[r] - centers[r]) ** 2).sum(1)).max() > tol:
+                    centers[r] = after[r]
+                    still.append(r)
+            moving = still
+            if not moving:
+                break
+        return fits
+    finally:
+        rows.unpersist()
+
+
+def kmeans_restarts(df: DataFrame, emb_col: str = "embedding", k: int = 2, n_init: int = 10, seed: int = 42,
+                    max_iter: int = 300) -> DataFrame:
+    """V5: K-Means with ``n_init`` seeded restarts that share their scans (:func:`kmeans_fits`); the one with the lowest
+    cost counts (ties: the earliest). Adds ``cluster`` (int, the nearest center; null for a null embedding)."""
+    fits = kmeans_fits(df, emb_col, k, n_init, seed, max_iter)
+    centers = min(fits, key=lambda f: round(f[0], 9))[1] if fits else np.zeros((1, 1))
+    x = as_double_array(emb_col)
+    # at most k centers, a parameter: nearest by |c|^2 - 2 x.c
+    score = [F.lit(float(c @ c)) - 2 * dot(x, F.array(*[F.lit(float(v)) for v in c])) for c in centers]
+    place = F.array_position(F.array(*score), F.array_min(F.array(*score))) - 1
+    return df.withColumn("cluster", F.when(F.col(emb_col).isNotNull(), place).cast("int"))
 
 
+# ------------------------------------------------------------------ V15: Spark ML
 def pca_2d(df: DataFrame, emb_col: str = "embedding", k: int = 2) -> DataFrame:
     """K-dimensional PCA projection (the t-SNE initialiser); each component's sign is fixed so its
     largest-magnitude loading is positive."""
