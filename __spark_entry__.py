@@ -611,7 +611,27 @@ def q_entity_rows(spark, sf):
     return sampling.entity_rows(panel.events_grid(spark, sf), "user_id", chosen)
 
 
+def q_store_report(spark, sf):
+    return roundtrip.store_report(spark, sf)
+
+
+def q_store_checks(spark, sf):
+    return roundtrip.store_checks(spark, sf)
+
+
+def q_summary_document(spark, sf):
+    return roundtrip.summary_document(spark, sf)
+
+
+def q_ledger_answers(spark, sf):
+    return roundtrip.ledger_answers(spark, sf)
+
+
 _QUERIES = {
+    "store_report": q_store_report,
+    "store_checks": q_store_checks,
+    "summary_document": q_summary_document,
+    "ledger_answers": q_ledger_answers,
     "experiment_grid": q_experiment_grid,
     "rf_engineered": q_rf_engineered,
     "outcomes_scan": q_outcomes_scan,
@@ -720,6 +740,10 @@ _QUERIES = {
 }
 
 _ORACLES = {
+    "store_report": O.sql_store_report,
+    "store_checks": O.sql_store_checks,
+    "summary_document": O.sql_summary_document,
+    "ledger_answers": O.sql_ledger_answers,
     "augment": O.sql_augment,
     "summary_json": O.sql_summary_json,
     "experiment_grid": O.sql_experiment_grid,

@@ -193,7 +193,7 @@ def _per_restart(rows: DataFrame, centers: list[np.ndarray], sums: bool) -> list
 
 def _exponential(key: np.ndarray, draw: int) -> np.ndarray:
     """Exponential numbers that depend on the row key and the draw alone."""
-    h = key ^ (np.uint64(0x9E3779B97F4A7C15) * np.uint64(draw + 1))
+    h = key ^ np.uint64(0x9E3779B97F4A7C15 * (draw + 1) % (1 << 64))
     for shift, factor in ((33, 0xFF51AFD7ED558CCD), (33, 0xC4CEB9FE1A85EC53)):
         h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
     u = ((h >> np.uint64(11)).astype(float) + 0.5) / float(1 << 53)

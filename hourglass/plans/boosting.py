@@ -148,7 +148,7 @@ def drawn(keys: np.ndarray, config: Config, round_: int) -> np.ndarray:
     """The rows that a round learns from: a share ``subsample`` by a hash of key, seed and round."""
     if config.subsample >= 1:
         return np.ones(len(keys), bool)
-    h = keys.astype(np.uint64) ^ (np.uint64(config.seed * 0x9E3779B1 + 1) * np.uint64(round_ + 1))
+    h = keys.astype(np.uint64) ^ np.uint64((config.seed * 0x9E3779B1 + 1) * (round_ + 1) % (1 << 64))
     for shift, factor in ((33, 0xFF51AFD7ED558CCD), (33, 0xC4CEB9FE1A85EC53)):
         h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
     return (h >> np.uint64(11)).astype(float) / float(1 << 53) < config.subsample

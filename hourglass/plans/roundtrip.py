@@ -128,3 +128,75 @@ def panel_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     sinks.write_panel(panel.events_ffill(spark, sf_dir), path, EVENTS_SPEC)
     panels = [sinks.read_panel(spark, path).where(F.col("split") == s) for s in ("a", "b", "c")]
     return panels[0].unionByName(panels[1]).unionByName(panels[2])
+
+
+def stores_with_faults(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """The embeddings written as a good store, a path without one, and a copy whose largest file is cut short."""
+    emb = tables.table(spark, sf_dir, "embeddings")
+    root = scratch(spark, "stores")
+    paths = {n: f"{root}/{n}" for n in ("good", "absent", "truncated")}
+    for n in ("good", "truncated"):
+        emb.write.parquet(paths[n])
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(paths["truncated"])
+    fs = folder.getFileSystem(conf)
+    files = [f for f in fs.listStatus(folder) if f.getPath().getName().endswith(".parquet")]
+    largest = max(files, key=lambda f: (f.getLen(), f.getPath().getName()))
+    # a writer that was lost half way: the file begins well and has no footer
+    source = fs.open(largest.getPath())
+    cut = jvm.org.apache.hadoop.fs.Path(folder, "part-cut.parquet")
+    half = jvm.org.apache.commons.io.IOUtils.toByteArray(source, int(largest.getLen() // 2))
+    source.close()
+    out = fs.create(cut, True)
+    out.write(bytearray(half))
+    out.close()
+    fs.delete(largest.getPath(), False)
+    return paths
+
+
+def store_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The probe of the three stores."""
+    from hourglass.operators import store_probe
+
+    report = store_probe.probe_stores(spark, stores_with_faults(spark, sf_dir))
+    # how many files Spark writes depends on the input's partitions
+    return report.select("store", "status", F.when(F.col("status") == "OK", F.col("n_rows")).alias("n_rows"),
+                         F.when(F.col("status") == "OK", F.array_join("columns", ",")).alias("columns"), "n_bad_files")
+
+
+def store_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1–D5 over the three stores: check rows for each, contents where a store can be read."""
+    from hourglass.operators import store_probe
+
+    checks = store_probe.store_checks(spark, stores_with_faults(spark, sf_dir))
+    return checks.select("store", "check", "status")
+
+
+def summary_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leaderboard and its size in one nested document, published twice and read back."""
+    from hourglass.plans import evaluation
+
+    board = evaluation.config_board(spark, sf_dir)
+    path = f"{scratch(spark, 'summary')}/summary.json"
+    sinks.write_summary_document(spark, path, {"state": "started"}, {})
+    values = {"run": {"task": "quality", "metrics": ["auroc", "auprc"], "best_so_far": float("-inf")}}
+    sinks.write_summary_document(spark, path, values, {"leaderboard": board})
+    text = spark.read.text(path, wholetext=True)
+    kind = f"run struct<task: string, metrics: array<string>, best_so_far: double>, leaderboard array<{board.schema.simpleString()}>"
+    doc = text.select(F.from_json("value", kind).alias("doc"))
+    return doc.select(F.explode("doc.leaderboard").alias("r"), "doc").select(
+        "r.*", F.col("doc.run.task").alias("task"), F.size("doc.run.metrics").alias("n_metrics"), F.col("doc.run.best_so_far").alias("best_so_far"))
+
+
+def ledger_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The answers of a ledger that was filled for half of the prompts, then for all, then once more."""
+    from hourglass.operators import answer_ledger, prompts
+    from hourglass.plans import evaluation
+
+    blocks = evaluation.events_blocks(spark, sf_dir, "c").where(F.col("label").isNotNull())
+    asked = prompts.zero_shot_prompt(blocks, "binary")
+    path, client = scratch(spark, "ledger"), prompts.rule_client_factory("binary")
+    answer_ledger.ask_missing(asked.where(F.col("label") == 1), client, path)
+    answer_ledger.ask_missing(asked, client, path)
+    again = answer_ledger.ask_missing(asked, client, path)
+    return answer_ledger.ledger_answers(asked, path, "user_id", "label").withColumn("asked_again", F.lit(again).cast("long"))

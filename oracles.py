@@ -1153,3 +1153,26 @@ def sql_summary_json() -> str:
     names = ("cfg_idx", "config_name", "val_auroc", "val_auprc", "test_auroc", "test_auprc")
     fields = ", ".join(f"'{n}': {n}" for n in names)
     return "SELECT CAST(to_json({" + fields + "}) AS VARCHAR) AS json FROM (" + sql_leaderboard() + ")"
+
+
+# ------------------------------------------------------------------ stores with faults, documents, the ledger
+def sql_store_report() -> str:
+    return """SELECT 'good' AS store, 'OK' AS status, CAST(count(*) AS BIGINT) AS n_rows, 'vec_id,embedding,label' AS columns,
+            CAST(0 AS BIGINT) AS n_bad_files FROM embeddings
+        UNION ALL SELECT 'absent', 'MISSING', NULL, NULL, 0
+        UNION ALL SELECT 'truncated', 'UNREADABLE', NULL, NULL, 1"""
+
+
+def sql_store_checks() -> str:
+    return with_(emb_checks_cte(), """SELECT 'good' AS store, "check", status FROM ck
+        UNION ALL SELECT 'good', unnest(['exists', 'readable', 'columns']), 'OK'
+        UNION ALL SELECT 'absent', 'exists', 'FAIL'
+        UNION ALL SELECT 'truncated', 'exists', 'OK' UNION ALL SELECT 'truncated', 'readable', 'FAIL'""")
+
+
+def sql_summary_document() -> str:
+    return f"""SELECT *, 'quality' AS task, 2 AS n_metrics, CAST(NULL AS DOUBLE) AS best_so_far FROM ({sql_leaderboard()})"""
+
+
+def sql_ledger_answers() -> str:
+    return with_(answers_ctes("binary", "zero"), "SELECT *, CAST(0 AS BIGINT) AS asked_again FROM ans")
