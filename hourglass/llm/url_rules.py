@@ -113,9 +113,9 @@ def rule_table(spark: SparkSession, lines: Iterable[str]) -> DataFrame:
 
 def index_rules(rules: DataFrame, tokens: DataFrame) -> DataFrame:
     """``rules`` with ``token``: of a rule's tokens the one that the fewest rows of ``tokens`` (token) equal, ties by
-    code points; empty where it has none. Only tokens that a rule holds are counted, one partial count per task."""
+    code points; empty where it has none. Tokens are counted per task first, so a common one is a row per task."""
     held = rules.select("line", F.explode("tokens").alias("token"))
-    seen = tokens.join(held.select("token").distinct(), "token", "left_semi").groupBy("token").agg(F.count("*").alias("n"))
+    seen = tokens.groupBy("token").agg(F.count("*").alias("n"))
     rarest = (held.join(seen, "token", "left").groupBy("line")
               .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token")).alias("best")))
     return rules.join(rarest, "line", "left").select(
