@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourglass.llm.text import slices
+from hourglass.llm.text import enter, keeps, slices
 
 RANKS = "byte_bpe_50k.tiktoken"
 LONG_WORD = 256
@@ -242,6 +242,7 @@ class Vocabulary:
 
 
 _VOCABULARIES: dict[int, tuple[Vocabulary, object]] = {}
+keeps(__name__, _VOCABULARIES.clear)
 
 
 def _vocabulary(ranks) -> Vocabulary:
@@ -267,6 +268,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter(__name__)
         vocabulary = _vocabulary(ranks)
         for batch in batches:
             for part in slices(batch):
@@ -292,6 +294,7 @@ def decode(tokens: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", path
     kind = tokens.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter(__name__)
         vocabulary = _vocabulary(ranks)
         for batch in batches:
             for part in slices(batch):

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourglass.llm.text import row_key, slices
+from hourglass.llm.text import enter, keeps, row_key, slices
 
 WIDTH = 10
 BLOCK_WORDS = 50_000
@@ -165,6 +165,7 @@ def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_words:
 
 
 _AUTOMATA: dict = {}
+keeps(__name__, _AUTOMATA.clear)
 
 
 def _automaton(items, width: int) -> SuffixAutomaton:
@@ -181,6 +182,7 @@ def _scan(docs: DataFrame, items, width: int) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter(__name__)
         automaton = _automaton(items, width)
         span_type = pa.list_(pa.list_(pa.int32()))
         for batch in batches:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from hourglass.llm import lsh_forest
 from hourglass.llm.storage import written
-from hourglass.llm.text import WordHashes, map_batches, signed
+from hourglass.llm.text import WordHashes, enter, keeps, map_batches, signed
 
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\x0b\x0c\r"
@@ -55,6 +55,7 @@ def line_key(words: list[bytes]) -> int:
 
 
 _HASHES = WordHashes()
+keeps(__name__, _HASHES.clear)
 
 
 def _profile(cols: list[list]) -> list[list]:
@@ -86,6 +87,7 @@ def profile(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataF
     meta = meta.withColumn("row_key", F.xxhash64("doc_id", "host", "text"))
 
     def rows(cols):
+        enter(__name__)
         return [*cols[:2], *cols[2:4], *_profile(cols[4:])]
 
     schema = ("doc_id {}, host binary, text_key long, row_key long, n_words long, word_chars long, n_symbols long, "

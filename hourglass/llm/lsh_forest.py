@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from hourglass.llm.graph import components
 from hourglass.llm.storage import written
-from hourglass.llm.text import WordHashes, mix, row_key, slices
+from hourglass.llm.text import WordHashes, enter, keeps, mix, row_key, slices
 
 SHINGLE = 3
 #: A link: 100 * intersection >= PERCENT * union.
@@ -48,6 +48,7 @@ NEAREST = 24
 BLOCK, BLOCK_SHINGLES = 192, 200_000
 
 _HASHES = WordHashes(3)
+keeps(__name__, _HASHES.clear)
 _SEEDS = mix(np.arange(1, 2 * TREES * DEPTH + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _MULTIPLY = (_SEEDS[::2] >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _ADD = (_SEEDS[1::2] >> np.uint64(32)).astype(np.uint32)
@@ -85,6 +86,7 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter(__name__)
         none = np.empty(0, np.uint64)
         for batch in batches:
             for part in slices(batch):
@@ -133,6 +135,7 @@ def candidates(classes: DataFrame) -> DataFrame:
     kind = classes.schema["node"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter(__name__)
         region: list[list] = []  # [values shared with the latest key, key, node, sketch, leader], the deepest last
         at = None
         for batch in batches:
@@ -215,6 +218,7 @@ def confirmed(texts: DataFrame, width: int, percent: int) -> DataFrame:
     kind = texts.schema["node"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter(__name__)
         field = None
         key, nodes, sets = None, [], []
 

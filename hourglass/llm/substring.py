@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourglass.llm.storage import decided, forget, written
-from hourglass.llm.text import WordHashes, mix, row_key, slices
+from hourglass.llm.text import WordHashes, enter, keeps, mix, row_key, slices
 
 WIDTH = 35
 #: Words of an anchor: long enough that unrelated texts seldom share one.
@@ -40,6 +40,7 @@ ANCHOR = 8
 
 _BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 _HASHES = tuple(WordHashes(seed) for seed in (11, 29))
+keeps(__name__, lambda: [t.clear() for t in _HASHES])
 
 
 def run_hashes(h: np.ndarray, width: int, base: np.uint64) -> np.ndarray:
@@ -102,6 +103,7 @@ def _phrase_rows(docs: DataFrame, width: int, anchor: int) -> DataFrame:
     names = ["key", "anchor", "content", "first", "windows"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter(__name__)
         for batch in batches:
             for part in slices(batch):
                 out: list[list[np.ndarray]] = [[] for _ in names]
@@ -123,6 +125,7 @@ def _window_rows(docs: DataFrame, width: int, anchor: int) -> DataFrame:
     names = ["key", "at", "w1", "w2"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter(__name__)
         for batch in batches:
             for part in slices(batch, 2 << 20):
                 out: list[list[np.ndarray]] = [[] for _ in names]
@@ -190,6 +193,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "doc_id", "row_key", "text", F.transform("found_spans", lambda s: F.array(s.a, s.b)).alias("spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter(__name__)
         for batch in batches:
             for part in slices(batch):
                 n, gone, digest, clean = [], [], [], []

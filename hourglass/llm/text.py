@@ -50,6 +50,23 @@ def columns(batch: pa.RecordBatch) -> list[list]:
     return [(c.cast(pa.binary()) if pa.types.is_string(c.type) else c).to_pylist() for c in batch.columns]
 
 
+#: What the operators keep in a worker between tasks: owner -> how to drop it.
+_KEPT: dict[str, Callable[[], None]] = {}
+
+
+def keeps(owner: str, drop: Callable[[], None]) -> None:
+    """``owner`` (a module) keeps tables in its workers; ``drop`` empties them."""
+    _KEPT[owner] = drop
+
+
+def enter(owner: str) -> None:
+    """Start of a task of ``owner``: a reused worker drops what other operators kept in it, so that the stages of a
+    pipeline do not add up in memory."""
+    for other, drop in _KEPT.items():
+        if other != owner:
+            drop()
+
+
 class WordHashes(dict):
     """64-bit hashes of words (bytes), computed once per word while the table is below its bound."""
 

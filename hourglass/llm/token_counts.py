@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourglass.llm.text import slices
+from hourglass.llm.text import enter, keeps, slices
 
 VOCABULARY = "byte_bpe_50k.json"
 TABLE_ENTRIES = 1 << 16
@@ -74,6 +74,7 @@ class Lengths(dict):
 
 
 _LENGTHS: dict = {}
+keeps(__name__, _LENGTHS.clear)
 
 
 def _lengths(path: str, frequent) -> Lengths:
@@ -89,6 +90,7 @@ def frequent_pretokens(docs: DataFrame, text_col: str, path: str, table_entries:
     """Token lengths of the corpus's most frequent pre-tokens, from a summary of every task."""
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter(__name__)
         counts: Counter = Counter()
         for batch in batches:
             for part in slices(batch):
@@ -118,6 +120,7 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     kind = docs.schema[id_col].dataType
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter(__name__)
         lengths = _lengths(path, table)
         for batch in batches:
             for part in slices(batch):
