@@ -32,8 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hourglass.llm.storage import written
-from hourglass.llm.text import mix, slices
-from hourglass.session import small_side
+from hourglass.llm.text import enter, keeps, mix, slices
 
 #: Characters of the classes' strings; the shared model has strings of one less.
 ORDER = 5
@@ -81,6 +80,7 @@ def _top_strings(rows: DataFrame) -> DataFrame:
     """Strings of ``ORDER`` characters of the padded words, with documents by part; ``rows``: part, text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter(__name__)
         counts = [Counter() for _ in PARTS]
 
         def flush() -> pa.RecordBatch:
@@ -111,6 +111,7 @@ def _key_sums(strings: DataFrame, shared: bool) -> DataFrame:
     ``left`` (different characters before it) or the parts' counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter(__name__)
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -253,6 +254,7 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, counts: np.n
 
 
 _EVIDENCE: dict = {}
+keeps(__name__, _EVIDENCE.clear)
 
 
 def _evidence(models, half: str = "") -> Evidence:
@@ -299,14 +301,16 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     known = labels.filter(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("label_id")).agg(
         (F.max(label_col) > 0).alias("is_toxic")).filter(remainder("label_id") != held_out)
+    # one join at every size; the labels are a written table, so a row listed many times is a skewed join of plain exchanges
     rows = picked.filter(remainder("doc_id") != held_out).join(
-        small_side(known), F.col("doc_id") == F.col("label_id"))
+        written(known, "known").hint("merge"), F.col("doc_id") == F.col("label_id"))
     half = (remainder("doc_id") != (held_out + 1) % 3).cast("int")
     rows = written(rows.select((half + F.when(F.col("is_toxic"), 0).otherwise(2)).alias("part"), "text",
                                F.xxhash64("doc_id").alias("order")), "labelled")
     tables = spark.sparkContext.broadcast(_tables(rows))
 
     def fit_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter(__name__)
         for batch in batches:
             for part in slices(batch):
                 parts, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
@@ -336,6 +340,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     kind = docs.schema[id_col].dataType.simpleString()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter(__name__)
         for batch in batches:
             for part in slices(batch):
                 scores = np.zeros(part.num_rows)
