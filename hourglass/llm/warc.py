@@ -24,6 +24,7 @@ import json
 import uuid
 import zlib
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyarrow import fs
@@ -50,6 +51,8 @@ def typed(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_
     rows = rows.withColumns({"payload_bytes": F.octet_length("payload").cast("long"), "payload_digest": F.sha2("payload", 256)})
     first = (rows.filter(F.col("payload_bytes") >= least_revisit).groupBy(F.col("payload_digest").alias("first_digest"))
              .agg(F.min("page_id").alias("first_id"), F.count("*").alias("n")).filter("n > 1 AND first_id IS NOT NULL").drop("n"))
+    # written, so that a payload that many pages share is a skewed join of two plain exchanges
+    first = written(first, "first")
     refers = F.when(~F.col("first_id").eqNullSafe(F.col("page_id")), F.col("first_id"))
     return rows.join(first, F.col("payload_digest") == F.col("first_digest"), "left").withColumn(
         "refers_to", refers).drop("first_digest", "first_id")
@@ -60,19 +63,19 @@ def record_id(page_id) -> str:
 
 
 def record(page_id: str | None, url: str | None, payload: bytes, digest: str, refers_to: str | None) -> bytes:
-    """A WARC 1.1 record; page ids travel in extension fields."""
+    """A WARC 1.1 record; page ids travel in extension fields, percent-encoded where a header cannot hold them."""
     kind = "response" if refers_to is None else "revisit"
     block = _HTTP % len(payload) + (payload if refers_to is None else b"")
     head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {record_id(page_id)}", "WARC-Date: 1970-01-01T00:00:00Z",
             f"WARC-Payload-Digest: sha256:{digest}", f"Payload-Length: {len(payload)}",
             "Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
     if page_id is not None:
-        head.append(f"Page-Id: {page_id}")
+        head.append(f"Page-Id: {quote(page_id)}")
     if url is not None:
         head.append("WARC-Target-URI: " + "".join(c if c.isprintable() and c != " " else f"%{ord(c):02X}" for c in url))
     if refers_to is not None:
         head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
-                 f"WARC-Refers-To: {record_id(refers_to)}", f"Refers-To-Page-Id: {refers_to}"]
+                 f"WARC-Refers-To: {record_id(refers_to)}", f"Refers-To-Page-Id: {quote(refers_to)}"]
     return "\r\n".join(head).encode() + _END + block + _END
 
 
@@ -248,8 +251,8 @@ def read_archives(archives: DataFrame) -> DataFrame:
                         size, digest = int(fields["Payload-Length"]), fields["WARC-Payload-Digest"].removeprefix("sha256:")
                         if fields["WARC-Type"] == "response" and (len(payload), hashlib.sha256(payload).hexdigest()) != (size, digest):
                             raise ValueError(f"{archive} at {entry['offset']}: the payload differs from its digest")
-                        row = (fields.get("Page-Id"), fields.get("WARC-Target-URI"), size, digest, fields["WARC-Type"],
-                               fields.get("Refers-To-Page-Id"))
+                        ids = [None if v is None else unquote(v) for v in map(fields.get, ("Page-Id", "Refers-To-Page-Id"))]
+                        row = (ids[0], fields.get("WARC-Target-URI"), size, digest, fields["WARC-Type"], ids[1])
                         for c, v in zip(out, row, strict=True):
                             c.append(v)
                 kinds = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string()]
