@@ -3,8 +3,9 @@
 Texts are split into pre-tokens by the vocabulary's pattern. The distinct pre-tokens of a slice of texts that
 the worker has not met become token-position rows, one per byte; a recursive query joins neighbouring
 positions with the merge table, contracts each word's leftmost pair of minimum rank, and goes on until no
-word has a pair left. An ordered aggregation over the vocabulary's bytes decodes. A text's ids are its
-words' ids in order, so what the task keeps is one entry per distinct word, in a bounded table.
+word has a pair left. An ordered aggregation over the vocabulary's bytes decodes every word's ids. The task keeps
+both, ids and decoded bytes, once per distinct word in a bounded table; a text's ids and its decoded bytes are those
+of its words, in the same order. A word that is a vocabulary entry as a whole has that one id without a merge.
 
 A word's recursion holds rows in the square of its length, so words of more than ``LONG_WORD`` bytes (not
 seen in prose) run the same merges from a heap instead.
@@ -36,6 +37,10 @@ LONG_WORD = 256
 WORD_ENTRIES = 300_000
 #: Words of one recursive query.
 QUERY_WORDS = 20_000
+#: Between a word's ids and its decoded bytes in the table: no byte of UTF-8.
+MARK = b"\xff"
+#: Words of a text that are put together at once.
+JOINED = 50_000
 
 _SPLIT = regex.compile(public_tokenizers.PATTERN)
 #: Texts without this have only single white space inside: the pattern never joins over such a space, so
@@ -70,7 +75,7 @@ FROM word_tokens t JOIN vocabulary v ON v.id = t.tok GROUP BY t.w ORDER BY t.w
 
 
 class Words(dict):
-    """Ids of words met lately. A full table becomes the old one; what is used again comes back from it."""
+    """Ids and decoded bytes, joined by ``MARK``, of words met lately. A full table becomes the old one; what is used again comes back from it."""
 
     def __init__(self):
         super().__init__()
@@ -111,10 +116,8 @@ class Vocabulary:
                                              "hex": [t.hex() for t in self.ranks]}))
         self.con.execute("CREATE TABLE vocabulary AS SELECT * FROM given")
         self.con.unregister("given")
-        #: decimal ids joined by spaces: of words with the space before them (without it in the key), of others
+        #: decimal ids joined by spaces, and bytes: of words with the space before them (without it in the key), of others
         self.led, self.bare = Words(), Words()
-        #: words that decode to other bytes than their own (none in a sound vocabulary)
-        self.other: dict[str, bytes] = {}
 
     def merge(self, words: list[bytes]) -> pa.Table:
         """Token-position rows (w, pos, tok) of the words' fixpoint, by the recursive query."""
@@ -183,13 +186,13 @@ class Vocabulary:
             self.con.register("word_tokens", pa.table(given))
             done = self.con.sql(DECODE_SQL).to_arrow_table()
             ids = done["ids"].cast(pa.binary()).to_pylist()
-            for name, own, decoded, joined in zip(names, raw, done["bytes"].to_pylist(), ids, strict=True):
+            for name, decoded, joined in zip(names, done["bytes"].to_pylist(), ids, strict=True):
+                if MARK in decoded:
+                    raise ValueError(f"the ids of {name!r} decode to bytes that are not UTF-8")
                 if name[0] == " ":
-                    self.led[name[1:]] = joined
+                    self.led[name[1:]] = joined + MARK + decoded
                 else:
-                    self.bare[name] = joined
-                if decoded != own:
-                    self.other[name] = decoded
+                    self.bare[name] = joined + MARK + decoded
 
     def decode(self, ids: list[list[int] | None]) -> list[bytes]:
         """Each list's bytes by one ordered aggregation; an unknown id has no bytes."""
@@ -201,7 +204,7 @@ class Vocabulary:
         return [found.get(i, b"") for i in range(len(ids))]
 
     def encode(self, texts: list[str | None]) -> Iterator[tuple[bytes, bytes]]:
-        """(ids joined by spaces, decoded bytes) of every text."""
+        """(ids joined by spaces, bytes that they decode to) of every text."""
         led, bare = self.led, self.bare
         led.age()
         bare.age()
@@ -231,14 +234,19 @@ class Vocabulary:
             return [led[t[1:]] if t[0] == " " else bare[t] for t in tokens]
 
         for p, found in several.items():
-            led[p] = b" ".join(of(found))
-        for (head, rest), text in zip(split, texts, strict=True):
-            joined = b" ".join(of(head) + [led[p] for p in rest])
-            if self.other:
-                tokens = head + [t for p in rest for t in _SPLIT.findall(" " + p)]
-                yield joined, b"".join([self.other.get(t) or t.encode() for t in tokens])
-            else:
-                yield joined, (text or "").encode()
+            led[p] = MARK.join(together(of(found)))
+        for head, rest in split:
+            yield together(of(head) + [led[p] for p in rest])
+
+
+def together(entries: list[bytes]) -> tuple[bytes, bytes]:
+    """Ids, joined by spaces, and decoded bytes of words in a row."""
+    ids, raw = [], []
+    for at in range(0, len(entries), JOINED):
+        parts = MARK.join(entries[at:at + JOINED]).split(MARK)
+        ids.append(b" ".join(parts[::2]))
+        raw.append(b"".join(parts[1::2]))
+    return b" ".join(ids), b"".join(raw)
 
 
 _VOCABULARIES: dict[int, tuple[Vocabulary, object]] = {}

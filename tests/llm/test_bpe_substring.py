@@ -59,6 +59,23 @@ def test_long_words_merge_alike(vocabulary, library, word):
     assert t["tok"].to_pylist() == vocabulary.merge_long(short)
 
 
+def test_decoded_bytes_come_from_the_ids(library):
+    """A wrong entry of the decoding table shows in the decoded bytes, and in no id."""
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        broken = bpe.Vocabulary(f.read())
+    wrong = library.encode_ordinary(" the")
+    broken.con.execute("UPDATE vocabulary SET hex = '2078' WHERE id = ?", wrong)
+    (ids, raw), (more, plain) = broken.encode(["in the end, the\n the", "of it"])
+    assert ids.split() == [str(i).encode() for i in library.encode_ordinary("in the end, the\n the")]
+    assert raw == b"in x end, x\n x" and plain == b"of it" and len(more.split()) == 2
+
+
+def test_texts_are_put_together_in_parts(vocabulary, library, monkeypatch):
+    monkeypatch.setattr(bpe, "JOINED", 3)
+    texts = ["one two three four five six seven", "one two three", "", "a  b\n c"]
+    assert list(vocabulary.encode(texts)) == [(" ".join(map(str, library.encode_ordinary(t))).encode(), t.encode()) for t in texts]
+
+
 def test_bpe_odd_rows(spark, odd_documents, library):
     rows = bpe.encode(odd_documents).collect()
     want = Counter((r.doc_id, tuple(library.encode_ordinary(r.text or ""))) for r in odd_documents.collect())
