@@ -3,6 +3,8 @@
 The page becomes a light tree. Elements that are never article text (scripts, menus, forms, footers, adverts,
 notices, sidebars, reader comments, ...) are marked with all they hold. A mark by class or id name alone does not
 count for an article, nor for an element that holds most of the page's paragraph points; it halves their scores.
+A form goes in the same way, unless it is wrapped around the page: then it also holds a heading, an article or
+several paragraphs. A fieldset is a form's only if it holds a control. Formulas are text.
 Every paragraph passes points for its length and commas to its ancestors, less with each level, and an ancestor's
 score is discounted by the share of its text that is inside links. The best container is kept, widened to the article element around it, or
 else together with the siblings that score well too. Blocks of the kept text are joined in page order.
@@ -27,16 +29,21 @@ _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 _LETTERS = re.compile(r"[a-z]+")
 
-RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math", "select", "object", "xmp"}
+RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "select", "object", "xmp",
+       "annotation", "annotation-xml"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins",
           "kbd", "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var",
-          "img", "wbr", "td", "th", "ruby", "rt", "rp"}
+          "img", "wbr", "td", "th", "ruby", "rt", "rp",
+          "math", "semantics", "mfenced", "mfrac", "mi", "mn", "mo", "mover", "mpadded", "mphantom", "mroot", "mrow", "ms", "mspace",
+          "msqrt", "mstyle", "msub", "msubsup", "msup", "mtable", "mtd", "mtext", "mtr", "munder", "munderover"}
 #: A start tag of the key closes an open element of the value, up to the given scopes.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
           "option": {"option"}, "body": {"head"}}
 SCOPES = {"ul", "ol", "dl", "table", "html", "body", "div", "article", "section", "td", "th", "main", "blockquote"}
-NEVER = {"nav", "footer", "aside", "form", "button", "menu", "dialog", "head", "input", "fieldset", "menuitem", "datalist"}
+NEVER = {"nav", "footer", "aside", "button", "menu", "dialog", "head", "input", "menuitem", "datalist"}
+#: What makes a fieldset part of a form.
+CONTROLS = {"input", "select", "textarea", "button"}
 NEVER_ROLES = {"navigation", "banner", "complementary", "contentinfo", "search", "dialog", "alert", "alertdialog", "menu", "menubar",
                "toolbar", "form"}
 #: Words in class or id names of elements that are not article text.
@@ -64,7 +71,8 @@ class Tree:
     def __init__(self, page: str):
         self.tag, self.parent, self.end = ["body"], [-1], [0]
         self.dropped, self.linked = [False], [False]
-        self.named = [False]  # by class or id name alone
+        self.named = [False]  # by class or id name alone, or a form
+        controls: set[int] = set()  # fieldsets that hold one
         self.items: list[tuple[int, int, str]] = []  # element, block, text
         stack, block, breaks, at = [0], 0, 0, 0
         for m in iter(lambda: _TAG.search(page, at), None):
@@ -80,6 +88,8 @@ class Tree:
                     block += 1
                 self._close(stack, {name}, set())
                 continue
+            if name in CONTROLS:
+                controls.update(s for s in stack if self.tag[s] == "fieldset")
             if name in RAW:
                 close = re.compile(rf"</{re.escape(name)}\b[^>]*>?", re.I).search(page, at)
                 at = close.end() if close else len(page)
@@ -105,6 +115,9 @@ class Tree:
         if at < len(page):
             self._text(stack[-1], block, page[at:], breaks)
         n = len(self.tag)
+        if controls:
+            for i in range(1, n):
+                self.dropped[i] |= i in controls or self.dropped[self.parent[i]]
         for i in range(n):
             self.end[i] = i + 1
         for i in range(n - 1, 0, -1):
@@ -132,6 +145,7 @@ class Tree:
         named = False
         if raw and not raw.isspace() and not gone and name not in HOLDERS:
             gone, named = hidden(raw)
+        named = named or name == "form" and not gone
         self.tag.append(name)
         self.named.append(named)
         self.parent.append(up)
@@ -181,13 +195,20 @@ def drop_named(tree: Tree, points: list[float]) -> list[float]:
             tree.dropped[i] = True
         elif tree.named[i] and not tree.dropped[i]:
             own = total[tree.end[i]] - total[i]
-            if tree.tag[i] == "article" and not inside[i] or own and NAMED * own > page - own:
+            if tree.tag[i] == "article" and not inside[i] or own and NAMED * own > page - own and (
+                    tree.tag[i] != "form" or _wraps_page(tree, i, points)):
                 weight[i] = NAMED * weight[p]
             else:
                 tree.dropped[i] = True
     return weight
 
 
+def _wraps_page(tree: Tree, form: int, points: list[float]) -> bool:
+    """Whether a form holds what a page has: a main heading, an article or more than one paragraph with points."""
+    held = range(form + 1, tree.end[form])
+    return any(tree.tag[i] in ("article", "main", "h1") and not tree.dropped[i] for i in held) or sum(points[i] > 0 for i in held) > 1
+
+
 def _sums(tree: Tree) -> tuple[list[int], list[int], list[int], list[int]]:
     """Characters, those inside links, commas and characters that are an element's own, without what is dropped."""
     n = len(tree.tag)
