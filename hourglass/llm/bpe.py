@@ -37,10 +37,11 @@ LONG_WORD = 256
 WORD_ENTRIES = 300_000
 #: Words of one recursive query.
 QUERY_WORDS = 20_000
-#: Between a word's ids and its decoded bytes in the table: no byte of UTF-8.
-MARK = b"\xff"
-#: Words of a text that are put together at once.
-JOINED = 50_000
+#: A word's entry is one string: its ids, each after a space, in byte values that UTF-8 does not have, and its decoded
+#: bytes as they are. So a text's entries are joined once, and two byte tables part ids and bytes again.
+PLAIN, CODED = b"0123456789 ", bytes(range(0xF5, 0x100))
+_CODE, _PLAIN = bytes.maketrans(PLAIN, CODED), bytes.maketrans(CODED, PLAIN)
+_NOT_CODED = bytes(set(range(256)) - set(CODED))
 
 _SPLIT = regex.compile(public_tokenizers.PATTERN)
 #: Texts without this have only single white space inside: the pattern never joins over such a space, so
@@ -75,7 +76,7 @@ FROM word_tokens t JOIN vocabulary v ON v.id = t.tok GROUP BY t.w ORDER BY t.w
 
 
 class Words(dict):
-    """Ids and decoded bytes, joined by ``MARK``, of words met lately. A full table becomes the old one; what is used again comes back from it."""
+    """Ids and decoded bytes of words met lately. A full table becomes the old one; what is used again comes back from it."""
 
     def __init__(self):
         super().__init__()
@@ -116,7 +117,7 @@ class Vocabulary:
                                              "hex": [t.hex() for t in self.ranks]}))
         self.con.execute("CREATE TABLE vocabulary AS SELECT * FROM given")
         self.con.unregister("given")
-        #: decimal ids joined by spaces, and bytes: of words with the space before them (without it in the key), of others
+        #: entries of words with the space before them (without it in the key), of others
         self.led, self.bare = Words(), Words()
 
     def merge(self, words: list[bytes]) -> pa.Table:
@@ -185,14 +186,16 @@ class Vocabulary:
                 given = {c: np.concatenate([given[c], found[c]]) for c in given}
             self.con.register("word_tokens", pa.table(given))
             done = self.con.sql(DECODE_SQL).to_arrow_table()
-            ids = done["ids"].cast(pa.binary()).to_pylist()
-            for name, decoded, joined in zip(names, done["bytes"].to_pylist(), ids, strict=True):
-                if MARK in decoded:
-                    raise ValueError(f"the ids of {name!r} decode to bytes that are not UTF-8")
+            decoded = done["bytes"].to_pylist()
+            whole = b"".join(decoded)
+            if len(whole.translate(None, CODED)) < len(whole):
+                raise ValueError("ids of words decode to bytes that are not UTF-8")
+            ids = (b" " + b"\n ".join(done["ids"].cast(pa.binary()).to_pylist())).translate(_CODE).split(b"\n")
+            for name, coded, own in zip(names, ids, decoded, strict=True):
                 if name[0] == " ":
-                    self.led[name[1:]] = joined + MARK + decoded
+                    self.led[name[1:]] = coded + own
                 else:
-                    self.bare[name] = joined + MARK + decoded
+                    self.bare[name] = coded + own
 
     def decode(self, ids: list[list[int] | None]) -> list[bytes]:
         """Each list's bytes by one ordered aggregation; an unknown id has no bytes."""
@@ -234,19 +237,10 @@ class Vocabulary:
             return [led[t[1:]] if t[0] == " " else bare[t] for t in tokens]
 
         for p, found in several.items():
-            led[p] = MARK.join(together(of(found)))
+            led[p] = b"".join(of(found))
         for head, rest in split:
-            yield together(of(head) + [led[p] for p in rest])
-
-
-def together(entries: list[bytes]) -> tuple[bytes, bytes]:
-    """Ids, joined by spaces, and decoded bytes of words in a row."""
-    ids, raw = [], []
-    for at in range(0, len(entries), JOINED):
-        parts = MARK.join(entries[at:at + JOINED]).split(MARK)
-        ids.append(b" ".join(parts[::2]))
-        raw.append(b"".join(parts[1::2]))
-    return b" ".join(ids), b"".join(raw)
+            entries = b"".join(of(head) + [led[p] for p in rest])
+            yield entries.translate(_PLAIN, _NOT_CODED)[1:], entries.translate(None, CODED)
 
 
 _VOCABULARIES: dict[int, tuple[Vocabulary, object]] = {}

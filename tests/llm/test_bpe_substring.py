@@ -70,9 +70,8 @@ def test_decoded_bytes_come_from_the_ids(library):
     assert raw == b"in x end, x\n x" and plain == b"of it" and len(more.split()) == 2
 
 
-def test_texts_are_put_together_in_parts(vocabulary, library, monkeypatch):
-    monkeypatch.setattr(bpe, "JOINED", 3)
-    texts = ["one two three four five six seven", "one two three", "", "a  b\n c"]
+def test_digits_and_spaces_of_a_text_are_not_taken_for_ids(vocabulary, library):
+    texts = ["one 2 three 44 five 666", "0 1  2\n3", "", "a  b\n c", "\u00f5\u00ff \U0010ffff 7"]
     assert list(vocabulary.encode(texts)) == [(" ".join(map(str, library.encode_ordinary(t))).encode(), t.encode()) for t in texts]
 
 
