@@ -19,7 +19,6 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,16 +36,13 @@ LONG_WORD = 256
 WORD_ENTRIES = 300_000
 #: Words of one recursive query.
 QUERY_WORDS = 20_000
-#: A word's entry is one string: its ids, each after a space, in byte values that UTF-8 does not have, and its decoded
-#: bytes as they are. So a text's entries are joined once, and two byte tables part ids and bytes again.
+#: A word's entry is one string: every id after a space, in byte values that UTF-8 does not have, and after it the bytes
+#: that the id decodes to. So a text's entries are joined once, and two byte tables part ids and bytes again.
 PLAIN, CODED = b"0123456789 ", bytes(range(0xF5, 0x100))
 _CODE, _PLAIN = bytes.maketrans(PLAIN, CODED), bytes.maketrans(CODED, PLAIN)
 _NOT_CODED = bytes(set(range(256)) - set(CODED))
 
 _SPLIT = regex.compile(public_tokenizers.PATTERN)
-#: Texts without this have only single white space inside: the pattern never joins over such a space, so
-#: every word with the space before it can be split by itself.
-_UNEVEN = re.compile(r"\A\s|\s\s|\s\Z")
 
 #: ``spot`` packs word and position. Each step keeps the rows of the words that still have a pair.
 MERGE_SQL = """
@@ -54,26 +50,44 @@ WITH RECURSIVE parts(step, spot, tok) AS (
   SELECT 0, (w::BIGINT << 24) + pos, tok FROM word_bytes
 UNION ALL (
   WITH near AS MATERIALIZED (
-    SELECT step, spot, tok, lead(tok) OVER x AS right_tok, lead(spot) OVER x AS right_spot, lag(spot) OVER x AS left_spot
+    SELECT step, spot, tok, lead(tok) OVER x AS right_tok, lead(spot) OVER x AS right_spot
     FROM parts WINDOW x AS (ORDER BY spot)),
   best AS MATERIALIZED (
-    SELECT n.spot >> 24 AS w, min(m.merged * 16777216 + (n.spot & 16777215)) AS k
+    SELECT n.spot >> 24 AS w, min((m.merged << 40) + ((n.spot & 1048575) << 20) + (n.right_spot & 1048575)) AS k
     FROM near n JOIN merges m ON m.l = n.tok AND m.r = n.right_tok AND n.spot >> 24 = n.right_spot >> 24 GROUP BY 1),
-  pick AS MATERIALIZED (SELECT w, (w << 24) + (k & 16777215) AS spot, (k >> 24)::INTEGER AS merged FROM best)
+  pick AS MATERIALIZED (
+    SELECT w, (w << 24) + ((k >> 20) & 1048575) AS spot, (w << 24) + (k & 1048575) AS gone, (k >> 40)::INTEGER AS merged
+    FROM best)
   SELECT n.step + 1, n.spot, CASE WHEN n.spot = p.spot THEN p.merged ELSE n.tok END
   FROM near n JOIN pick p ON n.spot >> 24 = p.w
-  WHERE n.left_spot IS DISTINCT FROM p.spot)),
+  WHERE n.spot <> p.gone)),
 done AS (SELECT spot >> 24 AS w, max(step) AS step FROM parts GROUP BY 1)
 SELECT d.w AS w, p.spot & 16777215 AS pos, p.tok AS tok
 FROM parts p JOIN done d ON p.spot >> 24 = d.w AND p.step = d.step
 """
 
 DECODE_SQL = """
-SELECT t.w AS w, string_agg(t.tok::VARCHAR, ' ' ORDER BY t.pos) AS ids,
-       from_hex(string_agg(v.hex, '' ORDER BY t.pos)) AS bytes
-FROM word_tokens t JOIN vocabulary v ON v.id = t.tok GROUP BY t.w ORDER BY t.w
+SELECT t.w AS w, from_hex(string_agg(v.hex, '' ORDER BY t.pos)) AS bytes
+FROM word_tokens t JOIN vocabulary v ON v.id = t.tok GROUP BY t.w
 """
 
+#: All words' entries in one ordered aggregation, each after a byte (C0) that neither UTF-8 nor an id has.
+ENTRY_SQL = """
+SELECT from_hex(string_agg(CASE WHEN t.pos = 0 THEN 'C0' ELSE '' END || v.coded || v.hex, '' ORDER BY t.w, t.pos)) AS entries
+FROM word_tokens t JOIN vocabulary v ON v.id = t.tok
+"""
+
+
+def _pieces(pieces: list[str]) -> list[list[str]]:
+    """Pre-tokens of every piece (white space neither first nor last) behind a space."""
+    out: list[list[str]] = []
+    for t in _SPLIT.findall(" " + " ".join(pieces)) if pieces else ():
+        if t[0] == " ":
+            out.append([t])
+        else:
+            out[-1].append(t)
+    return out
+
 
 class Words(dict):
     """Ids and decoded bytes of words met lately. A full table becomes the old one; what is used again comes back from it."""
@@ -114,9 +128,13 @@ class Vocabulary:
                                              "merged": pa.array(merged, pa.int64())}))
         self.con.execute("CREATE TABLE merges AS SELECT * FROM given")
         self.con.register("given", pa.table({"id": pa.array(self.ranks.values(), pa.int32()),
+                                             "coded": [(b" %d" % r).translate(_CODE).hex() for r in self.ranks.values()],
                                              "hex": [t.hex() for t in self.ranks]}))
         self.con.execute("CREATE TABLE vocabulary AS SELECT * FROM given")
         self.con.unregister("given")
+        #: ids whose bytes no UTF-8 text has
+        self.odd = np.zeros(max(self.ranks.values()) + 1, bool)
+        self.odd[[r for t, r in self.ranks.items() if t.translate(None, b"\xc0" + CODED) != t]] = True
         #: entries of words with the space before them (without it in the key), of others
         self.led, self.bare = Words(), Words()
 
@@ -184,18 +202,15 @@ class Vocabulary:
                 index = np.array(plain, np.int64)
                 found = {"w": index[t["w"].to_numpy()], "pos": t["pos"].to_numpy(), "tok": t["tok"].to_numpy()}
                 given = {c: np.concatenate([given[c], found[c]]) for c in given}
-            self.con.register("word_tokens", pa.table(given))
-            done = self.con.sql(DECODE_SQL).to_arrow_table()
-            decoded = done["bytes"].to_pylist()
-            whole = b"".join(decoded)
-            if len(whole.translate(None, CODED)) < len(whole):
+            if self.odd[given["tok"]].any():
                 raise ValueError("ids of words decode to bytes that are not UTF-8")
-            ids = (b" " + b"\n ".join(done["ids"].cast(pa.binary()).to_pylist())).translate(_CODE).split(b"\n")
-            for name, coded, own in zip(names, ids, decoded, strict=True):
+            self.con.register("word_tokens", pa.table(given))
+            entries = self.con.sql(ENTRY_SQL).to_arrow_table()["entries"][0].as_py().split(b"\xc0")
+            for name, entry in zip(names, entries[1:], strict=True):
                 if name[0] == " ":
-                    self.led[name[1:]] = coded + own
+                    self.led[name[1:]] = entry
                 else:
-                    self.bare[name] = coded + own
+                    self.bare[name] = entry
 
     def decode(self, ids: list[list[int] | None]) -> list[bytes]:
         """Each list's bytes by one ordered aggregation; an unknown id has no bytes."""
@@ -203,7 +218,7 @@ class Vocabulary:
         flat = np.concatenate([np.asarray(x, np.int32) for x in ids if x is not None and len(x)] or [np.empty(0, np.int32)])
         self.con.register("word_tokens", pa.table({
             "w": np.repeat(np.arange(len(ids), dtype=np.int64), lengths), "pos": np.arange(len(flat)), "tok": flat}))
-        found = {w: bytes(b) for w, _, b in self.con.execute(DECODE_SQL).fetchall()}
+        found = {w: bytes(b) for w, b in self.con.execute(DECODE_SQL).fetchall()}
         return [found.get(i, b"") for i in range(len(ids))]
 
     def encode(self, texts: list[str | None]) -> Iterator[tuple[bytes, bytes]]:
@@ -217,29 +232,32 @@ class Vocabulary:
         for text in texts:
             if not text:
                 split.append(([], []))
-            elif _UNEVEN.search(text):
+            elif len(" ".join(text.split())) < len(text):
                 split.append((_SPLIT.findall(text), []))
             else:
+                # only single white space, and inside: the pattern never joins over such a space, so every piece
+                # can be split by itself with the space before it
                 first, *rest = text.split(" ")
                 split.append((_SPLIT.findall(first), rest))
                 tails.update(rest)
             heads.update(split[-1][0])
-        several: dict[str, list[str]] = {}
+        single: set[str] = set()
+        mixed: list[str] = []
         for p in led.unknown(tails):
-            found = _SPLIT.findall(" " + p)
-            if len(found) > 1:
-                several[p] = found
+            (single.add if p.isalpha() else mixed.append)(p)
+        several = dict(zip(mixed, _pieces(mixed), strict=True))
+        for found in several.values():
             heads.update(found)
         spaced = {t for t in heads if t[0] == " "}
-        self.learn(bare.unknown(heads - spaced) | {" " + p for p in led.unknown({t[1:] for t in spaced})})
+        single |= led.unknown({t[1:] for t in spaced})
+        self.learn(bare.unknown(heads - spaced) | {" " + p for p in single})
 
         def of(tokens: list[str]) -> list[bytes]:
             return [led[t[1:]] if t[0] == " " else bare[t] for t in tokens]
 
-        for p, found in several.items():
-            led[p] = b"".join(of(found))
+        led.update([(p, b"".join(of(found))) for p, found in several.items()])
         for head, rest in split:
-            entries = b"".join(of(head) + [led[p] for p in rest])
+            entries = b"".join([*of(head), *map(led.__getitem__, rest)])
             yield entries.translate(_PLAIN, _NOT_CODED)[1:], entries.translate(None, CODED)
 
 
