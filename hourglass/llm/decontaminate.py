@@ -5,9 +5,10 @@ the longest suffix of what was read that occurs in an item is known. Where that
 the last ``width`` words are a window of some item and are hit; an item of fewer words is hit where all of
 it ends. Hit spans are removed, and so is the whole text where they cover more than a limit.
 
-The items are dealt to automata of at most ``block_words`` words, so an automaton has a proven size bound
-whatever the size of the benchmark; each is broadcast in turn, and the hits of the blocks are united per
-document. A benchmark below the bound is one block and one pass, without any shuffle.
+Tasks normalise the items and pack them into blocks of at most ``block_words`` words, so an automaton has a
+proven size bound whatever the size of the benchmark. Blocks are files in the shared folder, which the scanning
+tasks read; only their keys reach the driver. The hits of the blocks are united per document. A benchmark below
+the bound is one block and one pass, without any shuffle of documents.
 
 Defined results: null or empty texts have no words and are not contaminated; items without words match
 nothing; items of equal text are all reported; items without an id hit words but are not named; rows that
@@ -21,9 +22,12 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
+import xxhash
+from pyarrow import dataset, fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hourglass.llm.storage import shared_folder, written
 from hourglass.llm.text import enter, keeps, row_key, slices
 
 WIDTH = 10
@@ -143,47 +147,91 @@ class SuffixAutomaton:
         return spans, found
 
 
+def item_pieces(benchmark: DataFrame, item_col: str, text_col: str, block_words: int = BLOCK_WORDS, width: int = WIDTH) -> DataFrame:
+    """``name``, ``words``, ``n`` of every different item with words; an item of more than a block is cut into pieces
+    that overlap by ``width - 1`` words and so hold all its windows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                names, pieces = [], []
+                for name, text in zip(part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist(), strict=True):
+                    words = normalised(text)
+                    for at in range(0, max(1, len(words) - width + 1) if words else 0, block_words):
+                        names.append(name)
+                        pieces.append(words[at:at + block_words + width - 1])
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(pieces, pa.list_(pa.binary())),
+                                                  pa.array(map(len, pieces), pa.int64())], names=["name", "words", "n"])
+
+    items = benchmark.select(F.col(item_col).cast("string").alias("name"), F.col(text_col).cast("string").alias("text"))
+    return items.mapInArrow(run, "name string, words array<binary>, n long").distinct()
+
+
 def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_words: int = BLOCK_WORDS,
-                width: int = WIDTH) -> Iterator[list[tuple[str | None, list[bytes]]]]:
-    """Items with words, in blocks of at most ``block_words`` words (one item at least); an item that is
-    longer is cut into pieces that overlap by ``width - 1`` words and so hold all its windows."""
-    block, n = [], 0
-    rows = benchmark.select(F.col(item_col).cast("string"), F.col(text_col)).toLocalIterator()
-    for name, text in rows:
-        words = normalised(None if text is None else text.encode())
-        for at in range(0, max(1, len(words) - width + 1), block_words):
-            piece = words[at:at + block_words + width - 1]
-            if not piece:
-                continue
-            if block and n + len(piece) > block_words:
-                yield block
-                block, n = [], 0
-            block.append((name, piece))
-            n += len(piece)
-    if block:
-        yield block
+                width: int = WIDTH) -> list[str]:
+    """Folders of the written blocks: pieces of at most ``block_words`` words together (one piece at least)."""
+    spark = benchmark.sparkSession
+    pieces = written(item_pieces(benchmark, item_col, text_col, block_words, width), "items")
+    parts = -(-(pieces.agg(F.sum("n")).first()[0] or 0) // block_words)
+    if not parts:
+        return []
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names: list[str | None] = []
+        own: list[list[bytes]] = []
+        n = 0
+
+        def block() -> pa.RecordBatch:
+            # named by its content, so a task that runs again writes the same blocks
+            key = xxhash.xxh128_hexdigest(repr((names, own)).encode())
+            return pa.RecordBatch.from_arrays([pa.array([key] * len(names)), pa.array(names, pa.string()),
+                                               pa.array(own, pa.list_(pa.binary()))], names=["block", "name", "words"])
+
+        for batch in batches:
+            for name, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if own and n + len(words) > block_words:
+                    yield block()
+                    names, own, n = [], [], 0
+                names.append(name)
+                own.append(words)
+                n += len(words)
+        if own:
+            yield block()
+
+    schema = "block string, name string, words array<binary>"
+    folder = shared_folder(spark, "blocks")
+    dealt = pieces.select("name", "words").repartition(parts, "name", "words").sortWithinPartitions("name", "words")
+    dealt.mapInArrow(pack, schema).write.partitionBy("block").parquet(folder)
+    keys = spark.read.schema(schema).parquet(folder).select("block").distinct().collect()
+    return sorted(f"{folder}/block={r.block}" for r in keys)
+
+
+def read_block(folder: str) -> list[tuple[str | None, list[bytes]]]:
+    """Items of a written block, in whatever store the shared folder is."""
+    store, inner = fs.FileSystem.from_uri(folder if ":" in folder.split("/")[0] else f"file://{folder}")
+    table = dataset.dataset(inner, filesystem=store, format="parquet").to_table(["name", "words"])
+    return list(zip(table["name"].to_pylist(), table["words"].to_pylist(), strict=True))
 
 
 _AUTOMATA: dict = {}
 keeps(__name__, _AUTOMATA.clear)
 
 
-def _automaton(items, width: int) -> SuffixAutomaton:
-    """Built once per worker and block from the broadcast items."""
-    key = (id(items), width)
+def _automaton(folder: str | None, width: int) -> SuffixAutomaton:
+    """Built once per worker and block from the block's files."""
+    key = (folder, width)
     if key not in _AUTOMATA:
         _AUTOMATA.clear()
-        _AUTOMATA[key] = SuffixAutomaton(items.value, width), items
-    return _AUTOMATA[key][0]
+        _AUTOMATA[key] = SuffixAutomaton(read_block(folder) if folder else [], width)
+    return _AUTOMATA[key]
 
 
-def _scan(docs: DataFrame, items, width: int) -> DataFrame:
-    """Hits of one block: ``docs`` has doc_id, text, row_key."""
+def _scan(docs: DataFrame, folder: str | None, width: int) -> DataFrame:
+    """Hits of one block (none without a folder): ``docs`` has doc_id, text, row_key."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enter(__name__)
-        automaton = _automaton(items, width)
+        automaton = _automaton(folder, width)
         span_type = pa.list_(pa.list_(pa.int32()))
         for batch in batches:
             for part in slices(batch):
@@ -207,13 +255,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                   block_words: int = BLOCK_WORDS) -> DataFrame:
     """Per document: ``doc_id``, ``row_key``, ``n_words``, hit ``spans`` ([start, end) in words, disjoint and
     in order) and ``items`` (ids with occurring windows, sorted)."""
-    spark = docs.sparkSession
     picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
                          row_key(id_col, text_col).alias("row_key"))
-    parts = [_scan(picked, spark.sparkContext.broadcast(block), width)
-             for block in item_blocks(benchmark, item_col, item_text_col, block_words, width)]
-    if not parts:
-        parts = [_scan(picked, spark.sparkContext.broadcast([]), width)]
+    folders = item_blocks(benchmark, item_col, item_text_col, block_words, width)
+    parts = [_scan(picked, folder, width) for folder in folders or [None]]
     if len(parts) == 1:
         return parts[0]
     every = parts[0]
