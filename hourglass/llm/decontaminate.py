@@ -168,7 +168,9 @@ def item_pieces(benchmark: DataFrame, item_col: str, text_col: str, block_words:
 
 def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_words: int = BLOCK_WORDS,
                 width: int = WIDTH) -> list[str]:
-    """Folders of the written blocks: pieces of at most ``block_words`` words together (one piece at least)."""
+    """Folders of the written blocks: pieces of at most ``block_words`` words together (one piece at least). Pieces are
+    dealt to groups by their hash and each group is cut into blocks, so their number follows the words alone, not the
+    partitions."""
     spark = benchmark.sparkSession
     pieces = written(item_pieces(benchmark, item_col, text_col, block_words, width), "items")
     parts = -(-(pieces.agg(F.sum("n")).first()[0] or 0) // block_words)
@@ -178,7 +180,7 @@ def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_words:
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names: list[str | None] = []
         own: list[list[bytes]] = []
-        n = 0
+        n, at = 0, None
 
         def block() -> pa.RecordBatch:
             # named by its content, so a task that runs again writes the same blocks
@@ -187,10 +189,11 @@ def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_words:
                                                pa.array(own, pa.list_(pa.binary()))], names=["block", "name", "words"])
 
         for batch in batches:
-            for name, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if own and n + len(words) > block_words:
+            for group, name, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if own and (group != at or n + len(words) > block_words):
                     yield block()
                     names, own, n = [], [], 0
+                at = group
                 names.append(name)
                 own.append(words)
                 n += len(words)
@@ -199,7 +202,8 @@ def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_words:
 
     schema = "block string, name string, words array<binary>"
     folder = shared_folder(spark, "blocks")
-    dealt = pieces.select("name", "words").repartition(parts, "name", "words").sortWithinPartitions("name", "words")
+    group = F.pmod(F.xxhash64("name", "words"), F.lit(parts)).alias("group")
+    dealt = pieces.select(group, "name", "words").repartition("group").sortWithinPartitions("group", "name", "words")
     dealt.mapInArrow(pack, schema).write.partitionBy("block").parquet(folder)
     keys = spark.read.schema(schema).parquet(folder).select("block").distinct().collect()
     return sorted(f"{folder}/block={r.block}" for r in keys)
