@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from hourglass.functions import metrics
 from hourglass.operators.features import assemble
 from hourglass.plans import boosting
-from hourglass.session import reuse, small_side
+from hourglass.session import cut_lineage, reuse, small_side
 
 # The classical sweeps.
 LR_GRID = (
@@ -86,6 +86,9 @@ TRANSFORMER_GRID = (
 )
 GBT_SUBSAMPLE = 0.8
 GBT_COLSAMPLE = 0.8
+FIT_ROWS = 2000  # rows of a fit's partition, at least
+MOST_FIT_ROWS = 200_000
+DRIVER_NODES = 4_000_000  # tree nodes of the forests that grow at the same time
 UNLIMITED_DEPTH = 30  # Spark's deepest tree stands in for "no depth limit"
 SEED = 42
 
@@ -185,21 +188,43 @@ def sweep(table: DataFrame, feature_cols: list[str], model: str, grid, id_col: s
                                                       "test_auroc", "test_auprc")
 
 
+def _tasks(n_rows: int, spark) -> int:
+    """Partitions of rows that fits read many times: a task costs more than its rows below ``FIT_ROWS`` of them."""
+    return max(1, min(n_rows // FIT_ROWS, 2 * spark.sparkContext.defaultParallelism), n_rows // MOST_FIT_ROWS)
+
+
+def _at_once(grid, n_train: int, parallelism: int) -> int:
+    """How many forests may be grown at the same time: their nodes are held by the driver until they have scored."""
+    nodes = [c.get("n_estimators", 0) * min(2 << (c.get("max_depth") or UNLIMITED_DEPTH), 2 * max(n_train, 1) // c.get("min_samples_leaf", 1))
+             for c in grid]
+    return max(1, min(parallelism, len(grid), DRIVER_NODES // max(1, *nodes)))
+
+
 def _fitted(table, feature_cols, model, grid, id_col, split_col, train, evals, label, parallelism) -> DataFrame:
-    """``cfg_idx``, split, label and ``y_prob`` of the evaluation rows: one Spark ML fit per config."""
-    data = reuse(assemble(table, feature_cols, label).select(id_col, split_col, "features", label))
+    """``cfg_idx``, split, label and ``y_prob`` of the evaluation rows: one Spark ML fit per config.
+
+    A config's scores are written as soon as it is fitted: Spark ships a model inside the tasks that score with it, so
+    one plan over all configs would send every task every model, and the driver would hold all of them."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    rows = reuse(table.select(id_col, split_col, label, *feature_cols))
+    data = reuse(assemble(rows, feature_cols, label).select(id_col, split_col, "features", label)
+                 .repartition(_tasks(rows.count(), table.sparkSession)))
     tr = data.where(F.col(split_col) == train)
     ev = data.where(F.col(split_col).isin(*evals))
     n_train = tr.count()
-    ests, inputs = [], []
-    for cfg in grid:
-        mode, pw = weight_mode(model, cfg)
-        ests.append(make_estimator(model, cfg, n_train))
-        inputs.append(with_weights(tr, label, mode, pw))
-    scored = None
-    for i, f in enumerate(fit_many(ests, inputs, parallelism)):
-        s = f.transform(ev).select(F.lit(i).alias("cfg_idx"), split_col, label, positive_prob().alias("y_prob"))
-        scored = s if scored is None else scored.unionByName(s)
+
+    def scores(i: int) -> DataFrame:
+        mode, pw = weight_mode(model, grid[i])
+        fitted = make_estimator(model, grid[i], n_train).fit(with_weights(tr, label, mode, pw))
+        return cut_lineage(fitted.transform(ev).select(F.lit(i).alias("cfg_idx"), split_col, label, positive_prob().alias("y_prob")))
+
+    with ThreadPoolExecutor(max_workers=_at_once(grid, n_train, parallelism)) as ex:
+        parts = list(ex.map(scores, range(len(grid))))
+    rows.unpersist()
+    scored = parts[0]
+    for s in parts[1:]:
+        scored = scored.unionByName(s)
     return scored
 
 
