@@ -32,8 +32,8 @@ from hourglass.llm.text import enter, keeps, slices
 
 RANKS = "byte_bpe_50k.tiktoken"
 LONG_WORD = 256
-#: Entries of one generation of a worker's word table; two are kept.
-WORD_ENTRIES = 300_000
+#: Entries of one generation of a worker's word table (about 200 bytes each); two are kept.
+WORD_ENTRIES = 100_000
 #: Words of one recursive query.
 QUERY_WORDS = 20_000
 #: A word's entry is one string: every id after a space, in byte values that UTF-8 does not have, and after it the bytes
