@@ -1,7 +1,7 @@
 """Model fitting and evaluation with Spark ML.
 
 A sweep is a config table (M20) with ``cfg_idx``; each config is one Spark ML fit on the train split
-(features assembled once and persisted), scored on validation ∪ test in one ``transform`` and evaluated
+(features assembled once and persisted), scored on validation ∪ test as soon as it is fitted and evaluated
 with the exact metrics of :mod:`hourglass.functions.metrics`, grouped by split (M17). Boosted configs are
 fitted together over shared scans (:mod:`hourglass.plans.boosting`). Learners differ
 from liblinear / sklearn forests / xgboost, so scores are comparable in quality, not bit-equal.
