@@ -1,11 +1,12 @@
 """Byte-level BPE encoding and decoding with recursive DuckDB queries inside every task.
 
-Texts are split into pre-tokens by the vocabulary's pattern. The distinct pre-tokens of a slice of texts that
-the worker has not met become token-position rows, one per byte; a recursive query joins neighbouring
-positions with the merge table, contracts each word's leftmost pair of minimum rank, and goes on until no
-word has a pair left. An ordered aggregation over the vocabulary's bytes decodes every word's ids. The task keeps
-both, ids and decoded bytes, once per distinct word in a bounded table; a text's ids and its decoded bytes are those
-of its words, in the same order. A word that is a vocabulary entry as a whole has that one id without a merge.
+A slice of texts is cut at the spaces that the vocabulary's pattern never joins over, and its distinct pieces are told
+by Arrow. Those that the worker does not know are split into pre-tokens by the pattern. The distinct new pre-tokens
+become token-position rows, one per byte; a recursive query joins neighbouring positions with the merge table, contracts
+each word's leftmost pair of minimum rank, and goes on until no word has a pair left. An ordered aggregation over the
+vocabulary's bytes decodes every word's ids. The worker keeps both, ids and decoded bytes, once per distinct piece in
+a bounded Arrow table; a text's ids and its decoded bytes are those of its pieces, in the same order. A word that is a
+vocabulary entry as a whole has that one id without a merge.
 
 A word's recursion holds rows in the square of its length, so words of more than ``LONG_WORD`` bytes (not
 seen in prose) run the same merges from a heap instead.
@@ -24,6 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,8 +34,10 @@ from hourglass.llm.text import enter, keeps, slices
 
 RANKS = "byte_bpe_50k.tiktoken"
 LONG_WORD = 256
-#: Entries of one generation of a worker's word table (about 200 bytes each); two are kept.
-WORD_ENTRIES = 100_000
+#: Bytes of a worker's table of pieces (some 50 a piece) above which it drops those that did not come again.
+TABLE_BYTES = 32 << 20
+#: Bytes of the texts that are told apart together.
+SLICE_BYTES = 8 << 20
 #: Words of one recursive query.
 QUERY_WORDS = 20_000
 #: A word's entry is one string: every id after a space, in byte values that UTF-8 does not have, and after it the bytes
@@ -43,6 +47,9 @@ _CODE, _PLAIN = bytes.maketrans(PLAIN, CODED), bytes.maketrans(CODED, PLAIN)
 _NOT_CODED = bytes(set(range(256)) - set(CODED))
 
 _SPLIT = regex.compile(public_tokenizers.PATTERN)
+#: A space between two characters that are not white space: the pattern starts a pre-token with it, whatever is around.
+_CUT = regex.compile(r"(?<=\S) (?=\S)")
+_OTHER_SPACE = regex.compile(r"(?<!\S) | (?!\S)")
 
 #: ``spot`` packs word and position. Each step keeps the rows of the words that still have a pair.
 MERGE_SQL = """
@@ -78,36 +85,67 @@ FROM word_tokens t JOIN vocabulary v ON v.id = t.tok
 """
 
 
-def _pieces(pieces: list[str]) -> list[list[str]]:
-    """Pre-tokens of every piece (white space neither first nor last) behind a space."""
-    out: list[list[str]] = []
-    for t in _SPLIT.findall(" " + " ".join(pieces)) if pieces else ():
-        if t[0] == " ":
-            out.append([t])
+def _indices(found: pa.Array) -> np.ndarray:
+    """Places found by ``index_in``, -1 where there is none."""
+    return found.fill_null(-1).to_numpy()
+
+
+def _cut(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """(rows, their numbers of pieces, the pieces): first the texts all of whose spaces are cut, then the others."""
+    whole, odd, pieces = [], [], []
+    for i, text in enumerate(texts.to_pylist()):
+        if len(" ".join(text.split())) == len(text) or not _OTHER_SPACE.search(text):
+            whole.append(i)
         else:
-            out[-1].append(t)
-    return out
+            odd.append(i)
+            pieces.append(_CUT.split(text))
+    even = pc.split_pattern(texts.take(pa.array(whole, pa.int64())), " ")
+    n = np.concatenate([pc.list_value_length(even).to_numpy(), np.array([len(x) for x in pieces], np.int64)])
+    return (np.array(whole + odd, np.int64), n.astype(np.int64),
+            pa.concat_arrays([even.flatten(), pa.array([p for x in pieces for p in x], pa.large_string())]))
+
+
+def _join(values: pa.Array, lengths: np.ndarray) -> pa.Array:
+    """Runs of the given lengths, each joined."""
+    offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32())
+    return pc.binary_join(pa.ListArray.from_arrays(offsets, values), pa.scalar(b"", values.type))
 
 
-class Words(dict):
-    """Ids and decoded bytes of words met lately. A full table becomes the old one; what is used again comes back from it."""
+class Pieces:
+    """Ids and decoded bytes of the pieces that a worker knows."""
 
     def __init__(self):
-        super().__init__()
-        self.old: dict[str, bytes] = {}
+        self.names = pa.array([], pa.large_string())
+        self.entries = pa.array([], pa.large_binary())
+        #: the slice that last met the piece again, 0 if none did
+        self.met = np.zeros(0, np.int64)
+        self.slice = 0
+
+    def size(self) -> int:
+        return self.names.nbytes + self.entries.nbytes
 
     def age(self) -> None:
-        if len(self) > WORD_ENTRIES:
-            self.old = dict(self)
-            self.clear()
+        """Start of a slice. A full table keeps what came again; if that is over half, what the last slice met again, or nothing."""
+        if self.size() > TABLE_BYTES:
+            for least in (1, self.slice, self.slice + 1):
+                if self.size() > TABLE_BYTES // 2:
+                    self._keep(self.met >= least)
+            self.met[:] = 0
+        self.slice += 1
+
+    def _keep(self, mask: np.ndarray) -> None:
+        keep = pa.array(mask)
+        self.names, self.entries, self.met = self.names.filter(keep), self.entries.filter(keep), self.met[mask]
 
-    def unknown(self, words: set[str]) -> set[str]:
-        missing = words - self.keys()
-        if self.old:
-            back = missing & self.old.keys()
-            self.update((w, self.old[w]) for w in back)
-            missing -= back
-        return missing
+    def find(self, names: pa.Array) -> np.ndarray:
+        at = _indices(pc.index_in(names, value_set=self.names))
+        self.met[at[at >= 0]] = self.slice
+        return at
+
+    def add(self, names: pa.Array, entries: pa.Array) -> None:
+        self.names = pa.concat_arrays([self.names, names])
+        self.entries = pa.concat_arrays([self.entries, entries])
+        self.met = np.concatenate([self.met, np.zeros(len(names), np.int64)])
 
 
 class Vocabulary:
@@ -135,8 +173,8 @@ class Vocabulary:
         #: ids whose bytes no UTF-8 text has
         self.odd = np.zeros(max(self.ranks.values()) + 1, bool)
         self.odd[[r for t, r in self.ranks.items() if t.translate(None, b"\xc0" + CODED) != t]] = True
-        #: entries of words with the space before them (without it in the key), of others
-        self.led, self.bare = Words(), Words()
+        self.whole, self.whole_ids = pa.array(self.ranks, pa.large_binary()), np.fromiter(self.ranks.values(), np.int32)
+        self.pieces = Pieces()
 
     def merge(self, words: list[bytes]) -> pa.Table:
         """Token-position rows (w, pos, tok) of the words' fixpoint, by the recursive query."""
@@ -180,37 +218,39 @@ class Vocabulary:
             a = ends[a]
         return out
 
-    def learn(self, tokens: set[str]) -> None:
-        """Enter distinct pre-tokens: ids from the merges, bytes from the ordered aggregation."""
-        order = sorted(tokens)
-        for at in range(0, len(order), QUERY_WORDS):
-            names = order[at:at + QUERY_WORDS]
-            raw = [t.encode() for t in names]
-            w, pos, tok, plain = [], [], [], []
-            for i, word in enumerate(raw):
-                whole = self.ranks.get(word)
-                if whole is None and len(word) <= LONG_WORD:
-                    plain.append(i)
-                    continue
-                ids = [whole] if whole is not None else self.merge_long(word)
-                w += [i] * len(ids)
-                pos += range(len(ids))
-                tok += ids
-            given = {"w": np.array(w, np.int64), "pos": np.array(pos, np.int64), "tok": np.array(tok, np.int32)}
-            if plain:
-                t = self.merge([raw[i] for i in plain])
-                index = np.array(plain, np.int64)
-                found = {"w": index[t["w"].to_numpy()], "pos": t["pos"].to_numpy(), "tok": t["tok"].to_numpy()}
-                given = {c: np.concatenate([given[c], found[c]]) for c in given}
-            if self.odd[given["tok"]].any():
+    def learn(self, words: pa.Array) -> pa.Array:
+        """Entries of distinct pre-tokens: ids from the merges, bytes from the ordered aggregation."""
+        out = [pa.array([], pa.large_binary())]
+        for at in range(0, len(words), QUERY_WORDS):
+            part = words.slice(at, QUERY_WORDS).cast(pa.large_binary())
+            whole = _indices(pc.index_in(part, value_set=self.whole))
+            long = (pc.binary_length(part).to_numpy() > LONG_WORD) & (whole < 0)
+            single = np.flatnonzero(whole >= 0)
+            w, pos, tok = [single], [np.zeros(len(single), np.int64)], [self.whole_ids[whole[single]]]
+            for i in np.flatnonzero(long):
+                ids = self.merge_long(part[i].as_py())
+                w.append(np.full(len(ids), i))
+                pos.append(np.arange(len(ids)))
+                tok.append(np.array(ids, np.int32))
+            plain = np.flatnonzero((whole < 0) & ~long)
+            if len(plain):
+                t = self.merge(part.take(pa.array(plain)).to_pylist())
+                w.append(plain[t["w"].to_numpy()])
+                pos.append(t["pos"].to_numpy())
+                tok.append(t["tok"].to_numpy())
+            ids = np.concatenate(tok)
+            if self.odd[ids].any():
                 raise ValueError("ids of words decode to bytes that are not UTF-8")
-            self.con.register("word_tokens", pa.table(given))
-            entries = self.con.sql(ENTRY_SQL).to_arrow_table()["entries"][0].as_py().split(b"\xc0")
-            for name, entry in zip(names, entries[1:], strict=True):
-                if name[0] == " ":
-                    self.led[name[1:]] = entry
-                else:
-                    self.bare[name] = entry
+            self.con.register("word_tokens", pa.table({"w": np.concatenate(w), "pos": np.concatenate(pos), "tok": ids}))
+            raw = np.frombuffer(self.con.sql(ENTRY_SQL).to_arrow_table()["entries"][0].as_py(), np.uint8)
+            heads = raw == 0xC0
+            starts = np.flatnonzero(heads)
+            if len(starts) != len(part):
+                raise ValueError("words without ids")
+            data = raw[~heads]
+            offsets = np.append(starts - np.arange(len(starts)), len(data)).astype(np.int64)
+            out.append(pa.Array.from_buffers(pa.large_binary(), len(part), [None, pa.py_buffer(offsets), pa.py_buffer(data)]))
+        return pa.concat_arrays(out)
 
     def decode(self, ids: list[list[int] | None]) -> list[bytes]:
         """Each list's bytes by one ordered aggregation; an unknown id has no bytes."""
@@ -221,44 +261,51 @@ class Vocabulary:
         found = {w: bytes(b) for w, b in self.con.execute(DECODE_SQL).fetchall()}
         return [found.get(i, b"") for i in range(len(ids))]
 
-    def encode(self, texts: list[str | None]) -> Iterator[tuple[bytes, bytes]]:
+    def enter(self, names: pa.Array) -> pa.Array:
+        """Entries of distinct new pieces, which the table then knows, and their pre-tokens."""
+        several: dict[int, list[str]] = {}
+        for i, p in enumerate(names.to_pylist()):
+            if not (p[1:] if p[:1] == " " else p).isalpha() and len(tokens := _SPLIT.findall(p)) != 1:
+                several[i] = tokens
+        mixed = np.fromiter(several, np.int64, len(several))
+        alone = np.ones(len(names), bool)
+        alone[mixed] = False
+        tokens = pa.array([t for x in several.values() for t in x], pa.large_string()).dictionary_encode()
+        known = self.pieces.find(tokens.dictionary)
+        words = pa.concat_arrays([names.filter(pa.array(alone)), tokens.dictionary.filter(pa.array(known < 0))]).unique()
+        learnt = self.learn(words)
+        of_token = np.where(known >= 0, known, len(self.pieces.entries) + _indices(pc.index_in(tokens.dictionary, value_set=words)))
+        joined = _join(pa.concat_arrays([self.pieces.entries, learnt]).take(pa.array(of_token[tokens.indices.to_numpy()])),
+                       np.array([len(x) for x in several.values()], np.int64))
+        place = np.empty(len(names), np.int64)
+        place[alone] = _indices(pc.index_in(names.filter(pa.array(alone)), value_set=words))
+        place[mixed] = len(words) + np.arange(len(mixed))
+        self.pieces.add(words, learnt)
+        self.pieces.add(names.take(pa.array(mixed)), joined)
+        return pa.concat_arrays([learnt, joined]).take(pa.array(place))
+
+    def encode(self, texts: pa.Array | list[str | None]) -> Iterator[tuple[bytes, bytes]]:
         """(ids joined by spaces, bytes that they decode to) of every text."""
-        led, bare = self.led, self.bare
-        led.age()
-        bare.age()
-        split: list[tuple[list[str], list[str]]] = []
-        heads: set[str] = set()
-        tails: set[str] = set()
-        for text in texts:
-            if not text:
-                split.append(([], []))
-            elif len(" ".join(text.split())) < len(text):
-                split.append((_SPLIT.findall(text), []))
-            else:
-                # only single white space, and inside: the pattern never joins over such a space, so every piece
-                # can be split by itself with the space before it
-                first, *rest = text.split(" ")
-                split.append((_SPLIT.findall(first), rest))
-                tails.update(rest)
-            heads.update(split[-1][0])
-        single: set[str] = set()
-        mixed: list[str] = []
-        for p in led.unknown(tails):
-            (single.add if p.isalpha() else mixed.append)(p)
-        several = dict(zip(mixed, _pieces(mixed), strict=True))
-        for found in several.values():
-            heads.update(found)
-        spaced = {t for t in heads if t[0] == " "}
-        single |= led.unknown({t[1:] for t in spaced})
-        self.learn(bare.unknown(heads - spaced) | {" " + p for p in single})
-
-        def of(tokens: list[str]) -> list[bytes]:
-            return [led[t[1:]] if t[0] == " " else bare[t] for t in tokens]
-
-        led.update([(p, b"".join(of(found))) for p, found in several.items()])
-        for head, rest in split:
-            entries = b"".join([*of(head), *map(led.__getitem__, rest)])
-            yield entries.translate(_PLAIN, _NOT_CODED)[1:], entries.translate(None, CODED)
+        texts = texts.cast(pa.large_string()) if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
+        self.pieces.age()
+        rows, n, pieces = _cut(texts.fill_null(""))
+        # a text's first piece as it is, the others behind their space
+        first = np.zeros(len(pieces), bool)
+        first[np.cumsum(n) - n] = True
+        led = pieces.filter(pa.array(~first)).dictionary_encode()
+        spaced = pc.binary_join_element_wise(pa.scalar("", pa.large_string()), led.dictionary, pa.scalar(" ", pa.large_string()))
+        names = pa.concat_arrays([spaced, pieces.filter(pa.array(first))]).dictionary_encode()
+        of_name = names.indices.to_numpy()
+        index = np.empty(len(pieces), np.int64)
+        index[~first] = of_name[:len(spaced)][led.indices.to_numpy()]
+        index[first] = of_name[len(spaced):]
+        at = self.pieces.find(names.dictionary)
+        entries = self.pieces.entries
+        new = self.enter(names.dictionary.filter(pa.array(at < 0)))
+        at = np.where(at < 0, len(entries) + np.cumsum(at < 0) - 1, at)
+        joined = _join(pa.concat_arrays([entries, new]).take(pa.array(at[index])), n)
+        for entry in joined.take(pa.array(np.argsort(rows))).to_pylist():
+            yield entry.translate(_PLAIN, _NOT_CODED)[1:], entry.translate(None, CODED)
 
 
 _VOCABULARIES: dict[int, tuple[Vocabulary, object]] = {}
@@ -291,9 +338,9 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
         enter(__name__)
         vocabulary = _vocabulary(ranks)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, SLICE_BYTES):
                 ids, n, a, b = [], [], [], []
-                for joined, decoded in vocabulary.encode(part.column(1).to_pylist()):
+                for joined, decoded in vocabulary.encode(part.column(1)):
                     n.append(joined.count(b" ") + 1 if joined else 0)
                     a.append(hashlib.sha256(joined).hexdigest())
                     b.append(hashlib.sha256(decoded).hexdigest())

@@ -75,6 +75,40 @@ def test_digits_and_spaces_of_a_text_are_not_taken_for_ids(vocabulary, library):
     assert list(vocabulary.encode(texts)) == [(" ".join(map(str, library.encode_ordinary(t))).encode(), t.encode()) for t in texts]
 
 
+def test_pattern_reads_distinct_pieces_only(vocabulary, library, monkeypatch):
+    """Work on pieces grows with the different ones, in texts with any white space."""
+    read = []
+
+    class Counted:
+        def findall(self, text):
+            read.append(len(text))
+            return split.findall(text)
+
+    split = bpe._SPLIT
+    monkeypatch.setattr(bpe, "_SPLIT", Counted())
+    text = "Two  spaces, 12 lines\n\n here's one: \u3000x \t y\xa0z 3.5 "
+    got = list(vocabulary.encode([text] * 300))
+    assert got == [(" ".join(map(str, library.encode_ordinary(text))).encode(), text.encode())] * 300
+    assert sum(read) <= 3 * len(text)
+
+
+def test_full_table_keeps_what_comes_again(library, monkeypatch):
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        vocabulary = bpe.Vocabulary(f.read())
+    monkeypatch.setattr(bpe, "TABLE_BYTES", 20_000)
+    learnt = []
+    learn = vocabulary.learn
+    monkeypatch.setattr(vocabulary, "learn", lambda words: learnt.append(set(words.to_pylist())) or learn(words))
+    often = [f"oft{chr(97 + i % 26)}{chr(97 + i // 26)}q" for i in range(60)]
+    for k in range(30):
+        rare = [f"r{chr(97 + k % 26)}{chr(97 + k // 26)}x{chr(97 + i % 26)}{chr(97 + i // 26)}z" for i in range(150)]
+        texts = ["a " + " ".join(often + rare), "long " + "y" * 400 + "," + "b" * (30_000 if k == 20 else 3)]
+        assert list(vocabulary.encode(texts)) == [(" ".join(map(str, library.encode_ordinary(t))).encode(), t.encode()) for t in texts]
+        assert vocabulary.pieces.size() < 30_000 + 20_000 + 400_000 * (k == 20)
+    again = [w for found in learnt[2:20] for w in found if w.strip() in often]
+    assert not again and len(learnt) == 30
+
+
 def test_bpe_odd_rows(spark, odd_documents, library):
     rows = bpe.encode(odd_documents).collect()
     want = Counter((r.doc_id, tuple(library.encode_ordinary(r.text or ""))) for r in odd_documents.collect())
