@@ -35,9 +35,9 @@ from hourglass.llm.text import enter, keeps, slices
 RANKS = "byte_bpe_50k.tiktoken"
 LONG_WORD = 256
 #: Bytes of a worker's table of pieces (some 50 a piece) above which it drops those that did not come again.
-TABLE_BYTES = 32 << 20
+TABLE_BYTES = 16 << 20
 #: Bytes of the texts that are told apart together.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 #: Words of one recursive query.
 QUERY_WORDS = 20_000
 #: A word's entry is one string: every id after a space, in byte values that UTF-8 does not have, and after it the bytes
