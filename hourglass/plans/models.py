@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from hourglass.functions import metrics
 from hourglass.operators.features import assemble
-from hourglass.plans import boosting
+from hourglass.plans import boosting, forests
 from hourglass.session import cut_lineage, reuse, small_side
 
 # The classical sweeps.
@@ -174,7 +174,7 @@ def sweep(table: DataFrame, feature_cols: list[str], model: str, grid, id_col: s
     """M1–M3 + M17: fit every config on the train split (concurrently), score validation and test, and
     evaluate all configs in one grouped metrics pass: one leaderboard row per config
     ``(model, cfg_idx, config, val_auroc, val_auprc, test_auroc, test_auprc)``."""
-    score = _boosted if model == "gbt" else _fitted
+    score = {"gbt": _boosted, "rf": _forests}.get(model, _fitted)
     scored = score(table.where(F.col(label).isNotNull()), feature_cols, model, grid, id_col, split_col, train, evals, label, parallelism)
     m = metrics.ranking_metrics(scored, "y_prob", label, ["cfg_idx", split_col])
     board = m.groupBy("cfg_idx").agg(
@@ -228,6 +228,16 @@ def _fitted(table, feature_cols, model, grid, id_col, split_col, train, evals, l
     return scored
 
 
+def _forests(table, feature_cols, model, grid, id_col, split_col, train, evals, label, parallelism) -> DataFrame:
+    """The same of forests, whose trees are grown and scored inside tasks."""
+    data = reuse(table.select(id_col, split_col, F.col(label).cast("double").alias(label), *feature_cols))
+    configs = [forests.Config(c["n_estimators"], c["max_depth"], c["min_samples_leaf"], c["class_weight"] == "balanced", SEED) for c in grid]
+    scored = forests.scores(data.where(F.col(split_col) == train), data.where(F.col(split_col).isin(*evals)), list(feature_cols),
+                            configs, label, id_col, [split_col, label])
+    data.unpersist()
+    return scored.withColumnRenamed("config", "cfg_idx")
+
+
 def _boosted(table, feature_cols, model, grid, id_col, split_col, train, evals, label, parallelism) -> DataFrame:
     """The same of boosted configs, which share their scans."""
     data = reuse(table.select(id_col, split_col, F.col(label).cast("double").alias(label), *feature_cols))
