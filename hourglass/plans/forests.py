@@ -40,8 +40,6 @@ NODE_ROWS = 400_000
 GROUPS = 8
 #: Counts of a pass that a map task holds, at most.
 PASS_CELLS = 4_000_000
-#: Rows that a task reads of the written tables, at least.
-TASK_ROWS = 2000
 _POISSON = np.cumsum(np.exp(-1.0) / np.cumprod(np.concatenate(([1.0], np.arange(1.0, 16.0)))))
 #: A pair of counts (rows, positive rows) in one exact double.
 _PAIR = float(1 << 26)
